@@ -1,0 +1,34 @@
+"""Shared pieces: size-checked broadcast and list-or-frame config inputs."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A config/lookup side is broadcast only when it has at most this many rows.
+# Beyond it the join is left to the planner (sort-merge / AQE), never forced.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only behind a row-count check. ``limit(n+1).count()``
+    reads at most n+1 rows, so the check is cheap even on a big side."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def as_frame(spark: SparkSession, values, column: str) -> DataFrame:
+    """Config list given as a Python list or as a one-column DataFrame."""
+    if isinstance(values, DataFrame):
+        return values.select(F.col(values.columns[0]).alias(column))
+    return spark.createDataFrame([(v,) for v in values], f"{column} string")
+
+
+def in_list(col, values) -> "F.Column":
+    """Membership test for a config list. A Python list becomes an ``IN``
+    literal (no join at all); null never matches."""
+    values = list(values) if isinstance(values, Iterable) and not isinstance(values, str) else [values]
+    return F.coalesce(F.col(col).isin(values), F.lit(False)) if isinstance(col, str) \
+        else F.coalesce(col.isin(values), F.lit(False))
