@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["acl"]
+MODULES = ["acl", "data"]
 
 
 def _load():
