@@ -1,10 +1,9 @@
 """Table data comparison, expected vs actual (C11, C14, C17).
 
-Keyed diff plan: one ``full_outer`` join on the key; a 64-bit row hash of
-the compared columns is computed on each side *before* the shuffle, so
-only rows whose hash differs are expanded into per-cell comparisons
-(``stack``/explode of a small array), and equal rows never leave the join
-stage. Keyless (multiset) diff: both sides unioned with a side flag and
+Keyed diff plan: phase 1 shuffles only (key, 128-bit row hash) of each
+side through one ``full_outer`` join; phase 2 semi-joins both sides to the
+keys whose hash differs and compares those rows cell by cell (explode of a
+small array). Equal rows never shuffle their payload. Keyless (multiset) diff: both sides unioned with a side flag and
 counted per full row in one aggregation (partial aggregation before the
 shuffle) instead of two ``exceptAll``.
 """
@@ -130,6 +129,6 @@ def fingerprint_diff(expected: DataFrame, actual: DataFrame, key: list[str],
               .when(F.col("_e").isNull(), F.lit("UNEXPECTED"))
               .when(F.col("_e") != F.col("_a"), F.lit("CHANGED")))
     return j.select(F.lit(check_id).alias("check_id"), F.lit(object_kind).alias("object_kind"),
-                    _key_text(key).alias("object_key"), F.lit("fingerprint").alias("field"),
+                    F.concat_ws(".", *key).alias("object_key"), F.lit("fingerprint").alias("field"),
                     status.alias("status"), F.col("_e").alias("expected"), F.col("_a").alias("actual")) \
         .where(F.col("status").isNotNull())

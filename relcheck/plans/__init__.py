@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["acl", "data"]
+MODULES = ["acl", "data", "catalog"]
 
 
 def _load():

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from relcheck.operators import constraints as con
 from relcheck.operators import dedup
-from relcheck.operators import findings as fnd
 from relcheck.operators import tablediff as td
 from relcheck.sources.fixtures import cte, fixture
 from relcheck.sources.tables import table
@@ -100,19 +99,6 @@ def q_lookup_join_dedup(spark, d):
     return j.select("o_orderkey", "o_custkey", "l_partkey", "l_suppkey", "l_quantity")
 
 
-def _sample_findings(spark, d):
-    from relcheck.plans.catalog import q_drift_columns_strict
-    return fnd.union_findings(q_drift_columns_strict(spark, d), q_table_diff_keyed(spark, d))
-
-
-def q_findings_summary(spark, d):
-    return fnd.summary(_sample_findings(spark, d))
-
-
-def q_run_verdict(spark, d):
-    return fnd.verdict(_sample_findings(spark, d))
-
-
 QUERIES = {
     "table_diff_keyed": q_table_diff_keyed,
     "table_diff_ignore_cols": q_table_diff_ignore_cols,
@@ -150,8 +136,6 @@ UNION ALL SELECT '{check_id}', '{kind}', CAST(e.o_orderkey AS VARCHAR), f.field,
 
 KEYED = cte("orders_actual") + _keyed_sql("orders", "orders_actual", ORDER_COLS)
 
-DRIFT_STRICT_SQL = None  # filled from catalog module lazily (see oracle_sql())
-
 
 ORACLE = {
     "table_diff_keyed": KEYED,

@@ -214,6 +214,12 @@ SELECT event_id AS doc_id, concat('{{"databaseInfo":{{"host":"z', cast(event_id
  CASE WHEN event_id % 41 = 0 THEN '{{"k": -1}}' ELSE props END, '}}') AS doc FROM {events}
 """
 
+# Explicit target list for table discovery: some qualified, some bare.
+FIXTURE_SQL["cat_targets"] = """
+SELECT CASE WHEN o_orderkey % 100 = 0 THEN concat('db', cast(o_orderkey % 20 AS string), '.t', cast(o_orderkey AS string))
+ ELSE concat('t', cast(o_orderkey AS string)) END AS target FROM {orders} WHERE o_orderkey % 50 = 0
+"""
+
 FIXTURE_SQL["view_only_codes"] = "SELECT * FROM (VALUES ('view')) AS t(event_type_cd)"
 FIXTURE_SQL["end_codes"] = "SELECT * FROM (VALUES ('purchase')) AS t(event_type_cd)"
 FIXTURE_SQL["app_enum"] = """
