@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["acl", "data", "catalog"]
+MODULES = ["acl", "data", "catalog", "flows"]
 
 
 def _load():

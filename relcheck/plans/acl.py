@@ -122,7 +122,7 @@ def _trim(c):
     return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g') AS {c}"
 
 
-ACL_CTE = cte("acl_source") + """,
+ACL_CHAIN = """,
 kept AS (SELECT * FROM acl_source WHERE event_type_cd IS NULL OR event_type_cd NOT IN ('view')),
 trimmed AS (SELECT event_id, """ + ", ".join(_trim(c) for c in ["application_software"]) + """, event_ts, """ + \
     ", ".join(_trim(c) for c in ["customer_id", "client_id", "event_type_cd", "event_response_txt", "session_id"]) + """ FROM kept),
@@ -134,6 +134,7 @@ valid AS (SELECT * EXCLUDE (reason) FROM checked WHERE reason = ''),
 ends AS (SELECT customer_id, session_id, min(event_id) AS close_id FROM valid WHERE event_type_cd IN ('purchase') GROUP BY customer_id, session_id),
 starts AS (SELECT v.customer_id, v.session_id, min(v.event_ts) AS start_ts FROM valid v JOIN ends e ON v.customer_id = e.customer_id AND v.session_id = e.session_id WHERE v.event_id <= e.close_id GROUP BY v.customer_id, v.session_id)
 """
+ACL_CTE = cte("acl_source") + ACL_CHAIN
 
 ORACLE = {
     "acl_view_only_filter": ACL_CTE + f"""SELECT event_id, application_software, {TS_TEXT.format(c='event_ts')} AS event_ts,

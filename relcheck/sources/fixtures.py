@@ -214,6 +214,21 @@ SELECT event_id AS doc_id, concat('{{"databaseInfo":{{"host":"z', cast(event_id
  CASE WHEN event_id % 41 = 0 THEN '{{"k": -1}}' ELSE props END, '}}') AS doc FROM {events}
 """
 
+# v2 producer payload: the upstream now sends the description itself
+# (null for codes it cannot describe).
+FIXTURE_SQL["acl_source_v2"] = """
+SELECT s.*, r.event_type_description FROM {acl_source} s
+LEFT JOIN (SELECT event_type_cd, min(event_type_description) AS event_type_description FROM {event_type_ref} GROUP BY event_type_cd) r
+ ON s.event_type_cd = r.event_type_cd
+"""
+
+# Sink events table before migration: code column, description column
+# already filled for some rows.
+FIXTURE_SQL["sink_events"] = """
+SELECT event_id, user_id, event_type AS event_type_cd,
+ CASE WHEN event_id % 13 = 0 THEN 'Legacy description' END AS event_type_description FROM {events}
+"""
+
 # Explicit target list for table discovery: some qualified, some bare.
 FIXTURE_SQL["cat_targets"] = """
 SELECT CASE WHEN o_orderkey % 100 = 0 THEN concat('db', cast(o_orderkey % 20 AS string), '.t', cast(o_orderkey AS string))
