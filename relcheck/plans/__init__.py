@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["acl", "data", "catalog", "flows"]
+MODULES = ["acl", "data", "catalog", "flows", "text"]
 
 
 def _load():

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from relcheck.sources.tables import TABLES, table
 
 FIXTURE_SQL: dict[str, str] = {}
+FIXTURE_DUCKDB: dict[str, str] = {}
 
 FIXTURE_SQL["acl_source"] = """
 SELECT event_id,
@@ -235,6 +236,16 @@ SELECT CASE WHEN o_orderkey % 100 = 0 THEN concat('db', cast(o_orderkey % 20 AS
  ELSE concat('t', cast(o_orderkey AS string)) END AS target FROM {orders} WHERE o_orderkey % 50 = 0
 """
 
+# DDL scripts: the statements of a script joined with ';' + newline in
+# position order (Spark and DuckDB spell the ordered string aggregate
+# differently, so the DuckDB text is given separately).
+FIXTURE_SQL["ddl_scripts"] = """
+SELECT script_id, listagg(stmt, concat(';', chr(10))) WITHIN GROUP (ORDER BY pos) AS script FROM {ddl_stmts} GROUP BY script_id
+"""
+FIXTURE_DUCKDB["ddl_scripts"] = """
+SELECT script_id, string_agg(stmt, concat(';', chr(10)) ORDER BY pos) AS script FROM {ddl_stmts} GROUP BY script_id
+"""
+
 FIXTURE_SQL["view_only_codes"] = "SELECT * FROM (VALUES ('view')) AS t(event_type_cd)"
 FIXTURE_SQL["end_codes"] = "SELECT * FROM (VALUES ('purchase')) AS t(event_type_cd)"
 FIXTURE_SQL["app_enum"] = """
@@ -275,7 +286,7 @@ def cte(*names: str) -> str:
         visit(n)
     parts = []
     for n in order:
-        sql = FIXTURE_SQL[n]
+        sql = FIXTURE_DUCKDB.get(n, FIXTURE_SQL[n])
         body = sql.format(**{d: d for d in _deps(sql)}).strip()
         parts.append(f"{n} AS (\n{body}\n)")
     return "WITH " + ",\n".join(parts) + "\n" if parts else ""
