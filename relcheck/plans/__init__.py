@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["acl", "data", "catalog", "flows", "text", "docs"]
+MODULES = ["acl", "data", "catalog", "flows", "text", "docs", "streams"]
 
 
 def _load():
