@@ -97,12 +97,56 @@ def drift_columns(expected: DataFrame, actual: DataFrame, attrs: dict[str, str],
                   mode: str = "strict", policy: str = "equal", check_id: str = "C2",
                   table_key=("table_schema", "table_name"), column="column_name") -> DataFrame:
     """Missing tables, then per existing table missing /
-    unexpected columns and attribute mismatches."""
-    tk = list(table_key)
-    tables = drift_set(expected.select(*tk), actual.select(*tk), tk, "table", check_id, policy="subset")
-    cols = drift_attributes(expected, actual, tk + [column], attrs, "column", check_id, mode, policy,
-                            parent_key=tk)
-    return tables.unionByName(cols)
+    unexpected columns and attribute mismatches.
+
+    Plan: each side is aggregated once per table into a map column -> attrs
+    (one shuffle per side, partial aggregation first), the two per-table
+    rows are joined (already co-partitioned by table, no further shuffle)
+    and all findings of a table are produced in one pass with map
+    functions and a single explode. A table's map is bounded by the
+    database's column limit (e.g. 1,600 in PostgreSQL), so no group is
+    unbounded."""
+    tk, names = list(table_key), list(attrs)
+
+    def per_table(df: DataFrame, tag: str) -> DataFrame:
+        return df.groupBy(*tk).agg(F.map_from_entries(F.collect_list(
+            F.struct(F.col(column), F.struct(*[F.col(c) for c in names])))).alias(f"_m_{tag}"))
+
+    j = per_table(expected, "e").join(per_table(actual, "a"), tk, "full_outer")
+    me, ma = F.col("_m_e"), F.col("_m_a")
+    tkey = _key_text(tk)
+    none = F.lit(None).cast("string")
+
+    def f(kind, key, field, status, exp, act):
+        return F.struct(F.lit(kind).alias("object_kind"), key.alias("object_key"), field.alias("field"),
+                        F.lit(status).alias("status"), exp.alias("expected"), act.alias("actual"))
+
+    def col_key(k):
+        return F.concat(tkey, F.lit("."), k)
+
+    def differs(a, b, kind):
+        if mode == "lenient":
+            a, b = lenient(a, kind), lenient(b, kind)
+        return ~a.eqNullSafe(b)
+
+    ke, ka = F.map_keys(me), F.map_keys(ma)
+    missing = F.transform(F.array_except(ke, ka), lambda k: f("column", col_key(k), none, "MISSING", none, none))
+    unexpected = F.transform(F.array_except(ka, ke), lambda k: f("column", col_key(k), none, "UNEXPECTED",
+                                                                  none, none))
+    changed = F.flatten(F.transform(F.array_intersect(ke, ka), lambda k: F.filter(F.array(*[
+        F.when(differs(F.element_at(me, k)[c], F.element_at(ma, k)[c], attrs[c]),
+               f("column", col_key(k), F.lit(c), "CHANGED", F.element_at(me, k)[c].cast("string"),
+                 F.element_at(ma, k)[c].cast("string")))
+        for c in names]), lambda x: x.isNotNull())))
+    empty = F.array().cast("array<struct<object_kind:string,object_key:string,field:string,status:string,"
+                           "expected:string,actual:string>>")
+    table_missing = F.array(f("table", tkey, none, "MISSING", none, none))
+    both = F.concat(missing, changed, unexpected) if policy == "equal" else F.concat(missing, changed)
+    only_actual = unexpected if policy == "equal" else empty
+    items = F.when(ma.isNull(), table_missing).when(me.isNull(), only_actual).otherwise(both)
+    return j.select(F.explode(items).alias("x")).select(
+        F.lit(check_id).alias("check_id"), "x.object_kind", "x.object_key", "x.field", "x.status",
+        "x.expected", "x.actual")
 
 
 def ignore_tables(df: DataFrame, globs: list[str], schema_col="table_schema",
