@@ -41,6 +41,8 @@ def stage_source_files(df: DataFrame, path: str, order_col: str, n_chunks: int =
     system appends files. Used by tests and the registered stream queries."""
     bounds = df.select(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
+    if lo is None:
+        return
     step = (hi - lo) // n_chunks + 1
     for i in range(n_chunks):
         part = df.where((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
