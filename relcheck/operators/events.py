@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -239,34 +239,46 @@ def _end_flag(df: DataFrame, end_codes) -> DataFrame:
     return _flag_in(df, "event_type_cd", end_codes, "is_end")
 
 
-def sessions(valid: DataFrame, end_codes, order_col: str = "event_id") -> DataFrame:
+# Offsets per chunk in the skew-safe session plan: a (key, chunk) group
+# never holds more than this many events.
+SESSION_CHUNK = 1 << 20
+
+
+def sessions(valid: DataFrame, end_codes, order_col: str = "event_id",
+             chunk_size: int = SESSION_CHUNK) -> DataFrame:
     """One record per closed (customer, session) group.
 
     The group closes at its first end event in arrival order; later events
     of that key are ignored. Start = earliest event time among events up to
     and including the close; all other fields come from the end event.
 
-    Plan (skew-safe, no window over a whole key):
-    1. ``ends``: per key, ``min_by`` the end events -> first end (partial
-       aggregation before the shuffle, so a hot key costs one row per task);
-    2. ``starts``: events joined to their key's close offset, filtered to
-       arrivals <= close, ``min(event_ts)`` per key (partial aggregation
-       again; AQE splits a skewed join partition);
-    3. the two per-key results joined (both already partitioned by key).
+    Skew-safe plan (a key may hold a third of all events):
+    1. events are grouped by (key, offset chunk): a group holds at most
+       ``chunk_size`` events, so a hot key is spread over many tasks. Per
+       group: the first end offset (window over the bounded group), the
+       earliest time overall and up to that end, and the end event itself;
+    2. the chunk summaries of a key (few rows: events / chunk_size) are
+       scanned in chunk order: the closing chunk is the first one with an
+       end; start = min(earliest time of all earlier chunks, earliest time
+       up to the end inside the closing chunk).
     """
-    flagged = _end_flag(valid, end_codes)
     end_fields = [c for c in valid.columns if c not in KEY]
-    ends = (flagged.where("is_end")
-            .groupBy(*KEY)
-            .agg(F.min_by(F.struct(*end_fields), F.col(order_col)).alias("end")))
-    close = ends.select(*KEY, F.col(f"end.{order_col}").alias("_close"))
-    starts = (flagged.select(*KEY, order_col, "event_ts")
-              .join(close, KEY, "inner")
-              .where(F.col(order_col) <= F.col("_close"))
-              .groupBy(*KEY)
-              .agg(F.min("event_ts").alias("interaction_start")))
-    return ends.join(starts, KEY, "inner").select(
-        *KEY, "interaction_start", *[F.col(f"end.{c}").alias(c) for c in end_fields])
+    g = KEY + ["_chunk"]
+    x = _end_flag(valid, end_codes).withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_size)))
+    x = x.withColumn("_fe", F.min(F.when(F.col("is_end"), F.col(order_col))).over(Window.partitionBy(*g)))
+    upto = F.col("_fe").isNull() | (F.col(order_col) <= F.col("_fe"))
+    summ = x.groupBy(*g).agg(
+        F.min("_fe").alias("_fe"),
+        F.min("event_ts").alias("_min_all"),
+        F.min(F.when(upto, F.col("event_ts"))).alias("_min_upto"),
+        F.first(F.when(F.col(order_col) == F.col("_fe"), F.struct(*end_fields)), ignorenulls=True).alias("end"))
+    by_key = Window.partitionBy(*KEY)
+    s2 = summ.withColumn("_close_chunk", F.min(F.when(F.col("_fe").isNotNull(), F.col("_chunk"))).over(by_key)) \
+        .withColumn("_prev_min", F.min("_min_all").over(
+            by_key.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)))
+    closed = s2.where(F.col("_chunk") == F.col("_close_chunk"))
+    return closed.select(*KEY, F.least("_prev_min", "_min_upto").alias("interaction_start"),
+                         *[F.col(f"end.{c}").alias(c) for c in end_fields])
 
 
 def session_interactions(valid: DataFrame, cfg: AclConfig) -> DataFrame:

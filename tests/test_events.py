@@ -82,3 +82,13 @@ def test_publish_order(spark):
     pub = ev.order_for_publish(src, ["customer_id"], "event_id", 4)
     inv = ev.order_inversions(pub, ["customer_id"], "event_id").collect()
     assert all(r.inversions == 0 and r.n_partitions == 1 for r in inv)
+
+
+def test_sessions_chunked_equals_single_chunk(spark):
+    from relcheck.sources.fixtures import fixture
+    from tests.conftest import SF
+    src = fixture(spark, SF, "acl_source")
+    valid, _ = ev.split_valid(ev.trim_strings(ev.filter_view_only(src, ["view"])))
+    a = {tuple(r) for r in ev.sessions(valid, ["purchase"], chunk_size=1 << 40).collect()}
+    b = {tuple(r) for r in ev.sessions(valid, ["purchase"], chunk_size=7).collect()}
+    assert a == b and len(a) > 0
