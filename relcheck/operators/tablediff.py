@@ -45,15 +45,16 @@ def diff_keyed(expected: DataFrame, actual: DataFrame, key: list[str],
     """
     cols = _compared(expected, key, ignore_cols)
     h = _row_hash(expected, key, cols, "e").join(_row_hash(actual, key, cols, "a"), key, "full_outer")
+    state = (F.when(F.col("_in_a").isNull(), F.lit("MISSING"))
+             .when(F.col("_in_e").isNull(), F.lit("UNEXPECTED"))
+             .when((F.col("_h1_e") != F.col("_h1_a")) | (F.col("_h2_e") != F.col("_h2_a")), F.lit("DIFFER")))
+    tagged = h.select(*key, state.alias("_s")).where(F.col("_s").isNotNull())
     okey = _key_text(key).alias("object_key")
     base = [F.lit(check_id).alias("check_id"), F.lit(object_kind).alias("object_kind"), okey]
     none = F.lit(None).cast("string")
-    missing = h.where(F.col("_in_a").isNull()).select(
-        *base, none.alias("field"), F.lit("MISSING").alias("status"), none.alias("expected"), none.alias("actual"))
-    unexpected = h.where(F.col("_in_e").isNull()).select(
-        *base, none.alias("field"), F.lit("UNEXPECTED").alias("status"), none.alias("expected"), none.alias("actual"))
-    differ = h.where(F.col("_in_e") & F.col("_in_a") &
-                     ((F.col("_h1_e") != F.col("_h1_a")) | (F.col("_h2_e") != F.col("_h2_a")))).select(*key)
+    side_only = tagged.where(F.col("_s") != "DIFFER").select(
+        *base, none.alias("field"), F.col("_s").alias("status"), none.alias("expected"), none.alias("actual"))
+    differ = tagged.where(F.col("_s") == "DIFFER").select(*key)
     e = expected.join(differ, key, "left_semi").select(*key, F.struct(*cols).alias("_r_e"))
     a = actual.join(differ, key, "left_semi").select(*key, F.struct(*cols).alias("_r_a"))
     j = e.join(a, key, "inner")
@@ -66,7 +67,7 @@ def diff_keyed(expected: DataFrame, actual: DataFrame, key: list[str],
         "check_id", "object_kind", "object_key", F.col("_c.field").alias("field"),
         F.lit("CHANGED").alias("status"), F.col("_c.expected").alias("expected"),
         F.col("_c.actual").alias("actual"))
-    return missing.unionByName(unexpected).unionByName(changed).select(*FINDINGS_COLS)
+    return side_only.unionByName(changed).select(*FINDINGS_COLS)
 
 
 def diff_multiset(expected: DataFrame, actual: DataFrame,
