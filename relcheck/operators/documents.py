@@ -6,10 +6,8 @@ dropped at any depth, text under the normalised keys whitespace-collapsed,
 values as JSON text. Two document sets are then compared as multisets of
 leaves per document (one aggregation with side counts).
 
-Flattening is one ``explode`` per level over a children array built from
-the variant (``map<string,variant>`` for objects, ``array<variant>`` for
-arrays, the row itself for a leaf), so each level is a single Generate
-node and the plan stays linear in the depth. Containers still present at
+Flattening is one ``variant_explode_outer`` per level (a single Generate
+node each), so the plan stays linear in the depth. Containers still present at
 ``max_depth`` are kept whole as one leaf (JSON text), so no content is
 dropped.
 """
@@ -27,10 +25,6 @@ def _as_map(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
 
 
-def _as_array(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>")
-
-
 def root_keys(docs: DataFrame, id_col: str, doc_col: str, include: list[str] | None = None,
               ignore: list[str] | None = None) -> DataFrame:
     """Root sections kept: the ignore list first, then the include list
@@ -44,41 +38,47 @@ def root_keys(docs: DataFrame, id_col: str, doc_col: str, include: list[str] | N
     return k
 
 
+def _in_list(col: str, values: list[str]) -> str:
+    return f"{col} IN (" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
 def leaves(docs: DataFrame, id_col: str, doc_col: str, ignore_keys=(), ignore_sections=(),
            include_root_keys=(), normalize_keys=(), max_depth: int = 12) -> DataFrame:
-    """C15 (+S14): canonical leaves of each document."""
-    ignore_keys, sections = list(ignore_keys), list(ignore_sections)
-    include = list(include_root_keys)
+    """C15 (+S14): canonical leaves of each document.
+
+    One ``LATERAL variant_explode_outer`` per level: a container yields its
+    members, anything else (a leaf, or a row already finished) yields one
+    null row and is carried through unchanged."""
+    spark = docs.sparkSession
     lvl = docs.select(F.col(id_col).alias("doc_id"), F.lit("$").alias("path"),
                       F.lit(None).cast("string").alias("key"), F.try_parse_json(doc_col).alias("v"),
                       F.lit(False).alias("done"))
     for depth in range(max_depth):
-        m, a = _as_map(F.col("v")), _as_array(F.col("v"))
-        entries = F.map_entries(m)
+        conds = []
         if ignore_keys:
-            entries = F.filter(entries, lambda e: ~e["key"].isin(ignore_keys))
-        if depth == 0 and sections:
-            entries = F.filter(entries, lambda e: ~e["key"].isin(sections))
-        if depth == 0 and include:
-            entries = F.filter(entries, lambda e: e["key"].isin(include))
-        obj_children = F.transform(entries, lambda e: F.struct(
-            F.concat(F.col("path"), F.lit("."), e["key"]).alias("path"), e["key"].alias("key"),
-            e["value"].alias("v"), F.lit(False).alias("done")))
-        arr_children = F.transform(a, lambda x: F.struct(
-            F.concat(F.col("path"), F.lit("[]")).alias("path"), F.lit(None).cast("string").alias("key"),
-            x.alias("v"), F.lit(False).alias("done")))
-        self_row = F.array(F.struct(F.col("path"), F.col("key"), F.col("v"), F.lit(True).alias("done")))
-        children = (F.when(F.col("done"), self_row)
-                    .when(m.isNotNull(), obj_children)
-                    .when(a.isNotNull(), arr_children)
-                    .otherwise(self_row))
-        lvl = lvl.select("doc_id", F.explode(children).alias("c")).select("doc_id", "c.*")
-    t = F.schema_of_variant(F.col("v"))
+            conds.append("NOT " + _in_list("e.key", list(ignore_keys)))
+        if depth == 0 and ignore_sections:
+            conds.append("NOT " + _in_list("e.key", list(ignore_sections)))
+        if depth == 0 and include_root_keys:
+            conds.append(_in_list("e.key", list(include_root_keys)))
+        where = ("WHERE e.pos IS NULL OR e.key IS NULL OR (" + " AND ".join(conds) + ")") if conds else ""
+        lvl = spark.sql(f"""SELECT l.doc_id,
+            CASE WHEN e.pos IS NULL THEN l.path WHEN e.key IS NULL THEN l.path || '[]'
+                 ELSE l.path || '.' || e.key END AS path,
+            CASE WHEN e.pos IS NULL THEN l.key ELSE e.key END AS key,
+            CASE WHEN e.pos IS NULL THEN l.v ELSE e.value END AS v,
+            e.pos IS NULL AS done
+          FROM {{lvl}} l, LATERAL variant_explode_outer(CASE WHEN l.done THEN NULL ELSE l.v END) e
+          {where}""", lvl=lvl)
     text = F.try_variant_get(F.col("v"), "$", "string")
     norm = F.trim(F.regexp_replace(text, ASCII_WS, " "))
-    is_norm = F.col("key").isin(list(normalize_keys)) if normalize_keys else F.lit(False)
-    value = F.when((t == "STRING") & is_norm, F.to_json(norm.cast("variant"))).otherwise(F.to_json(F.col("v")))
-    return lvl.select("doc_id", "path", value.alias("value"))
+    value = F.to_json(F.col("v"))
+    if normalize_keys:
+        is_norm = F.col("key").isin(list(normalize_keys)) & (F.schema_of_variant(F.col("v")) == "STRING")
+        value = F.when(is_norm, F.to_json(norm.cast("variant"))).otherwise(value)
+    out = lvl.select("doc_id", "path", value.alias("value"))
+    # an empty object or array has no leaves
+    return out.where(F.col("value").isNotNull() & ~F.col("value").isin("{}", "[]"))
 
 
 def leaf_diff(expected: DataFrame, actual: DataFrame, check_id: str = "C15") -> DataFrame:
