@@ -335,15 +335,21 @@ def order_for_publish(df: DataFrame, key_cols: list[str], offset_col: str,
 
 
 def order_inversions(published: DataFrame, key_cols: list[str], offset_col: str) -> DataFrame:
-    """E14 check: per key, events whose offset is lower than that of the
-    event published just before it. ``monotonically_increasing_id`` is the
-    position in the published output (partition id, then row)."""
+    """E14 check: per key, how often an event follows (in published
+    position) an earlier-published event of the same key with a higher
+    offset, and over how many output partitions the key is spread (must be
+    1). The previous row is taken inside each output partition (the unit a
+    producer writes in order), so the check groups by partition, as the
+    publish step itself does, and never by key."""
     from pyspark.sql import Window
     pos = published.withColumn("_pos", F.monotonically_increasing_id()) \
         .withColumn("_part", F.spark_partition_id())
-    w = Window.partitionBy(*key_cols).orderBy("_pos")
-    lagged = pos.withColumn("_prev", F.lag(offset_col).over(w))
-    return lagged.groupBy(*key_cols).agg(
+    w = Window.partitionBy("_part").orderBy("_pos")
+    same = F.lit(True)
+    for k in key_cols:
+        same = same & F.lag(k).over(w).eqNullSafe(F.col(k))
+    flagged = pos.withColumn("_inv", same & (F.lag(offset_col).over(w) > F.col(offset_col)))
+    return flagged.groupBy(*key_cols).agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.count_if(F.col("_prev") > F.col(offset_col)).alias("inversions"),
+        F.count_if(F.coalesce(F.col("_inv"), F.lit(False))).alias("inversions"),
         F.count_distinct("_part").alias("n_partitions"))

@@ -92,3 +92,10 @@ def test_sessions_chunked_equals_single_chunk(spark):
     a = {tuple(r) for r in ev.sessions(valid, ["purchase"], chunk_size=1 << 40).collect()}
     b = {tuple(r) for r in ev.sessions(valid, ["purchase"], chunk_size=7).collect()}
     assert a == b and len(a) > 0
+
+
+def test_publish_order_detects_inversions(spark):
+    src = rows(spark, [(i, "a", i, str(i % 3), None, "click", None, "s") for i in range(30)])
+    bad = src.orderBy(F.desc("event_id")).coalesce(1)
+    inv = {r.customer_id: r.inversions for r in ev.order_inversions(bad, ["customer_id"], "event_id").collect()}
+    assert inv == {"0": 9, "1": 9, "2": 9}
