@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: destination timestamp format (ISO-8601, milliseconds, UTC
-# offset), as the interaction schema states it.
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSZ"
+# offset), as the interaction schema states it. Event times are UTC wall
+# clock (timestamp_ntz), so the offset is written as a literal.
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"
 # Plain text form used for timestamps in result tables (microseconds kept).
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -17,9 +18,10 @@ def _c(c) -> Column:
 
 
 def iso8601_utc(c) -> Column:
-    """Event time -> ISO-8601 text; a zone-less time is read as UTC
-    (session zone must be UTC)."""
-    return F.date_format(_c(c).cast("timestamp"), ISO_FORMAT)
+    """Event time (UTC wall clock) -> ISO-8601 text with '+0000'. A
+    timestamp_ntz is formatted as is, so the result does not depend on the
+    session time zone."""
+    return F.date_format(_c(c), ISO_FORMAT)
 
 
 def ts_text(c) -> Column:
