@@ -42,13 +42,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when none is configured (tests). On a cluster the shared folder named by
     ``spark.checkpoint.dir`` is used as is."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if current:
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="relcheck-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 

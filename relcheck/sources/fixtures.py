@@ -189,6 +189,12 @@ SELECT concat('file', cast(c_nationkey % 4 AS string), '.csv') AS file_name,
  CASE WHEN c_custkey % 19 = 0 THEN '["a",' WHEN c_custkey % 2 = 0 THEN '["a","b"]' ELSE '' END AS tags FROM {customer}
 """
 
+# Same rows for DuckDB; row_number() is BIGINT there and INT in Spark, so
+# the oracle casts it to keep the column types equal.
+FIXTURE_DUCKDB["messages_csv"] = FIXTURE_SQL["messages_csv"].replace(
+    "row_number() OVER (PARTITION BY c_nationkey % 4 ORDER BY c_custkey) AS row_no",
+    "CAST(row_number() OVER (PARTITION BY c_nationkey % 4 ORDER BY c_custkey) AS INTEGER) AS row_no")
+
 FIXTURE_SQL["prs"] = """
 SELECT o_orderkey AS pr_id, concat('u', cast(o_custkey % 200 AS string)) AS author, o_orderdate AS created_at FROM {orders}
 """
