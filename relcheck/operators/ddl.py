@@ -37,30 +37,31 @@ def statements(scripts: DataFrame) -> DataFrame:
 
 def split_alters(stmts: DataFrame) -> DataFrame:
     """K4: ALTERs for tables the same script creates ('new') vs the rest
-    ('existing'); a left join of alters to the script's created tables."""
-    creates = stmts.where(F.col("command") == "CREATE").select("script_id", "table_name").distinct() \
-        .withColumn("_created", F.lit(True))
-    alters = stmts.where(F.col("command") != "CREATE")
-    j = alters.join(creates, ["script_id", "table_name"], "left")
-    return j.select("script_id", "pos", "stmt", "table_name",
-                    F.when(F.col("_created"), F.lit("new")).otherwise(F.lit("existing")).alias("target"))
+    ('existing'). A window over (script, table) on data already clustered
+    by script (from ``statements``), so no extra shuffle."""
+    w = Window.partitionBy("script_id", "table_name")
+    created = F.max((F.col("command") == "CREATE").cast("int")).over(w) == 1
+    t = stmts.withColumn("_created", created & F.col("table_name").isNotNull())
+    return t.where(F.col("command") != "CREATE").select(
+        "script_id", "pos", "stmt", "table_name",
+        F.when(F.col("_created"), F.lit("new")).otherwise(F.lit("existing")).alias("target"))
 
 
 def ordered_new_tables(stmts: DataFrame) -> DataFrame:
     """K5: per script, each created table in first-seen order: its CREATE
-    (last text wins), then its ALTERs: primary keys, foreign keys, others,
-    each in script order. Output position ``out_pos``."""
-    creates = stmts.where(F.col("command") == "CREATE").groupBy("script_id", "table_name").agg(
-        F.min("pos").alias("create_pos"), F.max_by("stmt", "pos").alias("stmt"))
-    c = creates.select("script_id", "table_name", "create_pos", F.lit(0).alias("rank"),
-                       F.lit(0).alias("pos"), "stmt")
-    a = split_alters(stmts).where(F.col("target") == "new") \
-        .join(stmts.select("script_id", "pos", "key_class"), ["script_id", "pos"]) \
-        .join(creates.select("script_id", "table_name", "create_pos"), ["script_id", "table_name"]) \
-        .select("script_id", "table_name", "create_pos",
-                F.when(F.col("key_class") == "primary_key", 1).when(F.col("key_class") == "foreign_key", 2)
-                .otherwise(3).alias("rank"), "pos", "stmt")
-    u = c.unionByName(a)
-    w = Window.partitionBy("script_id").orderBy("create_pos", "rank", "pos")
-    return u.select("script_id", F.row_number().over(w).alias("out_pos"), "table_name",
+    (last text wins, first position kept), then its ALTERs: primary keys,
+    foreign keys, others, each in script order. Output position
+    ``out_pos``. Windows only, all clustered by script: one shuffle."""
+    w = Window.partitionBy("script_id", "table_name")
+    is_create = F.col("command") == "CREATE"
+    t = stmts.withColumn("_create_pos", F.min(F.when(is_create, F.col("pos"))).over(w)) \
+        .withColumn("_last_create", F.max(F.when(is_create, F.col("pos"))).over(w))
+    rank = (F.when(is_create, 0).when(F.col("key_class") == "primary_key", 1)
+            .when(F.col("key_class") == "foreign_key", 2).otherwise(3))
+    keep = (is_create & (F.col("pos") == F.col("_last_create"))) | \
+        (~is_create & F.col("_create_pos").isNotNull() & F.col("table_name").isNotNull())
+    u = t.where(keep).select("script_id", "table_name", "_create_pos", rank.alias("_rank"),
+                             F.when(is_create, F.lit(0)).otherwise(F.col("pos")).alias("_pos"), "stmt")
+    order = Window.partitionBy("script_id").orderBy("_create_pos", "_rank", "_pos")
+    return u.select("script_id", F.row_number().over(order).alias("out_pos"), "table_name",
                     F.concat("stmt", F.lit(";")).alias("stmt"))
