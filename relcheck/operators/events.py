@@ -144,7 +144,7 @@ def map_event_type(df: DataFrame, enum_map, default: str = DEFAULT_EVENT_TYPE,
     join); a DataFrame (code, value) is a size-checked broadcast left join."""
     if isinstance(enum_map, DataFrame):
         k, v = enum_map.columns[:2]
-        lk = enum_map.select(F.col(k).alias("_k"), F.col(v).alias("_mapped")).dropDuplicates(["_k"])
+        lk = enum_map.groupBy(F.col(k).alias("_k")).agg(F.min(v).alias("_mapped"))  # one value per code
         res = df.join(broadcast_if_small(lk), df[col] == lk["_k"], "left").drop("_k")
     else:
         m = F.create_map(*[F.lit(x) for kv in enum_map.items() for x in kv]) if enum_map else \

@@ -1,11 +1,12 @@
 """Table data comparison, expected vs actual (C11, C14, C17).
 
-Keyed diff plan: phase 1 shuffles only (key, 128-bit row hash) of each
-side through one ``full_outer`` join; phase 2 semi-joins both sides to the
-keys whose hash differs and compares those rows cell by cell (explode of a
-small array). Equal rows never shuffle their payload. Keyless (multiset) diff: both sides unioned with a side flag and
-counted per full row in one aggregation (partial aggregation before the
-shuffle) instead of two ``exceptAll``.
+Keyed diff plan: phase 1 shuffles only (key, row count, 128-bit row
+fingerprint) of each side through one ``full_outer`` join; phase 2
+semi-joins both sides to the keys whose fingerprint differs and compares
+those rows cell by cell (explode of a small array). Equal rows never
+shuffle their payload. Keyless (multiset) diff: both sides unioned with a
+side flag and counted per full row in one aggregation (partial aggregation
+before the shuffle) instead of two ``exceptAll``.
 """
 
 from __future__ import annotations
@@ -26,34 +27,49 @@ def _compared(expected: DataFrame, key: list[str], ignore: list[str] | None) ->
 
 
 def _row_hash(df: DataFrame, key: list[str], cols: list[str], tag: str) -> DataFrame:
-    """Key + a 128-bit row hash (two seeded 64-bit xxhash values)."""
+    """Per key: row count and an order-free 128-bit fingerprint of its rows
+    (sums of two seeded 64-bit xxhash values, as decimals so they cannot
+    overflow). Aggregated before the join, so a key repeated on both sides
+    never produces row pairs, and a hot key is combined map-side."""
     vals = [F.col(c) for c in cols] or [F.lit(None)]
-    return df.select(*key, F.xxhash64(*vals).alias(f"_h1_{tag}"),
-                     F.xxhash64(F.lit("relcheck"), *vals).alias(f"_h2_{tag}"),
-                     F.lit(True).alias(f"_in_{tag}"))
+    h = df.select(*key, F.xxhash64(*vals).cast("decimal(38,0)").alias("_h1"),
+                  F.xxhash64(F.lit("relcheck"), *vals).cast("decimal(38,0)").alias("_h2"))
+    return h.groupBy(*key).agg(F.count(F.lit(1)).alias(f"_n_{tag}"), F.sum("_h1").alias(f"_h1_{tag}"),
+                               F.sum("_h2").alias(f"_h2_{tag}"))
 
 
 def diff_keyed(expected: DataFrame, actual: DataFrame, key: list[str],
                ignore_cols: list[str] | None = None, check_id: str = "C11",
                object_kind: str = "row") -> DataFrame:
     """Findings: MISSING (key only in expected), UNEXPECTED (only in
-    actual), CHANGED (one row per differing cell, null-safe).
-
-    Phase 1 shuffles only (key, 128-bit row hash) of each side through one
-    ``full_outer`` join. Phase 2 fetches the full rows of the keys whose
-    hash differs (normally few) and compares them cell by cell, exactly.
+    actual), CHANGED (one row per differing cell, null-safe). A key that
+    is not unique on a side and differs is reported once as CHANGED with
+    field ``<rows>`` and both row counts (no cell pairs are formed).
+
+    Phase 1 shuffles only (key, count, 128-bit fingerprint) of each side
+    through one ``full_outer`` join. Phase 2 fetches the full rows of the
+    keys whose fingerprint differs (normally few) and compares them cell by
+    cell, exactly.
     """
     cols = _compared(expected, key, ignore_cols)
     h = _row_hash(expected, key, cols, "e").join(_row_hash(actual, key, cols, "a"), key, "full_outer")
-    state = (F.when(F.col("_in_a").isNull(), F.lit("MISSING"))
-             .when(F.col("_in_e").isNull(), F.lit("UNEXPECTED"))
-             .when((F.col("_h1_e") != F.col("_h1_a")) | (F.col("_h2_e") != F.col("_h2_a")), F.lit("DIFFER")))
-    tagged = h.select(*key, state.alias("_s")).where(F.col("_s").isNotNull())
+    differs = (F.col("_n_e") != F.col("_n_a")) | (F.col("_h1_e") != F.col("_h1_a")) | \
+        (F.col("_h2_e") != F.col("_h2_a"))
+    unique = (F.col("_n_e") == 1) & (F.col("_n_a") == 1)
+    state = (F.when(F.col("_n_a").isNull(), F.lit("MISSING"))
+             .when(F.col("_n_e").isNull(), F.lit("UNEXPECTED"))
+             .when(differs & unique, F.lit("DIFFER"))
+             .when(differs, F.lit("ROWS")))
+    tagged = h.select(*key, state.alias("_s"), "_n_e", "_n_a").where(F.col("_s").isNotNull())
     okey = _key_text(key).alias("object_key")
     base = [F.lit(check_id).alias("check_id"), F.lit(object_kind).alias("object_kind"), okey]
     none = F.lit(None).cast("string")
+    is_rows = F.col("_s") == "ROWS"
     side_only = tagged.where(F.col("_s") != "DIFFER").select(
-        *base, none.alias("field"), F.col("_s").alias("status"), none.alias("expected"), none.alias("actual"))
+        *base, F.when(is_rows, F.lit("<rows>")).otherwise(none).alias("field"),
+        F.when(is_rows, F.lit("CHANGED")).otherwise(F.col("_s")).alias("status"),
+        F.when(is_rows, F.col("_n_e").cast("string")).otherwise(none).alias("expected"),
+        F.when(is_rows, F.col("_n_a").cast("string")).otherwise(none).alias("actual"))
     differ = tagged.where(F.col("_s") == "DIFFER").select(*key)
     e = expected.join(differ, key, "left_semi").select(*key, F.struct(*cols).alias("_r_e"))
     a = actual.join(differ, key, "left_semi").select(*key, F.struct(*cols).alias("_r_a"))
