@@ -1,13 +1,16 @@
 """DDL script classification (K1-K5), over a corpus of scripts
 (``script_id``, ``script`` text): every script is split, classified and
-ordered in one job; per-script work is a window over one script's
-statements."""
+ordered in one job. Nothing is windowed by script or table: positions come
+from ``posexplode``, per-table facts from aggregates (partial aggregation
+first), and the final numbering from the skew-safe ``sequence_within``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relcheck.operators.messages import sequence_within
+
 # Fixed patterns of the splitter: statement separator, target table of a
 # CREATE/ALTER (optional IF [NOT] EXISTS / ONLY, optional quotes, dotted
 # name, any case) and the key classes.
@@ -18,12 +21,12 @@ FK_RE = "(?i)FOREIGN\\s+KEY"
 
 
 def statements(scripts: DataFrame) -> DataFrame:
-    """K1-K3: one row per statement (position kept), trailing ';' removed,
-    with command, target table and key class."""
+    """K1-K3: one row per non-blank statement, trailing ';' removed, with
+    its position in the script (index of the split piece, so order is kept
+    without a per-script window), command, target table and key class."""
     s = scripts.select("script_id", F.posexplode(F.split("script", SPLIT)).alias("pos0", "raw"))
-    s = s.select("script_id", F.trim(F.regexp_replace("raw", ";\\s*$", "")).alias("stmt"), "pos0") \
-        .where(F.col("stmt") != "")
-    s = s.withColumn("pos", F.row_number().over(Window.partitionBy("script_id").orderBy("pos0"))).drop("pos0")
+    s = s.select("script_id", F.trim(F.regexp_replace("raw", ";\\s*$", "")).alias("stmt"),
+                 (F.col("pos0") + 1).alias("pos")).where(F.col("stmt") != "")
     create_t = F.regexp_replace(F.regexp_extract("stmt", TABLE_RE.format(cmd="CREATE"), 4), '"', "")
     alter_t = F.regexp_replace(F.regexp_extract("stmt", TABLE_RE.format(cmd="ALTER"), 4), '"', "")
     return s.select(
@@ -35,33 +38,33 @@ def statements(scripts: DataFrame) -> DataFrame:
         .when(F.col("stmt").rlike(FK_RE), F.lit("foreign_key")).otherwise(F.lit("other")).alias("key_class"))
 
 
+def _alters(stmts: DataFrame) -> DataFrame:
+    creates = stmts.where(F.col("command") == "CREATE").select("script_id", "table_name").distinct() \
+        .withColumn("_created", F.lit(True))
+    j = stmts.where(F.col("command") != "CREATE").join(creates, ["script_id", "table_name"], "left")
+    return j.withColumn("target", F.when(F.col("_created"), F.lit("new")).otherwise(F.lit("existing")))
+
+
 def split_alters(stmts: DataFrame) -> DataFrame:
     """K4: ALTERs for tables the same script creates ('new') vs the rest
-    ('existing'). A window over (script, table) on data already clustered
-    by script (from ``statements``), so no extra shuffle."""
-    w = Window.partitionBy("script_id", "table_name")
-    created = F.max((F.col("command") == "CREATE").cast("int")).over(w) == 1
-    t = stmts.withColumn("_created", created & F.col("table_name").isNotNull())
-    return t.where(F.col("command") != "CREATE").select(
-        "script_id", "pos", "stmt", "table_name",
-        F.when(F.col("_created"), F.lit("new")).otherwise(F.lit("existing")).alias("target"))
+    ('existing'): a left join of the statements to the distinct
+    (script, created table) pairs."""
+    return _alters(stmts).select("script_id", "pos", "stmt", "table_name", "target")
 
 
 def ordered_new_tables(stmts: DataFrame) -> DataFrame:
     """K5: per script, each created table in first-seen order: its CREATE
     (last text wins, first position kept), then its ALTERs: primary keys,
-    foreign keys, others, each in script order. Output position
-    ``out_pos``. Windows only, all clustered by script: one shuffle."""
-    w = Window.partitionBy("script_id", "table_name")
-    is_create = F.col("command") == "CREATE"
-    t = stmts.withColumn("_create_pos", F.min(F.when(is_create, F.col("pos"))).over(w)) \
-        .withColumn("_last_create", F.max(F.when(is_create, F.col("pos"))).over(w))
-    rank = (F.when(is_create, 0).when(F.col("key_class") == "primary_key", 1)
-            .when(F.col("key_class") == "foreign_key", 2).otherwise(3))
-    keep = (is_create & (F.col("pos") == F.col("_last_create"))) | \
-        (~is_create & F.col("_create_pos").isNotNull() & F.col("table_name").isNotNull())
-    u = t.where(keep).select("script_id", "table_name", "_create_pos", rank.alias("_rank"),
-                             F.when(is_create, F.lit(0)).otherwise(F.col("pos")).alias("_pos"), "stmt")
-    order = Window.partitionBy("script_id").orderBy("_create_pos", "_rank", "_pos")
-    return u.select("script_id", F.row_number().over(order).alias("out_pos"), "table_name",
-                    F.concat("stmt", F.lit(";")).alias("stmt"))
+    foreign keys, others, each in script order. ``out_pos`` numbers the
+    emission order inside the script."""
+    creates = stmts.where(F.col("command") == "CREATE").groupBy("script_id", "table_name").agg(
+        F.min("pos").alias("_create_pos"), F.max_by("stmt", "pos").alias("stmt"))
+    c = creates.select("script_id", "table_name", "_create_pos", F.lit(0).alias("_rank"),
+                       F.lit(0).alias("_pos"), "stmt")
+    a = _alters(stmts).where(F.col("target") == "new") \
+        .join(creates.select("script_id", "table_name", "_create_pos"), ["script_id", "table_name"]) \
+        .select("script_id", "table_name", "_create_pos",
+                F.when(F.col("key_class") == "primary_key", 1).when(F.col("key_class") == "foreign_key", 2)
+                .otherwise(3).alias("_rank"), F.col("pos").alias("_pos"), "stmt")
+    seq = sequence_within(c.unionByName(a), ["script_id"], ["_create_pos", "_rank", "_pos"], out="out_pos")
+    return seq.select("script_id", "out_pos", "table_name", F.concat("stmt", F.lit(";")).alias("stmt"))
