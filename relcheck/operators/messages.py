@@ -126,17 +126,27 @@ def sequence_within(df: DataFrame, group: list[str], order: list[str], out: str
     the rows are range-partitioned on (group, order), so one big group is
     spread over many tasks. Each row gets its global rank as
     (rows in earlier partitions) + (rank inside its partition), and the
-    group's first global rank is subtracted. The range-partitioned frame is
-    checkpointed so the per-partition counts and the ranks come from the
-    same partitioning even after an executor loss."""
+    group's first global rank is subtracted.
+
+    The per-partition counts and the ranks must come from the same range
+    partitioning. Both read the same shuffle (Spark reuses the identical
+    exchange; a lost map output is recomputed with the same partitioner),
+    so no extra copy of the data is written. Only when exchange reuse is
+    switched off is the partitioned frame checkpointed to the session's
+    checkpoint folder instead. ``order`` must be unique inside a group."""
     from relcheck.operators.common import broadcast_if_small
     from relcheck.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     keys = group + order
-    parted = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
-    local = parted.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*keys)))
-    local = local.checkpoint(eager=True)
+    parted = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # rank inside the partition from the sorted position (no window, no
+    # second shuffle): monotonically_increasing_id = (partition << 33) + row
+    local = parted.withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33) + 1)
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        ensure_checkpoint_dir(spark)
+        local = local.checkpoint(eager=True)
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn("_off", F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).drop("_n")
     ranked = local.join(broadcast_if_small(offsets, max_rows=1_000_000), "_pid") \
