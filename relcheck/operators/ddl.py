@@ -2,14 +2,13 @@
 (``script_id``, ``script`` text): every script is split, classified and
 ordered in one job. Nothing is windowed by script or table: positions come
 from ``posexplode``, per-table facts from aggregates (partial aggregation
-first), and the final numbering from the skew-safe ``sequence_within``."""
+first), and the emission order as one packed sortable key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relcheck.operators.messages import sequence_within
 
 # Fixed patterns of the splitter: statement separator, target table of a
 # CREATE/ALTER (optional IF [NOT] EXISTS / ONLY, optional quotes, dotted
@@ -55,8 +54,11 @@ def split_alters(stmts: DataFrame) -> DataFrame:
 def ordered_new_tables(stmts: DataFrame) -> DataFrame:
     """K5: per script, each created table in first-seen order: its CREATE
     (last text wins, first position kept), then its ALTERs: primary keys,
-    foreign keys, others, each in script order. ``out_pos`` numbers the
-    emission order inside the script."""
+    foreign keys, others, each in script order. ``emit_order`` is the
+    emission order as one sortable integer (create position, class rank,
+    position packed: positions < 2^29, rank < 4), so no per-script window
+    or numbering pass is needed; ``ORDER BY script_id, emit_order`` gives
+    the output file."""
     creates = stmts.where(F.col("command") == "CREATE").groupBy("script_id", "table_name").agg(
         F.min("pos").alias("_create_pos"), F.max_by("stmt", "pos").alias("stmt"))
     c = creates.select("script_id", "table_name", "_create_pos", F.lit(0).alias("_rank"),
@@ -66,5 +68,7 @@ def ordered_new_tables(stmts: DataFrame) -> DataFrame:
         .select("script_id", "table_name", "_create_pos",
                 F.when(F.col("key_class") == "primary_key", 1).when(F.col("key_class") == "foreign_key", 2)
                 .otherwise(3).alias("_rank"), F.col("pos").alias("_pos"), "stmt")
-    seq = sequence_within(c.unionByName(a), ["script_id"], ["_create_pos", "_rank", "_pos"], out="out_pos")
-    return seq.select("script_id", "out_pos", "table_name", F.concat("stmt", F.lit(";")).alias("stmt"))
+    key = (F.shiftleft(F.col("_create_pos").cast("long"), 34) + F.shiftleft(F.col("_rank").cast("long"), 32)
+           + F.col("_pos").cast("long"))
+    return c.unionByName(a).select("script_id", key.alias("emit_order"), "table_name",
+                                   F.concat("stmt", F.lit(";")).alias("stmt"))

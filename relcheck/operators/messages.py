@@ -118,39 +118,29 @@ def raw_passthrough(df: DataFrame, payload_col: str, strict: bool) -> DataFrame:
     return df.select("file_name", "row_no", F.col(payload_col).alias("payload"), ok.alias("published"))
 
 
-def sequence_within(df: DataFrame, group: list[str], order: list[str], out: str = "seq",
-                    num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row inside its group, by ``order``.
-
-    A plain ``row_number()`` window puts a whole group in one task; here
-    the rows are range-partitioned on (group, order), so one big group is
-    spread over many tasks. Each row gets its global rank as
-    (rows in earlier partitions) + (rank inside its partition), and the
-    group's first global rank is subtracted.
-
-    The per-partition counts and the ranks must come from the same range
-    partitioning. Both read the same shuffle (Spark reuses the identical
-    exchange; a lost map output is recomputed with the same partitioner),
-    so no extra copy of the data is written. Only when exchange reuse is
-    switched off is the partitioned frame checkpointed to the session's
-    checkpoint folder instead. ``order`` must be unique inside a group."""
-    from relcheck.operators.common import broadcast_if_small
-    from relcheck.session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    keys = group + order
-    parted = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    # rank inside the partition from the sorted position (no window, no
-    # second shuffle): monotonically_increasing_id = (partition << 33) + row
-    local = parted.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33) + 1)
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        ensure_checkpoint_dir(spark)
-        local = local.checkpoint(eager=True)
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_off", F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).drop("_n")
-    ranked = local.join(broadcast_if_small(offsets, max_rows=1_000_000), "_pid") \
-        .withColumn("_g", F.col("_local") + F.col("_off"))
-    first = ranked.groupBy(*group).agg(F.min("_g").alias("_first"))
-    return ranked.join(first, group).withColumn(out, (F.col("_g") - F.col("_first") + 1).cast("int")) \
-        .drop("_pid", "_local", "_off", "_g", "_first")
+# Offsets per chunk in ``sequence_within``: no window ever sees more rows.
+SEQUENCE_CHUNK = 1 << 20
+
+
+def sequence_within(df: DataFrame, group: list[str], order: str, out: str = "seq",
+                    chunk_size: int = SEQUENCE_CHUNK) -> DataFrame:
+    """1-based position of each row inside its group, by the integer
+    column ``order`` (unique inside a group: a row number, an offset, or a
+    packed composite key).
+
+    A plain ``row_number()`` over the group puts a whole group in one task.
+    Here rows are cut into (group, chunk = order // chunk_size) pieces, so
+    no piece holds more than ``chunk_size`` rows: the rank inside a piece is
+    a bounded window, and the piece's offset is a running sum over the
+    per-piece counts (a small table: rows / chunk_size per group). Every
+    step is deterministic, so a task retried after an executor loss gives
+    the same numbers, with no extra copy of the data."""
+    g = group + ["_chunk"]
+    x = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_size)))
+    x = x.withColumn("_in", F.row_number().over(Window.partitionBy(*g).orderBy(order)))
+    counts = x.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_off", F.sum("_n").over(
+        Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))) \
+        .select(*g, F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
+    return x.join(offsets, g).withColumn(out, (F.col("_off") + F.col("_in")).cast("int")) \
+        .drop("_chunk", "_in", "_off")

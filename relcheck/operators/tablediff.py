@@ -26,16 +26,22 @@ def _compared(expected: DataFrame, key: list[str], ignore: list[str] | None) ->
     return [c for c in expected.columns if c not in key and c not in ignore]
 
 
+# A 64-bit row hash is summed per key as three 20-bit parts: each sum stays
+# exact (no overflow) up to 2^43 rows per key, and the sums are plain longs,
+# so the per-key aggregation stays in fast fixed-width hash aggregation.
+_PARTS = [(20 * i, (1 << 20) - 1) for i in range(3)]
+
+
 def _row_hash(df: DataFrame, key: list[str], cols: list[str], tag: str) -> DataFrame:
-    """Per key: row count and an order-free 128-bit fingerprint of its rows
-    (sums of two seeded 64-bit xxhash values, as decimals so they cannot
-    overflow). Aggregated before the join, so a key repeated on both sides
-    never produces row pairs, and a hot key is combined map-side."""
+    """Per key: row count and an order-free fingerprint of its rows (sums
+    of the 20-bit parts of two seeded 64-bit xxhash values). Aggregated
+    before the join, so a key repeated on both sides never produces row
+    pairs, and a hot key is combined map-side."""
     vals = [F.col(c) for c in cols] or [F.lit(None)]
-    h = df.select(*key, F.xxhash64(*vals).cast("decimal(38,0)").alias("_h1"),
-                  F.xxhash64(F.lit("relcheck"), *vals).cast("decimal(38,0)").alias("_h2"))
-    return h.groupBy(*key).agg(F.count(F.lit(1)).alias(f"_n_{tag}"), F.sum("_h1").alias(f"_h1_{tag}"),
-                               F.sum("_h2").alias(f"_h2_{tag}"))
+    h = df.select(*key, F.xxhash64(*vals).alias("_h1"), F.xxhash64(F.lit("relcheck"), *vals).alias("_h2"))
+    sums = [F.sum(F.shiftright(F.col(h_), sh).bitwiseAND(F.lit(mask))).alias(f"{h_}_{sh}_{tag}")
+            for h_ in ("_h1", "_h2") for sh, mask in _PARTS]
+    return h.groupBy(*key).agg(F.count(F.lit(1)).alias(f"_n_{tag}"), *sums)
 
 
 def diff_keyed(expected: DataFrame, actual: DataFrame, key: list[str],
@@ -53,8 +59,10 @@ def diff_keyed(expected: DataFrame, actual: DataFrame, key: list[str],
     """
     cols = _compared(expected, key, ignore_cols)
     h = _row_hash(expected, key, cols, "e").join(_row_hash(actual, key, cols, "a"), key, "full_outer")
-    differs = (F.col("_n_e") != F.col("_n_a")) | (F.col("_h1_e") != F.col("_h1_a")) | \
-        (F.col("_h2_e") != F.col("_h2_a"))
+    differs = F.col("_n_e") != F.col("_n_a")
+    for h_ in ("_h1", "_h2"):
+        for sh, _ in _PARTS:
+            differs = differs | (F.col(f"{h_}_{sh}_e") != F.col(f"{h_}_{sh}_a"))
     unique = (F.col("_n_e") == 1) & (F.col("_n_a") == 1)
     state = (F.when(F.col("_n_a").isNull(), F.lit("MISSING"))
              .when(F.col("_n_e").isNull(), F.lit("UNEXPECTED"))

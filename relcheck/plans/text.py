@@ -64,7 +64,7 @@ def q_keys(spark, d):
 
 def q_sequence(spark, d):
     ok = _typed(spark, d).where(F.size("reasons") == 0).select("file_name", "row_no")
-    return msg.sequence_within(ok, ["file_name"], ["row_no"])
+    return msg.sequence_within(ok, ["file_name"], "row_no")
 
 
 def q_failures(spark, d):
@@ -250,7 +250,7 @@ u AS (SELECT script_id, table_name, create_pos, 0 AS rnk, 0 AS pos, stmt FROM c
  UNION ALL SELECT sp.script_id, sp.table_name, c.create_pos,
   CASE sp.key_class WHEN 'primary_key' THEN 1 WHEN 'foreign_key' THEN 2 ELSE 3 END, sp.pos, sp.stmt
  FROM sp JOIN c ON sp.script_id = c.script_id AND sp.table_name = c.table_name WHERE sp.target = 'new')
-SELECT script_id, CAST(row_number() OVER (PARTITION BY script_id ORDER BY create_pos, rnk, pos) AS INTEGER) AS out_pos,
+SELECT script_id, (CAST(create_pos AS BIGINT) << 34) + (CAST(rnk AS BIGINT) << 32) + CAST(pos AS BIGINT) AS emit_order,
  table_name, stmt || ';' AS stmt FROM u""",
     "approval_fanout": cte("approvals") + """, ok AS (SELECT * FROM approvals WHERE status = 'approved')
 SELECT DISTINCT 'database' AS target, database_name, CAST(NULL AS VARCHAR) AS value FROM ok
