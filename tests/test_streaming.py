@@ -48,3 +48,23 @@ def test_foreach_batch_outputs_add_up(spark):
     assert m["received"] == m["filtered_view_only"] + m["dead_lettered"] + m["transformed"]
     assert spark.read.parquet(p["valid"]).count() == m["transformed"]
     assert spark.read.parquet(p["dead"]).count() == m["dead_lettered"]
+
+
+def test_view_only_list_reloaded_per_batch(spark):
+    """The list is read from a table by every micro-batch, so a change
+    made between batches is used without code change."""
+    src = fixture(spark, SF, "acl_source")
+    mid = src.agg(F.max("event_id")).first()[0] // 2
+    path, lst = new_scratch(spark, "src"), new_scratch(spark, "list")
+    p = {k: new_scratch(spark, k) for k in ("valid", "dead", "metrics", "ck")}
+    spark.createDataFrame([("view",)], "c string").write.parquet(lst)
+    fn = st.dead_letter_writer(p["valid"], p["dead"], p["metrics"], CFG, F.lit("t"), view_only_path=lst)
+    st.stage_source_files(src.where(F.col("event_id") < mid), path, "event_id", n_chunks=1)
+    st.run_foreach_batch(st.read_events(spark, path), fn, p["ck"])
+    spark.createDataFrame([("view",), ("click",)], "c string").write.mode("overwrite").parquet(lst)
+    st.stage_source_files(src.where(F.col("event_id") >= mid), path, "event_id", n_chunks=1)
+    st.run_foreach_batch(st.read_events(spark, path), fn, p["ck"])
+    out = spark.read.parquet(p["valid"])
+    early = out.where(F.col("event_id") < mid).where("event_event_type_cd = 'click'").count()
+    late = out.where(F.col("event_id") >= mid).where("event_event_type_cd = 'click'").count()
+    assert early > 0 and late == 0
