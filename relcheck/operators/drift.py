@@ -34,10 +34,19 @@ def _rows(status: Column | str, check_id: str, kind: str, key: Column, field=Non
             s(actual).alias("actual")]
 
 
+def skip_if_empty(expected: DataFrame, check_id: str, kind: str) -> DataFrame:
+    """SURVEY quirk 18: an empty expected side is a SKIP finding, not a
+    pass. Computed by Spark (one count), never on the driver; yields one
+    row when ``expected`` is empty, else none."""
+    return expected.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == 0).select(
+        *_rows("SKIP", check_id, kind, F.lit("*"), None, F.lit("expected side is empty"), None))
+
+
 def drift_set(expected: DataFrame, actual: DataFrame, key: list[str], kind: str,
-              check_id: str, policy: str = "equal") -> DataFrame:
+              check_id: str, policy: str = "equal", skip_when_empty: bool = False) -> DataFrame:
     """Set comparison on the key columns. One ``full_outer`` join
-    of the distinct keys with side flags."""
+    of the distinct keys with side flags. With ``skip_when_empty`` an empty
+    expected side adds a SKIP finding."""
     e = expected.select(*key).distinct().withColumn("_e", F.lit(True))
     a = actual.select(*key).distinct().withColumn("_a", F.lit(True))
     j = e.join(a, [e[c].eqNullSafe(a[c]) for c in key], "full_outer") \
@@ -45,7 +54,8 @@ def drift_set(expected: DataFrame, actual: DataFrame, key: list[str], kind: str,
     status = F.when(F.col("_a").isNull(), F.lit("MISSING"))
     if policy == "equal":
         status = status.when(F.col("_e").isNull(), F.lit("UNEXPECTED"))
-    return j.select(*_rows(status, check_id, kind, _key_text(key))).where(F.col("status").isNotNull())
+    out = j.select(*_rows(status, check_id, kind, _key_text(key))).where(F.col("status").isNotNull())
+    return out.unionByName(skip_if_empty(expected, check_id, kind)) if skip_when_empty else out
 
 
 def drift_attributes(expected: DataFrame, actual: DataFrame, key: list[str],
@@ -95,9 +105,12 @@ def drift_attributes(expected: DataFrame, actual: DataFrame, key: list[str],
 
 def drift_columns(expected: DataFrame, actual: DataFrame, attrs: dict[str, str],
                   mode: str = "strict", policy: str = "equal", check_id: str = "C2",
-                  table_key=("table_schema", "table_name"), column="column_name") -> DataFrame:
+                  table_key=("table_schema", "table_name"), column="column_name",
+                  report_extra_tables: bool = False) -> DataFrame:
     """Missing tables, then per existing table missing /
-    unexpected columns and attribute mismatches.
+    unexpected columns and attribute mismatches. Tables that exist only in
+    actual are not reported (the reference's default); with
+    ``report_extra_tables`` they are, as UNEXPECTED tables.
 
     Plan: each side is aggregated once per table into a map column -> attrs
     (one shuffle per side, partial aggregation first), the two per-table
@@ -142,7 +155,7 @@ def drift_columns(expected: DataFrame, actual: DataFrame, attrs: dict[str, str],
                            "expected:string,actual:string>>")
     table_missing = F.array(f("table", tkey, none, "MISSING", none, none))
     both = F.concat(missing, changed, unexpected) if policy == "equal" else F.concat(missing, changed)
-    only_actual = unexpected if policy == "equal" else empty
+    only_actual = F.array(f("table", tkey, none, "UNEXPECTED", none, none)) if report_extra_tables else empty
     items = F.when(ma.isNull(), table_missing).when(me.isNull(), only_actual).otherwise(both)
     return j.select(F.explode(items).alias("x")).select(
         F.lit(check_id).alias("check_id"), "x.object_kind", "x.object_key", "x.field", "x.status",

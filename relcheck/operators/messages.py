@@ -35,6 +35,7 @@ class MessageSpec:
         FieldRule("tags", kind="array"),
     ])
     key_column: str | None = "customer_id"
+    key_json_path: tuple[str, str] | None = None   # (payload column, JSON path)
     key_default: str | None = None
     strict: bool = True
 
@@ -76,11 +77,16 @@ def typed_fields(df: DataFrame, spec: MessageSpec) -> DataFrame:
 
 
 def message_key(spec: MessageSpec) -> Column:
-    """Key from a column, else a parameter, else a deterministic key
-    from (source, file, row): retries give the same key, unlike a UUID."""
+    """Key from a column, else a payload field, else a parameter, else a
+    deterministic key from (source, file, row): retries give the same key,
+    unlike a UUID."""
     parts = []
     if spec.key_column:
         parts.append(F.when(~_blank(F.col(spec.key_column)), F.col(spec.key_column).cast("string")))
+    if spec.key_json_path:
+        col, path = spec.key_json_path
+        v = F.get_json_object(F.col(col), path)
+        parts.append(F.when(~_blank(v), v))
     if spec.key_default:
         parts.append(F.lit(spec.key_default))
     parts.append(F.sha2(F.concat_ws("|", "source_system", "file_name", F.col("row_no").cast("string")), 256))

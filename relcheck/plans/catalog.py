@@ -405,7 +405,8 @@ UNION ALL SELECT '{check_id}', 'column', {k3}, f.field, 'CHANGED', f.ev, f.av
     if policy == "equal":
         sql += f"""
 UNION ALL SELECT '{check_id}', 'column', a.table_schema || '.' || a.table_name || '.' || a.column_name, {N}, 'UNEXPECTED', {N}, {N}
- FROM {a} a WHERE NOT EXISTS (SELECT 1 FROM {e} y WHERE y.table_schema = a.table_schema AND y.table_name = a.table_name AND y.column_name = a.column_name)"""
+ FROM {a} a WHERE NOT EXISTS (SELECT 1 FROM {e} y WHERE y.table_schema = a.table_schema AND y.table_name = a.table_name AND y.column_name = a.column_name)
+   AND EXISTS (SELECT 1 FROM {e} y WHERE y.table_schema = a.table_schema AND y.table_name = a.table_name)"""
     return sql
 
 

@@ -84,3 +84,17 @@ def test_keyed_diff_duplicate_keys_do_not_pair(spark):
     assert f == [("1", "<rows>", "CHANGED", "2", "3")]
     same = spark.createDataFrame([(1, "y", 1.0), (1, "x", 1.0), (2, "z", 2.0)], SCHEMA)
     assert td.diff_keyed(e, same, ["k"]).count() == 0   # same multiset per key, any order
+
+
+def test_skip_extra_tables_and_empty_expected(spark):
+    cols = "table_schema string, table_name string, column_name string, data_type string"
+    e = spark.createDataFrame([("s", "t", "c1", "int")], cols)
+    a = spark.createDataFrame([("s", "t", "c1", "int"), ("s", "extra", "c1", "int")], cols)
+    attrs = {"data_type": "string"}
+    assert dr.drift_columns(e, a, attrs).count() == 0
+    r = dr.drift_columns(e, a, attrs, report_extra_tables=True).collect()
+    assert [(x.object_kind, x.object_key, x.status) for x in r] == [("table", "s.extra", "UNEXPECTED")]
+    empty = spark.createDataFrame([], "rolname string")
+    roles = spark.createDataFrame([("r1",)], "rolname string")
+    f = dr.drift_set(empty, roles, ["rolname"], "role", "C8", "subset", skip_when_empty=True).collect()
+    assert [(x.status, x.object_key) for x in f] == [("SKIP", "*")]
