@@ -72,9 +72,14 @@ def _objects(spark, d, dev: bool):
         fx(spark, d, "cat_views" + s).select(F.lit("view"), "view_schema", "view_name"),
         fx(spark, d, "cat_functions" + s).select(F.lit("function"), "schema_name", "name"),
         fx(spark, d, "cat_sequences" + s).select(F.lit("sequence"), "sequence_schema", "sequence_name"),
-        ku.where(F.col("constraint_type").isin("PRIMARY KEY", "UNIQUE"))
-          .select(F.lit("index"), "table_schema", "constraint_name"),
-        ku.select(F.lit("constraint"), "table_schema", "constraint_name"),
+        # constraints, and the indexes behind PK/UNIQUE, from one pass
+        ku.select(F.explode(F.array(
+            F.struct(F.lit("constraint").alias("k"), F.col("table_schema").alias("s"),
+                     F.col("constraint_name").alias("n")),
+            F.when(F.col("constraint_type").isin("PRIMARY KEY", "UNIQUE"), F.struct(
+                F.lit("index").alias("k"), F.col("table_schema").alias("s"),
+                F.col("constraint_name").alias("n"))))).alias("x"))
+          .where(F.col("x").isNotNull()).select("x.k", "x.s", "x.n"),
         fx(spark, d, "cat_triggers" + s).select(F.lit("trigger"), F.lit("public"),
                                                 F.concat_ws(".", "table_name", "trigger_name")),
     ]
