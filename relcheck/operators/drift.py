@@ -122,7 +122,9 @@ def drift_columns(expected: DataFrame, actual: DataFrame, attrs: dict[str, str],
     tk, names = list(table_key), list(attrs)
 
     def per_table(df: DataFrame, tag: str) -> DataFrame:
-        return df.groupBy(*tk).agg(F.map_from_entries(F.collect_list(
+        # rows are shuffled on the table key before collecting (collecting
+        # does not shrink data, so partial aggregation would only add work)
+        return df.repartition(*tk).groupBy(*tk).agg(F.map_from_entries(F.collect_list(
             F.struct(F.col(column), F.struct(*[F.col(c) for c in names])))).alias(f"_m_{tag}"))
 
     j = per_table(expected, "e").join(per_table(actual, "a"), tk, "full_outer")
