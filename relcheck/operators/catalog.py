@@ -109,7 +109,8 @@ def tables_nested(columns: DataFrame, key_usage: DataFrame) -> DataFrame:
     and then joined per table, so the join never multiplies rows (the
     duplicates the left-join chain would create are never made)."""
     t = ["table_schema", "table_name"]
-    cols = columns.groupBy(*t).agg(ordered_list(
+    # collecting does not shrink data: shuffle rows on the table key first
+    cols = columns.repartition(*t).groupBy(*t).agg(ordered_list(
         F.struct("column_name", "data_type", "is_nullable"), F.col("ordinal_position")).alias("columns"))
     cons = key_usage.groupBy(*t).agg(F.array_sort(F.collect_set(
         F.struct("constraint_name", "constraint_type"))).alias("constraints"))

@@ -139,9 +139,11 @@ def table_fingerprints(df: DataFrame, group_cols: list[str], order_col: str,
     one text line per row. Rows per group are catalog rows (bounded by the
     column limit of a table), so ordering them in the group is safe."""
     line = F.concat_ws(":", *[F.col(c).cast("string") for c in value_cols])
-    return df.groupBy(*group_cols).agg(
+    # collecting does not shrink data: shuffle rows on the group key first
+    return df.select(*group_cols, F.col(order_col), line.alias("_l")).repartition(*group_cols) \
+        .groupBy(*group_cols).agg(
         F.sha2(F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), line.alias("l")))),
+            F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("_l").alias("l")))),
             lambda x: x["l"]), ","), 256).alias("fingerprint"))
 
 
