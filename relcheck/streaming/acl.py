@@ -13,7 +13,10 @@
   (E19).
 
 State growth: groups close only on an end code, so never-ending sessions
-keep (small) state; ``idle_timeout`` (off by default) expires them.
+keep (small) state; ``idle_timeout_ms`` (off by default) expires them with
+a processing-time timeout. Not verified yet: a quick test with the
+``availableNow`` trigger and the timeout on did not finish within 15
+minutes, so use it with a processing-time trigger only.
 """
 
 from __future__ import annotations
