@@ -72,7 +72,15 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str =
 
 
 # ---------------------------------------------------------------- E15
-def stateless(stream: DataFrame, cfg: ev.AclConfig) -> DataFrame:
+def stateless(stream: DataFrame, cfg: ev.AclConfig, observe_name: str | None = None) -> DataFrame:
+    """E15; with ``observe_name`` the per-batch counters of E19 (received,
+    view-only) are also reported through ``observe()`` in the query's
+    progress (no extra job)."""
+    if observe_name:
+        view = F.coalesce(F.col("event_type_cd").isin(list(cfg.view_only)), F.lit(False)) \
+            if not isinstance(cfg.view_only, DataFrame) else F.lit(False)
+        stream = stream.observe(observe_name, F.count(F.lit(1)).alias("received"),
+                                F.count_if(view).alias("filtered_view_only"))
     kept = ev.filter_view_only(stream, cfg.view_only)
     valid, _ = ev.split_valid(ev.trim_strings(kept))
     return ev.flatten(ev.to_interaction_v1(valid, cfg.enum_map, cfg.default_event_type))

@@ -68,3 +68,20 @@ def test_view_only_list_reloaded_per_batch(spark):
     early = out.where(F.col("event_id") < mid).where("event_event_type_cd = 'click'").count()
     late = out.where(F.col("event_id") >= mid).where("event_event_type_cd = 'click'").count()
     assert early > 0 and late == 0
+
+
+def test_observed_counters(spark):
+    src = fixture(spark, SF, "acl_source")
+    path, out, ck = (new_scratch(spark, n) for n in ("src", "out", "ckpt"))
+    st.stage_source_files(src, path, "event_id", n_chunks=2)
+    q = (st.stateless(st.read_events(spark, path), CFG, observe_name="acl").writeStream.format("parquet")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination(600)
+    got = {"received": 0, "filtered_view_only": 0}
+    for p in q.recentProgress:
+        m = p.observedMetrics.get("acl") if hasattr(p, "observedMetrics") else None
+        if m is not None:
+            got["received"] += m["received"]
+            got["filtered_view_only"] += m["filtered_view_only"]
+    assert got["received"] == src.count()
+    assert got["filtered_view_only"] == src.where("event_type_cd = 'view'").count()
