@@ -35,6 +35,7 @@ SESSION_OUT = ("customer_id string, session_id string, interaction_start_us long
                "application_software string, event_ts_us long, client_id string, event_type_cd string, "
                "event_response_txt string")
 SESSION_STATE = "closed boolean, min_ts_us long, n_events long"
+MAX_END_CODES = 10_000
 
 
 # ---------------------------------------------------------------- sources
@@ -128,8 +129,15 @@ def sessions_stream(stream: DataFrame, cfg: ev.AclConfig, idle_timeout_ms: int |
     slim = valid.select("customer_id", "session_id", "event_id", "application_software",
                         F.unix_micros(F.col("event_ts").cast("timestamp")).alias("event_ts_us"),
                         "client_id", "event_type_cd", "event_response_txt")
-    ends = frozenset(cfg.end_codes) if not isinstance(cfg.end_codes, DataFrame) else \
-        frozenset(r[0] for r in cfg.end_codes.collect())
+    if isinstance(cfg.end_codes, DataFrame):
+        # a config list read once when the query starts; refuse anything that
+        # is not a small list rather than pull a table through the driver
+        rows = cfg.end_codes.limit(MAX_END_CODES + 1).collect()
+        if len(rows) > MAX_END_CODES:
+            raise ValueError(f"end-code list has more than {MAX_END_CODES} entries")
+        ends = frozenset(r[0] for r in rows)
+    else:
+        ends = frozenset(cfg.end_codes)
     step = _session_step(ends, idle_timeout_ms)
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms else GroupStateTimeout.NoTimeout
     out = slim.groupBy("customer_id", "session_id").applyInPandasWithState(
