@@ -5,6 +5,7 @@ scratch one only when the session has none, as in tests)."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,26 +39,20 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only
-    when none is configured (tests). On a cluster the shared folder named by
-    ``spark.checkpoint.dir`` is used as is."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
-        sc = None
-    if not current and sc is not None:
-        current = sc.getCheckpointDir()
-    if current:
-        if sc is not None and not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="relcheck-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None:
-        sc.setCheckpointDir(path)
-    return path
+    """The folder that ``spark.checkpoint.dir`` names, shared by the driver and
+    all executors. Only a local session (driver and executors are one process)
+    that has none gets a scratch folder; elsewhere an unset folder is an error,
+    as executors would each write to their own disk."""
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not current:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="relcheck-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
