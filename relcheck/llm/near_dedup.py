@@ -33,6 +33,9 @@ from relcheck.llm.circulant import BANDS, ROWS, band_hashes, set_key, signature,
 from relcheck.llm.components import components
 from relcheck.llm.shared import WordHashes, arrow_pass, staged, whole
 
+#: The table of candidate ids (three longs a row) is broadcast up to this many
+#: rows, 24 MB, so that texts need not move to be picked; beyond, they are joined.
+FEW_NODES = 1_000_000
 #: A link: PERCENT of the union is shared, at least.
 PERCENT, WORDS = 75, 5
 
@@ -66,6 +69,8 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, text: str, key: str, words: in
         return lambda texts, _: [[word_set(t, hashes, words).view(np.int64) for t in texts]]
 
     rows = whole(docs, text, node=F.col(f"`{key}`")).select("node", F.xxhash64("body").alias("twin"), "body")
+    if nodes.count() <= FEW_NODES:
+        nodes = F.broadcast(nodes)
     single = rows.join(nodes.where("times = 1"), ["node", "twin"], "left_semi")
     several = rows.join(nodes.where("times > 1"), ["node", "twin"], "left_semi").dropDuplicates(["node", "twin"])
     return arrow_pass(single.unionByName(several), "shingles array<long>", work, keep=["node", "twin"])
