@@ -163,7 +163,7 @@ def vectors(m: Model, words: list[bytes]) -> np.ndarray:
 
 def window_starts(n: int) -> np.ndarray:
     """Overlapping windows over n words; every word is in one at least."""
-    return np.arange(0, max(1, n - STRIDE), STRIDE)
+    return STRIDE * np.arange(1 + max(0, -(-(n - WINDOW) // STRIDE)))
 
 
 class Scorer:

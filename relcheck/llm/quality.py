@@ -31,7 +31,7 @@ NOT_INNER = bytes(b for b in range(256) if not 0x80 <= b < 0xC0)
 #: A rule counts as a host's habit from this shrunk failure rate on.
 HABIT = 0.05
 #: The prior weighs as so many documents at least and at most.
-PRIOR_LEAST, PRIOR_MOST = 1.0, 1e6
+PRIOR_LEAST, PRIOR_MOST = 10.0, 1e6
 
 
 def measure(text: bytes) -> tuple[int, int, int, int, int, int]:

@@ -185,7 +185,7 @@ failures AS MATERIALIZED (SELECT *, {", ".join(f"({c}) AS fails_{r}" for r, c in
 hosts AS MATERIALIZED (SELECT source AS host, count(*)::DOUBLE AS n, {", ".join(f"count(*) FILTER (fails_{r})::DOUBLE AS {r}" for r in rules)} FROM failures GROUP BY source),
 sums AS (SELECT count(*)::DOUBLE AS h, sum(n) AS n, {", ".join(f"sum({r}) / sum(n) AS m_{r}, sum({r} * {r} / n) AS sq_{r}" for r in rules)} FROM hosts),
 spread AS (SELECT *, {", ".join(f"CASE WHEN m_{r} > 0 AND m_{r} < 1 AND h >= 2 THEN (sq_{r} - n * m_{r} * m_{r}) / (h - 1) / (m_{r} * (1 - m_{r})) END AS v_{r}" for r in rules)} FROM sums),
-prior AS (SELECT *, {", ".join(f"CASE WHEN v_{r} IS NULL THEN 1.0 WHEN v_{r} > 1 THEN least(greatest((n / h - 1) / (v_{r} - 1) - 1, 1.0), 1e6) ELSE 1e6 END AS s_{r}" for r in rules)} FROM spread),
+prior AS (SELECT *, {", ".join(f"CASE WHEN v_{r} IS NULL THEN {quality.PRIOR_LEAST} WHEN v_{r} > 1 THEN least(greatest((n / h - 1) / (v_{r} - 1) - 1, {quality.PRIOR_LEAST}), {quality.PRIOR_MOST}) ELSE {quality.PRIOR_MOST} END AS s_{r}" for r in rules)} FROM spread),
 habits AS (SELECT host, {", ".join(f"(hosts.{r} + m_{r} * s_{r}) / (hosts.n + s_{r}) >= {quality.HABIT} AS habit_{r}" for r in rules)} FROM hosts, prior),
 judged AS MATERIALIZED (
   SELECT failures.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {" OR ".join(f"(fails_{r} AND habit_{r})" for r in rules)} AS host_rejected

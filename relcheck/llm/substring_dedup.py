@@ -2,23 +2,29 @@
 
 Method: texts are cut into sentences; every run of several consecutive
 sentences (the shortest from each sentence on that has MIN_UNITS units and
-MIN_WORDS words) is hashed, runs meet globally by hash, and a sentence is
-removed when a run that covers it occurred before: the first occurrence, by
-(doc_id, text hash, place), stays, all others go, within a document too.
-
-So that a passage is found wherever it starts, long sentences are cut at places
-that depend on the nearby words alone: a unit ends after a word that ends in
-sentence or clause punctuation, at a line break, and after a word whose hash
-falls in one class of WORD_CLASSES. Words are compared in small letters
-(A-Z) without the punctuation around them. A passage of more than 50 words
-then has a whole run inside, unless its units are unusually long.
+MIN_WORDS words, and the one that closes the text) is hashed, runs meet globally
+by hash, and a sentence is removed when a run that covers it occurred before:
+the first occurrence, by (doc_id, place), stays, all others go, within a document
+too.
+
+A passage is to be found wherever it starts, so a sentence of more than WINDOW
+words is cut further, at places that the nearby words alone decide: the least
+word hash of every WINDOW words inside the sentence. No unit is then longer than
+WINDOW words, and any two texts that share 4 * WINDOW + MIN_WORDS - 3 words (49)
+share a whole run. Words are compared in small letters (A-Z) without the
+punctuation around them.
+
+The runs are many, so they move little: hashes alone are counted (map-side
+first), and only the runs of repeated hashes, which are few, are looked at
+further. A hot run (one passage in a third of all rows) is reduced map-side to
+its first place. Two tables are broadcast up to FEW_BYTES of counted size, else
+joined by key.
 
 Defined results: null and empty texts have no units and stay as they are; rows
 that repeat a doc_id with the same text are one occurrence and are treated
 alike; a null doc_id sorts first; a text shorter than a run is never touched;
 an empty table gives an empty result; the caller's columns travel in one
-struct, so none can clash. A hot run (one passage in a third of all rows)
-is reduced map-side to its first place; only (hash, place) rows are joined.
+struct, so none can clash.
 """
 
 from __future__ import annotations
@@ -31,11 +37,10 @@ from pyspark.sql import functions as F
 
 from relcheck.llm.shared import WordHashes, arrow_pass, mix64, staged, whole
 
-MIN_UNITS, MIN_WORDS = 3, 20
-#: One word in so many ends a unit by its hash.
-WORD_CLASSES = 12
-#: What ends a sentence or clause, and what is stripped from words.
-ENDS = b".!?;:,"
+MIN_UNITS, MIN_WORDS, WINDOW = 3, 16, 9
+FEW_BYTES = 32 << 20
+#: What ends a sentence, and what is stripped from words.
+ENDS = frozenset(b".!?")
 EDGE = b".!?;:,\"'()[]"
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -45,33 +50,41 @@ def units(text: bytes, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """(index of the first word of every unit, hashes of all words)."""
     low = text.translate(LOWER)
     words = low.split()
-    if not words:
+    n = len(words)
+    if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = hashes.of([w.strip(EDGE) for w in words])
-    ends = (mix64(h.copy()) % np.uint64(WORD_CLASSES)) == 0
-    ends |= np.fromiter((w[-1] in ENDS for w in words), bool, len(words))
+    ends = np.fromiter((w[-1] in ENDS for w in words), bool, n)
     if b"\n" in low:
         counts = np.fromiter((len(x.split()) for x in low.split(b"\n")), np.int64)
-        last = np.cumsum(counts)[counts > 0] - 1
-        ends[last] = True
-    starts = np.flatnonzero(ends[:-1]) + 1
-    return np.concatenate([[0], starts]), h
+        ends[np.cumsum(counts)[counts > 0] - 1] = True
+    ends[-1] = True
+    if n > WINDOW:  # the last word of a window may end a sentence, the others may not
+        before = np.concatenate([[0], np.cumsum(ends)])
+        at = np.flatnonzero(before[WINDOW - 1:n] == before[:n - WINDOW + 1])
+        if len(at):
+            seen = np.lib.stride_tricks.sliding_window_view(mix64(h.copy()), WINDOW)[at]
+            ends[at + seen.argmin(axis=1)] = True
+    return np.concatenate([[0], np.flatnonzero(ends[:-1]) + 1]), h
 
 
 def runs(first: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first unit, unit after the last) of the run from every unit on;
-    units at the end of the text that no whole run starts at have none."""
+    """(hash, code, unit after the last). The code is twice the first unit, and
+    one more for the run that closes the text where no other does."""
     n = len(first)
     bounds = np.concatenate([first, [len(words)]])
-    after = np.maximum(np.searchsorted(bounds, first + MIN_WORDS), np.arange(n) + MIN_UNITS)
-    start = np.flatnonzero(after <= n)
-    after = after[start]
+    on = np.maximum(np.searchsorted(bounds, first + MIN_WORDS), np.arange(n) + MIN_UNITS)
+    start = np.flatnonzero(on <= n)
+    after, code = on[start], 2 * start
+    if len(start) and after[-1] < n:
+        start, after = np.append(start, start[-1]), np.append(after, n)
+        code = np.append(code, 2 * start[-1] + 1)
     # the hash of a run: sum of word hashes times powers of an odd base, by prefix sums modulo 2**64
     powers, inverse = _powers(len(words))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers, dtype=np.uint64)])
     a, b = bounds[start], bounds[after]
     body = (sums[b] - sums[a]) * inverse[a]
-    return mix64(body + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), start, after
+    return mix64(body + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), code, after
 
 
 BASE = 0x5851F42D4C957F2D
@@ -90,23 +103,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _held[0][:n], _held[1][:n + 1]
 
 
-def _spans(texts: list[bytes], hashes: WordHashes) -> list[list]:
-    out = [[], [], [], []]
-    for t in texts:
-        first, words = units(t, hashes)
-        h, start, after = runs(first, words) if len(first) else (words, first, first)
-        for column, value in zip(out, (h.view(np.int64), start, after, None), strict=True):
-            column.append(len(first) if value is None else value)
-        out[3][-1] = len(first)
-    return out
-
-
-def cut(text: bytes, gone: set[int], hashes: WordHashes) -> bytes:
+def cut(text: bytes, gone: set[int], first: np.ndarray, n_words: int) -> bytes:
     """The text without the units in ``gone``: words and the white space before
     them go together; what is left keeps its own white space."""
-    first, words = units(text, hashes)
     places = [m.span() for m in WORDS.finditer(text)]
-    bounds = [*first.tolist(), len(words)]
+    bounds = [*first.tolist(), n_words]
     left, at = [], 0
     for u in range(len(first)):
         end = places[bounds[u + 1] - 1][1]
@@ -117,37 +118,67 @@ def cut(text: bytes, gone: set[int], hashes: WordHashes) -> bytes:
     return b"".join(left).lstrip() if 0 in gone else b"".join(left)
 
 
+def few(df: DataFrame, size: int) -> DataFrame:
+    """Broadcast up to FEW_BYTES of counted size."""
+    return F.broadcast(df) if size <= FEW_BYTES else df
+
+
+def all_runs(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """(id, at, h): a row a run. ``at`` is the text's CRC (which tells rows that
+    repeat a doc_id apart) above the run's code."""
+    def work():
+        hashes = WordHashes()
+
+        def do(texts, _):
+            h, code = [], []
+            for t in texts:
+                first, words = units(t, hashes)
+                x, c, _ = runs(first, words) if len(first) else (words, first, first)
+                h.append(x.view(np.int64))
+                code.append(c)
+            return [h, code]
+        return do
+
+    body = whole(docs, text, id=F.col(f"`{key}`")).select("id", F.crc32("body").alias("crc"), "body")
+    made = arrow_pass(body, "h array<long>, code array<int>", work, keep=["id", "crc"])
+    made = made.select("id", "crc", F.inline(F.arrays_zip("h", "code")))
+    return made.select("id", (F.shiftleft("crc", 32) + F.col("code")).alias("at"), "h")
+
+
 def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(row, clean string, n_units long, removed array<int>): ``row`` has the
     caller's columns, ``clean`` the text without later copies, ``removed`` the
     units that went, from 0."""
-    body = whole(docs, text, id=F.col(f"`{key}`")).withColumn("twin", F.xxhash64("body"))
-
-    def work():
-        hashes = WordHashes()
-        return lambda texts, _: _spans(texts, hashes)
-
-    made = arrow_pass(body.select("id", "twin", "body"), "h array<long>, start array<int>, after array<int>, n_units long", work, keep=["id", "twin"])
-    spans = staged(made.select("id", "twin", F.explode(F.arrays_zip("h", "start", "after")).alias("s")).select("id", "twin", "s.*"), "spans")
-    place = F.struct("id", "twin", "start")
-    again = spans.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first")
-    later = spans.join(again, "h").where(~place.eqNullSafe(F.col("first")))
-    # one row a document that loses something; its size is bounded by the document
-    gone = (later.select("id", "twin", "start", "after").distinct().groupBy("id", "twin")
-            .agg(F.collect_list(F.struct("start", "after")).alias("gone")))
-    gone = staged(gone.select(F.col("id").alias("of"), F.col("twin").alias("of_twin"), "gone"), "gone")
-    both = body.join(gone, F.col("id").eqNullSafe(F.col("of")) & (F.col("twin") == F.col("of_twin")), "left").select("row", "body", "gone")
+    spans = staged(all_runs(docs, text, key), "runs")
+    often = staged(spans.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "often")
+    again = staged(spans.join(few(often, 8 * often.count()), "h"), "again")
+    place = F.struct("id", "at")
+    first = again.groupBy("h").agg(F.min(place).alias("first"))
+    later = again.join(first, "h").where(~place.eqNullSafe(F.col("first")))
+    # one row a document that loses something, no larger than the document
+    gone = (later.select("id", F.shiftrightunsigned("at", 32).alias("crc"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("code")).distinct()
+            .groupBy("id", "crc").agg(F.collect_list("code").alias("codes")))
+    gone = staged(gone.select(F.col("id").alias("of"), F.col("crc").alias("of_crc"), "codes"), "gone")
+    size = gone.agg(F.sum(F.size("codes") * 4 + 32)).first()[0] or 0
+    body = whole(docs, text, id=F.col(f"`{key}`")).withColumn("crc", F.crc32("body"))
+    both = body.join(few(gone, size), F.col("id").eqNullSafe(F.col("of")) & (F.col("crc") == F.col("of_crc")), "left").select("row", "body", "codes")
 
     def clean():
         hashes = WordHashes()
 
         def do(texts, rows):
             clean, removed, n = [], [], []
-            for t, spans in zip(texts, rows.column("gone").to_pylist(), strict=True):
-                drop = {u for s in spans or () for u in range(s["start"], s["after"])}
-                clean.append((cut(t, drop, hashes) if drop else t).decode("utf-8", "replace"))
+            for t, codes in zip(texts, rows.column("codes").to_pylist(), strict=True):
+                first, words = units(t, hashes)
+                drop: set[int] = set()
+                if codes:
+                    _, code, after = runs(first, words)
+                    end = dict(zip(code.tolist(), after.tolist(), strict=True))
+                    for c in codes:
+                        drop.update(range(c // 2, end[c]))
+                clean.append((cut(t, drop, first, len(words)) if drop else t).decode("utf-8", "replace"))
                 removed.append(sorted(drop))
-                n.append(len(units(t, hashes)[0]))
+                n.append(len(first))
             return [clean, removed, n]
         return do
 
