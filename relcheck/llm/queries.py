@@ -15,8 +15,8 @@ DOC_ID = "row.doc_id"
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select(DOC_ID, "n_units", F.size("removed").cast("long").alias("n_removed"),
+    out = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select(DOC_ID, F.size("removed").cast("long").alias("n_removed"), "n_words_removed",
                       F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed_units"), F.col("clean").alias("clean_text"))
 
 

@@ -14,17 +14,19 @@ WINDOW words, and any two texts that share 4 * WINDOW + MIN_WORDS - 3 words (49)
 share a whole run. Words are compared in small letters (A-Z) without the
 punctuation around them.
 
-The runs are many, so they move little: hashes alone are counted (map-side
-first), and only the runs of repeated hashes, which are few, are looked at
-further. A hot run (one passage in a third of all rows) is reduced map-side to
-its first place. Two tables are broadcast up to FEW_BYTES of counted size, else
-joined by key.
+The runs are many, so they move little: a run that repeats inside its document
+is settled there; of the others, a document's distinct hashes alone are grouped
+with their least and largest doc_id (map-side first), and only hashes of several
+documents are joined back. A hot run (one passage in a third of all rows) is one
+row of that table, and the join splits its other side. Texts move only where
+something is cut out of them: the ids of those documents are broadcast up to
+FEW_IDS rows of one id, else joined.
 
 Defined results: null and empty texts have no units and stay as they are; rows
-that repeat a doc_id with the same text are one occurrence and are treated
-alike; a null doc_id sorts first; a text shorter than a run is never touched;
-an empty table gives an empty result; the caller's columns travel in one
-struct, so none can clash.
+that repeat a doc_id are one document, between which no copies are looked for
+(a null doc_id is one as well, and sorts first); a text shorter than a run is
+never touched; an empty table gives an empty result; the caller's columns travel
+in one struct, so none can clash.
 """
 
 from __future__ import annotations
@@ -32,13 +34,14 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relcheck.llm.shared import WordHashes, arrow_pass, mix64, staged, whole
 
 MIN_UNITS, MIN_WORDS, WINDOW = 3, 16, 9
-FEW_BYTES = 32 << 20
+FEW_IDS = 1_000_000
 #: What ends a sentence, and what is stripped from words.
 ENDS = frozenset(b".!?")
 EDGE = b".!?;:,\"'()[]"
@@ -69,22 +72,21 @@ def units(text: bytes, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(first: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, code, unit after the last). The code is twice the first unit, and
-    one more for the run that closes the text where no other does."""
+    """(hash, first unit, unit after the last) of every run, by first unit; the
+    last may be one that closes the text where no other does."""
     n = len(first)
     bounds = np.concatenate([first, [len(words)]])
     on = np.maximum(np.searchsorted(bounds, first + MIN_WORDS), np.arange(n) + MIN_UNITS)
     start = np.flatnonzero(on <= n)
-    after, code = on[start], 2 * start
+    after = on[start]
     if len(start) and after[-1] < n:
         start, after = np.append(start, start[-1]), np.append(after, n)
-        code = np.append(code, 2 * start[-1] + 1)
     # the hash of a run: sum of word hashes times powers of an odd base, by prefix sums modulo 2**64
     powers, inverse = _powers(len(words))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers, dtype=np.uint64)])
     a, b = bounds[start], bounds[after]
     body = (sums[b] - sums[a]) * inverse[a]
-    return mix64(body + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), code, after
+    return mix64(body + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64), start, after
 
 
 BASE = 0x5851F42D4C957F2D
@@ -118,68 +120,76 @@ def cut(text: bytes, gone: set[int], first: np.ndarray, n_words: int) -> bytes:
     return b"".join(left).lstrip() if 0 in gone else b"".join(left)
 
 
-def few(df: DataFrame, size: int) -> DataFrame:
-    """Broadcast up to FEW_BYTES of counted size."""
-    return F.broadcast(df) if size <= FEW_BYTES else df
-
-
 def all_runs(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(id, at, h): a row a run. ``at`` is the text's CRC (which tells rows that
-    repeat a doc_id apart) above the run's code."""
+    """(id, h array<long>, again boolean): the distinct hashes of a text's runs,
+    and whether any repeats inside the text."""
     def work():
         hashes = WordHashes()
 
         def do(texts, _):
-            h, code = [], []
+            distinct, again = [], []
             for t in texts:
                 first, words = units(t, hashes)
-                x, c, _ = runs(first, words) if len(first) else (words, first, first)
-                h.append(x.view(np.int64))
-                code.append(c)
-            return [h, code]
+                h = runs(first, words)[0] if len(first) else np.zeros(0, np.int64)
+                distinct.append(np.unique(h))
+                again.append(len(distinct[-1]) < len(h))
+            return [distinct, again]
         return do
 
-    body = whole(docs, text, id=F.col(f"`{key}`")).select("id", F.crc32("body").alias("crc"), "body")
-    made = arrow_pass(body, "h array<long>, code array<int>", work, keep=["id", "crc"])
-    made = made.select("id", "crc", F.inline(F.arrays_zip("h", "code")))
-    return made.select("id", (F.shiftleft("crc", 32) + F.col("code")).alias("at"), "h")
-
-
-def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(row, clean string, n_units long, removed array<int>): ``row`` has the
-    caller's columns, ``clean`` the text without later copies, ``removed`` the
-    units that went, from 0."""
-    spans = staged(all_runs(docs, text, key), "runs")
-    often = staged(spans.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "often")
-    again = staged(spans.join(few(often, 8 * often.count()), "h"), "again")
-    place = F.struct("id", "at")
-    first = again.groupBy("h").agg(F.min(place).alias("first"))
-    later = again.join(first, "h").where(~place.eqNullSafe(F.col("first")))
-    # one row a document that loses something, no larger than the document
-    gone = (later.select("id", F.shiftrightunsigned("at", 32).alias("crc"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("code")).distinct()
-            .groupBy("id", "crc").agg(F.collect_list("code").alias("codes")))
-    gone = staged(gone.select(F.col("id").alias("of"), F.col("crc").alias("of_crc"), "codes"), "gone")
-    size = gone.agg(F.sum(F.size("codes") * 4 + 32)).first()[0] or 0
-    body = whole(docs, text, id=F.col(f"`{key}`")).withColumn("crc", F.crc32("body"))
-    both = body.join(few(gone, size), F.col("id").eqNullSafe(F.col("of")) & (F.col("crc") == F.col("of_crc")), "left").select("row", "body", "codes")
-
-    def clean():
+    return arrow_pass(whole(docs, text, id=document(docs, key)).select("id", "body"), "h array<long>, again boolean", work, keep=["id"])
+
+
+def document(docs: DataFrame, key: str) -> Column:
+    """The id, null as the value that sorts first."""
+    least = F.lit("") if docs.schema[key].dataType == T.StringType() else F.lit(-(1 << 63))
+    return F.coalesce(F.col(f"`{key}`"), least)
+
+
+def removals(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """(id, later array<long>): documents that lose something, with the hashes
+    of runs that an earlier document has. No row is larger than its document."""
+    found = staged(all_runs(docs, text, key), "runs")
+    spans = found.select("id", F.explode("h").alias("h"))
+    shared = staged(spans.groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first != last").select("h", "first"), "shared")
+    later = spans.join(shared, "h").where("id != first").select("id", "h")
+    own = found.where("again").select("id", F.lit(None).cast("long").alias("h"))
+    return staged(later.unionByName(own).groupBy("id").agg(F.collect_set("h").alias("later")), "removals")  # nulls are left out
+
+
+def cleaned(text: bytes, later: list[int], hashes: WordHashes) -> tuple[bytes, list[int], int]:
+    """(clean text, removed units, removed words) of one text."""
+    first, words = units(text, hashes)
+    if not len(first):
+        return text, [], 0
+    seen, drop = set(later), set()
+    for h, a, b in zip(*(x.tolist() for x in runs(first, words)), strict=True):
+        if h in seen:
+            drop.update(range(a, b))
+        seen.add(h)
+    bounds = [*first.tolist(), len(words)]
+    return cut(text, drop, first, len(words)), sorted(drop), sum(bounds[u + 1] - bounds[u] for u in drop)
+
+
+def substring_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+    """(row, clean string, removed array<int>, n_words_removed long): ``row`` has
+    the caller's columns (or those in ``carry``), ``clean`` the text without
+    later copies (null: empty), ``removed`` the units that went, from 0."""
+    gone = removals(docs, text, key).withColumnRenamed("id", "of")
+    ids = gone.select("of")
+    if ids.count() <= FEW_IDS:
+        ids = F.broadcast(ids)
+    body = whole(docs, text, carry, id=document(docs, key))
+    none = F.array().cast("array<int>")
+    kept = body.join(ids, F.col("id") == F.col("of"), "left_anti").select(
+        "row", F.col("body").cast("string").alias("clean"), none.alias("removed"), F.lit(0).cast("long").alias("n_words_removed"))
+
+    def work():
         hashes = WordHashes()
 
         def do(texts, rows):
-            clean, removed, n = [], [], []
-            for t, codes in zip(texts, rows.column("codes").to_pylist(), strict=True):
-                first, words = units(t, hashes)
-                drop: set[int] = set()
-                if codes:
-                    _, code, after = runs(first, words)
-                    end = dict(zip(code.tolist(), after.tolist(), strict=True))
-                    for c in codes:
-                        drop.update(range(c // 2, end[c]))
-                clean.append((cut(t, drop, first, len(words)) if drop else t).decode("utf-8", "replace"))
-                removed.append(sorted(drop))
-                n.append(len(first))
-            return [clean, removed, n]
+            out = [cleaned(t, later, hashes) for t, later in zip(texts, rows.column("later").to_pylist(), strict=True)]
+            return [[t.decode("utf-8", "replace") for t, _, _ in out], [r for _, r, _ in out], [n for _, _, n in out]]
         return do
 
-    return arrow_pass(both, "clean string, removed array<int>, n_units long", clean, keep=["row"])
+    touched = body.join(ids, F.col("id") == F.col("of"), "left_semi").join(gone, F.col("id") == F.col("of")).select("row", "body", "later")
+    return kept.unionByName(arrow_pass(touched, "clean string, removed array<int>, n_words_removed long", work, keep=["row"]))

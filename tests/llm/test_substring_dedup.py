@@ -6,7 +6,7 @@ from tests.llm.helpers import UPPER, docs_of, edge_docs, edge_rows, no_docs, pro
 def brute(texts):
     """Units that go, by text: those of a run that occurred before."""
     h, seen, out = WordHashes(), set(), []
-    for t in texts:
+    for t in texts:  # ids rise with the place in the list
         first, words = units((t or "").encode(), h)
         bounds, gone = [*first.tolist(), len(words)], set()
         n, spans = len(first), []
@@ -27,10 +27,11 @@ def test_equals_brute_force(spark):
     passage = prose(900, 70)
     texts = [prose(i, 90) for i in range(5)] + [prose(20, 33) + " " + passage + " " + prose(21, 30), passage, prose(22, 7) + " " + passage.translate(UPPER),
              None, "", passage + " " + passage, prose(0, 90), "a b c. " * 40]
-    got = {r.doc_id: (r.removed, r.n_units) for r in substring_dedup(docs_of(spark, texts)).select("row.doc_id", "removed", "n_units").collect()}
+    got = {r.doc_id: (r.removed, r.clean, r.n_words_removed) for r in substring_dedup(docs_of(spark, texts)).select("row.doc_id", "removed", "clean", "n_words_removed").collect()}
     want = brute(texts)
     assert [got[i][0] for i in range(len(texts))] == want
-    assert not any(want[:6]) and want[6] and want[7] and want[10] and want[11] == list(range(got[11][1]))
+    assert not any(want[:6]) and want[6] and want[7] and want[10] and got[11][1] == ""
+    assert all(len((t or "").split()) - len(got[i][1].split()) == got[i][2] for i, t in enumerate(texts))
 
 
 def test_a_passage_of_over_fifty_words_is_found_wherever_it_starts(spark):
@@ -47,14 +48,15 @@ def test_a_passage_of_over_fifty_words_is_found_wherever_it_starts(spark):
 
 def test_edges(spark):
     docs = edge_docs(spark)
-    out = substring_dedup(docs).select("row.*", "clean", "removed", "n_units").collect()
+    out = substring_dedup(docs).select("row.*", "clean", "removed").collect()
     assert len(out) == len(edge_rows())
     by = {}
     for r in out:
         by.setdefault(r.doc_id, []).append(r)
-    assert by[1][0].clean == "" and by[2][0].clean == "" and by[1][0].n_units == 0
-    assert by[13][0].removed == by[13][1].removed == []  # one occurrence
-    assert by[7][0].removed == list(range(by[7][0].n_units))
+    assert by[1][0].clean == "" and by[2][0].clean == "" and by[4][0].clean == "one"
+    assert by[13][0].removed == by[13][1].removed == []  # one document
+    assert by[None][0].clean + by[None][1].clean == edge_rows()[9][1]  # sorts first
+    assert by[6][0].clean == by[7][0].clean == by[9][0].clean == "" and len(by[8][0].clean.split()) < 30
     assert substring_dedup(no_docs(spark)).count() == 0
 
 
