@@ -128,7 +128,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     # bands of each class, from its first document
     bands = (named.join(classes.withColumnsRenamed({"set_key": "of", "twin": "of_twin"}), (F.col("set_key") == F.col("of")) & (F.col("id") == F.col("node")) & (F.col("twin") == F.col("of_twin")))
              .select("node", "twin", F.explode("bands").alias("band")))
-    heads = bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("band", "head")
+    # staged, so that both sides of the join are exchanges, which a hot bucket can split
+    heads = staged(bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("band", "head"), "heads")
     met = staged(bands.join(heads, "band"), "met")  # the members of every bucket of two or more
     spokes = met.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     times = named.groupBy("id", "twin").agg(F.count("*").alias("times")).withColumnsRenamed({"id": "node"})
