@@ -43,6 +43,22 @@ def q_rollback_check(spark, d):
                              expected_forward=orders, key=ORDER_KEY, table="orders")
 
 
+def q_table_diff_null_shift(spark, d):
+    return td.diff_keyed(fixture(spark, d, "shift_expected"), fixture(spark, d, "shift_actual"), ORDER_KEY)
+
+
+def q_table_diff_null_keys(spark, d):
+    return td.diff_keyed(fixture(spark, d, "nullkey_expected"), fixture(spark, d, "nullkey_actual"), ["k1", "k2"])
+
+
+def q_table_diff_column_set(spark, d):
+    return td.diff_keyed(table(spark, d, "orders"), fixture(spark, d, "orders_other_columns"), ORDER_KEY)
+
+
+def q_table_diff_repeated(spark, d):
+    return td.diff_keyed(fixture(spark, d, "lines_expected"), fixture(spark, d, "lines_actual"), ["l_orderkey"])
+
+
 def q_check_not_null(spark, d):
     return con.check_not_null(fixture(spark, d, "orders_actual"), "orders_actual")
 
@@ -64,8 +80,7 @@ def q_check_unique(spark, d):
 
 
 def q_check_fk(spark, d):
-    parent = table(spark, d, "customer").where(F.col("c_custkey") % 100 != 0)
-    return con.check_fk(fixture(spark, d, "orders_actual"), parent, ["o_custkey"], ["c_custkey"],
+    return con.check_fk(fixture(spark, d, "orders_actual"), fixture(spark, d, "customer_pruned"), ["o_custkey"], ["c_custkey"],
                         "orders_actual_o_custkey_fkey")
 
 
@@ -93,10 +108,12 @@ def q_dup_keys_report(spark, d):
 
 
 def q_lookup_join_dedup(spark, d):
-    facts = table(spark, d, "orders").select("o_orderkey", "o_custkey").withColumn("line_no", F.lit(1))
+    # every order line of the lookup is asked for, and one that it lacks
+    lines = F.explode(F.sequence(F.lit(1), F.lit(8))).alias("line_no")
+    facts = table(spark, d, "orders").select("o_orderkey", "o_custkey", lines)
     lookup = table(spark, d, "lineitem").select(*LI_KEY, *LI_ORDER)
     j = dedup.join_deduplicated(facts, lookup, ["o_orderkey", "line_no"], LI_KEY, LI_ORDER)
-    return j.select("o_orderkey", "o_custkey", "l_partkey", "l_suppkey", "l_quantity")
+    return j.select("o_orderkey", "o_custkey", "line_no", "l_partkey", "l_suppkey", "l_quantity")
 
 
 QUERIES = {
@@ -105,6 +122,10 @@ QUERIES = {
     "table_diff_multiset": q_table_diff_multiset,
     "table_diff_counts": q_table_diff_counts,
     "rollback_check": q_rollback_check,
+    "table_diff_null_shift": q_table_diff_null_shift,
+    "table_diff_null_keys": q_table_diff_null_keys,
+    "table_diff_column_set": q_table_diff_column_set,
+    "table_diff_repeated": q_table_diff_repeated,
     "check_not_null": q_check_not_null,
     "check_length_precision": q_check_length_precision,
     "check_pk": q_check_pk,
@@ -137,7 +158,38 @@ UNION ALL SELECT '{check_id}', '{kind}', CAST(e.o_orderkey AS VARCHAR), f.field,
 KEYED = cte("orders_actual") + _keyed_sql("orders", "orders_actual", ORDER_COLS)
 
 
+_FOUND = f"'C11' AS check_id, 'row' AS object_kind"
+_K12 = "coalesce({t}.k1, '<null>') || '|' || CAST({t}.k2 AS VARCHAR)"
+_SAME12 = "e.k1 IS NOT DISTINCT FROM a.k1 AND e.k2 = a.k2"
+
 ORACLE = {
+    "table_diff_null_shift": cte("shift_expected", "shift_actual") + f"""SELECT {_FOUND}, CAST(e.o_orderkey AS VARCHAR) AS object_key, f.field AS field,
+ 'CHANGED' AS status, f.ev AS expected, f.av AS actual FROM shift_expected e JOIN shift_actual a USING (o_orderkey),
+ LATERAL (VALUES ('a', e.a, a.a), ('b', e.b, a.b)) AS f(field, ev, av) WHERE f.ev IS DISTINCT FROM f.av""",
+    "table_diff_null_keys": cte("nullkey_expected", "nullkey_actual") + f"""SELECT {_FOUND}, {_K12.format(t='e')} AS object_key, {NULLS} AS field,
+ 'MISSING' AS status, {NULLS} AS expected, {NULLS} AS actual FROM nullkey_expected e WHERE NOT EXISTS (SELECT 1 FROM nullkey_actual a WHERE {_SAME12})
+UNION ALL SELECT {_FOUND}, {_K12.format(t='a')}, {NULLS}, 'UNEXPECTED', {NULLS}, {NULLS} FROM nullkey_actual a
+ WHERE NOT EXISTS (SELECT 1 FROM nullkey_expected e WHERE {_SAME12})
+UNION ALL SELECT {_FOUND}, {_K12.format(t='e')}, 'v', 'CHANGED', e.v, a.v FROM nullkey_expected e JOIN nullkey_actual a ON {_SAME12}
+ WHERE e.v IS DISTINCT FROM a.v""",
+    "table_diff_column_set": cte("orders_actual", "orders_other_columns") + _keyed_sql(
+        "orders", "orders_other_columns", [c for c in ORDER_COLS if c != "o_orderpriority"]) + f"""
+UNION ALL SELECT 'C11', 'column', 'o_orderpriority', {NULLS}, 'MISSING', {NULLS}, {NULLS}
+UNION ALL SELECT 'C11', 'column', 'o_priority', {NULLS}, 'UNEXPECTED', {NULLS}, {NULLS}""",
+    "table_diff_repeated": cte("lines_expected", "lines_actual") + f""", u AS (
+ SELECT l_orderkey AS k, l_returnflag AS f, l_linestatus AS s, 1 AS side FROM lines_expected UNION ALL SELECT l_orderkey, l_returnflag, l_linestatus, -1 FROM lines_actual),
+r AS (SELECT k, f, s, sum(side) AS more FROM u GROUP BY ALL),
+n AS (SELECT k, count(*) FILTER (side = 1) AS ne, count(*) FILTER (side = -1) AS na FROM u GROUP BY k),
+odd AS (SELECT n.* FROM n WHERE k IN (SELECT k FROM r WHERE more <> 0)),
+j AS (SELECT *, '{{"l_returnflag":"' || f || '","l_linestatus":"' || s || '"}}' AS txt FROM r JOIN odd USING (k) WHERE more <> 0)
+SELECT {_FOUND}, CAST(k AS VARCHAR) AS object_key, {NULLS} AS field, CASE WHEN na = 0 THEN 'MISSING' ELSE 'UNEXPECTED' END AS status,
+ {NULLS} AS expected, {NULLS} AS actual FROM odd WHERE ne = 0 OR na = 0
+UNION ALL SELECT {_FOUND}, CAST(k AS VARCHAR), '<rows>', 'CHANGED', CAST(ne AS VARCHAR), CAST(na AS VARCHAR) FROM odd WHERE ne > 0 AND na > 0 AND (ne > 1 OR na > 1)
+UNION ALL SELECT {_FOUND}, CAST(k AS VARCHAR), '<row>', 'CHANGED', CASE WHEN more > 0 THEN txt END, CASE WHEN more < 0 THEN txt END FROM j
+ WHERE ne > 0 AND na > 0 AND (ne > 1 OR na > 1)
+UNION ALL SELECT {_FOUND}, CAST(k AS VARCHAR), c.field, 'CHANGED', c.ev, c.av FROM odd JOIN lines_expected e ON e.l_orderkey = k JOIN lines_actual a ON a.l_orderkey = k,
+ LATERAL (VALUES ('l_returnflag', e.l_returnflag, a.l_returnflag), ('l_linestatus', e.l_linestatus, a.l_linestatus)) AS c(field, ev, av)
+ WHERE ne = 1 AND na = 1 AND c.ev IS DISTINCT FROM c.av""",
     "table_diff_keyed": KEYED,
     "table_diff_ignore_cols": cte("orders_actual") + _keyed_sql(
         "orders", "orders_actual", [c for c in ORDER_COLS if c != "o_totalprice"]),
@@ -212,8 +264,9 @@ JOIN used u ON u.column_name = o.column_name WHERE o.table_schema = 'public' AND
     "dedup_distinct": "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem",
     "dup_keys_report": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
  GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-    "lookup_join_dedup": """SELECT o.o_orderkey, o.o_custkey, l.l_partkey, l.l_suppkey, l.l_quantity FROM orders o LEFT JOIN (
+    "lookup_join_dedup": """SELECT o.o_orderkey, o.o_custkey, CAST(n.line_no AS INTEGER) AS line_no, l.l_partkey, l.l_suppkey, l.l_quantity
+ FROM orders o CROSS JOIN range(1, 9) n(line_no) LEFT JOIN (
  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice,
   l_quantity, l_shipdate, l_returnflag, l_linestatus) AS rn FROM lineitem) x WHERE rn = 1) l
- ON o.o_orderkey = l.l_orderkey AND l.l_linenumber = 1""",
+ ON o.o_orderkey = l.l_orderkey AND l.l_linenumber = n.line_no""",
 }
