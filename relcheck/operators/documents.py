@@ -1,36 +1,118 @@
 """Canonical document comparison (C15, C16), re-aimed to rows.
 
-A JSON document becomes (doc_id, path, value) leaf rows: keys joined with
-'.', array positions written as '[]' (lists are order-free), ignored keys
-dropped at any depth, text under the normalised keys whitespace-collapsed,
-values as JSON text. Two document sets are then compared as multisets of
-leaves per document (one aggregation with side counts).
-
-Flattening is one ``variant_explode_outer`` per level (a single Generate
-node each), so the plan stays linear in the depth. Containers still present at
-``max_depth`` are kept whole as one leaf (JSON text), so no content is
-dropped.
+A JSON document becomes (doc_id, path, value) leaf rows. Object members give
+paths joined with '.'; a list is order-free, its elements compared as wholes:
+path '[]' and the element's canonical text (object keys sorted, inner lists
+sorted, ignored keys dropped, text of normalised keys collapsed). Empty objects
+and lists are leaves of their own. A text that is no JSON document is one leaf
+at '$' with the text itself, so it differs from any other. There is no depth
+limit of ours: what the JSON parser cannot nest counts as unparsable.
+
+Two document sets are compared in two steps: the canonical texts of each
+document by hash (one aggregation), then the leaves of the differing ones as
+multisets.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relcheck.functions.text import ASCII_WS
 from relcheck.operators.findings import FINDINGS_COLS
 
+WS = re.compile(r"[ \t\n\r\f\v]+")
+LEAF = "array<struct<path:string,value:string>>"
+
+
+class _Number(str):
+    """A number as it is written."""
+
+
+def _parse(text: str):
+    return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+
+
+def _canonical(v, key: str, drop: frozenset, normal: frozenset) -> str:
+    """One text for equal values. Plain recursion over Python frames."""
+    if isinstance(v, dict):
+        parts = []
+        for k in sorted(v):
+            if k not in drop:
+                parts.append(json.dumps(k, ensure_ascii=False) + ":" + _canonical(v[k], k, drop, normal))
+        return "{" + ",".join(parts) + "}"
+    if isinstance(v, list):
+        parts = []
+        for x in v:
+            parts.append(_canonical(x, key, drop, normal))
+        return "[" + ",".join(sorted(parts)) + "]"
+    if isinstance(v, _Number):
+        return str(v)
+    if isinstance(v, str) and key in normal:
+        v = WS.sub(" ", v).strip(" ")
+    return json.dumps(v, ensure_ascii=False)
+
+
+def _leaves(v, path: str, key: str, drop: frozenset, normal: frozenset, out: list) -> None:
+    if isinstance(v, dict):
+        kept = [k for k in v if k not in drop]
+        for k in kept:
+            _leaves(v[k], f"{path}.{k}", k, drop, normal, out)
+        if not kept:
+            out.append((path, "{}"))
+    elif isinstance(v, list) and v:
+        for x in v:
+            out.append((path + "[]", _canonical(x, key, drop, normal)))
+    else:
+        out.append((path, _canonical(v, key, drop, normal)))
+
+
+def _root(text: str | None, skip: frozenset, only: frozenset):
+    """(parsed root with the wanted sections, None) or (None, raw text)."""
+    try:
+        root = _parse(text)
+    except (ValueError, RecursionError, TypeError):
+        return None, "<null>" if text is None else text
+    if isinstance(root, dict):
+        root = {k: x for k, x in root.items() if k not in skip and (not only or k in only)}
+    return root, None
+
+
+def _column(doc: Column, make, schema: str, ignore_keys, ignore_sections, include_root_keys, normalize_keys) -> Column:
+    drop, skip, only, normal = (frozenset(x) for x in (ignore_keys, ignore_sections, include_root_keys, normalize_keys))
 
-def _as_map(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "map<string,variant>")
+    @F.pandas_udf(schema)
+    def run(docs: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 100_000))
+        for batch in docs:
+            yield pd.Series([make(*_root(t if isinstance(t, str) else None, skip, only), drop, normal) for t in batch], dtype=object)
+    return run(doc)
+
+
+def _leaf_list(root, raw, drop, normal) -> list[dict]:
+    out: list = []
+    if raw is not None:
+        out.append(("$", raw))
+    else:
+        _leaves(root, "$", "", drop, normal, out)
+    return [{"path": p, "value": v} for p, v in out]
+
+
+def _text(root, raw, drop, normal) -> str:
+    return "?" + raw if raw is not None else "=" + _canonical(root, "", drop, normal)
 
 
 def root_keys(docs: DataFrame, id_col: str, doc_col: str, include: list[str] | None = None,
               ignore: list[str] | None = None) -> DataFrame:
     """Root sections kept: the ignore list first, then the include list
     (if not empty)."""
-    k = docs.select(F.col(id_col).alias("doc_id"),
-                    F.explode(F.map_keys(_as_map(F.try_parse_json(doc_col)))).alias("root_key"))
+    sections = F.try_variant_get(F.try_parse_json(doc_col), "$", "map<string,variant>")
+    k = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.map_keys(sections)).alias("root_key"))
     if ignore:
         k = k.where(~F.col("root_key").isin(list(ignore)))
     if include:
@@ -38,59 +120,41 @@ def root_keys(docs: DataFrame, id_col: str, doc_col: str, include: list[str] | N
     return k
 
 
-def _in_list(col: str, values: list[str]) -> str:
-    return f"{col} IN (" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
-
-
 def leaves(docs: DataFrame, id_col: str, doc_col: str, ignore_keys=(), ignore_sections=(),
-           include_root_keys=(), normalize_keys=(), max_depth: int = 12) -> DataFrame:
-    """C15 (+S14): canonical leaves of each document.
-
-    One ``LATERAL variant_explode_outer`` per level: a container yields its
-    members, anything else (a leaf, or a row already finished) yields one
-    null row and is carried through unchanged."""
-    spark = docs.sparkSession
-    lvl = docs.select(F.col(id_col).alias("doc_id"), F.lit("$").alias("path"),
-                      F.lit(None).cast("string").alias("key"), F.try_parse_json(doc_col).alias("v"),
-                      F.lit(False).alias("done"))
-    for depth in range(max_depth):
-        conds = []
-        if ignore_keys:
-            conds.append("NOT " + _in_list("e.key", list(ignore_keys)))
-        if depth == 0 and ignore_sections:
-            conds.append("NOT " + _in_list("e.key", list(ignore_sections)))
-        if depth == 0 and include_root_keys:
-            conds.append(_in_list("e.key", list(include_root_keys)))
-        where = ("WHERE e.pos IS NULL OR e.key IS NULL OR (" + " AND ".join(conds) + ")") if conds else ""
-        lvl = spark.sql(f"""SELECT l.doc_id,
-            CASE WHEN e.pos IS NULL THEN l.path WHEN e.key IS NULL THEN l.path || '[]'
-                 ELSE l.path || '.' || e.key END AS path,
-            CASE WHEN e.pos IS NULL THEN l.key ELSE e.key END AS key,
-            CASE WHEN e.pos IS NULL THEN l.v ELSE e.value END AS v,
-            e.pos IS NULL AS done
-          FROM {{lvl}} l, LATERAL variant_explode_outer(CASE WHEN l.done THEN NULL ELSE l.v END) e
-          {where}""", lvl=lvl)
-    text = F.try_variant_get(F.col("v"), "$", "string")
-    norm = F.trim(F.regexp_replace(text, ASCII_WS, " "))
-    value = F.to_json(F.col("v"))
-    if normalize_keys:
-        is_norm = F.col("key").isin(list(normalize_keys)) & (F.schema_of_variant(F.col("v")) == "STRING")
-        value = F.when(is_norm, F.to_json(norm.cast("variant"))).otherwise(value)
-    out = lvl.select("doc_id", "path", value.alias("value"))
-    # an empty object or array has no leaves
-    return out.where(F.col("value").isNotNull() & ~F.col("value").isin("{}", "[]"))
+           include_root_keys=(), normalize_keys=()) -> DataFrame:
+    """C15 (+S14): canonical leaves of each document, at any depth."""
+    found = _column(F.col(doc_col), _leaf_list, LEAF, ignore_keys, ignore_sections, include_root_keys, normalize_keys)
+    return docs.select(F.col(id_col).alias("doc_id"), F.explode(found).alias("l")).select("doc_id", "l.path", "l.value")
 
 
 def leaf_diff(expected: DataFrame, actual: DataFrame, check_id: str = "C15") -> DataFrame:
     """Per document, leaves whose multiplicity differs: MISSING (more in
     expected) or UNEXPECTED (more in actual)."""
-    u = expected.select("doc_id", "path", "value", F.lit(1).alias("_e"), F.lit(0).alias("_a")) \
-        .unionByName(actual.select("doc_id", "path", "value", F.lit(0).alias("_e"), F.lit(1).alias("_a")))
-    g = u.groupBy("doc_id", "path", "value").agg(F.sum("_e").alias("_ne"), F.sum("_a").alias("_na")) \
-        .where(F.col("_ne") != F.col("_na"))
-    miss = F.col("_ne") > F.col("_na")
+    u = expected.select("doc_id", "path", "value", F.lit(1).alias("_side")) \
+        .unionByName(actual.select("doc_id", "path", "value", F.lit(-1).alias("_side")))
+    g = u.groupBy("doc_id", "path", "value").agg(F.sum("_side").alias("_more")).where("_more != 0")
+    miss = F.col("_more") > 0
     return g.select(F.lit(check_id).alias("check_id"), F.lit("document").alias("object_kind"),
                     F.col("doc_id").cast("string").alias("object_key"), F.col("path").alias("field"),
                     F.when(miss, F.lit("MISSING")).otherwise(F.lit("UNEXPECTED")).alias("status"),
                     F.when(miss, F.col("value")).alias("expected"),
                     F.when(~miss, F.col("value")).alias("actual")).select(*FINDINGS_COLS)
+
+
+def document_diff(expected: DataFrame, actual: DataFrame, id_col: str, doc_col: str, check_id: str = "C15", **rules) -> DataFrame:
+    """``leaf_diff`` of the documents whose canonical texts differ: the texts
+    of all documents are hashed and compared first, so equal documents are
+    never flattened and no text of theirs is shuffled."""
+    rest = {k: rules.get(k, ()) for k in ("ignore_keys", "ignore_sections", "include_root_keys", "normalize_keys")}
+
+    def hashed(df: DataFrame, side: int) -> DataFrame:
+        text = _column(F.col(doc_col), _text, "string", **rest)
+        return df.select(F.col(id_col).alias("_id"), F.sha2(text, 256).alias("_h"), F.lit(side).alias("_side"))
+
+    per_text = hashed(expected, 1).unionByName(hashed(actual, -1)).groupBy("_id", "_h").agg(F.sum("_side").alias("_more"))
+    odd = per_text.where("_more != 0").select("_id").distinct()
+
+    def flat(df: DataFrame) -> DataFrame:
+        return leaves(df.join(odd, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi"), id_col, doc_col, **rest)
+
+    return leaf_diff(flat(expected), flat(actual), check_id)

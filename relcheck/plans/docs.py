@@ -13,13 +13,29 @@ NORMALIZE_KEYS = ["definitionX"]
 INCLUDE_ROOT = ["tables", "props", "databaseInfo", "views"]
 
 
-def _leaves(spark, d, name):
-    return doc.leaves(fixture(spark, d, name), "doc_id", "doc", IGNORE_KEYS, IGNORE_SECTIONS, (),
-                      NORMALIZE_KEYS)
+def _diff(spark, d, expected, actual):
+    return doc.document_diff(fixture(spark, d, expected), fixture(spark, d, actual), "doc_id", "doc", ignore_keys=IGNORE_KEYS,
+                             ignore_sections=IGNORE_SECTIONS, normalize_keys=NORMALIZE_KEYS)
 
 
 def q_json_canonical_diff(spark, d):
-    return doc.leaf_diff(_leaves(spark, d, "json_docs"), _leaves(spark, d, "json_docs_dev"))
+    return _diff(spark, d, "json_docs", "json_docs_dev")
+
+
+def q_json_element_pairing(spark, d):
+    return _diff(spark, d, "json_pairs", "json_pairs_dev")
+
+
+def q_json_empty_containers(spark, d):
+    return _diff(spark, d, "json_empty", "json_empty_dev")
+
+
+def q_json_unparsable(spark, d):
+    return _diff(spark, d, "json_broken", "json_broken_dev")
+
+
+def q_json_deep(spark, d):
+    return _diff(spark, d, "json_deep", "json_deep_dev")
 
 
 def q_json_root_filter(spark, d):
@@ -29,6 +45,10 @@ def q_json_root_filter(spark, d):
 QUERIES = {
     "json_canonical_diff": q_json_canonical_diff,
     "json_root_filter": q_json_root_filter,
+    "json_element_pairing": q_json_element_pairing,
+    "json_empty_containers": q_json_empty_containers,
+    "json_unparsable": q_json_unparsable,
+    "json_deep": q_json_deep,
 }
 
 LEAVES = """SELECT d.doc_id, regexp_replace(j.fullkey, '\\[[0-9]+\\]', '[]', 'g') AS path,
@@ -39,7 +59,31 @@ FROM {t} d, json_tree(d.doc) j
 WHERE j.type NOT IN ('OBJECT', 'ARRAY') AND NOT regexp_matches(j.fullkey, '\\.(remarks)(\\.|\\[|$)')
   AND regexp_extract(j.fullkey, '^\\$\\.([^.\\[]+)', 1) NOT IN ('databaseInfo')"""
 
+# The hard cases are told from the values the documents were made of, not
+# from their JSON.
+_DOC = "'C15' AS check_id, 'document' AS object_kind, CAST(event_id AS VARCHAR) AS object_key"
+_PAIR = """'{{"a":' || {a} || ',"b":' || {b} || '}}'"""
+_A, _B = "(event_id % 7)", "(event_id % 5)"
+
+
+def _one(status, field, value, where):
+    e, a = (value, "CAST(NULL AS VARCHAR)") if status == "MISSING" else ("CAST(NULL AS VARCHAR)", value)
+    return f"SELECT {_DOC}, {field} AS field, '{status}' AS status, {e} AS expected, {a} AS actual FROM events WHERE {where}"
+
+
 ORACLE = {
+    "json_element_pairing": " UNION ALL ".join([
+        _one("MISSING", "'$.m[]'", _PAIR.format(a=_A, b=_B), "event_id % 3 = 0"),
+        _one("MISSING", "'$.m[]'", _PAIR.format(a="(" + _A + " + 10)", b="(" + _B + " + 10)"), "event_id % 3 = 0"),
+        _one("UNEXPECTED", "'$.m[]'", _PAIR.format(a=_A, b="(" + _B + " + 10)"), "event_id % 3 = 0"),
+        _one("UNEXPECTED", "'$.m[]'", _PAIR.format(a="(" + _A + " + 10)", b=_B), "event_id % 3 = 0")]),
+    "json_empty_containers": " UNION ALL ".join([
+        _one("MISSING", "'$.x'", "'{}'", "event_id % 2 = 0"), _one("MISSING", "'$.y'", "'[]'", "event_id % 2 = 0")]),
+    "json_unparsable": " UNION ALL ".join([
+        _one("MISSING", "'$'", "'{bad' || event_id", "event_id % 10 = 0"), _one("UNEXPECTED", "'$'", "'{worse' || event_id", "event_id % 10 = 0")]),
+    "json_deep": " UNION ALL ".join([
+        _one("MISSING", "'$' || repeat('.a', 20) || '[]'", "'1'", "event_id % 13 = 0"),
+        _one("UNEXPECTED", "'$' || repeat('.a', 20) || '[]'", "'9'", "event_id % 13 = 0")]),
     "json_canonical_diff": cte("json_docs", "json_docs_dev") + f""", le AS ({LEAVES.format(t='json_docs')}),
 la AS ({LEAVES.format(t='json_docs_dev')}),
 u AS (SELECT doc_id, path, value, 1 AS e, 0 AS a FROM le UNION ALL SELECT doc_id, path, value, 0, 1 FROM la),

@@ -10,14 +10,28 @@ def test_canonical_leaves_ignore_order_and_keys(spark):
     lb = doc.leaves(b, "doc_id", "doc", ["remarks"], ["info"], (), ["d"])
     assert doc.leaf_diff(la, lb).count() == 0
     paths = sorted(r.path for r in la.collect())
-    assert paths == ["$.d", "$.t[].n", "$.t[].n"]
+    assert paths == ["$.d", "$.t[]", "$.t[]"]
 
 
-def test_deep_document_kept_whole(spark):
-    deep = '{"a":' * 5 + '1' + '}' * 5
-    df = spark.createDataFrame([(1, deep)], "doc_id long, doc string")
-    r = doc.leaves(df, "doc_id", "doc", max_depth=3).collect()
-    assert len(r) == 1 and r[0].path == "$.a.a.a" and r[0].value == '{"a":{"a":1}}'
+def test_rules_hold_at_any_depth(spark):
+    deep = ['{"a":' * 400 + f'{{"remarks":"{x}","l":[{y}]}}' + '}' * 400 for x, y in (("x", "1,2"), ("y", "2,1"), ("x", "1,3"))]
+    df = spark.createDataFrame([(1, t) for t in deep], "doc_id long, doc string")
+    one = [doc.leaves(df.where(df.doc == t), "doc_id", "doc", ["remarks"]) for t in deep]
+    assert doc.leaf_diff(one[0], one[1]).count() == 0 and doc.leaf_diff(one[0], one[2]).count() == 2
+
+
+def test_elements_are_wholes_and_nothing_vanishes(spark):
+    def diff(x, y, **rules):
+        e, a = (spark.createDataFrame([(1, t)], "doc_id long, doc string") for t in (x, y))
+        return sorted((r.status, r.field, r.expected or r.actual) for r in doc.document_diff(e, a, "doc_id", "doc", **rules).collect())
+
+    assert len(diff('[{"a":1,"b":2},{"a":3,"b":4}]', '[{"a":1,"b":4},{"a":3,"b":2}]')) == 4
+    assert diff('[{"a":1,"b":[2,1]},3]', '[3,{"b":[1,2],"a":1}]') == []
+    assert diff('{"x":{}}', "{}") == [("MISSING", "$.x", "{}"), ("UNEXPECTED", "$", "{}")]
+    assert diff("{bad", "{worse") == [("MISSING", "$", "{bad"), ("UNEXPECTED", "$", "{worse")]
+    assert diff(None, "null") == [("MISSING", "$", "<null>"), ("UNEXPECTED", "$", "null")]
+    assert diff('{"n":1.0}', '{"n":1}') == [("MISSING", "$.n", "1.0"), ("UNEXPECTED", "$.n", "1")]
+    assert diff('{"d":"a  b"}', '{"d":"a b "}', normalize_keys=["d"]) == []
 
 
 def test_root_filter(spark):
