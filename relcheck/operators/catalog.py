@@ -19,7 +19,6 @@ SYSTEM_SCHEMAS = ["information_schema", "pg_catalog"]
 
 # Catalog code -> label (function kinds, user-defined type kinds).
 FUNCTION_KINDS = {"f": "function", "p": "procedure", "a": "aggregate", "w": "window"}
-TYPE_KINDS = {"b": "base", "c": "composite", "d": "domain", "e": "enum", "p": "pseudo", "r": "range"}
 
 
 def ordered_list(value: Column, order: Column) -> Column:
@@ -31,7 +30,7 @@ def ordered_list(value: Column, order: Column) -> Column:
 def discover_tables(catalog: DataFrame, include_schemas: list[str] | None = None,
                     exclude_schemas: list[str] | None = None, name_like: str | None = None,
                     schema_col="table_schema", table_col="table_name") -> DataFrame:
-    """Base tables by schema include/exclude lists and LIKE."""
+    """Base tables by schema include/exclude lists and LIKE."""
     df = catalog.select(schema_col, table_col).distinct() \
         .where(~F.col(schema_col).isin(SYSTEM_SCHEMAS + list(exclude_schemas or [])))
     if include_schemas:
@@ -41,6 +40,12 @@ def discover_tables(catalog: DataFrame, include_schemas: list[str] | None = None
     return df
 
 
+def listed(df: DataFrame, *cols: str) -> DataFrame:
+    """A listing in catalog order (schema, name, position): the only
+    global sort, for final output."""
+    return df.orderBy(*cols)
+
+
 def explicit_targets(tables: DataFrame, targets: DataFrame, default_schema: str,
                      target_col="target", schema_col="table_schema", table_col="table_name") -> DataFrame:
     """B2: ``schema.table`` targets (bare name -> default schema) override
@@ -86,6 +91,16 @@ def privileges(grants: DataFrame) -> DataFrame:
                          F.lower(flag.cast("string")).alias("is_grantable_text"))
 
 
+def key_usage(constraints: DataFrame, key_columns: DataFrame, ref_columns: DataFrame) -> DataFrame:
+    """B8/B9 assembly: constraint x its key columns, and for a foreign key the
+    referenced column of the same position (left join, so a PK or UNIQUE column
+    has none). One row a constraint column; a constraint without columns has one
+    row with null column."""
+    c = ["table_schema", "table_name", "constraint_name"]
+    return constraints.join(key_columns, c, "left").join(ref_columns, [*c, "pos"], "left").select(
+        *c, "constraint_type", "column_name", "pos", "ref_table", "ref_column")
+
+
 def keys(key_usage: DataFrame, types=("PRIMARY KEY", "UNIQUE")) -> DataFrame:
     """One row per PK/UNIQUE constraint with its ordered columns."""
     return key_usage.where(F.col("constraint_type").isin(list(types))) \
@@ -117,28 +132,18 @@ def tables_nested(columns: DataFrame, key_usage: DataFrame) -> DataFrame:
     return cols.join(cons, t, "left")
 
 
-def views_nested(views: DataFrame, columns: DataFrame) -> DataFrame:
-    """Views left-joined to their columns (a view over table tN exposes
-    tN's columns), nested in order."""
-    vc = columns.select(F.col("table_schema").alias("view_schema"),
-                        F.concat(F.lit("v"), F.substring("table_name", 2, 1 << 20)).alias("view_name"),
-                        "column_name", "ordinal_position")
-    agg = vc.groupBy("view_schema", "view_name").agg(
+def views_nested(views: DataFrame, view_columns: DataFrame) -> DataFrame:
+    """Views left-joined to their own columns, nested in order."""
+    agg = view_columns.groupBy("view_schema", "view_name").agg(
         ordered_list(F.col("column_name"), F.col("ordinal_position")).alias("columns"))
     return views.select("view_schema", "view_name").join(agg, ["view_schema", "view_name"], "left")
 
 
-def constraint_details(key_usage: DataFrame) -> DataFrame:
-    """Constraint x key column x referenced side, with rules."""
-    cons = key_usage.select("table_schema", "table_name", "constraint_name", "constraint_type").distinct()
-    cols = key_usage.select("table_schema", "table_name", "constraint_name", "column_name", "pos",
-                            "ref_table", "ref_column")
-    d = cons.join(cols, ["table_schema", "table_name", "constraint_name"], "left")
-    is_fk = F.col("constraint_type") == "FOREIGN KEY"
-    return d.select("table_schema", "table_name", "constraint_name", "constraint_type", "column_name", "pos",
-                    "ref_table", "ref_column",
-                    F.when(is_fk, F.lit("NO ACTION")).alias("update_rule"),
-                    F.when(is_fk, F.lit("NO ACTION")).alias("delete_rule"))
+def constraint_details(constraints: DataFrame, key_columns: DataFrame, ref_columns: DataFrame, ref_rules: DataFrame) -> DataFrame:
+    """Constraint x key column x referenced side x update/delete rule, left
+    joins all the way: what a constraint lacks is null."""
+    used = key_usage(constraints, key_columns, ref_columns)
+    return used.join(ref_rules, ["table_schema", "table_name", "constraint_name"], "left")
 
 
 def sequence_owners(sequences: DataFrame, owners: DataFrame) -> DataFrame:
@@ -156,14 +161,21 @@ def role_members(links: DataFrame, roles: DataFrame) -> DataFrame:
     return links.join(r1, "roleid").join(r2, "member").select("role", F.col("member_name").alias("member"))
 
 
-def table_owners(grants: DataFrame) -> DataFrame:
-    """Owner per table (lowest grantee stands in for the owner role)."""
-    return grants.groupBy("table_name").agg(F.min("grantee").alias("owner"))
+#: Relation kinds that are tables.
+TABLE_RELKINDS = ["r", "p"]
+
+
+def table_owners(classes: DataFrame, namespaces: DataFrame, roles: DataFrame) -> DataFrame:
+    """Owner of each table: object x schema x role, tables only."""
+    n = namespaces.select(F.col("oid").alias("relnamespace"), F.col("nspname").alias("table_schema"))
+    r = roles.select(F.col("oid").alias("relowner"), F.col("rolname").alias("owner"))
+    return classes.where(F.col("relkind").isin(TABLE_RELKINDS)).join(n, "relnamespace").join(r, "relowner") \
+        .select("table_schema", F.col("relname").alias("table_name"), "owner")
 
 
 def triggers(trigger_rows: DataFrame) -> DataFrame:
-    """One record per (table, trigger) with sorted distinct events."""
-    return trigger_rows.groupBy("table_name", "trigger_name").agg(
+    """One record per (schema, table, trigger) with sorted distinct events."""
+    return trigger_rows.groupBy("table_schema", "table_name", "trigger_name").agg(
         F.min("action_timing").alias("action_timing"),
         F.sort_array(F.collect_set("event_manipulation")).alias("events"))
 

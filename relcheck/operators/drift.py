@@ -58,110 +58,60 @@ def drift_set(expected: DataFrame, actual: DataFrame, key: list[str], kind: str,
     return out.unionByName(skip_if_empty(expected, check_id, kind)) if skip_when_empty else out
 
 
-def drift_attributes(expected: DataFrame, actual: DataFrame, key: list[str],
-                     attrs: dict[str, str], kind: str, check_id: str,
-                     mode: str = "strict", policy: str = "equal",
-                     parent_key: list[str] | None = None) -> DataFrame:
-    """C2-style: objects keyed by ``key`` with typed attributes
-    (name -> 'string'|'number'|'boolean').
-
-    MISSING / UNEXPECTED objects per ``policy``; CHANGED one row per
-    differing attribute (values as text, original values shown). With
-    ``parent_key`` (e.g. the table of a column) an object whose parent is
-    missing from actual is not reported (the parent finding covers it).
-    """
-    names = list(attrs)
-
-    def side(df, tag):
-        return df.select(*key, F.struct(*[F.col(c) for c in names]).alias(f"_{tag}"),
-                         F.lit(True).alias(f"_in_{tag}"))
-
-    j = side(expected, "e").join(side(actual, "a"), key, "full_outer")
-
-    def cmp(c):
-        ev, av = F.col(f"_e.{c}"), F.col(f"_a.{c}")
-        if mode == "lenient":
-            ev, av = lenient(ev, attrs[c]), lenient(av, attrs[c])
-        return ~ev.eqNullSafe(av)
-
-    cells = F.filter(F.array(*[
-        F.when(cmp(c), F.struct(F.lit(c).alias("field"), F.col(f"_e.{c}").cast("string").alias("expected"),
-                                F.col(f"_a.{c}").cast("string").alias("actual")))
-        for c in names]), lambda x: x.isNotNull())
-    k = _key_text(key)
-    missing = j.where(F.col("_in_a").isNull()).select(*key, *_rows("MISSING", check_id, kind, k))
-    unexpected = j.where(F.col("_in_e").isNull()).select(*key, *_rows("UNEXPECTED", check_id, kind, k))
-    changed = j.where(F.col("_in_e") & F.col("_in_a")).select(*key, k.alias("_k"), F.explode(cells).alias("_c")) \
-        .select(*key, *_rows("CHANGED", check_id, kind, F.col("_k"), F.col("_c.field"),
-                            F.col("_c.expected"), F.col("_c.actual")))
-    out = missing.unionByName(changed)
-    if policy == "equal":
-        out = out.unionByName(unexpected)
-    if parent_key:
-        parents = actual.select(*parent_key).distinct()
-        out = out.join(parents, parent_key, "left_semi")
-    return out.select(*FINDINGS_COLS)
-
-
 def drift_columns(expected: DataFrame, actual: DataFrame, attrs: dict[str, str],
                   mode: str = "strict", policy: str = "equal", check_id: str = "C2",
                   table_key=("table_schema", "table_name"), column="column_name",
                   report_extra_tables: bool = False) -> DataFrame:
     """Missing tables, then per existing table missing /
-    unexpected columns and attribute mismatches. Tables that exist only in
-    actual are not reported (the reference's default); with
-    ``report_extra_tables`` they are, as UNEXPECTED tables.
-
-    Plan: each side is aggregated once per table into a map column -> attrs
-    (one shuffle per side, partial aggregation first), the two per-table
-    rows are joined (already co-partitioned by table, no further shuffle)
-    and all findings of a table are produced in one pass with map
-    functions and a single explode. A table's map is bounded by the
-    database's column limit (e.g. 1,600 in PostgreSQL), so no group is
-    unbounded."""
+    unexpected columns and attribute mismatches (name -> 'string', 'number' or
+    'boolean'). Tables that exist only in actual are not reported (the
+    reference's default); with ``report_extra_tables`` they are, as UNEXPECTED
+    tables. A column that a side lists more than once is CHANGED with field
+    ``<listed>`` and both counts; its first row by value is compared.
+
+    Plan: both sides tagged, unioned and shuffled once by table; columns and
+    tables are aggregated from that one shuffle and joined without another, in
+    plain aggregates over scalar columns (no maps, no collected lists)."""
     tk, names = list(table_key), list(attrs)
+    key = [*tk, column]
+
+    def side(df: DataFrame, tag: str, other: str) -> DataFrame:
+        row = F.struct(*[F.col(c) for c in names])
+        return df.select(*key, row.alias(f"_{tag}"), F.lit(None).cast(df.select(row.alias("r")).schema["r"].dataType).alias(f"_{other}"))
+
+    rows = side(expected, "e", "a").unionByName(side(actual, "a", "e")).repartition(*tk)
+    cols = rows.groupBy(*key).agg(F.count("_e").alias("_n_e"), F.count("_a").alias("_n_a"), F.min("_e").alias("_e"), F.min("_a").alias("_a"))
+    tables = rows.groupBy(*tk).agg((F.count("_e") > 0).alias("_in_e"), (F.count("_a") > 0).alias("_in_a"))
+    tables = tables.select(*[F.col(c).alias(f"_t_{c}") for c in tk], "_in_e", "_in_a")
+    same = F.lit(True)
+    for c in tk:
+        same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    placed = cols.join(tables, same).where("_in_e and _in_a")
+
+    def differs(c: str) -> Column:
+        x, y = F.col(f"_e.{c}"), F.col(f"_a.{c}")
+        if mode == "lenient":
+            x, y = lenient(x, attrs[c]), lenient(y, attrs[c])
+        return ~x.eqNullSafe(y)
 
-    def per_table(df: DataFrame, tag: str) -> DataFrame:
-        # rows are shuffled on the table key before collecting (collecting
-        # does not shrink data, so partial aggregation would only add work)
-        return df.repartition(*tk).groupBy(*tk).agg(F.map_from_entries(F.collect_list(
-            F.struct(F.col(column), F.struct(*[F.col(c) for c in names])))).alias(f"_m_{tag}"))
-
-    j = per_table(expected, "e").join(per_table(actual, "a"), tk, "full_outer")
-    me, ma = F.col("_m_e"), F.col("_m_a")
-    tkey = _key_text(tk)
     none = F.lit(None).cast("string")
 
-    def f(kind, key, field, status, exp, act):
-        return F.struct(F.lit(kind).alias("object_kind"), key.alias("object_key"), field.alias("field"),
-                        F.lit(status).alias("status"), exp.alias("expected"), act.alias("actual"))
+    def found(field, status, exp, act) -> Column:
+        return F.struct(field.alias("field"), F.lit(status).alias("status"), exp.alias("expected"), act.alias("actual"))
 
-    def col_key(k):
-        return F.concat(tkey, F.lit("."), k)
-
-    def differs(a, b, kind):
-        if mode == "lenient":
-            a, b = lenient(a, kind), lenient(b, kind)
-        return ~a.eqNullSafe(b)
-
-    ke, ka = F.map_keys(me), F.map_keys(ma)
-    missing = F.transform(F.array_except(ke, ka), lambda k: f("column", col_key(k), none, "MISSING", none, none))
-    unexpected = F.transform(F.array_except(ka, ke), lambda k: f("column", col_key(k), none, "UNEXPECTED",
-                                                                  none, none))
-    changed = F.flatten(F.transform(F.array_intersect(ke, ka), lambda k: F.filter(F.array(*[
-        F.when(differs(F.element_at(me, k)[c], F.element_at(ma, k)[c], attrs[c]),
-               f("column", col_key(k), F.lit(c), "CHANGED", F.element_at(me, k)[c].cast("string"),
-                 F.element_at(ma, k)[c].cast("string")))
-        for c in names]), lambda x: x.isNotNull())))
-    empty = F.array().cast("array<struct<object_kind:string,object_key:string,field:string,status:string,"
-                           "expected:string,actual:string>>")
-    table_missing = F.array(f("table", tkey, none, "MISSING", none, none))
-    both = F.concat(missing, changed, unexpected) if policy == "equal" else F.concat(missing, changed)
-    only_actual = F.array(f("table", tkey, none, "UNEXPECTED", none, none)) if report_extra_tables else empty
-    items = F.when(ma.isNull(), table_missing).when(me.isNull(), only_actual).otherwise(both)
-    return j.select(F.explode(items).alias("x")).select(
-        F.lit(check_id).alias("check_id"), "x.object_kind", "x.object_key", "x.field", "x.status",
-        "x.expected", "x.actual")
+    both = (F.col("_n_e") > 0) & (F.col("_n_a") > 0)
+    items = [F.when(F.col("_n_a") == 0, found(none, "MISSING", none, none)),
+             F.when((F.col("_n_e") > 1) | (F.col("_n_a") > 1), found(F.lit("<listed>"), "CHANGED", F.col("_n_e").cast("string"), F.col("_n_a").cast("string")))]
+    if policy == "equal":
+        items.append(F.when(F.col("_n_e") == 0, found(none, "UNEXPECTED", none, none)))
+    items += [F.when(both & differs(c), found(F.lit(c), "CHANGED", F.col(f"_e.{c}").cast("string"), F.col(f"_a.{c}").cast("string"))) for c in names]
+    of_columns = placed.select(_key_text(key).alias("_k"), F.explode(F.array_compact(F.array(*items))).alias("x")).select(
+        F.lit(check_id).alias("check_id"), F.lit("column").alias("object_kind"), F.col("_k").alias("object_key"), "x.*")
+    status = F.when(~F.col("_in_a"), F.lit("MISSING"))
+    if report_extra_tables:
+        status = status.when(~F.col("_in_e"), F.lit("UNEXPECTED"))
+    of_tables = tables.select(*_rows(status, check_id, "table", _key_text([f"_t_{c}" for c in tk]))).where(F.col("status").isNotNull())
+    return of_tables.unionByName(of_columns).select(*FINDINGS_COLS)
 
 
 def ignore_tables(df: DataFrame, globs: list[str], schema_col="table_schema",
@@ -181,6 +131,13 @@ def ignore_columns(df: DataFrame, per_table: dict[str, list[str]], table_col="ta
     return df.where(~cond)
 
 
+def ignore_privileges(df: DataFrame, grantees=(), privileges=(), grantee_col="grantee", privilege_col="privilege_type") -> DataFrame:
+    """Drop grants of ignored grantees and ignored privilege kinds (config
+    lists, applied to both sides)."""
+    ignored = F.col(grantee_col).isin(list(grantees)) | F.col(privilege_col).isin(list(privileges))
+    return df.where(~F.coalesce(ignored, F.lit(False)))
+
+
 def definitions_drift(expected: DataFrame, actual: DataFrame, key: list[str], value_col: str,
                       kind: str, check_id: str) -> DataFrame:
     """MISSING and CHANGED by a normalised text or hash column; extra

@@ -9,27 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FINDINGS_COLS = ["check_id", "object_kind", "object_key", "field", "status", "expected", "actual"]
 FAIL_STATUSES = ["MISSING", "UNEXPECTED", "CHANGED", "VIOLATION"]
 
 
-def finding(check_id: str, object_kind: str, object_key: Column, field, status,
-            expected=None, actual=None) -> list[Column]:
-    def lit_or(c):
-        if c is None:
-            return F.lit(None).cast("string")
-        if isinstance(c, str):
-            return F.lit(c)
-        return c.cast("string")
-    return [F.lit(check_id).alias("check_id"), F.lit(object_kind).alias("object_kind"),
-            object_key.cast("string").alias("object_key"), lit_or(field).alias("field"),
-            lit_or(status).alias("status"), lit_or(expected).alias("expected"),
-            lit_or(actual).alias("actual")]
-
-
 def union_findings(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [f.select(*FINDINGS_COLS) for f in frames])
 
@@ -39,6 +25,15 @@ def summary(findings: DataFrame) -> DataFrame:
     return findings.groupBy("check_id", "status").agg(F.count(F.lit(1)).alias("n_findings"))
 
 
+def outcome(findings: DataFrame) -> DataFrame:
+    """Per check: passed, failed and skipped findings, and all of them."""
+    return findings.groupBy("check_id").agg(
+        F.count_if(F.col("status") == "PASS").alias("n_passed"),
+        F.count_if(F.col("status").isin(FAIL_STATUSES)).alias("n_failed"),
+        F.count_if(F.col("status") == "SKIP").alias("n_skipped"),
+        F.count(F.lit(1)).alias("n_findings"))
+
+
 def verdict(findings: DataFrame) -> DataFrame:
     """Per check: failing findings, failing objects, and the verdict
     (any failure -> FAILED)."""

@@ -15,6 +15,8 @@ from relcheck.sources.fixtures import cte, fixture
 T = ["table_schema", "table_name"]
 COL_ATTRS = {"ordinal_position": "number", "data_type": "string", "is_nullable": "string",
              "num_precision": "number", "num_scale": "number"}
+IGNORE_GRANTEES = ["role_P"]
+IGNORE_PRIVILEGES = ["1-URGENT"]
 IGNORE_GLOBS = ["db1.*", "db?.t1*"]
 IGNORE_COLUMNS = {"t100": ["c1", "c2"]}
 IGNORE_ATTRS = ["num_precision"]
@@ -62,10 +64,18 @@ def q_privileges(spark, d):
     return cat.privileges(fx(spark, d, "cat_grants"))
 
 
+def _usage_parts(spark, d, dev: bool = False):
+    return [fx(spark, d, n + ("_dev" if dev else "")) for n in ("cat_constraints", "cat_key_columns", "cat_ref_columns")]
+
+
+def _usage(spark, d, dev: bool = False):
+    return cat.key_usage(*_usage_parts(spark, d, dev))
+
+
 def _objects(spark, d, dev: bool):
     s = "_dev" if dev else ""
     cols = fx(spark, d, "cat_columns" + s)
-    ku = fx(spark, d, "cat_key_usage" + s)
+    ku = _usage(spark, d, dev)
     parts = [
         cols.select(F.lit("table").alias("kind"), F.col("table_schema").alias("object_schema"),
                     F.col("table_name").alias("object_name")),
@@ -80,7 +90,7 @@ def _objects(spark, d, dev: bool):
                 F.lit("index").alias("k"), F.col("table_schema").alias("s"),
                 F.col("constraint_name").alias("n"))))).alias("x"))
           .where(F.col("x").isNotNull()).select("x.k", "x.s", "x.n"),
-        fx(spark, d, "cat_triggers" + s).select(F.lit("trigger"), F.lit("public"),
+        fx(spark, d, "cat_triggers" + s).select(F.lit("trigger"), "table_schema",
                                                 F.concat_ws(".", "table_name", "trigger_name")),
     ]
     out = parts[0]
@@ -98,7 +108,7 @@ def q_definitions(spark, d):
 
 
 def q_keys(spark, d):
-    return cat.keys(fx(spark, d, "cat_key_usage")).withColumn("columns", _join_list(F.col("columns")))
+    return cat.keys(_usage(spark, d)).withColumn("columns", _join_list(F.col("columns")))
 
 
 def _fk_text(df):
@@ -107,11 +117,11 @@ def _fk_text(df):
 
 
 def q_foreign_keys(spark, d):
-    return _fk_text(cat.foreign_keys(fx(spark, d, "cat_key_usage")))
+    return _fk_text(cat.foreign_keys(_usage(spark, d)))
 
 
 def q_tables_nested(spark, d):
-    n = cat.tables_nested(fx(spark, d, "cat_columns"), fx(spark, d, "cat_key_usage"))
+    n = cat.tables_nested(fx(spark, d, "cat_columns"), _usage(spark, d))
     return n.select(*T, F.size("columns").alias("n_columns"),
                     _join_list(F.transform("columns", lambda c: F.concat_ws(":", c["column_name"], c["data_type"],
                                                                             c["is_nullable"]))).alias("columns"),
@@ -120,13 +130,13 @@ def q_tables_nested(spark, d):
 
 
 def q_views_nested(spark, d):
-    n = cat.views_nested(fx(spark, d, "cat_views"), fx(spark, d, "cat_columns"))
+    n = cat.views_nested(fx(spark, d, "cat_views"), fx(spark, d, "cat_view_columns"))
     return n.select("view_schema", "view_name", F.coalesce(F.size("columns"), F.lit(0)).alias("n_columns"),
                     _join_list(F.col("columns")).alias("columns"))
 
 
 def q_constraint_details(spark, d):
-    return cat.constraint_details(fx(spark, d, "cat_key_usage"))
+    return cat.constraint_details(*_usage_parts(spark, d), fx(spark, d, "cat_ref_rules"))
 
 
 def q_sequence_owners(spark, d):
@@ -137,8 +147,12 @@ def q_role_members(spark, d):
     return cat.role_members(fx(spark, d, "cat_role_links"), fx(spark, d, "cat_roles"))
 
 
+def _owners(spark, d, dev: bool = False):
+    return cat.table_owners(fx(spark, d, "cat_classes" + ("_dev" if dev else "")), fx(spark, d, "cat_namespaces"), fx(spark, d, "cat_roles"))
+
+
 def q_table_owners(spark, d):
-    return cat.table_owners(fx(spark, d, "cat_grants"))
+    return _owners(spark, d)
 
 
 def q_triggers(spark, d):
@@ -149,8 +163,12 @@ def q_long(spark, d):
     frames = {
         "column": (fx(spark, d, "cat_columns"), T + ["column_name"]),
         "view": (fx(spark, d, "cat_views"), ["view_schema", "view_name"]),
-        "trigger": (q_triggers(spark, d), ["table_name", "trigger_name"]),
+        "trigger": (q_triggers(spark, d), ["table_schema", "table_name", "trigger_name"]),
         "privilege": (fx(spark, d, "cat_grants"), ["table_name", "grantee", "privilege_type"]),
+        "sequence": (fx(spark, d, "cat_sequences"), ["sequence_schema", "sequence_name"]),
+        "role": (fx(spark, d, "cat_roles"), ["rolname"]),
+        "constraint": (fx(spark, d, "cat_constraints"), T + ["constraint_name"]),
+        "function": (fx(spark, d, "cat_functions"), ["schema_name", "name", "args"]),
     }
     return cat.long_form(frames)
 
@@ -185,6 +203,18 @@ def q_drift_with_ignores(spark, d):
                             mode="strict", check_id="B5")
 
 
+def q_drift_columns_repeated(spark, d):
+    return dr.drift_columns(fx(spark, d, "cat_columns"), fx(spark, d, "cat_columns_twice"),
+                            {"data_type": "string", "is_nullable": "string"}, mode="strict")
+
+
+def q_drift_privileges_ignored(spark, d):
+    def prep(df):
+        return dr.ignore_privileges(df, IGNORE_GRANTEES, IGNORE_PRIVILEGES)
+    return dr.drift_set(prep(fx(spark, d, "cat_grants")), prep(fx(spark, d, "cat_grants_dev")),
+                        ["table_name", "grantee", "privilege_type", "is_grantable"], "privilege", "B5")
+
+
 def q_glob_match(spark, d):
     t = fx(spark, d, "cat_columns").select(*T).distinct()
     return t.withColumn("matched", glob_match(F.concat_ws(".", *T), IGNORE_GLOBS))
@@ -205,7 +235,7 @@ def _pk_lists(df):
 
 
 def q_drift_pk(spark, d):
-    return dr.key_list_drift(_pk_lists(fx(spark, d, "cat_key_usage")), _pk_lists(fx(spark, d, "cat_key_usage_dev")),
+    return dr.key_list_drift(_pk_lists(_usage(spark, d)), _pk_lists(_usage(spark, d, True)),
                              T, "columns", "primary_key", "C3")
 
 
@@ -214,14 +244,14 @@ def _unique_lists(df):
 
 
 def q_drift_unique(spark, d):
-    return dr.multiset_drift(_unique_lists(fx(spark, d, "cat_key_usage")),
-                             _unique_lists(fx(spark, d, "cat_key_usage_dev")), T + ["columns"], "unique", "C4")
+    return dr.multiset_drift(_unique_lists(_usage(spark, d)),
+                             _unique_lists(_usage(spark, d, True)), T + ["columns"], "unique", "C4")
 
 
 def q_drift_fk(spark, d):
     k = T + ["constraint_name", "ref_table", "pairs"]
-    return dr.drift_set(_fk_text(cat.foreign_keys(fx(spark, d, "cat_key_usage"))),
-                        _fk_text(cat.foreign_keys(fx(spark, d, "cat_key_usage_dev"))), k, "foreign_key", "C5")
+    return dr.drift_set(_fk_text(cat.foreign_keys(_usage(spark, d))),
+                        _fk_text(cat.foreign_keys(_usage(spark, d, True))), k, "foreign_key", "C5")
 
 
 def q_drift_views(spark, d):
@@ -268,7 +298,7 @@ def _indexes(df):
 
 
 def q_drift_indexes(spark, d):
-    return dr.drift_set(_indexes(fx(spark, d, "cat_key_usage")), _indexes(fx(spark, d, "cat_key_usage_dev")),
+    return dr.drift_set(_indexes(_usage(spark, d)), _indexes(_usage(spark, d, True)),
                         ["index_schema", "index_name", "definition"], "index", "C9")
 
 
@@ -278,12 +308,11 @@ def _trig(df):
 
 def q_drift_triggers(spark, d):
     return dr.drift_set(_trig(fx(spark, d, "cat_triggers")), _trig(fx(spark, d, "cat_triggers_dev")),
-                        ["table_name", "trigger_name", "action_timing", "events"], "trigger", "C9")
+                        ["table_schema", "table_name", "trigger_name", "action_timing", "events"], "trigger", "C9")
 
 
 def q_drift_owners(spark, d):
-    return dr.drift_set(cat.table_owners(fx(spark, d, "cat_grants")), cat.table_owners(fx(spark, d, "cat_grants_dev")),
-                        ["table_name", "owner"], "owner", "C9")
+    return dr.drift_set(_owners(spark, d), _owners(spark, d, True), ["table_schema", "table_name", "owner"], "owner", "C9")
 
 
 def q_drift_privileges(spark, d):
@@ -301,6 +330,11 @@ def q_snapshot_hash(spark, d):
                                _fingerprints(fx(spark, d, "cat_columns_dev")), T)
 
 
+def q_snapshot_hash_null_shift(spark, d):
+    f = td.fingerprint_diff(_fingerprints(fx(spark, d, "cat_columns")), _fingerprints(fx(spark, d, "cat_columns_shift")), T)
+    return f.select("object_key", "status")
+
+
 def q_normalize_text(spark, d):
     return fx(spark, d, "cat_functions").select("name", normalize_text("definition").alias("definition_norm"))
 
@@ -318,6 +352,11 @@ def q_findings_summary(spark, d):
     return fnd.summary(_sample_findings(spark, d))
 
 
+def q_findings_outcome(spark, d):
+    from relcheck.operators.constraints import check_not_null
+    return fnd.outcome(fnd.union_findings(_sample_findings(spark, d), check_not_null(fx(spark, d, "orders_actual"), "orders_actual")))
+
+
 def q_run_verdict(spark, d):
     return fnd.verdict(_sample_findings(spark, d))
 
@@ -344,6 +383,8 @@ QUERIES = {
     "drift_columns_lenient": q_drift_columns_lenient,
     "drift_columns_strict": q_drift_columns_strict,
     "drift_columns_basic": q_drift_columns_basic,
+    "drift_columns_repeated": q_drift_columns_repeated,
+    "drift_privileges_ignored": q_drift_privileges_ignored,
     "drift_with_ignores": q_drift_with_ignores,
     "glob_match": q_glob_match,
     "existence_all_kinds": q_existence,
@@ -361,9 +402,11 @@ QUERIES = {
     "drift_owners": q_drift_owners,
     "drift_privileges": q_drift_privileges,
     "snapshot_hash_compare": q_snapshot_hash,
+    "snapshot_hash_null_shift": q_snapshot_hash_null_shift,
     "normalize_text": q_normalize_text,
     "definition_hash": q_definition_hash,
     "findings_summary": q_findings_summary,
+    "findings_outcome": q_findings_outcome,
     "run_verdict": q_run_verdict,
 }
 
@@ -431,7 +474,7 @@ def _objects_sql(s: str) -> str:
  UNION ALL SELECT 'sequence', sequence_schema, sequence_name FROM cat_sequences{s}
  UNION ALL SELECT 'index', table_schema, constraint_name FROM cat_key_usage{s} WHERE constraint_type IN ('PRIMARY KEY', 'UNIQUE')
  UNION ALL SELECT 'constraint', table_schema, constraint_name FROM cat_key_usage{s}
- UNION ALL SELECT 'trigger', 'public', table_name || '.' || trigger_name FROM cat_triggers{s})"""
+ UNION ALL SELECT 'trigger', table_schema, table_name || '.' || trigger_name FROM cat_triggers{s})"""
 
 
 OBJ_FIXTURES = ("cat_columns", "cat_columns_dev", "cat_views", "cat_views_dev", "cat_functions",
@@ -449,9 +492,9 @@ FK_CTE = """, fks AS (SELECT table_schema, table_name, constraint_name, first(re
 fks_dev AS (SELECT table_schema, table_name, constraint_name, first(ref_table) AS ref_table,
  string_agg(column_name || '->' || ref_column, ',' ORDER BY pos) AS pairs FROM cat_key_usage_dev WHERE constraint_type = 'FOREIGN KEY' GROUP BY ALL)"""
 
-TRIG_CTE = """, trig AS (SELECT table_name, trigger_name, min(action_timing) AS action_timing,
+TRIG_CTE = """, trig AS (SELECT table_schema, table_name, trigger_name, min(action_timing) AS action_timing,
  string_agg(DISTINCT event_manipulation, ',' ORDER BY event_manipulation) AS events FROM cat_triggers GROUP BY ALL),
-trig_dev AS (SELECT table_name, trigger_name, min(action_timing) AS action_timing,
+trig_dev AS (SELECT table_schema, table_name, trigger_name, min(action_timing) AS action_timing,
  string_agg(DISTINCT event_manipulation, ',' ORDER BY event_manipulation) AS events FROM cat_triggers_dev GROUP BY ALL)"""
 
 SEQOWN_CTE = """, so AS (SELECT s.sequence_schema, s.sequence_name, coalesce(o.table_schema, '') AS table_schema,
@@ -464,8 +507,12 @@ so_dev AS (SELECT s.sequence_schema, s.sequence_name, coalesce(o.table_schema, '
 MEMBERS = """SELECT r1.rolname AS role, r2.rolname AS member FROM cat_role_links l
  JOIN {roles} r1 ON l.roleid = r1.oid JOIN {roles} r2 ON l.member = r2.oid"""
 
-FP = """SELECT table_schema, table_name, sha256(string_agg(concat_ws(':', column_name, data_type, is_nullable,
- CAST(num_precision AS VARCHAR), CAST(num_scale AS VARCHAR)), ',' ORDER BY ordinal_position)) AS fingerprint FROM {t} GROUP BY ALL"""
+# Owners told from the table names, not from the joined catalog rows.
+_OWNERS = """SELECT DISTINCT c.table_schema, c.table_name, 'role' || CAST(1 + (tk + CASE WHEN {dev} AND tk % 29 = 0 THEN 1 ELSE 0 END) % 7 AS VARCHAR) AS owner
+FROM (SELECT *, CAST(substr(table_name, 2) AS BIGINT) AS tk FROM cat_columns) c WHERE tk % 11 <> 0"""
+
+FP = """SELECT table_schema, table_name, sha256(string_agg(CAST(to_json({{'column_name': column_name, 'data_type': data_type, 'is_nullable': is_nullable,
+ 'num_precision': CAST(num_precision AS VARCHAR), 'num_scale': CAST(num_scale AS VARCHAR)}}) AS VARCHAR), ',' ORDER BY ordinal_position)) AS fingerprint FROM {t} GROUP BY ALL"""
 
 GLOB = "((table_schema || '.' || table_name) GLOB 'db1.*' OR (table_schema || '.' || table_name) GLOB 'db?.t1*')"
 STRICT = _columns_sql(COL_ATTRS, False, "equal", "C2")
@@ -501,28 +548,43 @@ k AS (SELECT table_schema, table_name, string_agg(constraint_name || ':' || cons
 SELECT c.table_schema, c.table_name, CAST(c.n_columns AS INTEGER) AS n_columns, c.columns, k.constraints FROM c LEFT JOIN k
  ON c.table_schema = k.table_schema AND c.table_name = k.table_name""",
     "catalog_views_nested": cte("cat_views", "cat_columns") + """, vc AS (SELECT table_schema AS view_schema, 'v' || substr(table_name, 2) AS view_name,
- count(*) AS n, string_agg(column_name, ',' ORDER BY ordinal_position) AS columns FROM cat_columns GROUP BY ALL)
+ count(*) AS n, string_agg(column_name || '_v', ',' ORDER BY ordinal_position) AS columns FROM cat_columns WHERE ordinal_position <> 2 GROUP BY ALL)
 SELECT v.view_schema, v.view_name, CAST(coalesce(vc.n, 0) AS INTEGER) AS n_columns, vc.columns FROM cat_views v
  LEFT JOIN vc ON v.view_schema = vc.view_schema AND v.view_name = vc.view_name""",
     "catalog_constraint_details": cte("cat_key_usage") + """SELECT table_schema, table_name, constraint_name, constraint_type, column_name, pos,
- ref_table, ref_column, CASE WHEN constraint_type = 'FOREIGN KEY' THEN 'NO ACTION' END AS update_rule,
- CASE WHEN constraint_type = 'FOREIGN KEY' THEN 'NO ACTION' END AS delete_rule FROM cat_key_usage""",
+ ref_table, ref_column, CASE WHEN f THEN CASE WHEN k % 3 = 0 THEN 'CASCADE' ELSE 'NO ACTION' END END AS update_rule,
+ CASE WHEN f THEN CASE WHEN k % 5 = 0 THEN 'SET NULL' WHEN k % 2 = 0 THEN 'RESTRICT' ELSE 'NO ACTION' END END AS delete_rule
+FROM (SELECT *, constraint_type = 'FOREIGN KEY' AS f, CAST(substr(table_name, 2) AS BIGINT) AS k FROM cat_key_usage)""",
     "catalog_sequence_owners": cte("cat_sequences", "cat_seq_owners", "cat_sequences_dev", "cat_seq_owners_dev")
         + SEQOWN_CTE + " SELECT * FROM so",
     "catalog_role_members": cte("cat_role_links", "cat_roles") + MEMBERS.format(roles="cat_roles"),
-    "catalog_table_owners": cte("cat_grants") + "SELECT table_name, min(grantee) AS owner FROM cat_grants GROUP BY table_name",
+    "catalog_table_owners": cte("cat_columns", "cat_roles") + _OWNERS.format(dev="false"),
     "catalog_triggers": cte("cat_triggers", "cat_triggers_dev") + TRIG_CTE + " SELECT * FROM trig",
-    "catalog_long": cte("cat_columns", "cat_views", "cat_triggers", "cat_triggers_dev", "cat_grants") + TRIG_CTE + """
+    "catalog_long": cte("cat_columns", "cat_views", "cat_triggers", "cat_triggers_dev", "cat_grants", "cat_sequences", "cat_roles", "cat_constraints", "cat_functions") + TRIG_CTE + """
 SELECT 'column' AS kind, table_schema || '.' || table_name || '.' || column_name AS object_key, f.field, f.value FROM cat_columns,
  LATERAL (VALUES ('ordinal_position', CAST(ordinal_position AS VARCHAR)), ('data_type', data_type), ('is_nullable', is_nullable),
   ('num_precision', CAST(num_precision AS VARCHAR)), ('num_scale', CAST(num_scale AS VARCHAR))) AS f(field, value)
 UNION ALL SELECT 'view', view_schema || '.' || view_name, 'definition', definition FROM cat_views
-UNION ALL SELECT 'trigger', table_name || '.' || trigger_name, f.field, f.value FROM trig,
+UNION ALL SELECT 'sequence', sequence_schema || '.' || sequence_name, f.field, f.value FROM cat_sequences, LATERAL (VALUES ('data_type', data_type),
+  ('start_value', start_value), ('minimum_value', minimum_value), ('maximum_value', maximum_value), ('increment', increment), ('cycle_option', cycle_option)) AS f(field, value)
+UNION ALL SELECT 'role', rolname, f.field, f.value FROM cat_roles, LATERAL (VALUES ('oid', CAST(oid AS VARCHAR)), ('rolsuper', CAST(rolsuper AS VARCHAR))) AS f(field, value)
+UNION ALL SELECT 'constraint', table_schema || '.' || table_name || '.' || constraint_name, 'constraint_type', constraint_type FROM cat_constraints
+UNION ALL SELECT 'function', schema_name || '.' || name || '.' || args, 'definition', definition FROM cat_functions
+UNION ALL SELECT 'trigger', table_schema || '.' || table_name || '.' || trigger_name, f.field, f.value FROM trig,
  LATERAL (VALUES ('action_timing', action_timing), ('events', events)) AS f(field, value)
 UNION ALL SELECT 'privilege', table_name || '.' || grantee || '.' || privilege_type, 'is_grantable', is_grantable FROM cat_grants""",
     "drift_set": cte("cat_columns", "cat_columns_dev") + _set_sql("cat_columns", "cat_columns_dev", T, "table", "C1"),
     "drift_columns_lenient": cte("cat_columns", "cat_columns_dev") + _columns_sql(COL_ATTRS, True, "equal", "C2"),
     "drift_columns_strict": cte("cat_columns", "cat_columns_dev") + STRICT,
+    "drift_columns_repeated": cte("cat_columns", "cat_columns_twice") + """, n AS (SELECT table_schema || '.' || table_name || '.' || column_name AS k, count(*) AS n,
+ min([data_type, is_nullable])[1] AS t FROM cat_columns_twice GROUP BY ALL),
+o AS (SELECT table_schema || '.' || table_name || '.' || column_name AS k, data_type AS t FROM cat_columns)
+SELECT 'C2' AS check_id, 'column' AS object_kind, k AS object_key, '<listed>' AS field, 'CHANGED' AS status, '1' AS expected, CAST(n AS VARCHAR) AS actual
+ FROM n WHERE n > 1
+UNION ALL SELECT 'C2', 'column', k, 'data_type', 'CHANGED', o.t, n.t FROM n JOIN o USING (k) WHERE n.t <> o.t""",
+    "drift_privileges_ignored": cte("cat_grants", "cat_grants_dev") + """, ke AS (SELECT * FROM cat_grants WHERE grantee NOT IN ('role_P') AND privilege_type NOT IN ('1-URGENT')),
+ka AS (SELECT * FROM cat_grants_dev WHERE grantee NOT IN ('role_P') AND privilege_type NOT IN ('1-URGENT'))
+""" + _set_sql("ke", "ka", ["table_name", "grantee", "privilege_type", "is_grantable"], "privilege", "B5"),
     "drift_columns_basic": cte("cat_columns", "cat_columns_dev") + _columns_sql(
         {"data_type": "string", "is_nullable": "string"}, False, "subset", "C10c"),
     "drift_with_ignores": cte("cat_columns", "cat_columns_dev") + f""", ie AS (SELECT * FROM cat_columns WHERE NOT {GLOB}
@@ -568,9 +630,9 @@ md AS ({MEMBERS.format(roles='cat_roles_dev')}) """ + _set_sql("m", "md", ["role
  '(' || columns || ')' AS definition FROM keys), ixd AS (SELECT table_schema AS index_schema, constraint_name AS index_name, '(' || columns || ')' AS definition FROM keys_dev)
 """ + _set_sql("ix", "ixd", ["index_schema", "index_name", "definition"], "index", "C9"),
     "drift_triggers": cte("cat_triggers", "cat_triggers_dev") + TRIG_CTE + " " + _set_sql(
-        "trig", "trig_dev", ["table_name", "trigger_name", "action_timing", "events"], "trigger", "C9"),
-    "drift_owners": cte("cat_grants", "cat_grants_dev") + """, o AS (SELECT table_name, min(grantee) AS owner FROM cat_grants GROUP BY ALL),
-od AS (SELECT table_name, min(grantee) AS owner FROM cat_grants_dev GROUP BY ALL) """ + _set_sql("o", "od", ["table_name", "owner"], "owner", "C9"),
+        "trig", "trig_dev", ["table_schema", "table_name", "trigger_name", "action_timing", "events"], "trigger", "C9"),
+    "drift_owners": cte("cat_columns", "cat_roles") + ", o AS (" + _OWNERS.format(dev="false") + "), od AS (" + _OWNERS.format(dev="true") + ") " + _set_sql(
+        "o", "od", ["table_schema", "table_name", "owner"], "owner", "C9"),
     "drift_privileges": cte("cat_grants", "cat_grants_dev") + _set_sql(
         "cat_grants", "cat_grants_dev", ["table_name", "grantee", "privilege_type", "is_grantable"], "privilege", "C9"),
     "snapshot_hash_compare": cte("cat_columns", "cat_columns_dev") + f""", fe AS ({FP.format(t='cat_columns')}), fa AS ({FP.format(t='cat_columns_dev')})
@@ -579,6 +641,10 @@ SELECT 'C14' AS check_id, 'table' AS object_kind, coalesce(fe.table_schema, fa.t
  fe.fingerprint AS expected, fa.fingerprint AS actual
 FROM fe FULL OUTER JOIN fa ON fe.table_schema = fa.table_schema AND fe.table_name = fa.table_name
 WHERE fe.fingerprint IS DISTINCT FROM fa.fingerprint""",
+    "snapshot_hash_null_shift": cte("cat_columns", "cat_columns_shift") + """, x AS (SELECT 1 AS side, * FROM cat_columns UNION ALL SELECT 2, * FROM cat_columns_shift),
+g AS (SELECT side, table_schema || '.' || table_name AS object_key,
+ list([column_name, data_type, is_nullable, CAST(num_precision AS VARCHAR), CAST(num_scale AS VARCHAR)] ORDER BY ordinal_position) AS cols FROM x GROUP BY ALL)
+SELECT object_key, 'CHANGED' AS status FROM g e JOIN g a USING (object_key) WHERE e.side = 1 AND a.side = 2 AND e.cols IS DISTINCT FROM a.cols""",
     "normalize_text": cte("cat_functions") + f"SELECT name, {NORM.format(c='definition')} AS definition_norm FROM cat_functions",
     "definition_hash": cte("cat_functions") + f"SELECT name, sha256({NORM.format(c='definition')}) AS definition_hash FROM cat_functions",
 }
@@ -591,6 +657,15 @@ def _findings_cte() -> str:
 
 
 ORACLE["findings_summary"] = _findings_cte() + "SELECT check_id, status, count(*) AS n_findings FROM f GROUP BY ALL"
+def _outcome_sql() -> str:
+    from relcheck.plans.data import ORACLE as DATA
+    failed = "status IN ('MISSING', 'UNEXPECTED', 'CHANGED', 'VIOLATION')"
+    return f"""SELECT check_id, count(*) FILTER (WHERE status = 'PASS') AS n_passed, count(*) FILTER (WHERE {failed}) AS n_failed,
+ count(*) FILTER (WHERE status = 'SKIP') AS n_skipped, count(*) AS n_findings
+FROM (SELECT check_id, status FROM ({_findings_cte()} SELECT * FROM f) UNION ALL SELECT check_id, status FROM ({DATA["check_not_null"]})) GROUP BY check_id"""
+
+
+ORACLE["findings_outcome"] = _outcome_sql()
 ORACLE["run_verdict"] = _findings_cte() + """SELECT check_id,
  count(*) FILTER (WHERE status IN ('MISSING', 'UNEXPECTED', 'CHANGED', 'VIOLATION')) AS n_failures,
  count(DISTINCT CASE WHEN status IN ('MISSING', 'UNEXPECTED', 'CHANGED', 'VIOLATION') THEN object_key END) AS n_failing_objects,

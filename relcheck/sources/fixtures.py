@@ -39,7 +39,8 @@ FIXTURE_SQL["requests"] = """
 SELECT c_custkey AS request_id, CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE cast(c_custkey % 170 AS string) END AS customer_id,
  CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE concat('C', cast(c_custkey % 10 AS string)) END AS client_id,
  TIMESTAMP '2024-01-05 00:00:00' AS start_dt, TIMESTAMP '2024-01-20 00:00:00' AS end_dt,
- CASE WHEN c_custkey % 4 = 0 THEN 'mra-web;mra-ivr' ELSE '' END AS exclude_app FROM {customer}
+ CASE WHEN c_custkey % 4 = 0 THEN 'mra-web;mra-ivr' ELSE '' END AS exclude_app,
+ concat('BT', cast(c_custkey AS string)) AS biz_id, concat('TX', cast(c_custkey AS string)) AS transaction_id FROM {customer}
 """
 
 FIXTURE_SQL["cat_columns"] = """
@@ -62,6 +63,14 @@ WHERE k % 97 <> 0 AND tk % 67 <> 0
 UNION ALL SELECT table_schema, table_name, 'x_new', 99, 'text', 'YES', NULL, NULL FROM {cat_columns} WHERE ordinal_position = 1 AND cast(substr(table_name, 2) AS bigint) % 71 = 0
 """
 
+# Precision moved into the scale's null: the texts of both rows agree once
+# nulls are left out.
+FIXTURE_SQL["cat_columns_shift"] = """
+SELECT table_schema, table_name, column_name, ordinal_position, data_type, is_nullable,
+ CASE WHEN moved THEN num_scale ELSE num_precision END AS num_precision, CASE WHEN moved THEN num_precision ELSE num_scale END AS num_scale
+FROM (SELECT c.*, cast(substr(table_name, 2) AS bigint) % 5 = 0 AND num_precision IS NULL AS moved FROM {cat_columns} c) y
+"""
+
 FIXTURE_SQL["cat_key_usage"] = """
 SELECT table_schema, table_name, concat(table_name, '_pkey') AS constraint_name, 'PRIMARY KEY' AS constraint_type, column_name, ordinal_position AS pos, NULL AS ref_table, NULL AS ref_column FROM {cat_columns} WHERE ordinal_position <= 2
 UNION ALL SELECT table_schema, table_name, concat(table_name, '_key'), 'UNIQUE', column_name, ordinal_position - 1, NULL, NULL FROM {cat_columns} WHERE ordinal_position BETWEEN 2 AND 3
@@ -74,8 +83,49 @@ SELECT table_schema, table_name, constraint_name, constraint_type, column_name,
 FROM {cat_key_usage} WHERE NOT (cast(substr(table_name, 2) AS bigint) % 73 = 0 AND constraint_type <> 'UNIQUE')
 """
 
+# The catalog's own tables behind key usage, one a kind: constraints, their
+# columns, the referenced columns by position, and the rules.
+for _dev in ("", "_dev"):
+    FIXTURE_SQL["cat_constraints" + _dev] = f"""
+SELECT DISTINCT table_schema, table_name, constraint_name, constraint_type FROM {{cat_key_usage{_dev}}}
+"""
+    FIXTURE_SQL["cat_key_columns" + _dev] = f"""
+SELECT table_schema, table_name, constraint_name, column_name, pos FROM {{cat_key_usage{_dev}}}
+"""
+    FIXTURE_SQL["cat_ref_columns" + _dev] = f"""
+SELECT table_schema, table_name, constraint_name, pos, ref_table, ref_column FROM {{cat_key_usage{_dev}}} WHERE constraint_type = 'FOREIGN KEY'
+"""
+FIXTURE_SQL["cat_ref_rules"] = """
+SELECT table_schema, table_name, constraint_name, CASE WHEN k % 3 = 0 THEN 'CASCADE' ELSE 'NO ACTION' END AS update_rule,
+ CASE WHEN k % 5 = 0 THEN 'SET NULL' WHEN k % 2 = 0 THEN 'RESTRICT' ELSE 'NO ACTION' END AS delete_rule
+FROM (SELECT DISTINCT table_schema, table_name, constraint_name, cast(substr(table_name, 2) AS bigint) AS k FROM {cat_key_usage} WHERE constraint_type = 'FOREIGN KEY') x
+"""
+FIXTURE_SQL["cat_view_columns"] = """
+SELECT table_schema AS view_schema, concat('v', substr(table_name, 2)) AS view_name, concat(column_name, '_v') AS column_name, ordinal_position
+FROM {cat_columns} WHERE ordinal_position <> 2
+"""
+# Relations of every kind with schema and owner by id; every eleventh is no table.
+FIXTURE_SQL["cat_classes"] = """
+SELECT DISTINCT cast(substr(table_name, 2) AS bigint) AS oid, table_name AS relname, cast(substr(table_schema, 3) AS bigint) AS relnamespace,
+ 1 + cast(substr(table_name, 2) AS bigint) % 7 AS relowner, CASE WHEN cast(substr(table_name, 2) AS bigint) % 11 = 0 THEN 'S' ELSE 'r' END AS relkind FROM {cat_columns}
+"""
+FIXTURE_SQL["cat_classes_dev"] = """
+SELECT oid, relname, relnamespace, CASE WHEN oid % 29 = 0 THEN 1 + (oid + 1) % 7 ELSE relowner END AS relowner, relkind FROM {cat_classes}
+"""
+FIXTURE_SQL["cat_namespaces"] = """
+SELECT DISTINCT cast(substr(table_schema, 3) AS bigint) AS oid, table_schema AS nspname FROM {cat_columns}
+"""
+
+# A catalog that lists some columns twice, one of them with another type that
+# sorts first.
+FIXTURE_SQL["cat_columns_twice"] = """
+SELECT * FROM {cat_columns}
+UNION ALL SELECT table_schema, table_name, column_name, ordinal_position, CASE WHEN ordinal_position = 1 THEN 'bigint' ELSE data_type END, is_nullable, num_precision, num_scale
+FROM {cat_columns} WHERE cast(substr(table_name, 2) AS bigint) % 61 = 0
+"""
+
 FIXTURE_SQL["cat_triggers"] = """
-SELECT concat('t', cast(user_id AS string)) AS table_name, concat('trg', cast(event_id % 6 AS string)) AS trigger_name,
+SELECT concat('db', cast(user_id % 20 AS string)) AS table_schema, concat('t', cast(user_id AS string)) AS table_name, concat('trg', cast(event_id % 6 AS string)) AS trigger_name,
  CASE WHEN user_id % 2 = 0 THEN 'BEFORE' ELSE 'AFTER' END AS action_timing,
  CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'purchase' THEN 'UPDATE' WHEN 'error' THEN 'DELETE' ELSE 'TRUNCATE' END AS event_manipulation FROM {events}
 """
@@ -171,17 +221,64 @@ FIXTURE_SQL["orders_after"] = """
 SELECT * FROM {orders} WHERE o_orderkey % 5003 <> 0
 """
 
+# Two nullable columns of one type; the dev side shifts a value into its
+# neighbour's null.
+FIXTURE_SQL["shift_expected"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS a, o_orderstatus AS b FROM {orders}
+"""
+FIXTURE_SQL["shift_actual"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN b ELSE a END AS a, CASE WHEN o_orderkey % 6 = 0 THEN a ELSE b END AS b FROM {shift_expected}
+"""
+
+# A composite key with nulls in its first part.
+FIXTURE_SQL["nullkey_expected"] = """
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE o_orderstatus END AS k1, o_orderkey AS k2, o_orderpriority AS v FROM {orders}
+"""
+FIXTURE_SQL["nullkey_actual"] = """
+SELECT k1, k2, CASE WHEN k2 % 7 = 0 THEN NULL ELSE v END AS v FROM {nullkey_expected} WHERE k2 % 10 <> 0
+UNION ALL SELECT NULL, k2 + 10000000, v FROM {nullkey_expected} WHERE k2 % 11 = 0
+"""
+
+# A column renamed on the dev side.
+FIXTURE_SQL["orders_other_columns"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority AS o_priority FROM {orders_actual}
+"""
+
+# Repeated keys: one row a line of an order; the dev side drops and changes some.
+FIXTURE_SQL["lines_expected"] = """
+SELECT l_orderkey, l_returnflag, l_linestatus FROM {lineitem}
+"""
+FIXTURE_SQL["lines_actual"] = """
+SELECT l_orderkey, CASE WHEN l_orderkey % 31 = 0 AND l_linenumber = 1 THEN 'X' ELSE l_returnflag END AS l_returnflag, l_linestatus
+FROM {lineitem} WHERE NOT (l_orderkey % 37 = 0 AND l_linenumber = 2)
+"""
+
+# A parent table that has lost some rows.
+FIXTURE_SQL["customer_pruned"] = """
+SELECT * FROM {customer} WHERE c_custkey % 100 <> 0
+"""
+# What the sink holds and what is delivered next: together all events, some of
+# them delivered again.
+FIXTURE_SQL["sink_existing"] = """
+SELECT event_id, customer_id, event_type_description FROM {acl_source_v2} WHERE event_id % 2 = 0
+"""
+FIXTURE_SQL["sink_incoming"] = """
+SELECT event_id, customer_id, event_type_description FROM {acl_source_v2} WHERE event_id % 2 <> 0 OR event_id % 3 = 0
+"""
+
 FIXTURE_SQL["ddl_stmts"] = """
 SELECT o_custkey AS script_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos,
- CASE WHEN o_orderstatus = 'F' THEN concat('CREATE TABLE app.t', cast(o_orderkey % 7 AS string), ' (id int)')
+ concat(CASE WHEN o_orderkey % 6 = 0 THEN chr(10) WHEN o_orderkey % 11 = 0 THEN '  ' ELSE '' END,
+ CASE WHEN o_orderkey % 23 = 0 THEN concat('GRANT SELECT ON app.t TO r', cast(o_orderkey AS string))
+      WHEN o_orderstatus = 'F' THEN concat('CREATE ', CASE o_orderkey % 3 WHEN 0 THEN 'UNLOGGED ' WHEN 1 THEN '' ELSE 'TEMPORARY ' END, 'TABLE ',
+        CASE WHEN o_orderkey % 2 = 0 THEN '"app"."t' ELSE 'app.t' END, cast(o_orderkey % 7 AS string), CASE WHEN o_orderkey % 2 = 0 THEN '"' ELSE '' END, ' (id int)')
       WHEN o_orderstatus = 'O' THEN concat('ALTER TABLE ONLY app.t', cast(o_orderkey % 7 AS string), ' ADD CONSTRAINT k PRIMARY KEY (id)')
-      WHEN o_orderkey % 2 = 0 THEN concat('ALTER TABLE app.t', cast(o_orderkey % 7 AS string), ' ADD FOREIGN KEY (id) REFERENCES z(id)')
-      ELSE concat('ALTER TABLE app.t', cast(o_orderkey % 7 AS string), ' ADD COLUMN v int') END AS stmt FROM {orders}
+      WHEN o_orderkey % 2 = 0 THEN concat('ALTER TABLE IF EXISTS "app".t', cast(o_orderkey % 7 AS string), ' ADD FOREIGN KEY (id) REFERENCES z(id)')
+      ELSE concat('ALTER TABLE app.t', cast(o_orderkey % 7 AS string), ' ADD COLUMN v int') END) AS stmt FROM {orders}
 """
 
 FIXTURE_SQL["messages_csv"] = """
-SELECT concat('file', cast(c_nationkey % 4 AS string), '.csv') AS file_name,
- row_number() OVER (PARTITION BY c_nationkey % 4 ORDER BY c_custkey) AS row_no,
+SELECT concat('file', cast(c_nationkey % 4 AS string), '.csv') AS file_name, cast(c_custkey AS int) AS row_no,
  CASE c_custkey % 5 WHEN 0 THEN 'SourceSystemB' WHEN 1 THEN 'SourceSystemC' WHEN 2 THEN 'unknownApp' ELSE 'myRetirementApp' END AS source_system,
  CASE WHEN c_custkey % 13 = 0 THEN '' ELSE cast(c_custkey AS string) END AS customer_id,
  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_mktsegment END AS event_type,
@@ -189,12 +286,6 @@ SELECT concat('file', cast(c_nationkey % 4 AS string), '.csv') AS file_name,
  CASE WHEN c_custkey % 19 = 0 THEN '["a",' WHEN c_custkey % 2 = 0 THEN '["a","b"]' ELSE '' END AS tags FROM {customer}
 """
 
-# Same rows for DuckDB; row_number() is BIGINT there and INT in Spark, so
-# the oracle casts it to keep the column types equal.
-FIXTURE_DUCKDB["messages_csv"] = FIXTURE_SQL["messages_csv"].replace(
-    "row_number() OVER (PARTITION BY c_nationkey % 4 ORDER BY c_custkey) AS row_no",
-    "CAST(row_number() OVER (PARTITION BY c_nationkey % 4 ORDER BY c_custkey) AS INTEGER) AS row_no")
-
 FIXTURE_SQL["prs"] = """
 SELECT o_orderkey AS pr_id, concat('u', cast(o_custkey % 200 AS string)) AS author, o_orderdate AS created_at FROM {orders}
 """
@@ -221,6 +312,36 @@ SELECT event_id AS doc_id, concat('{{"databaseInfo":{{"host":"z', cast(event_id
  CASE WHEN event_id % 41 = 0 THEN '{{"k": -1}}' ELSE props END, '}}') AS doc FROM {events}
 """
 
+# Lists of objects: the dev side swaps members between elements (a real
+# difference) or only turns the list round (none).
+FIXTURE_SQL["json_pairs"] = """
+SELECT event_id AS doc_id, concat('{{"m":[{{"a":', cast(event_id % 7 AS string), ',"b":', cast(event_id % 5 AS string), '}},{{"b":', cast(event_id % 5 + 10 AS string), ',"a":', cast(event_id % 7 + 10 AS string), '}}]}}') AS doc FROM {events}
+"""
+FIXTURE_SQL["json_pairs_dev"] = """
+SELECT event_id AS doc_id, CASE WHEN event_id % 3 = 0
+  THEN concat('{{"m":[{{"a":', cast(event_id % 7 AS string), ',"b":', cast(event_id % 5 + 10 AS string), '}},{{"a":', cast(event_id % 7 + 10 AS string), ',"b":', cast(event_id % 5 AS string), '}}]}}')
+  ELSE concat('{{"m":[{{"a":', cast(event_id % 7 + 10 AS string), ',"b":', cast(event_id % 5 + 10 AS string), '}},{{"a":', cast(event_id % 7 AS string), ',"b":', cast(event_id % 5 AS string), '}}]}}') END AS doc FROM {events}
+"""
+FIXTURE_SQL["json_empty"] = """
+SELECT event_id AS doc_id, '{{"x":{{}},"y":[],"z":1}}' AS doc FROM {events}
+"""
+FIXTURE_SQL["json_empty_dev"] = """
+SELECT event_id AS doc_id, CASE WHEN event_id % 2 = 0 THEN '{{"z":1}}' ELSE '{{"z":1,"y":[],"x":{{}}}}' END AS doc FROM {events}
+"""
+FIXTURE_SQL["json_broken"] = """
+SELECT event_id AS doc_id, CASE WHEN event_id % 10 = 0 THEN concat('{{bad', cast(event_id AS string)) ELSE '{{"ok":1}}' END AS doc FROM {events}
+"""
+FIXTURE_SQL["json_broken_dev"] = """
+SELECT event_id AS doc_id, CASE WHEN event_id % 10 = 0 THEN concat('{{worse', cast(event_id AS string)) ELSE '{{"ok":1}}' END AS doc FROM {events}
+"""
+# Twenty levels; the innermost list is turned round, and one value differs.
+FIXTURE_SQL["json_deep"] = """
+SELECT event_id AS doc_id, concat(repeat('{{"a":', 20), '[1,2,', cast(event_id + 100 AS string), ']', repeat('}}', 20)) AS doc FROM {events}
+"""
+FIXTURE_SQL["json_deep_dev"] = """
+SELECT event_id AS doc_id, concat(repeat('{{"a":', 20), '[', cast(event_id + 100 AS string), ',2,', CASE WHEN event_id % 13 = 0 THEN '9' ELSE '1' END, ']', repeat('}}', 20)) AS doc FROM {events}
+"""
+
 # v2 producer payload: the upstream now sends the description itself
 # (null for codes it cannot describe).
 FIXTURE_SQL["acl_source_v2"] = """
@@ -264,7 +385,7 @@ SELECT * FROM (VALUES ('myRetirementApp', 'topic-a'), ('SourceSystemB', 'topic-b
 
 def _deps(sql: str) -> list[str]:
     import re
-    return list(dict.fromkeys(re.findall(r"(?<!\{)\{([a-z_]+)\}(?!\})", sql)))
+    return list(dict.fromkeys(re.findall(r"(?<!\{)\{([a-z_0-9]+)\}(?!\})", sql)))
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
