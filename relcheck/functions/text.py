@@ -35,42 +35,46 @@ def trim_ws(c) -> Column:
     return F.regexp_replace(_c(c), "^\\s+|\\s+$", "")
 
 
-def blank_to_null(c) -> Column:
-    return F.when(F.trim(_c(c)) == "", F.lit(None)).otherwise(_c(c))
+#: A glob's parts: a run of stars, a question mark, a class that is closed, or
+#: one plain character.
+_GLOB_PART = re.compile(r"\*+|\?|\[(?P<no>!?+)(?P<body>\][^\]]*|[^\]]+)\]|.", re.DOTALL)
+_RANGE = re.compile(r"(.)-(.)", re.DOTALL)
+
+
+def _glob_class(body: str, negated: bool) -> str:
+    """A class for Java: every character by its code, so that none acts as an
+    operator; ranges stay, and a range that runs backwards holds nothing."""
+    out, at = [], 0
+    while at < len(body):
+        m = _RANGE.match(body, at)
+        if m:
+            if m[1] <= m[2]:
+                out.append("-".join("\\x{%x}" % ord(x) for x in m.groups()))
+            at = m.end()
+        else:
+            out.append("\\x{%x}" % ord(body[at]))
+            at += 1
+    if not out:
+        return "." if negated else "(?!)"
+    return "[" + "^" * negated + "".join(out) + "]"
 
 
 def glob_to_regex(pattern: str) -> str:
-    """S3: shell glob -> anchored Java regex, the way fnmatch reads it:
-    ``*`` any run (dots included), ``?`` one char, ``[!x]`` negated class."""
-    out, i, n = [], 0, len(pattern)
-    while i < n:
-        ch = pattern[i]
-        i += 1
-        if ch == "*":
+    """S3: shell glob -> regex for the whole text (Java): ``*`` any run (dots
+    and line breaks included), ``?`` one character, ``[abc]``, ``[a-z]`` and
+    ``[!abc]`` classes; a bracket that is never closed is itself."""
+    out = []
+    for m in _GLOB_PART.finditer(pattern):
+        part = m[0]
+        if part[0] == "*":
             out.append(".*")
-        elif ch == "?":
+        elif part == "?":
             out.append(".")
-        elif ch == "[":
-            j = i
-            if j < n and pattern[j] == "!":
-                j += 1
-            if j < n and pattern[j] == "]":
-                j += 1
-            while j < n and pattern[j] != "]":
-                j += 1
-            if j >= n:
-                out.append("\\[")
-            else:
-                body = pattern[i:j].replace("\\", "\\\\")
-                i = j + 1
-                if body.startswith("!"):
-                    body = "^" + body[1:]
-                elif body.startswith("^"):
-                    body = "\\" + body
-                out.append("[" + body + "]")
+        elif m["body"] is not None:
+            out.append(_glob_class(m["body"], bool(m["no"])))
         else:
-            out.append(re.escape(ch))
-    return "^" + "".join(out) + "$"
+            out.append("\\x{%x}" % ord(part))
+    return "(?s)\\A" + "".join(out) + "\\z"
 
 
 def glob_match(c, patterns) -> Column:

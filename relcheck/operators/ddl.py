@@ -2,37 +2,48 @@
 (``script_id``, ``script`` text): every script is split, classified and
 ordered in one job. Nothing is windowed by script or table: positions come
 from ``posexplode``, per-table facts from aggregates (partial aggregation
-first), and the emission order as one packed sortable key."""
+first), and the emission order from three sortable columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A statement ends with a semicolon at a line's end, or with the script.
+SPLIT = r";\s*\n"
+#: A name is one part or several joined by dots; a part is quoted (two quotes
+#: inside stand for one) or a bare word.
+PART = r'(?:"(?:[^"]|"")+"|[\w$]+)'
+NAME = rf"({PART}(?:\s*\.\s*{PART})*)"
+#: Words that may stand before TABLE, and between TABLE and the name.
+BEFORE = {"CREATE": r"(?:(?:GLOBAL|LOCAL|TEMPORARY|TEMP|UNLOGGED|FOREIGN)\s+)*", "ALTER": r"(?:FOREIGN\s+)?"}
+AFTER = {"CREATE": r"(?:IF\s+NOT\s+EXISTS\s+)?", "ALTER": r"(?:IF\s+EXISTS\s+)?(?:ONLY\s+)?"}
+#: The key classes.
+PK_RE = r"(?i)PRIMARY\s+KEY"
+FK_RE = r"(?i)FOREIGN\s+KEY"
 
-# Fixed patterns of the splitter: statement separator, target table of a
-# CREATE/ALTER (optional IF [NOT] EXISTS / ONLY, optional quotes, dotted
-# name, any case) and the key classes.
-SPLIT = ";\\s*\\n"
-TABLE_RE = "(?i){cmd}\\s+TABLE\\s+(IF\\s+(NOT\\s+)?EXISTS\\s+)?(ONLY\\s+)?(\"?[\\w.]+\"?)"
-PK_RE = "(?i)PRIMARY\\s+KEY"
-FK_RE = "(?i)FOREIGN\\s+KEY"
+
+def target_table(stmt: Column, command: str) -> Column:
+    """Table named by a CREATE or ALTER TABLE, '' for other statements. Quotes
+    are dropped where the part reads the same without, blanks about dots too."""
+    found = F.regexp_extract(stmt, rf"(?i)\b{command}\s+{BEFORE[command]}TABLE\s+{AFTER[command]}{NAME}", 1)
+    return F.regexp_replace(F.regexp_replace(found, r'\s*\.\s*(?=(?:[^"]*"[^"]*")*[^"]*$)', "."), r'"([A-Za-z_][\w$]*)"', "$1")
 
 
 def statements(scripts: DataFrame) -> DataFrame:
-    """K1-K3: one row per non-blank statement, trailing ';' removed, with
-    its position in the script (index of the split piece, so order is kept
-    without a per-script window), command, target table and key class."""
+    """K1-K3: one row per non-blank statement, surrounding white space and the
+    trailing ';' removed, with its position in the script (index of the split
+    piece, so order is kept without a per-script window), command, target table
+    and key class."""
     s = scripts.select("script_id", F.posexplode(F.split("script", SPLIT)).alias("pos0", "raw"))
-    s = s.select("script_id", F.trim(F.regexp_replace("raw", ";\\s*$", "")).alias("stmt"),
+    s = s.select("script_id", F.regexp_replace("raw", r"\A\s+|[;\s]+\z", "").alias("stmt"),
                  (F.col("pos0") + 1).alias("pos")).where(F.col("stmt") != "")
-    create_t = F.regexp_replace(F.regexp_extract("stmt", TABLE_RE.format(cmd="CREATE"), 4), '"', "")
-    alter_t = F.regexp_replace(F.regexp_extract("stmt", TABLE_RE.format(cmd="ALTER"), 4), '"', "")
+    s = s.withColumns({"_create": target_table(F.col("stmt"), "CREATE"), "_alter": target_table(F.col("stmt"), "ALTER")})
     return s.select(
         "script_id", "pos", "stmt",
-        F.when(create_t != "", F.lit("CREATE")).when(alter_t != "", F.lit("ALTER")).otherwise(F.lit("OTHER"))
+        F.when(F.col("_create") != "", F.lit("CREATE")).when(F.col("_alter") != "", F.lit("ALTER")).otherwise(F.lit("OTHER"))
         .alias("command"),
-        F.when(create_t != "", create_t).when(alter_t != "", alter_t).alias("table_name"),
+        F.when(F.col("_create") != "", F.col("_create")).when(F.col("_alter") != "", F.col("_alter")).alias("table_name"),
         F.when(F.col("stmt").rlike(PK_RE), F.lit("primary_key"))
         .when(F.col("stmt").rlike(FK_RE), F.lit("foreign_key")).otherwise(F.lit("other")).alias("key_class"))
 
@@ -54,11 +65,9 @@ def split_alters(stmts: DataFrame) -> DataFrame:
 def ordered_new_tables(stmts: DataFrame) -> DataFrame:
     """K5: per script, each created table in first-seen order: its CREATE
     (last text wins, first position kept), then its ALTERs: primary keys,
-    foreign keys, others, each in script order. ``emit_order`` is the
-    emission order as one sortable integer (create position, class rank,
-    position packed: positions < 2^29, rank < 4), so no per-script window
-    or numbering pass is needed; ``ORDER BY script_id, emit_order`` gives
-    the output file."""
+    foreign keys, others, each in script order. ``ORDER BY script_id,
+    create_pos, class_rank, pos`` gives the output file; no per-script window or
+    numbering pass is needed."""
     creates = stmts.where(F.col("command") == "CREATE").groupBy("script_id", "table_name").agg(
         F.min("pos").alias("_create_pos"), F.max_by("stmt", "pos").alias("stmt"))
     c = creates.select("script_id", "table_name", "_create_pos", F.lit(0).alias("_rank"),
@@ -68,7 +77,5 @@ def ordered_new_tables(stmts: DataFrame) -> DataFrame:
         .select("script_id", "table_name", "_create_pos",
                 F.when(F.col("key_class") == "primary_key", 1).when(F.col("key_class") == "foreign_key", 2)
                 .otherwise(3).alias("_rank"), F.col("pos").alias("_pos"), "stmt")
-    key = (F.shiftleft(F.col("_create_pos").cast("long"), 34) + F.shiftleft(F.col("_rank").cast("long"), 32)
-           + F.col("_pos").cast("long"))
-    return c.unionByName(a).select("script_id", key.alias("emit_order"), "table_name",
-                                   F.concat("stmt", F.lit(";")).alias("stmt"))
+    return c.unionByName(a).select("script_id", F.col("_create_pos").alias("create_pos"), F.col("_rank").alias("class_rank"),
+                                   F.col("_pos").alias("pos"), "table_name", F.concat("stmt", F.lit(";")).alias("stmt"))

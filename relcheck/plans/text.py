@@ -145,7 +145,7 @@ SNAPSHOT_SCHEMA = T.StructType([
 
 
 def q_snapshot_json_roundtrip(spark, d):
-    nested = cat.tables_nested(fixture(spark, d, "cat_columns"), fixture(spark, d, "cat_key_usage"))
+    nested = cat.tables_nested(fixture(spark, d, "cat_columns"), cat.key_usage(*(fixture(spark, d, n) for n in ("cat_constraints", "cat_key_columns", "cat_ref_columns"))))
     path = files.new_scratch(spark, "snapshots")
     files.write_snapshots(nested, path)
     n = files.read_snapshots(spark, path, SNAPSHOT_SCHEMA)
@@ -227,14 +227,15 @@ SELECT u.user_name, coalesce(s.n, 0) AS submitted, coalesce(r.n, 0) AS reviewed
  strftime(make_timestamp(CAST(floor(epoch_ms(created_at) / 1000) AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS created_ts FROM prs""",
 }
 
-_TABLE = "(?i){cmd}\\s+TABLE\\s+(IF\\s+(NOT\\s+)?EXISTS\\s+)?(ONLY\\s+)?(\"?[\\w.]+\"?)"
-STMTS = cte("ddl_stmts") + f""", s0 AS (SELECT script_id, CAST(pos AS INTEGER) AS pos, stmt,
- replace(regexp_extract(stmt, '{_TABLE.format(cmd='CREATE')}', 4), '"', '') AS c_t,
- replace(regexp_extract(stmt, '{_TABLE.format(cmd='ALTER')}', 4), '"', '') AS a_t FROM ddl_stmts),
-s AS (SELECT script_id, pos, stmt, CASE WHEN c_t <> '' THEN 'CREATE' WHEN a_t <> '' THEN 'ALTER' ELSE 'OTHER' END AS command,
- CASE WHEN c_t <> '' THEN c_t WHEN a_t <> '' THEN a_t END AS table_name,
- CASE WHEN regexp_matches(stmt, '(?i)PRIMARY\\s+KEY') THEN 'primary_key' WHEN regexp_matches(stmt, '(?i)FOREIGN\\s+KEY') THEN 'foreign_key'
-  ELSE 'other' END AS key_class FROM s0),
+# Statements from the script text: cut, trimmed, then read word by word (the
+# words before the table's name are taken off; no pattern of the operator).
+STMTS = cte("ddl_scripts") + r""", cut AS (SELECT script_id, string_split_regex(script, ';[ \t]*\n') AS parts FROM ddl_scripts),
+piece AS (SELECT script_id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS raw FROM cut),
+s1 AS (SELECT script_id, CAST(pos AS INTEGER) AS pos, rtrim(ltrim(raw, E' \t\r\n'), E'; \t\r\n') AS stmt FROM piece),
+s2 AS (SELECT *, list_filter(string_split(stmt, ' '), lambda w: upper(w) NOT IN ('UNLOGGED', 'TEMPORARY', 'TEMP', 'IF', 'NOT', 'EXISTS', 'ONLY')) AS ws FROM s1 WHERE stmt <> ''),
+s AS (SELECT script_id, pos, stmt, CASE WHEN upper(ws[1]) IN ('CREATE', 'ALTER') AND upper(ws[2]) = 'TABLE' THEN upper(ws[1]) ELSE 'OTHER' END AS command,
+ CASE WHEN upper(ws[1]) IN ('CREATE', 'ALTER') AND upper(ws[2]) = 'TABLE' THEN replace(ws[3], '"', '') END AS table_name,
+ CASE WHEN contains(upper(stmt), 'PRIMARY KEY') THEN 'primary_key' WHEN contains(upper(stmt), 'FOREIGN KEY') THEN 'foreign_key' ELSE 'other' END AS key_class FROM s2),
 cr AS (SELECT DISTINCT script_id, table_name FROM s WHERE command = 'CREATE'),
 sp AS (SELECT s.script_id, s.pos, s.stmt, s.table_name, s.key_class,
  CASE WHEN cr.table_name IS NOT NULL THEN 'new' ELSE 'existing' END AS target FROM s
@@ -250,8 +251,7 @@ u AS (SELECT script_id, table_name, create_pos, 0 AS rnk, 0 AS pos, stmt FROM c
  UNION ALL SELECT sp.script_id, sp.table_name, c.create_pos,
   CASE sp.key_class WHEN 'primary_key' THEN 1 WHEN 'foreign_key' THEN 2 ELSE 3 END, sp.pos, sp.stmt
  FROM sp JOIN c ON sp.script_id = c.script_id AND sp.table_name = c.table_name WHERE sp.target = 'new')
-SELECT script_id, (CAST(create_pos AS BIGINT) << 34) + (CAST(rnk AS BIGINT) << 32) + CAST(pos AS BIGINT) AS emit_order,
- table_name, stmt || ';' AS stmt FROM u""",
+SELECT script_id, create_pos, rnk AS class_rank, pos, table_name, stmt || ';' AS stmt FROM u""",
     "approval_fanout": cte("approvals") + """, ok AS (SELECT * FROM approvals WHERE status = 'approved')
 SELECT DISTINCT 'database' AS target, database_name, CAST(NULL AS VARCHAR) AS value FROM ok
  WHERE database_name NOT IN ('db0', 'db1', 'db2', 'db3', 'db4', 'db5', 'db6', 'db7', 'db8', 'db9')

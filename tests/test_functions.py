@@ -1,5 +1,3 @@
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,10 +9,15 @@ from relcheck.functions.time import epoch_millis_to_ts, iso8601_utc
 @pytest.mark.parametrize("pattern,text,ok", [
     ("db1.*", "db1.t5", True), ("db1.*", "db10.t5", False), ("db?.t1*", "db3.t15", True),
     ("db?.t1*", "db33.t15", False), ("a[!b]c", "axc", True), ("a[!b]c", "abc", False),
-    ("*", "x.y.z", True), ("T*", "t1", False),
+    ("*", "x.y.z", True), ("T*", "t1", False), ("a[[]b", "a[b", True), ("a[]]b", "a]b", True), ("[!]", "[!]", True),
+    ("a[b", "a[b", True), ("[a&&b]", "&", True), ("[z-a]", "m", False), ("[^a]", "^", True), ("[a-c^]x", "bx", True),
+    ("a*b", "a\n.b", True), ("a", "a\n", False), ("a.b", "axb", False), ("[!-]x", "-x", False), ("{a}", "{a}", True),
 ])
-def test_glob_to_regex(pattern, text, ok):
-    assert bool(re.match(glob_to_regex(pattern), text)) == ok
+def test_glob(spark, pattern, text, ok):
+    import fnmatch
+    assert fnmatch.fnmatchcase(text, pattern) == ok
+    got = spark.createDataFrame([(text,)], "t string").select(glob_match(F.col("t"), [pattern]).alias("m")).first().m
+    assert got == ok and glob_to_regex(pattern).startswith("(?s)")
 
 
 def test_scalar_functions(spark):

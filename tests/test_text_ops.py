@@ -7,7 +7,7 @@ from relcheck.operators import activity, approvals, catalog as cat, ddl, message
 
 def test_ddl_split_classify_order(spark):
     script = ";\n".join([
-        'CREATE TABLE IF NOT EXISTS "app.t1" (id int)',
+        'CREATE TABLE IF NOT EXISTS "app"."t1" (id int)',
         "ALTER TABLE app.t1 ADD COLUMN v int",
         "alter table only app.t1 add foreign key (id) references z(id)",
         "ALTER TABLE app.t1 ADD CONSTRAINT k PRIMARY KEY (id)",
@@ -22,7 +22,7 @@ def test_ddl_split_classify_order(spark):
     assert st[-1].stmt == "CREATE TABLE app.t2 (id int)"
     sp = {r.pos: r.target for r in ddl.split_alters(ddl.statements(df)).collect()}
     assert sp == {2: "new", 3: "new", 4: "new", 5: "existing"}
-    out = [r.stmt for r in ddl.ordered_new_tables(ddl.statements(df)).orderBy("emit_order").collect()]
+    out = [r.stmt for r in ddl.ordered_new_tables(ddl.statements(df)).orderBy("create_pos", "class_rank", "pos").collect()]
     assert out == ["CREATE TABLE app.t1 (id bigint);",
                    "ALTER TABLE app.t1 ADD CONSTRAINT k PRIMARY KEY (id);",
                    "alter table only app.t1 add foreign key (id) references z(id);",
@@ -30,6 +30,16 @@ def test_ddl_split_classify_order(spark):
                    "CREATE TABLE app.t2 (id int);"]
 
 
+def test_ddl_names_modifiers_and_blanks(spark):
+    scripts = [(1, "\n\n"), (2, ""), (3, None), (4, ';\n\n CREATE UNLOGGED TABLE "app"."t" (i int) ;\n'),
+               (5, '\nCREATE TEMP TABLE IF NOT EXISTS "My T"."a.b" (i int);\nALTER TABLE IF EXISTS ONLY "My T" . "a.b" ADD v int'),
+               (6, "create foreign table x$1.y (i int);\n;\nDROP TABLE z;")]
+    df = spark.createDataFrame(scripts, "script_id long, script string")
+    got = [(r.script_id, r.command, r.table_name, r.stmt[-6:]) for r in ddl.statements(df).orderBy("script_id", "pos").collect()]
+    assert got == [(4, "CREATE", "app.t", "i int)"), (5, "CREATE", '"My T"."a.b"', "i int)"),
+                   (5, "ALTER", '"My T"."a.b"', " v int"), (6, "CREATE", "x$1.y", "i int)"), (6, "OTHER", None, "ABLE z")]
+
+
 def test_message_rules(spark):
     rows = [("f", 1, "myRetirementApp", "7", "", "2026-01-01", '["a","b"]'),
             ("f", 2, "nope", "", "X", "bad", '["a",'),
