@@ -1,7 +1,7 @@
-"""Registered queries: the event ACL as streams (E15-E19). Each query
-lands ``acl_source`` as offset-ordered files in a fresh folder, runs the
-stream with ``availableNow`` (several micro-batches), and returns what the
-sink holds, which must equal the batch result (same oracle SQL)."""
+"""Registered queries: the event ACL as streams (E15-E19). Each query lands
+``acl_source`` as files of offset ranges in a fresh folder, runs the stream with
+``availableNow``, and returns what the sink holds, which must equal the batch
+result (same oracle SQL)."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from relcheck.streaming import acl as st
 
 def _staged(spark, d):
     path = new_scratch(spark, "acl-source")
-    st.stage_source_files(fixture(spark, d, "acl_source"), path, "event_id", n_chunks=4)
+    st.stage_source_files(fixture(spark, d, "acl_source"), path, "event_id")
     return path
 
 
@@ -34,11 +34,10 @@ def q_stream_sessions(spark, d):
     return st.session_interactions(spark.read.parquet(out), CFG)
 
 
-def _foreach(spark, d, view_only_path=None):
+def _foreach(spark, d):
     src = _staged(spark, d)
     paths = {k: new_scratch(spark, k) for k in ("valid", "dead", "metrics", "fb-ckpt")}
-    fn = st.dead_letter_writer(paths["valid"], paths["dead"], paths["metrics"], CFG, F.lit(RUN_TS),
-                               view_only_path=view_only_path)
+    fn = st.dead_letter_writer(paths["valid"], paths["dead"], paths["metrics"], CFG, F.lit(RUN_TS))
     st.run_foreach_batch(st.read_events(spark, src), fn, paths["fb-ckpt"])
     return paths
 
@@ -49,15 +48,32 @@ def q_stream_dead_letter(spark, d):
 
 
 def q_stream_metrics(spark, d):
+    """The batch counters of all micro-batches, and the sessions published."""
     p = _foreach(spark, d)
-    return spark.read.parquet(p["metrics"]).groupBy("metric").agg(F.sum("value").alias("value"))
+    counts = spark.read.parquet(p["metrics"]).groupBy("metric").agg(F.sum("value").alias("value"))
+    closed = q_stream_sessions(spark, d).agg(F.count("*").alias("value")).select(F.lit("published").alias("metric"), "value")
+    return counts.unionByName(closed)
 
 
 def q_stream_reload(spark, d):
-    """View-only list kept in a table that is re-read by every micro-batch."""
-    lst = new_scratch(spark, "view-only")
+    """The view-only list is a table, read anew by every micro-batch, and
+    changes while the query runs: 'click' joins it after the first batch. Even
+    events are delivered first, odd ones second, a delivery a batch."""
+    src, lst = new_scratch(spark, "acl-source"), new_scratch(spark, "view-only")
+    events = fixture(spark, d, "acl_source")
+    for rest in (0, 1):  # two deliveries
+        st.stage_source_files(events.where(F.col("event_id") % 2 == rest), src, "event_id", n_files=2)
     spark.createDataFrame([(c,) for c in CFG.view_only], "event_type_cd string").write.parquet(lst)
-    p = _foreach(spark, d, view_only_path=lst)
+    p = {k: new_scratch(spark, k) for k in ("valid", "dead", "metrics", "fb-ckpt")}
+    write = st.dead_letter_writer(p["valid"], p["dead"], p["metrics"], CFG, F.lit(RUN_TS), view_only_path=lst)
+
+    def then_change(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 0:
+            changed = batch.sparkSession.createDataFrame([(c,) for c in [*CFG.view_only, "click"]], "event_type_cd string")
+            changed.write.mode("overwrite").parquet(lst)
+
+    st.run_foreach_batch(st.read_events(spark, src, max_files_per_trigger=2), then_change, p["fb-ckpt"])
     return spark.read.parquet(p["valid"]).select("event_id", "event_event_type_cd")
 
 
@@ -73,5 +89,7 @@ ORACLE = {
     "acl_stream_stateless": ACL_ORACLE["acl_map_v1"],
     "acl_stream_sessions": ACL_ORACLE["acl_sessions"],
     "acl_stream_dead_letter": ACL_ORACLE["acl_dead_letter"],
-    "acl_stream_metrics": ACL_ORACLE["acl_metrics"].split("\nUNION ALL SELECT 'published'")[0],
+    "acl_stream_metrics": ACL_ORACLE["acl_metrics"],
+    "acl_stream_reload": f"""SELECT event_id, event_event_type_cd FROM ({ACL_ORACLE["acl_map_v1"]})
+WHERE event_id % 2 = 0 OR event_event_type_cd IS DISTINCT FROM 'click'""",
 }

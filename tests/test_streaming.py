@@ -23,11 +23,11 @@ def test_sessions_stream_with_restart(spark):
     mid = src.agg(F.max("event_id")).first()[0] // 2
     lo = src.where(F.col("event_id") < mid)
     hi = src.where(F.col("event_id") >= mid)
-    st.stage_source_files(lo, path, "event_id", n_chunks=3)
-    st.run_available_now(st.sessions_stream(st.read_events(spark, path), CFG), out, ck)
+    st.stage_source_files(lo, path, "event_id", n_files=3)
+    st.run_available_now(st.sessions_stream(st.read_events(spark, path, 1), CFG), out, ck)
     first = spark.read.parquet(out).count()
-    st.stage_source_files(hi, path, "event_id", n_chunks=2)   # new files arrive; query restarts
-    st.run_available_now(st.sessions_stream(st.read_events(spark, path), CFG), out, ck)
+    st.stage_source_files(hi, path, "event_id", n_files=2)   # new files arrive; query restarts
+    st.run_available_now(st.sessions_stream(st.read_events(spark, path, 1), CFG), out, ck)
     got = st.session_interactions(spark.read.parquet(out), CFG)
     rows = {tuple(r[c] for c in got.columns) for r in got.collect()}
     exp = _batch_sessions(spark)
@@ -35,10 +35,21 @@ def test_sessions_stream_with_restart(spark):
     assert {r[:2] for r in rows} == {r[:2] for r in exp}
 
 
+def test_end_codes_from_a_table_of_any_size(spark):
+    src = fixture(spark, SF, "acl_source")
+    path, out, ck = (new_scratch(spark, n) for n in ("src", "out", "ckpt"))
+    st.stage_source_files(src, path, "event_id")
+    codes = spark.range(20_000).selectExpr("concat('code', id) AS c").union(spark.sql("SELECT 'purchase'"))
+    cfg = ev.AclConfig(end_codes=codes)
+    st.run_available_now(st.sessions_stream(st.read_events(spark, path), cfg), out, ck)
+    got = st.session_interactions(spark.read.parquet(out), CFG)
+    assert {tuple(r[:2]) for r in got.collect()} == {r[:2] for r in _batch_sessions(spark)}
+
+
 def test_foreach_batch_outputs_add_up(spark):
     src = fixture(spark, SF, "acl_source")
     path = new_scratch(spark, "src")
-    st.stage_source_files(src, path, "event_id", n_chunks=3)
+    st.stage_source_files(src, path, "event_id", n_files=3)
     p = {k: new_scratch(spark, k) for k in ("valid", "dead", "metrics", "ck")}
     fn = st.dead_letter_writer(p["valid"], p["dead"], p["metrics"], CFG, F.lit("t"))
     st.run_foreach_batch(st.read_events(spark, path), fn, p["ck"])
@@ -59,10 +70,10 @@ def test_view_only_list_reloaded_per_batch(spark):
     p = {k: new_scratch(spark, k) for k in ("valid", "dead", "metrics", "ck")}
     spark.createDataFrame([("view",)], "c string").write.parquet(lst)
     fn = st.dead_letter_writer(p["valid"], p["dead"], p["metrics"], CFG, F.lit("t"), view_only_path=lst)
-    st.stage_source_files(src.where(F.col("event_id") < mid), path, "event_id", n_chunks=1)
+    st.stage_source_files(src.where(F.col("event_id") < mid), path, "event_id", n_files=1)
     st.run_foreach_batch(st.read_events(spark, path), fn, p["ck"])
     spark.createDataFrame([("view",), ("click",)], "c string").write.mode("overwrite").parquet(lst)
-    st.stage_source_files(src.where(F.col("event_id") >= mid), path, "event_id", n_chunks=1)
+    st.stage_source_files(src.where(F.col("event_id") >= mid), path, "event_id", n_files=1)
     st.run_foreach_batch(st.read_events(spark, path), fn, p["ck"])
     out = spark.read.parquet(p["valid"])
     early = out.where(F.col("event_id") < mid).where("event_event_type_cd = 'click'").count()
@@ -73,7 +84,7 @@ def test_view_only_list_reloaded_per_batch(spark):
 def test_observed_counters(spark):
     src = fixture(spark, SF, "acl_source")
     path, out, ck = (new_scratch(spark, n) for n in ("src", "out", "ckpt"))
-    st.stage_source_files(src, path, "event_id", n_chunks=2)
+    st.stage_source_files(src, path, "event_id", n_files=2)
     q = (st.stateless(st.read_events(spark, path), CFG, observe_name="acl").writeStream.format("parquet")
          .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
     q.awaitTermination(600)
