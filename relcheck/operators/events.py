@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from relcheck.functions.text import trim_ws
 from relcheck.functions.time import iso8601_utc
-from relcheck.operators.common import broadcast_if_small
 
 # Fixed values from the interaction spec.
 SOURCE_TOPIC = "MyRetirement"
@@ -56,7 +55,7 @@ DESTINATION_SCHEMA = T.StructType([
 @dataclass
 class AclConfig:
     """Config lists may be Python lists (become IN literals) or DataFrames
-    read from a config table (joined, broadcast after a size check)."""
+    read from a config table (joined; the planner broadcasts it when its size allows)."""
     view_only: object = field(default_factory=lambda: ["view"])
     end_codes: object = field(default_factory=lambda: ["purchase"])
     enum_map: object = field(default_factory=lambda: {
@@ -65,12 +64,12 @@ class AclConfig:
     source_topic: str = SOURCE_TOPIC
 
 
-def _flag_in(df: DataFrame, col: str, values, flag: str) -> DataFrame:
+def flag_in(df: DataFrame, col: str, values, flag: str) -> DataFrame:
     """Add boolean ``flag`` = df[col] is in the config list (null -> False)."""
     if isinstance(values, DataFrame):
         lst = values.select(F.col(values.columns[0]).alias("_v")).distinct() \
             .withColumn(flag, F.lit(True))
-        out = df.join(broadcast_if_small(lst), df[col] == lst["_v"], "left").drop("_v")
+        out = df.join(lst, df[col] == lst["_v"], "left").drop("_v")
         return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
     return df.withColumn(flag, F.coalesce(F.col(col).isin(list(values)), F.lit(False)))
 
@@ -80,7 +79,7 @@ def filter_view_only(df: DataFrame, view_only, col: str = "event_type_cd") -> Da
     code never matches, so it reaches validation and the dead letters."""
     if isinstance(view_only, DataFrame):
         lst = view_only.select(F.col(view_only.columns[0]).alias("_v")).distinct()
-        return df.join(broadcast_if_small(lst), df[col] == lst["_v"], "left_anti")
+        return df.join(lst, df[col] == lst["_v"], "left_anti")
     return df.where(~F.coalesce(F.col(col).isin(list(view_only)), F.lit(False)))
 
 
@@ -141,11 +140,12 @@ def map_event_type(df: DataFrame, enum_map, default: str = DEFAULT_EVENT_TYPE,
                    col: str = "application_software", out: str = "event_type",
                    keep_flag: bool = False) -> DataFrame:
     """E5: enum by lookup with default. A dict becomes a literal map (no
-    join); a DataFrame (code, value) is a size-checked broadcast left join."""
+    join); a DataFrame (code, value) is a left join, broadcast by the planner
+    when its size allows."""
     if isinstance(enum_map, DataFrame):
         k, v = enum_map.columns[:2]
         lk = enum_map.groupBy(F.col(k).alias("_k")).agg(F.min(v).alias("_mapped"))  # one value per code
-        res = df.join(broadcast_if_small(lk), df[col] == lk["_k"], "left").drop("_k")
+        res = df.join(lk, df[col] == lk["_k"], "left").drop("_k")
     else:
         m = F.create_map(*[F.lit(x) for kv in enum_map.items() for x in kv]) if enum_map else \
             F.create_map().cast("map<string,string>")
@@ -236,7 +236,7 @@ def schema_compliance(df: DataFrame, schema: T.StructType, key_col: str,
 
 
 def _end_flag(df: DataFrame, end_codes) -> DataFrame:
-    return _flag_in(df, "event_type_cd", end_codes, "is_end")
+    return flag_in(df, "event_type_cd", end_codes, "is_end")
 
 
 # Offsets per chunk in the skew-safe session plan: a (key, chunk) group
@@ -301,7 +301,7 @@ def open_sessions(valid: DataFrame, end_codes) -> DataFrame:
 def event_counts(source: DataFrame, cfg: AclConfig) -> DataFrame:
     """E12 (event part): received, filtered view-only, validation failures,
     dead-lettered, transformed, in one pass over the source."""
-    f = _flag_in(source, "event_type_cd", cfg.view_only, "is_view_only")
+    f = flag_in(source, "event_type_cd", cfg.view_only, "is_view_only")
     t = trim_strings(f)
     v = t.withColumn("_bad", F.size(validation_reasons()) > 0)
     kept = ~F.col("is_view_only")

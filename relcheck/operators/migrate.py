@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relcheck.operators.common import broadcast_if_small
 
 
 def dedup_reference(ref: DataFrame, code_col: str = "event_type_cd",
@@ -19,8 +18,8 @@ def backfill_description(events: DataFrame, ref: DataFrame, code_col: str = "eve
                          desc_col: str = "event_type_description") -> DataFrame:
     """fill the description from the reference by code; rows already
     filled keep their value, so a second run changes nothing. The
-    de-duplicated reference is broadcast only after a size check."""
-    r = broadcast_if_small(dedup_reference(ref, code_col, desc_col))
+    planner broadcasts the de-duplicated reference when its size allows."""
+    r = dedup_reference(ref, code_col, desc_col)
     j = events.join(r, code_col, "left")
     return j.withColumn(desc_col, F.coalesce(F.col(desc_col), F.col("_ref_desc"))).drop("_ref_desc") \
         .select(*events.columns)
@@ -35,6 +34,15 @@ def backfill_report(backfilled: DataFrame, code_col: str = "event_type_cd",
         F.count_if(F.col(desc_col).isNull()).alias("n_unresolved"))
 
 
+def backfill_proof(before: DataFrame, after: DataFrame, desc_col: str = "event_type_description") -> DataFrame:
+    """the migration's proof as (metric, value): rows before and after
+    (they must agree), and rows filled before and after."""
+    def counts(df: DataFrame, when: str) -> DataFrame:
+        c = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(desc_col).isNotNull()).alias("filled"))
+        return c.select(F.inline(F.array(*[F.struct(F.lit(f"{m}_{when}").alias("metric"), F.col(m).alias("value")) for m in ("rows", "filled")])))
+    return counts(before, "before").unionByName(counts(after, "after"))
+
+
 def dto_projection(events: DataFrame, id_col: str = "event_id",
                    desc_col: str = "event_type_description") -> DataFrame:
     """API shape: ``event_type_code`` kept for compatibility, always null;
