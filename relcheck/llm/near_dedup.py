@@ -100,8 +100,9 @@ def prefix_pairs(items: DataFrame, percent: int) -> DataFrame:
     rare to common; a set's prefix is what it must share some of with any set
     that is alike enough. With a shared shingle at places i and j (from 0), the
     sets share 1 + min(n - i, m - j) - 1 at most."""
-    often = items.groupBy("s").agg(F.count("*").alias("df"))
-    placed = (items.join(often.where("df > 1"), "s", "left").groupBy("node", "twin", "comp", "n")
+    # staged, so that both sides of the joins are exchanges, which a hot shingle can split
+    often = staged(items.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "often")
+    placed = (items.join(often, "s", "left").groupBy("node", "twin", "comp", "n")
               .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("ordered")))
     length = F.expr(f"cast(n - (n * {int(percent)} + 99) div 100 + 1 as int)")
     index = placed.select("node", "comp", "n", F.posexplode(F.slice("ordered", F.lit(1), length)).alias("i", "c")) \
@@ -109,7 +110,7 @@ def prefix_pairs(items: DataFrame, percent: int) -> DataFrame:
     index = staged(index, "prefixes")
     # within a list most members are often one component: it is only the right-hand side
     largest = index.groupBy("s", "comp").agg(F.count("*").alias("k")).groupBy("s").agg(F.max_by("comp", F.struct("k", "comp")).alias("mass"), F.count("*").alias("comps")).where("comps > 1")
-    index = index.join(largest.select("s", "mass"), "s")
+    index = index.join(staged(largest.select("s", "mass"), "mass"), "s")
     left = index.where("comp != mass").select("s", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("i").alias("ix"))
     right = index.select("s", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"), F.col("i").alias("iy"), "mass")
     most = F.least(F.col("nx") - F.col("ix"), F.col("ny") - F.col("iy"))
