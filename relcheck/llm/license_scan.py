@@ -8,10 +8,12 @@ follow each other, with nothing but unknown sentences between them that the
 rule allows. All in column expressions inside the document: no shuffle, no
 join, no explode.
 
-A sentence may hold a notice among other words (a notice set into a line), so
-the map looks for the known sentence as a run of whole words. Known sentences
-and rules are parameters with the defaults below; both are literals in the
-plan, so their size is bounded by what a caller writes.
+A sentence may hold notices among other words, so all known sentences that
+stand in it as runs of whole words count, in the order they begin; only what
+lies inside a longer one is left out. They are found by one pass of one
+expression, a tree of their words, over the whole text. Known sentences and
+rules are parameters with the defaults below; both are literals in the plan,
+so their size is bounded by what a caller writes.
 
 Defined results: null and empty texts have no sentences and no licence; the
 same rule matched twice counts twice in n_matches but once in ``licenses``;
@@ -65,26 +67,63 @@ RULES = (
 )
 #: A sentence ends at a line break or at a mark that white space follows.
 BREAK = r"[\n\r]+|[.!?]+(?=\s|$)"
+#: What stands between two words, and between two words of one sentence.
+EDGE, GLUE = "[ \x01]", " "
+#: Around what ``marked`` puts in; a normalised text has neither.
+OPEN, CLOSE = "\x03", "\x04"
 
 
-def sentences(text: str = "text") -> Column:
-    """The normalised sentences of a text, in order, empty ones left out."""
+def normalised(text: str = "text") -> Column:
+    """The words of a text: one space between two, \\x01 where a sentence ends."""
     low = F.lower(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    marked = F.regexp_replace(low, BREAK, "\x01")
-    plain = F.regexp_replace(marked, r"[^\p{L}\p{N}\x01]+", " ")
-    return F.filter(F.transform(F.split(plain, "\x01"), lambda s: F.trim(s)), lambda s: s != "")
+    plain = F.regexp_replace(F.regexp_replace(low, BREAK, "\x01"), r"[^\p{L}\p{N}\x01]+", " ")
+    return F.trim(F.regexp_replace(plain, " ?\x01[ \x01]*", "\x01"), F.lit(" \x01"))
 
 
-def identifier(sentence: Column, known: dict[str, str]) -> Column:
-    """The known sentence found in this one as whole words: the longest, then
-    the first by name; '-' where there is none."""
-    framed = F.concat(F.lit(" "), sentence, F.lit(" "))
-    order = sorted(known, key=lambda k: (-len(known[k]), k))
-    test = [(F.contains(framed, F.lit(f" {known[k]} ")), k) for k in order]
-    out = F.when(test[0][0], F.lit(test[0][1]))
-    for cond, k in test[1:]:
-        out = out.when(cond, F.lit(k))
-    return out.otherwise(F.lit("-"))
+def any_known(known: dict[str, str]) -> str:
+    """An expression for the place before a known sentence, in group 1 its
+    words: the longest that begins there, none that lies inside a longer one."""
+    glued = {t: t.replace(" ", GLUE) for t in known.values()}
+    tree: dict = {}
+    for t in glued:
+        node = tree
+        for word in t.split(" "):
+            node = node.setdefault(word, {})
+        node[""] = t
+
+    def outside(t: str) -> str:
+        out = f"(?={EDGE})"
+        for longer in glued:
+            at = f" {longer} ".find(f" {t} ", 1)
+            while at > 0:
+                head, tail = longer[:at].replace(" ", GLUE), longer[at + len(t):].replace(" ", GLUE)
+                out += f"(?!(?<={EDGE}{head}{glued[t]}){tail}{EDGE})"
+                at = f" {longer} ".find(f" {t} ", at + 1)
+        return out
+
+    def after(node: dict) -> str:
+        ways = [f"{GLUE}{w}{after(n)}" for w, n in sorted(node.items()) if w]
+        return "(?:" + "|".join(ways + ([outside(node[""])] if "" in node else [])) + ")"
+
+    return f"(?<={EDGE})(?=(" + "|".join(w + after(n) for w, n in sorted(tree.items())) + "))"
+
+
+def marked(plain: Column, known: dict[str, str]) -> Column:
+    """The text with OPEN identifier CLOSE before every known sentence."""
+    names = {t: k for k, t in sorted(known.items(), reverse=True)}
+    of = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    parts = F.split(F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), any_known(known), f"{OPEN}$1{CLOSE}"), OPEN)
+
+    def named(part: Column) -> Column:
+        end = F.instr(part, CLOSE)
+        return F.when(end > 0, F.concat(F.lit(OPEN), of[F.substring(part, 1, end - 1)], F.substring(part, end, F.length(part)))).otherwise(part)
+
+    return F.when(F.size(parts) == 1, plain).otherwise(F.array_join(F.transform(parts, named), ""))
+
+
+def identifiers(sentence: Column) -> Column:
+    """The identifiers that ``marked`` put into this part of a text, in order."""
+    return F.regexp_extract_all(sentence, F.lit(f"{OPEN}([^{CLOSE}]+)"), F.lit(1))
 
 
 def license_scan(docs: DataFrame, text: str = "text", known: dict[str, str] | None = None, rules: tuple | None = None,
@@ -93,15 +132,19 @@ def license_scan(docs: DataFrame, text: str = "text", known: dict[str, str] | No
     licenses array<string>, n_matches long). ``sentence_ids``: place:identifier
     of the known sentences, from 0."""
     known, rules = known or SENTENCES, rules or RULES
-    rows = docs.select(row_of(docs, carry), sentences(text).alias("sentences"))
-    seq = F.transform("sentences", lambda s: identifier(s, known))
-    rows = rows.select("row", F.size("sentences").cast("long").alias("n_sentences"), seq.alias("ids"))
-    line = F.concat(F.lit(" "), F.concat_ws(" ", "ids"), F.lit(" "))
+    rows = docs.select(row_of(docs, carry), normalised(text).alias("plain"))
+    rows = rows.select("row", "plain", marked(F.col("plain"), known).alias("text"))
+    n = F.when(F.col("plain") == "", 0).otherwise(F.regexp_count("plain", F.lit("\x01")) + 1)
+    places = F.flatten(F.transform(F.split("text", "\x01"), lambda s, i: F.transform(identifiers(s), lambda x: F.concat(i.cast("string"), F.lit(":"), x))))
+    seq = F.transform(F.split("text", "\x01"), lambda s: F.coalesce(F.nullif(F.array_join(identifiers(s), " "), F.lit("")), F.lit("-")))
+    some = F.contains("text", F.lit(OPEN))
+    rows = rows.select("row", n.cast("long").alias("n_sentences"), F.when(some, F.concat_ws(",", places)).otherwise("").alias("sentence_ids"),
+                       F.when(some, F.concat(F.lit(" "), F.concat_ws(" ", seq), F.lit(" "))).otherwise("").alias("line"))
+    line = F.col("line")
     matches = [(name, licence, F.regexp_count(line, F.lit(rule_pattern(ids, gap)))) for name, licence, ids, gap in rules]
     found = F.array(*[F.when(n > 0, F.lit(name)) for name, _, n in matches])
     of = F.array(*[F.when(n > 0, F.lit(licence)) for _, licence, n in matches])
-    places = F.filter(F.transform("ids", lambda x, i: F.when(x != "-", F.concat(i.cast("string"), F.lit(":"), x))), lambda x: x.isNotNull())
-    return rows.select("row", "n_sentences", F.concat_ws(",", places).alias("sentence_ids"),
+    return rows.select("row", "n_sentences", "sentence_ids",
                        F.array_compact(found).alias("rules"), F.array_sort(F.array_distinct(F.array_compact(of))).alias("licenses"),
                        reduce(lambda a, b: a + b, [n.cast("long") for _, _, n in matches]).alias("n_matches"))
 

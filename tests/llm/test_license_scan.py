@@ -38,6 +38,23 @@ def test_equals_brute_force(spark):
     assert out[2][3] == ["MIT"] and out[3][3] == [] and out[4][3] == ["CC-BY-NC-4.0", "GPL-3.0"]
 
 
+def test_several_notices_in_one_sentence(spark):
+    texts = ["Released under the MIT License, documentation licensed under CC BY 4.0.", "Released under the MIT License, all rights reserved",
+             "x. All rights reserved, released under the MIT License, all rights reserved. y",
+             MIT.replace("Do as you like. ", "").replace(". ", ", ").replace("\n", " ")]
+    out = license_scan(docs_of(spark, texts)).orderBy("row.doc_id").collect()
+    assert [r.licenses for r in out] == [["CC-BY-4.0", "MIT"], ["MIT", "Proprietary"], ["MIT", "Proprietary"], ["MIT"]]
+    assert out[2].sentence_ids == "1:all_rights,1:mit_released,1:all_rights" and out[2].n_matches == 3 and out[3].rules == ["mit_full"]
+
+
+def test_only_what_lies_inside_a_longer_one_is_left_out(spark):
+    known = {"ab": "a b", "b": "b", "bc": "b c", "xabc": "x a b c", "cd": "c d"}
+    rules = (("two", "L", ("ab", "bc"), 0),)
+    out = license_scan(docs_of(spark, ["a b c", "x a b c d", "x a b", "b a b c d b", "xa b c"]), known=known, rules=rules).orderBy("row.doc_id").collect()
+    assert [r.sentence_ids for r in out] == ["0:ab,0:bc", "0:xabc,0:cd", "0:ab", "0:b,0:ab,0:bc,0:cd,0:b", "0:bc"]
+    assert [r.n_matches for r in out] == [1, 0, 0, 1, 0]
+
+
 def test_counts_and_edges(spark):
     assert license_scan(docs_of(spark, ["Released under the MIT License. Released under the MIT License."])).first().n_matches == 2
     out = license_scan(edge_docs(spark)).collect()
