@@ -1,7 +1,8 @@
 """Operator 3 [native]: licence notices by sentence rules.
 
 Method: texts are cut into sentences, sentences are normalised (small letters,
-only letters and digits, single spaces), each is mapped to the identifier of a
+only letters and digits, single spaces; a sentence may be wrapped over lines,
+and the marks of a comment are no letters), each is mapped to the identifier of a
 known licence sentence or to none, and the document's sequence of identifiers
 is matched against ordered licence rules: a rule holds when its sentences
 follow each other, with nothing but unknown sentences between them that the
@@ -65,19 +66,25 @@ RULES = (
     ("cc_by", "CC-BY-4.0", ("cc_by_line",), 0),
     ("reserved", "Proprietary", ("all_rights",), 0),
 )
-#: A sentence ends at a line break or at a mark that white space follows.
-BREAK = r"[\n\r]+|[.!?]+(?=\s|$)"
-#: What stands between two words, and between two words of one sentence.
-EDGE, GLUE = "[ \x01]", " "
+#: A mark that ends a sentence: white space follows. A blank line (one without
+#: letters and digits, as in a framed comment) ends one too; a single line break
+#: does not, but it does end a part: parts are what is counted and numbered.
+MARK = r"[.!?]+(?=\s|$)"
+#: A run of spaces, line breaks (\n) and marks (\x01) that ends a sentence.
+STOP = "[ \n\x01]*(?:\x01|\n ?\n)[ \n\x01]*"
+#: What stands between two words, between two words of one sentence, and
+#: between two parts.
+EDGE, GLUE, BREAK = "[ \n\x01]", "[ \n]", "[\n\x01]"
 #: Around what ``marked`` puts in; a normalised text has neither.
 OPEN, CLOSE = "\x03", "\x04"
 
 
 def normalised(text: str = "text") -> Column:
-    """The words of a text: one space between two, \\x01 where a sentence ends."""
-    low = F.lower(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    plain = F.regexp_replace(F.regexp_replace(low, BREAK, "\x01"), r"[^\p{L}\p{N}\x01]+", " ")
-    return F.trim(F.regexp_replace(plain, " ?\x01[ \x01]*", "\x01"), F.lit(" \x01"))
+    """The words of a text, with one character between two: \\x01 where a
+    sentence ends, \\n at any other line break, a space elsewhere."""
+    low = F.regexp_replace(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), MARK, "\x01")
+    plain = F.regexp_replace(F.regexp_replace(low, "\r\n?", "\n"), r"[^\p{L}\p{N}\n\x01]+", " ")
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, STOP, "\x01"), " ?\n ?", "\n"), F.lit(" \n\x01"))
 
 
 def any_known(known: dict[str, str]) -> str:
@@ -116,7 +123,7 @@ def marked(plain: Column, known: dict[str, str]) -> Column:
 
     def named(part: Column) -> Column:
         end = F.instr(part, CLOSE)
-        return F.when(end > 0, F.concat(F.lit(OPEN), of[F.substring(part, 1, end - 1)], F.substring(part, end, F.length(part)))).otherwise(part)
+        return F.when(end > 0, F.concat(F.lit(OPEN), of[F.translate(F.substring(part, 1, end - 1), "\n", " ")], F.substring(part, end, F.length(part)))).otherwise(part)
 
     return F.when(F.size(parts) == 1, plain).otherwise(F.array_join(F.transform(parts, named), ""))
 
@@ -130,12 +137,13 @@ def license_scan(docs: DataFrame, text: str = "text", known: dict[str, str] | No
                  carry: list[str] | None = None) -> DataFrame:
     """(row, n_sentences long, sentence_ids string, rules array<string>,
     licenses array<string>, n_matches long). ``sentence_ids``: place:identifier
-    of the known sentences, from 0."""
+    of the known sentences, from 0. Places and ``n_sentences`` count parts, which
+    every line break ends; a known sentence has the place where it begins."""
     known, rules = known or SENTENCES, rules or RULES
     rows = docs.select(row_of(docs, carry), normalised(text).alias("plain"))
     rows = rows.select("row", "plain", marked(F.col("plain"), known).alias("text"))
-    n = F.when(F.col("plain") == "", 0).otherwise(F.regexp_count("plain", F.lit("\x01")) + 1)
-    places = F.flatten(F.transform(F.split("text", "\x01"), lambda s, i: F.transform(identifiers(s), lambda x: F.concat(i.cast("string"), F.lit(":"), x))))
+    n = F.when(F.col("plain") == "", 0).otherwise(F.regexp_count("plain", F.lit(BREAK)) + 1)
+    places = F.flatten(F.transform(F.split("text", BREAK), lambda s, i: F.transform(identifiers(s), lambda x: F.concat(i.cast("string"), F.lit(":"), x))))
     seq = F.transform(F.split("text", "\x01"), lambda s: F.coalesce(F.nullif(F.array_join(identifiers(s), " "), F.lit("")), F.lit("-")))
     some = F.contains("text", F.lit(OPEN))
     rows = rows.select("row", n.cast("long").alias("n_sentences"), F.when(some, F.concat_ws(",", places)).otherwise("").alias("sentence_ids"),

@@ -7,6 +7,50 @@ MIT = ("Permission is hereby granted, free of charge, to any person obtaining a
        "Do as you like. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n"
        "THE SOFTWARE IS PROVIDED \"AS IS\", without warranty of any kind!")
 
+# headers as files have them, wrapped
+WRAPPED_MIT = """Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY."""
+WRAPPED_GPL = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+ */"""
+WRAPPED_BSD = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+#
+# 1. Redistributions of source code must retain the above copyright notice,
+#    this list of conditions and the following disclaimer.
+#
+# 2. Redistributions in binary form must reproduce the above copyright notice,
+#    this list of conditions and the following disclaimer in the documentation
+#    and/or other materials provided with the distribution.
+#
+# 3. Neither the name of the copyright holder nor the names of its
+#    contributors may be used to endorse or promote products derived from
+#    this software without specific prior written permission."""
+WRAPPED_APACHE = """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+// You may obtain a copy of the License at
+//
+//     http://www.apache.org/licenses/LICENSE-2.0"""
+
 
 def brute(text):
     parts = [re.sub(r"[^\w]+|_", " ", s).strip() for s in re.split(r"[\n\r]+|[.!?]+(?=\s|$)", (text or "").lower())]
@@ -38,6 +82,24 @@ def test_equals_brute_force(spark):
     assert out[2][3] == ["MIT"] and out[3][3] == [] and out[4][3] == ["CC-BY-NC-4.0", "GPL-3.0"]
 
 
+def test_wrapped_headers(spark):
+    texts = [WRAPPED_MIT, WRAPPED_GPL, WRAPPED_BSD, WRAPPED_APACHE]
+    for end in ("\n", "\r\n", "\r"):
+        out = license_scan(docs_of(spark, [t.replace("\n", end) for t in texts])).orderBy("row.doc_id").collect()
+        assert [[r for r in o.rules if r.endswith(("_full", "_3"))] for o in out] == [["mit_full"], ["gpl_full"], ["bsd_3"], ["apache_full"]]
+        assert [len(o.licenses) for o in out] == [1] * 4
+    assert [r.n_sentences for r in out] == [brute(t)[0] for t in texts]
+    assert out[3].sentence_ids == "0:apache_line,1:apache_may,2:apache_copy"
+
+
+def test_sentences_end_at_marks_and_blank_lines(spark):
+    texts = ["Released under\nthe MIT License", "Released under\n\nthe MIT License", "Released under\n * \nthe MIT License", "Released under. The MIT License",
+             "Released under\x01the MIT License", "a\nb\nreleased\nunder the\n// MIT License c", "Released under \n the MIT\r\nLicense", "Released under!\nthe MIT License"]
+    out = license_scan(docs_of(spark, texts)).orderBy("row.doc_id").collect()
+    assert ["mit_released" in r.sentence_ids for r in out] == [True, False, False, False, False, True, True, False]
+    assert out[5].sentence_ids == "2:mit_released" and [r.n_sentences for r in out] == [2, 2, 2, 2, 2, 5, 3, 2]
+
+
 def test_several_notices_in_one_sentence(spark):
     texts = ["Released under the MIT License, documentation licensed under CC BY 4.0.", "Released under the MIT License, all rights reserved",
              "x. All rights reserved, released under the MIT License, all rights reserved. y",
