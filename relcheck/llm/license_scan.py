@@ -24,6 +24,7 @@ care; the caller's columns travel in one struct, so none can clash.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,10 @@ SENTENCES = {
     "gpl_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
     "gpl_hope": "this program is distributed in the hope that it will be useful but without any warranty",
     "bsd_redistribute": "redistribution and use in source and binary forms with or without modification are permitted",
+    "bsd_endorse": "used to endorse or promote products",
+    "bsd_advertising": "all advertising materials mentioning features or use of this software must display the following",
+    "bsd_disclaim": "any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "apache_end_user": "the end user documentation included with the redistribution if any must include the following",
     "bsd_no_endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
     "cc_by_nc_line": "licensed under cc by nc 4 0",
     "cc_by_sa_line": "licensed under cc by sa 4 0",
@@ -61,11 +66,70 @@ RULES = (
     ("gpl3_short", "GPL-3.0", ("gpl3_line",), 0),
     ("gpl_full", "GPL", ("gpl_free", "gpl_hope"), 3),
     ("bsd_3", "BSD-3-Clause", ("bsd_redistribute", "bsd_no_endorse"), 6),
+    ("bsd_3_other", "BSD-3-Clause", ("bsd_redistribute", "bsd_endorse"), 6),
+    ("bsd_2", "BSD-2-Clause", ("bsd_redistribute", "bsd_disclaim"), 6),
+    ("bsd_4", "BSD-4-Clause", ("bsd_redistribute", "bsd_advertising"), 6),
+    ("apache_1_1", "Apache-1.1", ("bsd_redistribute", "apache_end_user"), 6),
     ("cc_by_nc", "CC-BY-NC-4.0", ("cc_by_nc_line",), 0),
     ("cc_by_sa", "CC-BY-SA-4.0", ("cc_by_sa_line",), 0),
     ("cc_by", "CC-BY-4.0", ("cc_by_line",), 0),
     ("reserved", "Proprietary", ("all_rights",), 0),
 )
+#: Short forms by licence, each a known sentence and a rule of its
+#: own. A name without version gives the family (GPL, BSD, ...).
+SHORT = {
+    "MIT": ("the mit license", "mit license", "mit licence", "mit licensed"),
+    "Apache-2.0": ("apache license version 2 0", "apache license 2 0", "apache license v2 0", "apache 2 0 license", "apache 2 0 licence"),
+    "Apache": ("apache license",),
+    "GPL-2.0": ("gnu general public license version 2", "gnu general public license v2", "version 2 of the gnu general public license",
+                "gnu gpl version 2", "gpl version 2", "gpl v2", "gplv2", "gpl 2 0"),
+    "GPL-3.0": ("gnu general public license version 3", "gnu general public license v3", "version 3 of the gnu general public license",
+                "gnu gpl version 3", "gpl version 3", "gpl v3", "gplv3", "gpl 3 0"),
+    "GPL": ("gnu general public license", "gnu gpl"),
+    "LGPL-2.1": ("gnu lesser general public license version 2 1", "gnu lesser general public license v2 1", "lgpl version 2 1", "lgpl v2 1", "lgplv2 1", "lgpl 2 1"),
+    "LGPL-3.0": ("gnu lesser general public license version 3", "gnu lesser general public license v3", "lgpl version 3", "lgpl v3", "lgplv3", "lgpl 3 0"),
+    "LGPL": ("gnu lesser general public license", "gnu library general public license", "gnu lgpl"),
+    "AGPL-3.0": ("gnu affero general public license version 3", "gnu affero general public license v3", "agpl version 3", "agpl v3", "agplv3", "agpl 3 0"),
+    "AGPL": ("gnu affero general public license", "gnu agpl"),
+    "MPL-2.0": ("this source code form is subject to the terms of the mozilla public license", "mozilla public license version 2 0",
+                "mozilla public license 2 0", "mozilla public license v2 0", "mpl 2 0"),
+    "MPL": ("mozilla public license",),
+    "ISC": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+            "isc license", "isc licence"),
+    "0BSD": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",),
+    "BSD-2-Clause": ("bsd 2 clause", "2 clause bsd license", "simplified bsd license"),
+    "BSD-3-Clause": ("bsd 3 clause", "3 clause bsd license", "new bsd license", "revised bsd license", "modified bsd license"),
+    "BSD": ("bsd license", "bsd licence"),
+    "Unlicense": ("this is free and unencumbered software released into the public domain", "the unlicense"),
+    "CC0-1.0": ("cc0 1 0", "cc0"),
+    "CC-BY-4.0": ("cc by 4 0", "creative commons attribution 4 0"),
+    "CC-BY-SA-4.0": ("cc by sa 4 0", "creative commons attribution sharealike 4 0"),
+    "CC-BY-NC-4.0": ("cc by nc 4 0", "creative commons attribution noncommercial 4 0"),
+}
+#: Identifiers behind SPDX-License-Identifier. One that goes on
+#: ("-only", "-or-later") counts as its beginning, unless it is listed too.
+SPDX_MARK = "spdx license identifier"
+SPDX = ("MIT", "MIT-0", "MIT-CMU", "MIT-Modern-Variant", "Apache-1.1", "Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0",
+        "AGPL-1.0", "AGPL-3.0", "MPL-1.1", "MPL-2.0", "ISC", "0BSD", "BSD-2-Clause", "BSD-2-Clause-Patent", "BSD-3-Clause", "BSD-3-Clause-Clear",
+        "BSD-4-Clause", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0",
+        "EPL-1.0", "EPL-2.0", "BSL-1.0", "Zlib", "WTFPL")
+
+
+def short_rules() -> tuple[dict[str, str], tuple]:
+    """Known sentences and rules of SHORT and SPDX; a sentence that SENTENCES
+    has already keeps its identifier."""
+    known, rules, names = {}, [], {t: k for k, t in SENTENCES.items()}
+    forms = [(t, lic, f"{re.sub('[^a-z0-9]+', '_', lic.lower())}_name{i}") for lic, all_ in SHORT.items() for i, t in enumerate(all_)]
+    forms += [(f"{SPDX_MARK} {re.sub('[^a-z0-9]+', ' ', s.lower())}", s, f"spdx_{re.sub('[^a-z0-9]+', '_', s.lower())}") for s in SPDX]
+    for t, lic, name in forms:
+        k = names.get(t, name)
+        known[k] = t
+        rules.append((k, lic, (k,), 0))
+    return known, tuple(rules)
+
+
+SENTENCES |= short_rules()[0]
+RULES += short_rules()[1]
 #: A mark that ends a sentence: white space follows. A blank line (one without
 #: letters and digits, as in a framed comment) ends one too; a single line break
 #: does not, but it does end a part: parts are what is counted and numbered.
@@ -87,6 +151,13 @@ def normalised(text: str = "text") -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(plain, STOP, "\x01"), " ?\n ?", "\n"), F.lit(" \n\x01"))
 
 
+def each_spdx(plain: Column) -> Column:
+    """SPDX_MARK set again before what follows an 'or' or 'and' on its line, so
+    that every licence of an expression counts."""
+    joined = f" (?:or|and) (?<={SPDX_MARK} [^\n\x01]{{1,200}})"
+    return F.when(F.contains(plain, F.lit(SPDX_MARK)), F.regexp_replace(plain, joined, f"$0{SPDX_MARK} ")).otherwise(plain)
+
+
 def any_known(known: dict[str, str]) -> str:
     """An expression for the place before a known sentence, in group 1 its
     words: the longest that begins there, none that lies inside a longer one."""
@@ -141,7 +212,7 @@ def license_scan(docs: DataFrame, text: str = "text", known: dict[str, str] | No
     every line break ends; a known sentence has the place where it begins."""
     known, rules = known or SENTENCES, rules or RULES
     rows = docs.select(row_of(docs, carry), normalised(text).alias("plain"))
-    rows = rows.select("row", "plain", marked(F.col("plain"), known).alias("text"))
+    rows = rows.select("row", "plain", marked(each_spdx(F.col("plain")), known).alias("text"))
     n = F.when(F.col("plain") == "", 0).otherwise(F.regexp_count("plain", F.lit(BREAK)) + 1)
     places = F.flatten(F.transform(F.split("text", BREAK), lambda s, i: F.transform(identifiers(s), lambda x: F.concat(i.cast("string"), F.lit(":"), x))))
     seq = F.transform(F.split("text", "\x01"), lambda s: F.coalesce(F.nullif(F.array_join(identifiers(s), " "), F.lit("")), F.lit("-")))

@@ -100,6 +100,26 @@ def test_sentences_end_at_marks_and_blank_lines(spark):
     assert out[5].sentence_ids == "2:mit_released" and [r.n_sentences for r in out] == [2, 2, 2, 2, 2, 5, 3, 2]
 
 
+def test_short_forms(spark):
+    cases = {"Licensed under the MIT License": ["MIT"], "MIT License\n\nCopyright": ["MIT"], "// SPDX-License-Identifier: MIT": ["MIT"],
+             "SPDX-License-Identifier: MIT-0": ["MIT-0"], "# SPDX-License-Identifier: GPL-2.0-or-later\nx": ["GPL-2.0"], "SPDX-License-Identifier: BSD-3-Clause-Clear": ["BSD-3-Clause-Clear"],
+             "/* SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC */\nand gpl": ["Apache-2.0", "ISC", "MIT"], "SPDX-License-Identifier: CC-BY-NC-SA-4.0": ["CC-BY-NC-SA-4.0"],
+             "licensed under the GNU General Public License, version 2.": ["GPL-2.0"], "under the GNU Lesser General Public\nLicense v2.1 or later": ["LGPL-2.1"],
+             "GNU Affero General Public License": ["AGPL"], "AGPLv3": ["AGPL-3.0"], "see the GNU GPL": ["GPL"], "Apache License\nVersion 2.0, January 2004": ["Apache-2.0"],
+             "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not": ["MPL-2.0"],
+             "This is free and unencumbered software released into the public domain.": ["Unlicense"], "the BSD 2-Clause License": ["BSD-2-Clause"],
+             "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": ["ISC"],
+             "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.": ["0BSD"],
+             WRAPPED_BSD.replace("# 3. Neither the name of the copyright holder nor the names of its", "# 3. Neither the name of Some Firm nor the names of its"): ["BSD-3-Clause"],
+             WRAPPED_BSD[:WRAPPED_BSD.index("# 3.")] + "# THIS SOFTWARE IS PROVIDED BY X \"AS IS\" AND\n# ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED\n"
+             "# WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.": ["BSD-2-Clause"],
+             "permit licenses, limit license and smit license": []}
+    out = license_scan(docs_of(spark, list(cases))).orderBy("row.doc_id").collect()
+    assert {t: r.licenses for t, r in zip(cases, out, strict=True)} == cases
+    assert len(set(SENTENCES.values())) == len(SENTENCES) and all(set(ids) <= set(SENTENCES) for _, _, ids, _ in RULES)
+    assert len({name for name, *_ in RULES}) == len(RULES) and {x for _, _, ids, _ in RULES for x in ids} == set(SENTENCES)
+
+
 def test_several_notices_in_one_sentence(spark):
     texts = ["Released under the MIT License, documentation licensed under CC BY 4.0.", "Released under the MIT License, all rights reserved",
              "x. All rights reserved, released under the MIT License, all rights reserved. y",
