@@ -17,8 +17,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the smallest id."""
-    return near_dedup.first_of_each(docs)
+    """One document of each group of near-duplicate texts, the smallest id;
+    different texts under one id stay, rows without id are compared as well."""
+    return near_dedup.one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

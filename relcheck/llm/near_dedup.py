@@ -40,10 +40,10 @@ FEW_NODES = 1_000_000
 PERCENT, WORDS = 75, 5
 
 
-def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS) -> DataFrame:
+def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, own: str | None = None) -> DataFrame:
     """(id, twin, n_shingles, set_key binary, bands array<long>); sets without
     shingles have a null set_key. ``twin``: a hash of the text, so that rows
-    that repeat a doc_id can be told apart."""
+    that repeat a doc_id can be told apart. ``own``: one more column to carry."""
     def work():
         hashes = WordHashes()
 
@@ -57,8 +57,9 @@ def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", words:
             return [n, keys, bands]
         return do
 
-    rows = whole(docs, text, id=F.col(f"`{key}`")).select("id", F.xxhash64("body").alias("twin"), "body")
-    return arrow_pass(rows, "n_shingles long, set_key binary, bands array<long>", work, keep=["id", "twin"])
+    more = [own] if own else []
+    rows = whole(docs, text, id=F.col(f"`{key}`"), **{c: F.col(f"`{c}`") for c in more}).select("id", F.xxhash64("body").alias("twin"), "body", *more)
+    return arrow_pass(rows, "n_shingles long, set_key binary, bands array<long>", work, keep=["id", "twin", *more])
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, text: str, key: str, words: int) -> DataFrame:
@@ -120,15 +121,16 @@ def prefix_pairs(items: DataFrame, percent: int) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """(id, twin, n_shingles, component, kept): one row a row of ``docs``."""
-    signed = staged(signatures(docs, text, key, words), "signatures")
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT, words: int = WORDS, own: str | None = None) -> DataFrame:
+    """(id, twin, n_shingles, component, kept): one row a row of ``docs``.
+    ``own``: one more column to carry, for keys that many equal rows share."""
+    signed = staged(signatures(docs, text, key, words, own), "signatures")
     named = signed.where("set_key is not null and id is not null")
     rep = F.min(F.struct("id", "twin"))
     classes = staged(named.groupBy("set_key").agg(rep.alias("rep")).select("set_key", F.col("rep.id").alias("node"), F.col("rep.twin").alias("twin")), "classes")
     # bands of each class, from its first document
-    bands = (named.join(classes.withColumnsRenamed({"set_key": "of", "twin": "of_twin"}), (F.col("set_key") == F.col("of")) & (F.col("id") == F.col("node")) & (F.col("twin") == F.col("of_twin")))
-             .select("node", "twin", F.explode("bands").alias("band")))
+    bands = named.join(classes.withColumnsRenamed({"set_key": "of", "twin": "of_twin"}), (F.col("set_key") == F.col("of")) & (F.col("id") == F.col("node")) & (F.col("twin") == F.col("of_twin")))
+    bands = (bands.dropDuplicates(["node"]) if own else bands).select("node", "twin", F.explode("bands").alias("band"))
     # staged, so that both sides of the join are exchanges, which a hot bucket can split
     heads = staged(bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last").select("band", "head"), "heads")
     met = staged(bands.join(heads, "band"), "met")  # the members of every bucket of two or more
@@ -149,7 +151,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     groups = staged(components(links), "groups").withColumnRenamed("node", "of_node")
     by_class = classes.join(groups, F.col("node") == F.col("of_node"), "left").select(F.col("set_key").alias("of_key"), F.coalesce("component", "node").alias("component"))
     out = signed.join(by_class, F.col("set_key") == F.col("of_key"), "left").select(
-        "id", "twin", "n_shingles", F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("component", "id")).alias("component"))
+        *([own] if own else []), "id", "twin", "n_shingles", F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("component", "id")).alias("component"))
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component")))
 
 
@@ -166,3 +168,26 @@ def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", perc
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     one = left.join(again, same, "left_semi").groupBy(F.col(f"`{key}`").alias("_id")).agg(F.min_by(row, F.xxhash64(row)).alias("_row")).select("_row.*")
     return left.join(again, same, "left_anti").unionByName(one)
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """The documents that stay, own columns: one row of each component of
+    texts, that of the smallest id, then text hash, then row hash. A node is an
+    id with its text's hash, so equal ids alone neither link nor drop texts, and
+    null ids (the last to stay) are compared like others. A text without words
+    is linked with nothing; rows equal in id and text are one document."""
+    id_, twin = F.col(f"`{key}`"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
+    nodes = docs.select(F.xxhash64(F.lit(1), id_.cast("string"), id_.isNull(), twin).alias("node"), id_.alias("own"), F.col(f"`{text}`").alias("text"))
+    verdict = staged(near_duplicates(nodes, "text", "node", percent, words, own="own"), "verdict")
+    rank = F.struct(F.col("own").isNull().alias("last"), "own", "twin")
+    named = verdict.groupBy("component", "own", "twin").agg(F.count("*").alias("n"))  # a row a node
+    named = staged(named.select("component", "n", rank.alias("rank")), "named")
+    best = named.groupBy("component").agg(F.min("rank").alias("best"))
+    judged = staged(named.join(best, "component").select(F.col("rank.own").alias("_id"), F.col("rank.twin").alias("_twin"), "n", (F.col("rank") == F.col("best")).alias("stays")), "judged")
+    same = id_.eqNullSafe(F.col("_id")) & (twin == F.col("_twin"))
+    left = docs.join(judged.where("not stays or n > 1").select("_id", "_twin"), same, "left_anti")
+    # staged, so that many equal rows are aggregated where they are read and not in one task
+    again = staged(docs.join(judged.where("stays and n > 1").select("_id", "_twin"), same, "left_semi"), "again")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = again.groupBy(id_.alias("_id"), twin.alias("_twin")).agg(F.min_by(row, F.xxhash64(row)).alias("_row")).select("_row.*")
+    return left.unionByName(one)

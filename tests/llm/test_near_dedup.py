@@ -5,7 +5,7 @@ import numpy as np
 
 from relcheck.llm.circulant import signature, word_set
 from relcheck.llm.components import components
-from relcheck.llm.near_dedup import first_of_each, near_duplicates, prefix_pairs
+from relcheck.llm.near_dedup import first_of_each, near_duplicates, one_of_each, prefix_pairs
 from relcheck.llm.shared import WordHashes
 from tests.llm.helpers import docs_of, edge_docs, edge_rows, no_docs, prose
 
@@ -72,6 +72,32 @@ def test_first_of_each_keeps_one(spark):
     assert first_of_each(no_docs(spark)).count() == 0
 
 
+def test_one_of_each_keeps_different_texts_of_one_id(spark):
+    docs = edge_docs(spark)
+    left = one_of_each(docs)
+    assert left.columns == docs.columns
+    rows = left.select("doc_id", "text").collect()
+    ids = [r.doc_id for r in rows]
+    assert ids.count(12) == 2 and ids.count(13) == 1 and ids.count(6) == 1 and not {7, 8, 9} & set(ids)
+    assert [r.text for r in rows if r.doc_id is None] == [None]  # the other is a copy of 6
+    assert {1, 2, 3, 4, 5, 10, 11, 14, 15} <= set(ids)
+    assert one_of_each(no_docs(spark)).count() == 0
+
+
+def test_one_of_each_with_one_id_on_many_rows(spark):
+    base, lone = prose(99, 90).split(), [prose(s, 60) for s in range(20, 26)]
+    same = [" ".join(base[:i] + [f"new{i}"] + base[i + 1:]) for i in range(20, 80, 10)]
+    rows = [(7, t) for t in lone + same[:3] + lone[:2] + ["", "", " \n"]] + [(None, t) for t in same + lone[2:4] * 3 + [prose(40, 70)] * 5] + [(5, lone[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in one_of_each(docs).collect()), key=str)
+    linked = brute(list(enumerate(same)))
+    assert len({c for _, _, c in linked}) == 1  # the six are one group
+    group = [r for r in got if r[1] in same]
+    assert len(group) == 1 and group[0][0] == 7
+    want = [(5, lone[0])] + [(7, t) for t in lone[1:]] + [(7, ""), (7, " \n"), (None, prose(40, 70))] + group
+    assert got == sorted(want, key=str)
+
+
 def test_signature_estimates_similarity():
     h = WordHashes()
     a, b = (word_set(t.encode(), h) for t in near_copies(40)[3:5])
