@@ -47,7 +47,8 @@ def words_of(text: bytes) -> list[bytes]:
 
 def item_blocks(benchmark: DataFrame, n: int, text: str, item: str, block_words: int):
     """The benchmark as lists of (item id, words), a bounded block at a time.
-    Items are dealt to blocks by hash, as many as the words ask for."""
+    Distinct pieces are dealt to blocks by the hash of item and words, as many
+    as the words ask for; a block of more than ``block_words`` is split."""
     def work():
         def do(texts, _):
             out = []
@@ -58,12 +59,22 @@ def item_blocks(benchmark: DataFrame, n: int, text: str, item: str, block_words:
         return do
 
     rows = whole(benchmark, text, item=F.coalesce(F.col(f"`{item}`").cast("string"), F.lit("null"))).drop("row")
-    pieces = arrow_pass(rows, "pieces array<string>, n long", work, keep=["item"]).select("item", F.posexplode("pieces").alias("i", "words"))
+    pieces = arrow_pass(rows, "pieces array<string>, n long", work, keep=["item"]).select("item", F.explode("pieces").alias("words")).distinct()
     pieces = staged(pieces.withColumn("n", F.size(F.split("words", " "))), "pieces")
     total = pieces.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-2 * total // block_words))
-    for b in range(blocks):
-        yield [(r.item, r.words.encode().split()) for r in pieces.where(F.pmod(F.xxhash64("item", "i"), F.lit(blocks)) == b).select("item", "words").collect()]
+    pieces = pieces.withColumn("h", F.xxhash64("item", "words"))
+    size = [F.sum("n").alias("size"), F.count("*").alias("k")]
+    todo = [(blocks, *r) for r in pieces.groupBy(F.pmod("h", F.lit(blocks))).agg(*size).collect()]
+    if not todo:
+        yield []
+    while todo:
+        of, b, held, k = todo.pop()
+        part = pieces.where(F.pmod("h", F.lit(of)) == b)
+        if held > block_words and k > 1 and of < 1 << 61:
+            todo += [(2 * of, *r) for r in part.groupBy(F.pmod("h", F.lit(2 * of))).agg(*size).collect()]
+        else:
+            yield [(r.item, r.words.encode().split()) for r in part.select("item", "words").collect()]
 
 
 def scanned(rows: DataFrame, block: list[tuple[str, list[bytes]]], n: int, keep: list[str], hits_only: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@ import random
 import re
 
 from relcheck.llm.automaton import Automaton
-from relcheck.llm.decontaminate import contamination, cut, decontaminated, words_of
+from relcheck.llm.decontaminate import contamination, cut, decontaminated, item_blocks, words_of
 from tests.llm.helpers import UPPER, docs_of, edge_docs, edge_rows, no_docs, prose
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -65,6 +65,15 @@ def test_edges(spark):
     assert contamination(no_docs(spark), bench(spark, items)).count() == 0
 
 
+def test_blocks_are_bounded_when_rows_share_an_id(spark):
+    texts = [prose(500 + i, 15) for i in range(25)]
+    rows = [(1, t) for t in texts] + [(None, t) for t in texts] + [(1, texts[0])] * 20
+    blocks = list(item_blocks(bench(spark, rows), 10, "text", "item_id", 120))
+    held = [(item, b" ".join(ws)) for block in blocks for item, ws in block]
+    assert max(sum(len(ws) for _, ws in block) for block in blocks) <= 120
+    assert sorted(held) == sorted((item, b" ".join(words_of(t.encode()))) for item in ("1", "null") for t in texts)
+
+
 def test_cut_removes_the_passage_and_keeps_clean_documents(spark):
     item, before, after = prose(300, 40), prose(301, 60), prose(302, 60)
     docs = docs_of(spark, [f"{before} {item} {after}", item, before, None])
