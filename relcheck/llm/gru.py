@@ -13,7 +13,7 @@ import numpy as np
 from relcheck.llm.shared import mix64
 
 WORD_ROWS, GRAM_ROWS, WIDTH, HIDDEN = 1 << 15, 1 << 14, 8, 8
-WINDOW, STRIDE = 64, 48
+WINDOW, STRIDE = 64, 32
 #: Letters and digits in small letters; other ASCII becomes a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 MOST_WORDS, WORD_BYTES = 150_000, 48

@@ -53,7 +53,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text: str = "text", key:
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
              threshold: float = THRESHOLD, toxic: int = TOXIC, clean: int = CLEAN, carry: list[str] | None = None) -> DataFrame:
     """(row, held_out, score, predicted, window): ``window`` is the number of
-    the 64-word window that gave the score (every 48 words one starts)."""
+    the 64-word window that gave the score (every 32 words one starts)."""
     sample = labelled_sample(docs, labels, text, key, label, toxic, clean)
     model = docs.sparkSession.sparkContext.broadcast(gru.train([t for t, _ in sample], [y for _, y in sample]))
 

@@ -73,3 +73,9 @@ def test_edges(spark):
     none = toxicity(edge_docs(spark), labels.limit(0)).collect()
     assert len({r.score for r in none}) == 1
     assert toxicity(no_docs(spark), labels).count() == 0
+
+
+def test_a_passage_of_half_a_window_is_whole_in_some_window():
+    half = gru.WINDOW // 2
+    for n in (32, 40, 64, 65, 96, 200, 331):
+        assert all(any(a <= at and at + half <= a + gru.WINDOW for a in gru.window_starts(n)) for at in range(n - half + 1))
