@@ -1,4 +1,4 @@
-"""String helpers used by the operators."""
+"""String helpers used by the operators."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Catalog assembly (B1-B23): landed catalog rows of many databases into
+"""Catalog assembly (B1-B23, of B20 kind, schema and name only): landed catalog rows of many databases into
 the per-object shapes the drift checks compare. Everything is one join or
 one aggregation over all tables at once.
 
