@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relcheck.llm import (decontaminate, license_scan, mixing, near_dedup, pii, quality, sharding, substring_dedup,
-                          token_counts, toxicity)
+from relcheck.llm import (decontaminate, license_scan, mixing, near_dedup, pii, quality, sharding, simhash,
+                          substring_dedup, token_counts, toxicity)
 from relcheck.sources.tables import table
 
 DOC_ID = "row.doc_id"
@@ -72,8 +72,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(DOC_ID, "held_out", "score", "predicted")
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+                      F.col("component").alias("component_id"))
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_license_scan, op4_personal_data, op5_near_dedup,
-                                   op6_decontaminate, op7_sharding, op8_quality, op9_mixing, op10_toxicity)}
+                                   op6_decontaminate, op7_sharding, op8_quality, op9_mixing, op10_toxicity, op13_simhash)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"'[^\x20\x09-\x0D]+'"
