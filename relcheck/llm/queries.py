@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relcheck.llm import (decontaminate, license_scan, mixing, near_dedup, pii, quality, sharding, simhash,
+from relcheck.llm import (decontaminate, license_scan, mixing, near_dedup, periodic_runs, pii, quality, sharding, simhash,
                           substring_dedup, token_counts, toxicity)
 from relcheck.sources.tables import table
 
@@ -72,6 +72,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(DOC_ID, "held_out", "score", "predicted")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), carry=["doc_id"], mark=F.crc32(F.col("doc_id").cast("string").cast("binary")),
+                                      rewrite=periodic_runs.repeated_tail)
+    best = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS back, -r.period AS less)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return out.withColumn("best", best).select(
+        DOC_ID, F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.less")).alias("period"), F.expr("1000 * best.length div -best.less").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -79,7 +90,7 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_license_scan, op4_personal_data, op5_near_dedup,
-                                   op6_decontaminate, op7_sharding, op8_quality, op9_mixing, op10_toxicity, op13_simhash)}
+                                   op6_decontaminate, op7_sharding, op8_quality, op9_mixing, op10_toxicity, op11_periodic_runs, op13_simhash)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"'[^\x20\x09-\x0D]+'"

@@ -22,7 +22,7 @@ def con():
 
 
 def test_one_query_an_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in OPS) == [*range(1, 11), 13]
+    assert sorted(int(k[2:].split("_")[0]) for k in OPS) == [*range(1, 12), 13]
     assert "pipeline" in E.queries()
 
 
