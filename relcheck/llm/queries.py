@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relcheck.llm import (decontaminate, license_scan, mixing, near_dedup, periodic_runs, pii, quality, sharding, simhash,
+from relcheck.llm import (conversation_repair, decontaminate, license_scan, mixing, near_dedup, periodic_runs, pii, quality, sharding, simhash,
                           substring_dedup, token_counts, toxicity)
 from relcheck.sources.tables import table
 
@@ -83,6 +83,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = table(spark, sf_dir, "conversations")
+    made = conversation_repair.repair(conversation_repair.damaged(convs))
+    texts = conversation_repair.digests(made.rows).select(F.col("conv").alias("hashed"), F.col("sha256").alias("hash"))
+    out = convs.select("conv_id").distinct().join(made.verdict, F.col("conv_id").eqNullSafe(F.col("conv")), "left") \
+               .join(texts, F.col("conv_id").eqNullSafe(F.col("hashed")), "left")
+    sums = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *sums, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("hash", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -90,7 +100,8 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_license_scan, op4_personal_data, op5_near_dedup,
-                                   op6_decontaminate, op7_sharding, op8_quality, op9_mixing, op10_toxicity, op11_periodic_runs, op13_simhash)}
+                                   op6_decontaminate, op7_sharding, op8_quality, op9_mixing, op10_toxicity, op11_periodic_runs,
+                                   op12_conversation_repair, op13_simhash)}
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"'[^\x20\x09-\x0D]+'"
@@ -237,3 +248,59 @@ below AS (
   FROM edge e JOIN upto u ON u.source IS NOT DISTINCT FROM e.source AND u.k = e.k JOIN budget b ON b.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, own AS source_size, target, (size * (whole_times + CASE WHEN k < coalesce(below, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM sized s JOIN budget b ON s.source IS NOT DISTINCT FROM b.source LEFT JOIN below t ON s.source IS NOT DISTINCT FROM t.source"""
+
+#: Costs and letters of a conversation's rest as one text, the cost in seven
+#: digits: the least text is the cheapest, then the first in ASCII.
+def _with(rest: str, cost: str, letter: str) -> str:
+    return f"lpad((left({rest}, 7)::INT + {cost})::VARCHAR, 7, '0') || '{letter}' || substr({rest}, 8)"
+
+
+def _row_step(state: str, keeps: dict[str, str], to: str) -> str:
+    keep = "".join(f", CASE WHEN NOT gone AND initial = '{i}' THEN {_with('w.' + q, 'cut', 'K')} END" for i, q in keeps.items())
+    return f"least({_with('w.' + state, '2', 'D')}{keep}, CASE WHEN NOT gone THEN {_with('w.' + to, '1 + cut', 'R')} END) AS {state}"
+
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLE["op12_conversation_repair"] = f"""
+WITH RECURSIVE crc_table AS MATERIALIZED (
+  SELECT list(v ORDER BY n) AS t FROM (SELECT n, list_reduce(list_prepend(n::BIGINT, range(0, 8)),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v FROM range(0, 256) r(n))),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+harmed AS MATERIALIZED (
+  SELECT k.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS harm FROM keyed k, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM harmed WHERE harm <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, rtrim(text, {_SPACE}) AS body FROM damaged),
+judged AS MATERIALIZED (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial, body = '' AS blank,
+    body <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, right(body, 1) NOT IN ('.', '!', '?') AS open_end,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM placed),
+r AS MATERIALIZED (SELECT *, blank OR again AS gone, CASE WHEN open_end THEN 5 ELSE 0 END AS cut FROM judged),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+    count(*) FILTER (NOT gone AND open_end) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM r GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, n + 1 AS i, '0000000' AS e, '0000010II' AS s, '0000005I' AS u, '0000000' AS a FROM counted
+  UNION ALL
+  SELECT conv_id, i, least(e, {_with('u', '5', 'I')}) AS e, least(s, {_with('u', '5', 'I')}) AS s, u, a FROM (
+    SELECT conv_id, i, e, s, least(u, {_with('a', '5', 'I')}) AS u, least(a, {_with('u', '5', 'I')}) AS a FROM (
+      SELECT w.conv_id, r.i, {_row_step('e', {'s': 's', 'u': 'u'}, 'u')}, {_row_step('s', {'u': 'u'}, 'u')}, {_row_step('u', {'a': 'a'}, 'a')}, {_row_step('a', {'u': 'u'}, 'u')}
+      FROM walk w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i - 1))),
+best AS MATERIALIZED (SELECT conv_id, left(e, 7)::BIGINT AS cost, substr(e, 8) AS audit FROM walk WHERE i = 1),
+letters AS (SELECT conv_id, p, audit[p:p] AS x FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM best)),
+spots AS (
+  SELECT conv_id, x, count(*) FILTER (x <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i, count(*) FILTER (x <> 'D') OVER (PARTITION BY conv_id ORDER BY p) AS place FROM letters),
+left_rows AS (SELECT t.*, r.role, r.text, r.initial FROM spots t LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM t.conv_id AND r.i = t.i WHERE x <> 'D'),
+turned AS (SELECT *, max(CASE WHEN place = 1 AND x = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS has_system FROM left_rows),
+lines AS (
+  SELECT conv_id, place, CASE WHEN x = 'K' THEN role WHEN (place - has_system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE text END AS line FROM turned),
+hashed AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY place)) AS sha FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM o.conv_id"""
