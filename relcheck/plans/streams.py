@@ -77,7 +77,25 @@ def q_stream_reload(spark, d):
     return spark.read.parquet(p["valid"]).select("event_id", "event_event_type_cd")
 
 
+def q_stream_end_codes(spark, d):
+    """The end-code list changes while the query runs: up to the middle offset
+    'purchase' ends a session, from there on 'click' does. Events and changes are
+    each delivered in two parts, a part a micro-batch."""
+    src, lst = new_scratch(spark, "acl-source"), new_scratch(spark, "end-codes")
+    events = fixture(spark, d, "acl_source")
+    middle = events.agg(F.max("event_id")).first()[0] // 2
+    versions = [[(0, "purchase", True)], [(middle, "purchase", False), (middle, "click", True)]]
+    for rows, part in zip(versions, (F.col("event_id") < middle, F.col("event_id") >= middle), strict=True):
+        spark.createDataFrame(rows, st.CHANGES_SCHEMA).coalesce(1).write.mode("append").parquet(lst)
+        st.stage_source_files(events.where(part), src, "event_id", n_files=1)
+    out, ck = new_scratch(spark, "end-codes-out"), new_scratch(spark, "end-codes-ckpt")
+    closed = st.sessions_stream(st.read_events(spark, src, 1), CFG, changes=st.read_changes(spark, lst, 1))
+    st.run_available_now(closed, out, ck)
+    return st.session_interactions(spark.read.parquet(out), CFG)
+
+
 QUERIES = {
+    "acl_stream_end_codes": q_stream_end_codes,
     "acl_stream_stateless": q_stream_stateless,
     "acl_stream_sessions": q_stream_sessions,
     "acl_stream_dead_letter": q_stream_dead_letter,
@@ -86,6 +104,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "acl_stream_end_codes": ACL_ORACLE["acl_sessions"].replace("event_type_cd IN ('purchase') GROUP", """
+  event_type_cd = CASE WHEN event_id < (SELECT max(event_id) // 2 FROM acl_source) THEN 'purchase' ELSE 'click' END GROUP"""),
     "acl_stream_stateless": ACL_ORACLE["acl_map_v1"],
     "acl_stream_sessions": ACL_ORACLE["acl_sessions"],
     "acl_stream_dead_letter": ACL_ORACLE["acl_dead_letter"],

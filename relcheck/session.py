@@ -12,13 +12,15 @@ from pyspark.sql import SparkSession
 
 # Settings that matter at scale as much as locally: AQE re-plans joins and
 # coalesces/splits skewed shuffle partitions at runtime; UTC keeps ISO-8601
-# output stable; Arrow speeds up the one pandas stateful processor.
+# output stable; Arrow moves batches to and from Python; workers talk to the JVM
+# through files, not ports.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.unix.domain.socket.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -2,13 +2,12 @@
 
 * stateless stages: the batch functions of ``relcheck.operators.events``
   applied to a streaming DataFrame (E15);
-* sessions: ``groupBy(customer, session).applyInPandasWithState`` - one
-  small state per key (open: earliest time so far; closed: a tombstone so
-  later events of that key are ignored), checkpointed, so it survives a
-  restart (E16);
+* sessions on the state processor, the state in RocksDB (E16; see
+  ``relcheck.streaming.sessions``);
 * valid + dead-letter outputs from one read with ``foreachBatch``, writes
   keyed by ``batch_id`` so a replayed batch overwrites itself (E17);
-* config lists re-read from a path inside every micro-batch (E18);
+* the view-only list re-read from a path inside every micro-batch, the
+  end-code list as a stream of changes that meets the events (E18);
 * per-batch counters written to a metrics table, one partition per batch
   (E19).
 
@@ -18,20 +17,13 @@ one small state row a key, and closed ones a tombstone, as the spec asks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from relcheck.operators import events as ev
+from relcheck.streaming import sessions as ss
 
-SESSION_OUT = ("customer_id string, session_id string, interaction_start_us long, event_id long, "
-               "application_software string, event_ts_us long, client_id string, event_type_cd string, "
-               "event_response_txt string")
-SESSION_STATE = "closed boolean, min_ts_us long, n_events long"
+CHANGES_SCHEMA = "from_event_id long, event_type_cd string, active boolean"
 
 
 # ---------------------------------------------------------------- sources
@@ -76,59 +68,45 @@ def stateless(stream: DataFrame, cfg: ev.AclConfig, observe_name: str | None = N
 
 
 # ---------------------------------------------------------------- E16
-def _session_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One key's events of a batch, chunk by chunk. Kept between chunks: the
-    first end event so far, and offset and time of events that may precede it."""
-    closed, min_ts, n = (state.get if state.exists else (False, None, 0))
-    if closed:
-        return  # tombstone: everything after the close is ignored (rule 7)
-    end, at, ts, seen = None, [], [], 0
-    for p in pdfs:
-        seen += len(p)
-        ends = p[p["is_end"]]
-        if len(ends):
-            first = ends.loc[ends["event_id"].idxmin()]
-            end = first if end is None or first["event_id"] < end["event_id"] else end
-        before = p if end is None else p[p["event_id"] <= end["event_id"]]
-        at.append(before["event_id"].to_numpy())
-        ts.append(before["event_ts_us"].to_numpy())
-    at, ts = np.concatenate(at), np.concatenate(ts)
-    if end is not None:
-        at, ts = at[at <= end["event_id"]], ts[at <= end["event_id"]]
-    start = min([int(ts.min())] + [min_ts] * (min_ts is not None))
-    if end is None:
-        state.update((False, start, n + seen))
-        return
-    state.update((True, None, n + len(at)))
-    yield pd.DataFrame([{
-        "customer_id": key[0], "session_id": key[1], "interaction_start_us": start,
-        "event_id": int(end["event_id"]), "application_software": end["application_software"],
-        "event_ts_us": int(end["event_ts_us"]), "client_id": end["client_id"],
-        "event_type_cd": end["event_type_cd"], "event_response_txt": end["event_response_txt"]}])
-
-
-def sessions_stream(stream: DataFrame, cfg: ev.AclConfig) -> DataFrame:
+def sessions_stream(stream: DataFrame, cfg: ev.AclConfig, changes: DataFrame | None = None, idle: str | None = None,
+                    late: str = "0 seconds", start_from: DataFrame | None = None) -> DataFrame:
     """Closed sessions, one row per (customer, session), as a stream.
     Stateless validation first (same functions as batch); whether an event ends
-    a session is a column before the state step (a literal list, or a join with
-    a list of any size), then one shuffle on the session key into the state
-    processor; mapping afterwards."""
+    a session is a column before the state step: by the configured list (literal,
+    or a join with a table of any size), or by a stream of list ``changes``
+    (E18). ``idle``, ``late``, ``start_from``: see ``sessions.sessions``."""
     kept = ev.filter_view_only(stream, cfg.view_only)
     valid, _ = ev.split_valid(ev.trim_strings(kept))
-    flagged = ev.flag_in(valid, "event_type_cd", cfg.end_codes, "is_end")
-    slim = flagged.select("customer_id", "session_id", "event_id", "application_software",
-                          F.unix_micros(F.col("event_ts").cast("timestamp")).alias("event_ts_us"),
-                          "client_id", "event_type_cd", "event_response_txt", "is_end")
-    out = slim.groupBy("customer_id", "session_id").applyInPandasWithState(
-        _session_step, outputStructType=SESSION_OUT, stateStructType=SESSION_STATE, outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout)
-    return out.select("customer_id", "session_id",
+    flagged = ev.flag_in(valid, "event_type_cd", cfg.end_codes, "is_end") if changes is None else ss.flag_by_changes(valid, changes)
+    out = ss.sessions(flagged, idle, late, start_from)
+    return out.select("customer_id", "session_id", "closed_by", "n_events",
                       F.timestamp_micros("interaction_start_us").alias("interaction_start"),
                       "event_id", "application_software", F.timestamp_micros("event_ts_us").alias("event_ts"),
                       "client_id", "event_type_cd", "event_response_txt")
 
 
+def open_state(valid: DataFrame, end_codes) -> DataFrame:
+    """Open sessions of a batch of events as a table that a stream may start
+    from, so that a job can go on where a batch backfill ended."""
+    at = F.unix_micros(F.col("event_ts").cast("timestamp"))
+    flagged = ev.flag_in(valid, "event_type_cd", end_codes, "is_end")
+    return (flagged.groupBy(*ev.KEY)
+            .agg(F.min(at).alias("start_us"), F.max(at).alias("last_us"), F.count("*").alias("n_events"), F.max("is_end").alias("ended"))
+            .where("not ended").drop("ended"))
+
+
+def read_changes(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The end-code list's changes: from which offset on a code is on the list
+    (``active``) or off it."""
+    reader = spark.readStream.schema(CHANGES_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
+
+
 def session_interactions(closed: DataFrame, cfg: ev.AclConfig) -> DataFrame:
+    """Sessions that an end event closed, as interactions."""
+    closed = closed.where(F.col("closed_by") == ss.BY_END)
     return ev.flatten(ev.to_interaction_v1(closed, cfg.enum_map, cfg.default_event_type,
                                            start_col="interaction_start")).drop("event_id")
 

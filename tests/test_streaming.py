@@ -1,6 +1,8 @@
 """The streaming ACL gives the batch result, for any split into
 micro-batches and across a restart from the checkpoint."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from relcheck.operators import events as ev
@@ -35,6 +37,65 @@ def test_sessions_stream_with_restart(spark):
     assert {r[:2] for r in rows} == {r[:2] for r in exp}
 
 
+NARROW = ("event_id long, application_software string, event_ts timestamp_ntz, customer_id string, client_id string, "
+          "event_type_cd string, event_response_txt string, session_id string")
+HOUR = dt.timedelta(hours=1)
+DAY = dt.datetime(2024, 1, 1)
+
+
+def _events(spark, rows):
+    """rows: (offset, hour, customer, code)"""
+    return spark.createDataFrame([(i, "mra-web", DAY + h * HOUR, c, None, code, None, "s") for i, h, c, code in rows], NARROW)
+
+
+def _sessions_of(spark, batches, cfg=CFG, restart=False, **options):
+    """(customer, closed_by, hour of start, offset of the end) of a stream that
+    gets one file a micro-batch; with ``restart`` each by a new run."""
+    path, out, ck = (new_scratch(spark, n) for n in ("src", "out", "ckpt"))
+    for i, rows in enumerate(batches):
+        st.stage_source_files(_events(spark, rows), path, "event_id", n_files=1)
+        if restart or i == len(batches) - 1:
+            st.run_available_now(st.sessions_stream(st.read_events(spark, path, 1), cfg, **options), out, ck)
+    return sorted(((r.customer_id, r.closed_by, (r.interaction_start - DAY) / HOUR, r.event_id) for r in spark.read.parquet(out).collect()), key=repr)
+
+
+def test_idle_sessions_close_and_stay_closed(spark):
+    batches = [[(1, 0, "a", "click"), (2, 0, "b", "click")],
+               [(3, 2, "b", "click")],             # b goes on in time, a is idle for two hours
+               [(4, 10, "c", "click")],            # time passes: a and b are idle
+               [(5, 10, "a", "purchase"), (6, 10, "b", "purchase"), (7, 10, "c", "purchase")]]
+    want = [("a", "idle", 0.0, None), ("b", "idle", 0.0, None), ("c", "end", 10.0, 7)]
+    assert _sessions_of(spark, batches, idle="3 hours", late="1 hour") == want
+    # a restart keeps timers and tombstones; without a limit nothing is ever idle
+    assert _sessions_of(spark, batches, restart=True, idle="3 hours", late="1 hour") == want
+    assert _sessions_of(spark, batches) == [("a", "end", 0.0, 5), ("b", "end", 0.0, 6), ("c", "end", 10.0, 7)]
+
+
+def test_rows_of_a_batch_in_any_order(spark):
+    batches = [[(5, 5, "a", "purchase"), (2, 2, "a", "click"), (9, 0, "a", "click"), (4, 4, "a", "purchase"), (3, 1, "a", "click")], [(10, 0, "a", "purchase")]]
+    assert _sessions_of(spark, batches) == [("a", "end", 1.0, 4)]
+
+
+def test_start_from_a_table_of_open_sessions(spark):
+    before = _events(spark, [(1, 3, "a", "click"), (2, 1, "a", "click"), (3, 1, "b", "click"), (4, 2, "b", "purchase")])
+    table = st.open_state(before, CFG.end_codes)
+    assert [tuple(r)[:2] for r in table.collect()] == [("a", "s")]
+    got = _sessions_of(spark, [[(5, 8, "a", "purchase"), (6, 9, "c", "purchase")]], start_from=table)
+    assert got == [("a", "end", 1.0, 5), ("c", "end", 9.0, 6)]
+
+
+def test_end_codes_change_in_a_running_stream(spark):
+    """By offset: a change holds for events at or after its offset, whatever
+    batch they come in, and for those processed after it arrived."""
+    lst = new_scratch(spark, "changes")
+    for rows in ([(0, "purchase", True)], [(10, "purchase", False), (10, "click", True), (20, "click", False)]):
+        spark.createDataFrame(rows, st.CHANGES_SCHEMA).coalesce(1).write.mode("append").parquet(lst)
+    batches = [[(1, 0, "a", "click"), (2, 1, "a", "purchase"), (3, 2, "b", "click")],
+               [(9, 3, "c", "purchase"), (11, 4, "d", "purchase"), (12, 5, "b", "click"), (21, 6, "d", "click"), (22, 7, "e", "purchase")]]
+    got = _sessions_of(spark, batches, changes=st.read_changes(spark, lst, 1))
+    assert got == [("a", "end", 0.0, 2), ("b", "end", 2.0, 12), ("c", "end", 3.0, 9)]
+
+
 def test_end_codes_from_a_table_of_any_size(spark):
     src = fixture(spark, SF, "acl_source")
     path, out, ck = (new_scratch(spark, n) for n in ("src", "out", "ckpt"))
