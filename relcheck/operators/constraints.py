@@ -4,7 +4,7 @@ All return findings (``relcheck.operators.findings``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,22 +35,37 @@ def check_not_null(df: DataFrame, table: str, cols: list[str] | None = None) ->
     return _long_to_findings(long, "D1", "column", "0", F.col("n") > 0)
 
 
+def _exact(df: DataFrame, column: str) -> Column:
+    """The column in a type that compares as written: decimals as they are,
+    whole numbers as decimals (so that the least long has an absolute value)."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return F.col(column)
+    return F.col(column).cast("decimal(20,0)" if isinstance(kind, T.IntegralType) else "double")
+
+
+def _at_least(c: Column, power: int) -> Column:
+    """|c| >= 10 ** power, by decimals; no decimal type reaches 10 ** 38."""
+    if power >= 38:
+        return F.abs(c.cast("double")) >= F.lit(10.0 ** power)
+    text = "1" + "0" * power if power >= 0 else "0." + "0" * (-power - 1) + "1"
+    return F.abs(c) >= F.lit(text).cast(f"decimal({max(power, 0) + 1 + max(-power, 0)},{max(-power, 0)})")
+
+
 def check_length_precision(df: DataFrame, table: str, rules: list[dict]) -> DataFrame:
     """Values too long for ``char_max``, or with more integer digits than
     ``num_precision - num_scale`` allows, or more decimals than
     ``num_scale``. One pass for all rules."""
     exprs, names = [], []
     for i, r in enumerate(rules):
-        c = F.col(r["column"])
         if r.get("char_max") is not None:
-            exprs.append(F.count_if(F.length(c) > r["char_max"]).alias(f"_r{i}"))
+            exprs.append(F.count_if(F.length(r["column"]) > r["char_max"]).alias(f"_r{i}"))
             names.append((f"_r{i}", f"{table}.{r['column']}", f"char_max={r['char_max']}"))
         if r.get("num_precision") is not None:
-            p, s = r["num_precision"], r.get("num_scale") or 0
-            exprs.append(F.count_if(F.abs(c) >= F.lit(10.0 ** (p - s))).alias(f"_p{i}"))
+            p, s, c = r["num_precision"], r.get("num_scale") or 0, _exact(df, r["column"])
+            exprs.append(F.count_if(_at_least(c, p - s)).alias(f"_p{i}"))
             names.append((f"_p{i}", f"{table}.{r['column']}", f"num_precision={p},num_scale={s}"))
-            scaled = c * F.lit(10.0 ** s)
-            exprs.append(F.count_if(F.abs(scaled - F.round(scaled)) > F.lit(1e-6)).alias(f"_s{i}"))
+            exprs.append(F.count_if(c != F.round(c, s)).alias(f"_s{i}"))
             names.append((f"_s{i}", f"{table}.{r['column']}", f"num_scale={s}"))
     long = _unpivot_counts(df.agg(*exprs), names)
     return _long_to_findings(long, "D2", "column", "0", F.col("n") > 0)

@@ -1,20 +1,24 @@
 """Canonical document comparison (C15, C16), re-aimed to rows.
 
 A JSON document becomes (doc_id, path, value) leaf rows. Object members give
-paths joined with '.'; a list is order-free, its elements compared as wholes:
-path '[]' and the element's canonical text (object keys sorted, inner lists
-sorted, ignored keys dropped, text of normalised keys collapsed). Empty objects
-and lists are leaves of their own. A text that is no JSON document is one leaf
+paths joined with '.', a '.', '[', ']' or '\\' inside a name behind a '\\', so that
+two places never share a path; a list is order-free, its elements compared as
+wholes: path '[]' and the element's canonical text (object members sorted, inner
+lists sorted, ignored keys dropped, text of normalised keys collapsed). Empty
+objects and lists are leaves of their own, and every member of a repeated key
+counts. Numbers are compared by value (1, 1.0 and 10e-1 are one). A text that is no JSON document is one leaf
 at '$' with the text itself, so it differs from any other. There is no depth
 limit of ours: what the JSON parser cannot nest counts as unparsable.
 
-Two document sets are compared in two steps: the canonical texts of each
-document by hash (one aggregation), then the leaves of the differing ones as
-multisets.
+Two document sets are compared in three steps: the raw texts by hash, in the
+JVM; the canonical texts of the documents that differ so, by hash; the leaves of
+those that still do, as multisets. Where leaves say nothing although the texts
+differ, that is a finding of its own, so no two different documents are equal.
 """
 
 from __future__ import annotations
 
+import decimal
 import json
 import re
 import sys
@@ -30,39 +34,67 @@ WS = re.compile(r"[ \t\n\r\f\v]+")
 LEAF = "array<struct<path:string,value:string>>"
 
 
+NAME = re.compile(r"([.\[\]\\])")
+#: Exponents up to which a number is written out.
+PLAIN = 40
+
+
 class _Number(str):
     """A number as it is written."""
 
 
+class _Members(list):
+    """The (name, value) pairs of an object, in order, repeats included."""
+
+
 def _parse(text: str):
-    return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+    return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number, object_pairs_hook=_Members)
+
+
+def _number(text: str) -> str:
+    """One text for equal values, exact for any number of digits."""
+    try:
+        sign, digits, exponent = decimal.Decimal(text).as_tuple()
+        whole = "".join(map(str, digits)).rstrip("0").lstrip("0")
+        exponent += len(digits) - len("".join(map(str, digits)).rstrip("0"))
+    except (decimal.InvalidOperation, TypeError):  # NaN, Infinity, an exponent beyond any
+        return text
+    if not whole:
+        return "0"
+    minus = "-" * sign
+    if abs(exponent) > PLAIN:
+        return f"{minus}{whole}E{exponent}"
+    if exponent >= 0:
+        return minus + whole + "0" * exponent
+    whole = whole.rjust(1 - exponent, "0")
+    return f"{minus}{whole[:exponent]}.{whole[exponent:]}"
 
 
 def _canonical(v, key: str, drop: frozenset, normal: frozenset) -> str:
     """One text for equal values. Plain recursion over Python frames."""
-    if isinstance(v, dict):
+    if isinstance(v, _Members):
         parts = []
-        for k in sorted(v):
+        for k, x in v:
             if k not in drop:
-                parts.append(json.dumps(k, ensure_ascii=False) + ":" + _canonical(v[k], k, drop, normal))
-        return "{" + ",".join(parts) + "}"
+                parts.append(json.dumps(k, ensure_ascii=False) + ":" + _canonical(x, k, drop, normal))
+        return "{" + ",".join(sorted(parts)) + "}"
     if isinstance(v, list):
         parts = []
         for x in v:
             parts.append(_canonical(x, key, drop, normal))
         return "[" + ",".join(sorted(parts)) + "]"
     if isinstance(v, _Number):
-        return str(v)
+        return _number(v)
     if isinstance(v, str) and key in normal:
         v = WS.sub(" ", v).strip(" ")
     return json.dumps(v, ensure_ascii=False)
 
 
 def _leaves(v, path: str, key: str, drop: frozenset, normal: frozenset, out: list) -> None:
-    if isinstance(v, dict):
-        kept = [k for k in v if k not in drop]
-        for k in kept:
-            _leaves(v[k], f"{path}.{k}", k, drop, normal, out)
+    if isinstance(v, _Members):
+        kept = [(k, x) for k, x in v if k not in drop]
+        for k, x in kept:
+            _leaves(x, path + "." + NAME.sub(r"\\\1", k), k, drop, normal, out)
         if not kept:
             out.append((path, "{}"))
     elif isinstance(v, list) and v:
@@ -78,8 +110,8 @@ def _root(text: str | None, skip: frozenset, only: frozenset):
         root = _parse(text)
     except (ValueError, RecursionError, TypeError):
         return None, "<null>" if text is None else text
-    if isinstance(root, dict):
-        root = {k: x for k, x in root.items() if k not in skip and (not only or k in only)}
+    if isinstance(root, _Members):
+        root = _Members((k, x) for k, x in root if k not in skip and (not only or k in only))
     return root, None
 
 
@@ -142,19 +174,32 @@ def leaf_diff(expected: DataFrame, actual: DataFrame, check_id: str = "C15") ->
 
 
 def document_diff(expected: DataFrame, actual: DataFrame, id_col: str, doc_col: str, check_id: str = "C15", **rules) -> DataFrame:
-    """``leaf_diff`` of the documents whose canonical texts differ: the texts
-    of all documents are hashed and compared first, so equal documents are
-    never flattened and no text of theirs is shuffled."""
+    """``leaf_diff`` of the documents whose canonical texts differ. Documents of
+    equal raw texts are never parsed, documents of equal canonical texts never
+    flattened. A document that differs without a differing leaf is CHANGED at
+    '$', with both hashes."""
     rest = {k: rules.get(k, ()) for k in ("ignore_keys", "ignore_sections", "include_root_keys", "normalize_keys")}
 
-    def hashed(df: DataFrame, side: int) -> DataFrame:
-        text = _column(F.col(doc_col), _text, "string", **rest)
-        return df.select(F.col(id_col).alias("_id"), F.sha2(text, 256).alias("_h"), F.lit(side).alias("_side"))
-
-    per_text = hashed(expected, 1).unionByName(hashed(actual, -1)).groupBy("_id", "_h").agg(F.sum("_side").alias("_more"))
-    odd = per_text.where("_more != 0").select("_id").distinct()
-
-    def flat(df: DataFrame) -> DataFrame:
-        return leaves(df.join(odd, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi"), id_col, doc_col, **rest)
-
-    return leaf_diff(flat(expected), flat(actual), check_id)
+    def hashed(df: DataFrame, side: int, text: Column) -> DataFrame:
+        return df.select(F.col(id_col).alias("_id"), F.sha2(F.coalesce(text, F.lit("<null>")), 256).alias("_h"), F.lit(side).alias("_side"))
+
+    def uneven(e: DataFrame, a: DataFrame, text: Column) -> DataFrame:
+        both = hashed(e, 1, text).unionByName(hashed(a, -1, text))
+        return both.groupBy("_id", "_h").agg(F.sum("_side").alias("_more")).where("_more != 0")
+
+    def only(df: DataFrame, ids: DataFrame) -> DataFrame:
+        return df.join(ids, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+
+    raw = uneven(expected, actual, F.col(doc_col)).select("_id").distinct()
+    canonical = uneven(only(expected, raw), only(actual, raw), _column(F.col(doc_col), _text, "string", **rest))
+    odd = canonical.select("_id").distinct()
+    found = leaf_diff(*(leaves(only(df, odd), id_col, doc_col, **rest) for df in (expected, actual)), check_id)
+
+    sides = canonical.groupBy(F.col("_id").cast("string").alias("object_key")).agg(
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("_more") > 0, F.col("_h")))), ",").alias("expected"),
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("_more") < 0, F.col("_h")))), ",").alias("actual"))
+    told = found.select(F.col("object_key").alias("_told")).distinct()
+    untold = sides.join(told, F.col("object_key").eqNullSafe(F.col("_told")), "left_anti").select(
+        F.lit(check_id).alias("check_id"), F.lit("document").alias("object_kind"), "object_key", F.lit("$").alias("field"),
+        F.lit("CHANGED").alias("status"), "expected", "actual")
+    return found.unionByName(untold.select(*FINDINGS_COLS))

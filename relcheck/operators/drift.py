@@ -143,8 +143,8 @@ def definitions_drift(expected: DataFrame, actual: DataFrame, key: list[str], va
     """MISSING and CHANGED by a normalised text or hash column; extra
     objects are ignored (left join)."""
     e = expected.select(*key, F.col(value_col).alias("_ev"))
-    a = actual.select(*key, F.col(value_col).alias("_av"), F.lit(True).alias("_in"))
-    j = e.join(a, key, "left")
+    a = actual.select(*[F.col(c).alias(f"_a_{c}") for c in key], F.col(value_col).alias("_av"), F.lit(True).alias("_in"))
+    j = e.join(a, [F.col(c).eqNullSafe(F.col(f"_a_{c}")) for c in key], "left")  # a null key part is a value
     status = F.when(F.col("_in").isNull(), F.lit("MISSING")) \
         .when(~F.col("_ev").eqNullSafe(F.col("_av")), F.lit("CHANGED"))
     return j.select(*_rows(status, check_id, kind, _key_text(key), value_col,
@@ -157,7 +157,8 @@ def key_list_drift(expected: DataFrame, actual: DataFrame, table_key: list[str],
     UNEXPECTED, CHANGED."""
     e = expected.select(*table_key, F.col(list_col).alias("_ev"))
     a = actual.select(*table_key, F.col(list_col).alias("_av"))
-    j = e.join(a, table_key, "full_outer")
+    j = e.join(a, [e[c].eqNullSafe(a[c]) for c in table_key], "full_outer") \
+        .select(*[F.coalesce(e[c], a[c]).alias(c) for c in table_key], "_ev", "_av")
     status = (F.when(F.col("_av").isNull(), F.lit("MISSING"))
               .when(F.col("_ev").isNull(), F.lit("UNEXPECTED"))
               .when(F.col("_ev") != F.col("_av"), F.lit("CHANGED")))

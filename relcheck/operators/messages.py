@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relcheck.functions.text import trim_ws
+
 
 @dataclass
 class FieldRule:
@@ -41,7 +43,8 @@ class MessageSpec:
 
 
 def _blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
+    """Null or nothing but white space of any kind, as in the event checks."""
+    return c.isNull() | (trim_ws(c) == "")
 
 
 def typed_fields(df: DataFrame, spec: MessageSpec) -> DataFrame:

@@ -61,7 +61,9 @@ def _key_states(expected: DataFrame, actual: DataFrame, key: list[str], cols: li
     """Per key: row counts of both sides and ``_s``: MISSING, UNEXPECTED,
     DIFFER (one row each, not equal), ROWS (repeated key, rows not equal) or
     null (equal). One shuffle of (key, fingerprint), combined map-side."""
-    marked = [x for c in cols for x in (F.col(c).isNull(), F.col(c))] or [F.lit(0)]
+    e_type, a_type = ({f.name: f.dataType for f in df.schema} for df in (expected, actual))
+    value = {c: F.col(c) if e_type[c] == a_type[c] else F.col(c).cast("string") for c in cols}  # as in _cells
+    marked = [x for c in cols for x in (F.col(c).isNull(), value[c])] or [F.lit(0)]
 
     def make(df: DataFrame) -> DataFrame:
         return df.select(*key, F.xxhash64(*marked).alias("_h1"), F.xxhash64(F.lit("relcheck"), *marked).alias("_h2"))

@@ -268,6 +268,14 @@ def q_drift_functions(spark, d):
                                 ["schema_name", "name", "args"], "definition_hash", "function", "C7")
 
 
+def q_drift_functions_no_args(spark, d):
+    def h(df):
+        return df.select("function_schema", "function_name", "args", definition_hash("body").alias("definition_hash"))
+    found = dr.definitions_drift(h(fx(spark, d, "plain_functions")), h(fx(spark, d, "plain_functions_dev")),
+                                 ["function_schema", "function_name", "args"], "definition_hash", "function", "C7")
+    return found.select("object_key", "status")
+
+
 def q_drift_roles(spark, d):
     return dr.drift_set(fx(spark, d, "cat_roles"), fx(spark, d, "cat_roles_dev"), ["rolname"], "role", "C8",
                         policy="subset")
@@ -393,6 +401,7 @@ QUERIES = {
     "drift_fk": q_drift_fk,
     "drift_views": q_drift_views,
     "drift_functions": q_drift_functions,
+    "drift_functions_no_args": q_drift_functions_no_args,
     "drift_roles": q_drift_roles,
     "drift_sequences": q_drift_sequences,
     "drift_memberships": q_drift_memberships,
@@ -619,6 +628,9 @@ va AS (SELECT view_schema, view_name, {NORM.format(c='definition')} AS definitio
     "drift_functions": cte("cat_functions", "cat_functions_dev") + f""", fe AS (SELECT schema_name, name, args, sha256({NORM.format(c='definition')}) AS definition_hash FROM cat_functions),
 fa AS (SELECT schema_name, name, args, sha256({NORM.format(c='definition')}) AS definition_hash FROM cat_functions_dev)
 """ + _defs_sql("fe", "fa", ["schema_name", "name", "args"], "definition_hash", "function", "C7"),
+    "drift_functions_no_args": """SELECT 'db' || (p_partkey % 5) || '.f' || p_partkey || '.' || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE 'integer' END AS object_key,
+ CASE WHEN p_partkey % 10 = 6 THEN 'MISSING' ELSE 'CHANGED' END AS status FROM part
+ WHERE p_partkey % 10 = 6 OR (p_partkey % 4 = 0 AND p_type <> p_brand)""",
     "drift_roles": cte("cat_roles", "cat_roles_dev") + _set_sql("cat_roles", "cat_roles_dev", ["rolname"], "role", "C8", "subset"),
     "drift_sequences": cte("cat_sequences", "cat_sequences_dev") + _set_sql(
         "cat_sequences", "cat_sequences_dev", ["sequence_schema", "sequence_name"], "sequence", "C8", "subset"),

@@ -70,6 +70,21 @@ def q_check_length_precision(spark, d):
     return con.check_length_precision(fixture(spark, d, "orders_actual"), "orders_actual", rules)
 
 
+def q_check_decimal_edges(spark, d):
+    rules = [{"column": "top", "num_precision": 19, "num_scale": 2}, {"column": "tiny", "num_precision": 19, "num_scale": 2},
+             {"column": "over", "num_precision": 19, "num_scale": 2}, {"column": "l_orderkey", "num_precision": 3, "num_scale": 0}]
+    return con.check_length_precision(fixture(spark, d, "edge_numbers"), "edge_numbers", rules)
+
+
+def q_table_diff_retyped(spark, d):
+    """Whole numbers of other types: cells by key, and the counts."""
+    e, a = fixture(spark, d, "orders_narrow"), fixture(spark, d, "orders_retyped")
+    cells = td.diff_keyed(e, a, ORDER_KEY).select("object_key", "field", "status", "expected", "actual")
+    counts = td.diff_counts(e, a, ORDER_KEY).select(F.lit("*").alias("object_key"), F.col("metric").alias("field"), F.lit("COUNT").alias("status"),
+                                                    F.lit(None).cast("string").alias("expected"), F.col("value").cast("string").alias("actual"))
+    return cells.unionByName(counts)
+
+
 def q_check_pk(spark, d):
     return con.check_pk(table(spark, d, "lineitem"), "lineitem", LI_KEY)
 
@@ -128,6 +143,8 @@ QUERIES = {
     "table_diff_repeated": q_table_diff_repeated,
     "check_not_null": q_check_not_null,
     "check_length_precision": q_check_length_precision,
+    "check_decimal_edges": q_check_decimal_edges,
+    "table_diff_retyped": q_table_diff_retyped,
     "check_pk": q_check_pk,
     "check_unique": q_check_unique,
     "check_fk": q_check_fk,
@@ -223,6 +240,15 @@ FROM (SELECT 'o_orderpriority' AS c, 'char_max=8' AS field, count(*) FILTER (WHE
  UNION ALL SELECT 'o_orderstatus', 'char_max=1', count(*) FILTER (WHERE length(o_orderstatus) > 1) FROM orders_actual
  UNION ALL SELECT 'o_totalprice', 'num_precision=7,num_scale=2', count(*) FILTER (WHERE abs(o_totalprice) >= 100000.0) FROM orders_actual
  UNION ALL SELECT 'o_totalprice', 'num_scale=2', count(*) FILTER (WHERE abs(o_totalprice * 100.0 - round(o_totalprice * 100.0)) > 1e-6) FROM orders_actual) x""",
+    "check_decimal_edges": """SELECT 'D2' AS check_id, 'column' AS object_kind, 'edge_numbers.' || c AS object_key, field,
+ CASE WHEN n > 0 THEN 'VIOLATION' ELSE 'PASS' END AS status, '0' AS expected, CAST(n AS VARCHAR) AS actual
+FROM (VALUES ('top', 'num_precision=19,num_scale=2', 0), ('top', 'num_scale=2', 0), ('tiny', 'num_precision=19,num_scale=2', 0),
+ ('tiny', 'num_scale=2', (SELECT count(*) FROM lineitem WHERE l_linenumber <> 1)), ('over', 'num_precision=19,num_scale=2', (SELECT count(*) FROM lineitem WHERE l_linenumber = 2)),
+ ('over', 'num_scale=2', 0), ('l_orderkey', 'num_precision=3,num_scale=0', (SELECT count(*) FROM lineitem WHERE abs(l_orderkey) > 999)), ('l_orderkey', 'num_scale=0', 0)) AS t(c, field, n)""",
+    "table_diff_retyped": """WITH moved AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 97 = 0)
+SELECT CAST(o_orderkey AS VARCHAR) AS object_key, 'o_custkey' AS field, 'CHANGED' AS status, CAST(o_custkey AS VARCHAR) AS expected, CAST(o_custkey + 1 AS VARCHAR) AS actual FROM moved
+UNION ALL SELECT '*', m, 'COUNT', NULL, CAST(n AS VARCHAR) FROM (VALUES ('rows_expected', (SELECT count(*) FROM orders)), ('rows_actual', (SELECT count(*) FROM orders)),
+ ('missing_rows', 0), ('unexpected_rows', 0), ('changed_rows', (SELECT count(*) FROM moved)), ('changed_cells', (SELECT count(*) FROM moved))) AS t(m, n)""",
     "check_pk": """SELECT 'D3' AS check_id, 'table' AS object_kind, 'lineitem' AS object_key, 'null_key_rows' AS field,
  CASE WHEN count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) > 0 THEN 'VIOLATION' ELSE 'PASS' END AS status,
  '0' AS expected, CAST(count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS VARCHAR) AS actual FROM lineitem

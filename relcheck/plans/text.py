@@ -49,6 +49,11 @@ def q_fill_missing(spark, d):
     return _typed_out(_typed(spark, d))
 
 
+def q_fill_missing_tabs(spark, d):
+    """Customers of white space other than spaces are missing as well."""
+    return _typed_out(msg.typed_fields(fixture(spark, d, "messages_tabs"), SPEC)).select("file_name", "row_no", "customer_id", "reason")
+
+
 def q_array_field(spark, d):
     t = _typed(spark, d)
     raw = fixture(spark, d, "messages_csv").select("file_name", "row_no", F.col("tags").alias("tags_raw"))
@@ -164,6 +169,7 @@ def q_export_limited(spark, d):
 QUERIES = {
     "csv_to_messages": q_csv_to_messages,
     "message_fill_missing": q_fill_missing,
+    "message_fill_missing_tabs": q_fill_missing_tabs,
     "message_array_field": q_array_field,
     "message_keys": q_keys,
     "message_sequence": q_sequence,
@@ -206,6 +212,9 @@ ORACLE = {
 FROM t WHERE reason = ''""",
     "message_fill_missing": TYPED + """SELECT file_name, row_no, source_system, topic, customer_id, event_type,
  CAST(event_date AS VARCHAR) AS event_date, array_to_string(tags, ',') AS tags, reason, reason = '' AS is_valid FROM t""",
+    "message_fill_missing_tabs": TYPED + """SELECT file_name, row_no, CASE WHEN row_no % 3 = 2 THEN customer_id END AS customer_id,
+ CASE WHEN row_no % 3 = 2 OR cust_blank THEN reason ELSE concat_ws('; ', CASE WHEN topic IS NULL THEN 'unknown source system' END, 'customer_id is required',
+  CASE WHEN date_bad THEN 'event_date is not a valid date' END, CASE WHEN tags_bad THEN 'tags is not a JSON array' END) END AS reason FROM t""",
     "message_array_field": TYPED + """SELECT file_name, row_no, tags_raw, array_to_string(tags, ',') AS tags,
  NOT tags_bad AS tags_valid FROM t""",
     "message_keys": cte("messages_csv") + f"""SELECT file_name, row_no,

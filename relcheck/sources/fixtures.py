@@ -334,6 +334,16 @@ SELECT event_id AS doc_id, CASE WHEN event_id % 10 = 0 THEN concat('{{bad', cast
 FIXTURE_SQL["json_broken_dev"] = """
 SELECT event_id AS doc_id, CASE WHEN event_id % 10 = 0 THEN concat('{{worse', cast(event_id AS string)) ELSE '{{"ok":1}}' END AS doc FROM {events}
 """
+# By event_id modulo 6: a dot in a name, brackets in a name, a repeated key, a
+# shape that no leaf shows, one number written in two ways, equal.
+FIXTURE_SQL["json_hard"] = """
+SELECT event_id AS doc_id, CASE event_id % 6 WHEN 0 THEN concat('{{"a.b":', cast(event_id AS string), '}}') WHEN 1 THEN concat('{{"a[]":', cast(event_id AS string), '}}')
+ WHEN 2 THEN concat('{{"k":1,"k":', cast(event_id AS string), '}}') WHEN 3 THEN '{{"a":[1],"a":[2]}}' WHEN 4 THEN concat('{{"n":', cast(event_id AS string), '.50}}') ELSE '{{"a":[1,2]}}' END AS doc FROM {events}
+"""
+FIXTURE_SQL["json_hard_dev"] = """
+SELECT event_id AS doc_id, CASE event_id % 6 WHEN 0 THEN concat('{{"a":{{"b":', cast(event_id AS string), '}}}}') WHEN 1 THEN concat('{{"a":[', cast(event_id AS string), ']}}')
+ WHEN 2 THEN concat('{{"k":', cast(event_id AS string), '}}') WHEN 3 THEN '{{"a":[1,2]}}' WHEN 4 THEN concat('{{"n":', cast(event_id AS string), '5e-1}}') ELSE '{{"a":[2.0,1]}}' END AS doc FROM {events}
+"""
 # Twenty levels; the innermost list is turned round, and one value differs.
 FIXTURE_SQL["json_deep"] = """
 SELECT event_id AS doc_id, concat(repeat('{{"a":', 20), '[1,2,', cast(event_id + 100 AS string), ']', repeat('}}', 20)) AS doc FROM {events}
@@ -357,6 +367,34 @@ SELECT event_id, user_id, event_type AS event_type_cd,
  CASE WHEN event_id % 13 = 0 THEN 'Legacy description' END AS event_type_description FROM {events}
 """
 
+# Decimals at the edge of a declaration, doubles with few and many decimals.
+FIXTURE_SQL["edge_numbers"] = """
+SELECT l_orderkey, CAST('99999999999999999.99' AS DECIMAL(19,2)) - CAST(l_linenumber - 1 AS DECIMAL(19,2)) AS top,
+ CAST(CAST(l_linenumber - 1 AS DECIMAL(4,0)) * CAST('0.0000000004' AS DECIMAL(12,10)) AS DECIMAL(20,10)) AS tiny,
+ CASE WHEN l_linenumber = 2 THEN CAST('100000000000000000.00' AS DECIMAL(20,2)) ELSE CAST(l_quantity AS DECIMAL(20,2)) END AS over FROM {lineitem}
+"""
+# The same orders, with keys and whole numbers of other types.
+FIXTURE_SQL["orders_retyped"] = """
+SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS o_orderkey, CAST(o_custkey AS BIGINT) + CASE WHEN o_orderkey % 97 = 0 THEN 1 ELSE 0 END AS o_custkey, o_orderstatus FROM {orders}
+"""
+FIXTURE_SQL["orders_narrow"] = """
+SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS o_orderkey, CAST(o_custkey AS INT) AS o_custkey, o_orderstatus FROM {orders}
+"""
+# Functions without arguments have none; every fourth differs.
+FIXTURE_SQL["plain_functions"] = """
+SELECT concat('db', cast(p_partkey % 5 AS string)) AS function_schema, concat('f', cast(p_partkey AS string)) AS function_name,
+ CASE WHEN p_partkey % 2 = 0 THEN CAST(NULL AS string) ELSE 'integer' END AS args, p_brand AS body FROM {part}
+"""
+FIXTURE_SQL["plain_functions_dev"] = """
+SELECT concat('db', cast(p_partkey % 5 AS string)) AS function_schema, concat('f', cast(p_partkey AS string)) AS function_name,
+ CASE WHEN p_partkey % 2 = 0 THEN CAST(NULL AS string) ELSE 'integer' END AS args, CASE WHEN p_partkey % 4 = 0 THEN p_type ELSE p_brand END AS body
+FROM {part} WHERE p_partkey % 10 <> 6
+"""
+# Messages whose customer is nothing but a tab, line feed or no-break-less space.
+FIXTURE_SQL["messages_tabs"] = """
+SELECT file_name, row_no, source_system, CASE row_no % 3 WHEN 0 THEN chr(9) WHEN 1 THEN concat(' ', chr(10), ' ') ELSE customer_id END AS customer_id, event_type, event_date, tags FROM {messages_csv}
+"""
+
 # Explicit target list for table discovery: some qualified, some bare.
 FIXTURE_SQL["cat_targets"] = """
 SELECT CASE WHEN o_orderkey % 100 = 0 THEN concat('db', cast(o_orderkey % 20 AS string), '.t', cast(o_orderkey AS string))

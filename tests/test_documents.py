@@ -30,7 +30,18 @@ def test_elements_are_wholes_and_nothing_vanishes(spark):
     assert diff('{"x":{}}', "{}") == [("MISSING", "$.x", "{}"), ("UNEXPECTED", "$", "{}")]
     assert diff("{bad", "{worse") == [("MISSING", "$", "{bad"), ("UNEXPECTED", "$", "{worse")]
     assert diff(None, "null") == [("MISSING", "$", "<null>"), ("UNEXPECTED", "$", "null")]
-    assert diff('{"n":1.0}', '{"n":1}') == [("MISSING", "$.n", "1.0"), ("UNEXPECTED", "$.n", "1")]
+    for x, y in (("1.0", "1"), ("10e-1", "1"), ("-0.0", "0"), ("1.50", "15e-1"), ("1" + "0" * 60, "1e60")):
+        assert diff(f'{{"n":{x}}}', f'{{"n":{y}}}') == []
+    assert diff('{"n":1.5}', '{"n":-1.05}') == [("MISSING", "$.n", "1.5"), ("UNEXPECTED", "$.n", "-1.05")]
+    assert len(diff('{"n":100000000000000000001}', '{"n":100000000000000000002}')) == 2
+    # names are no paths, and every member of a repeated key counts
+    assert diff('{"a.b":1}', '{"a":{"b":1}}') == [("MISSING", "$.a\\.b", "1"), ("UNEXPECTED", "$.a.b", "1")]
+    assert diff('{"a[]":1}', '{"a":[1]}') == [("MISSING", "$.a\\[\\]", "1"), ("UNEXPECTED", "$.a[]", "1")]
+    assert diff('{"a\\\\":{"b":1}}', '{"a\\\\.b":1}') != [] and diff('{"k":1,"k":2}', '{"k":2}') == [("MISSING", "$.k", "1")]
+    assert diff('{"k":2,"k":1}', '{"k":1,"k":2.0}') == []
+    # nothing but the shape differs
+    ((status, field, _),) = diff('{"a":[1],"a":[2]}', '{"a":[1,2]}')
+    assert (status, field) == ("CHANGED", "$")
     assert diff('{"d":"a  b"}', '{"d":"a b "}', normalize_keys=["d"]) == []
 
 
