@@ -43,6 +43,18 @@ SELECT c_custkey AS request_id, CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE cast
  concat('BT', cast(c_custkey AS string)) AS biz_id, concat('TX', cast(c_custkey AS string)) AS transaction_id FROM {customer}
 """
 
+# A third of all events come from client C7; ranges from hours to the whole month.
+FIXTURE_SQL["contact_source"] = """
+SELECT event_id, application_software, event_ts, customer_id, CASE WHEN event_id % 3 = 0 THEN 'C7' ELSE client_id END AS client_id, event_type_cd, event_response_txt, session_id,
+ CASE WHEN event_id % 13 = 0 THEN NULL ELSE concat('T', cast(event_id % 4 AS string)) END AS contact_id FROM {acl_source}
+"""
+FIXTURE_SQL["contact_requests"] = """
+SELECT request_id, customer_id, client_id, CASE WHEN request_id % 3 = 0 THEN NULL ELSE concat('T', cast(request_id % 5 AS string)) END AS contact_id,
+ CASE request_id % 4 WHEN 0 THEN TIMESTAMP '2024-01-03 10:30:00' WHEN 1 THEN TIMESTAMP '2024-01-07 00:00:00' WHEN 2 THEN TIMESTAMP '1970-01-01 00:00:00' ELSE TIMESTAMP '2024-01-09 00:00:00' END AS start_dt,
+ CASE request_id % 4 WHEN 0 THEN TIMESTAMP '2024-01-05 09:15:00' WHEN 1 THEN TIMESTAMP '2024-01-07 12:00:00' WHEN 2 THEN TIMESTAMP '2099-01-01 00:00:00' ELSE TIMESTAMP '2024-01-08 00:00:00' END AS end_dt
+FROM {requests}
+"""
+
 FIXTURE_SQL["cat_columns"] = """
 SELECT concat('db', cast(l_orderkey % 20 AS string)) AS table_schema, concat('t', cast(l_orderkey AS string)) AS table_name,
  concat('c', cast(l_linenumber AS string)) AS column_name, l_linenumber AS ordinal_position,
