@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from relcheck.operators import constraints as con
 from relcheck.operators import dedup
+from relcheck.operators import release as rel
 from relcheck.operators import tablediff as td
 from relcheck.sources.fixtures import cte, fixture
 from relcheck.sources.tables import table
@@ -43,6 +44,30 @@ def q_rollback_check(spark, d):
                              expected_forward=orders, key=ORDER_KEY, table="orders")
 
 
+def _release(spark, d, environment):
+    """Tables with a key, without one, equal ones, and one whose columns changed."""
+    t = {n: table(spark, d, n) for n in ("orders", "customer", "part", "lineitem", "supplier")}
+    return rel.release_check([
+        rel.ReleaseTable("orders", t["orders"], fixture(spark, d, "orders_actual"), t["orders"], fixture(spark, d, "orders_after"), tuple(ORDER_KEY)),
+        rel.ReleaseTable("customer", t["customer"], t["customer"], t["customer"], t["customer"], ("c_custkey",)),
+        rel.ReleaseTable("part", t["part"], t["part"].withColumn("p_size", F.col("p_size").cast("string")), t["part"], None, ("p_partkey",)),
+        rel.ReleaseTable("lineitem", t["lineitem"], fixture(spark, d, "lineitem_forward"), t["lineitem"], t["lineitem"]),
+        rel.ReleaseTable("supplier", t["supplier"], t["supplier"].drop("s_acctbal"), t["supplier"], t["supplier"], ("s_suppkey",))], environment)
+
+
+def q_release_verdicts(spark, d):
+    return _release(spark, d, "sandbox").verdicts
+
+
+def q_release_verdicts_dev(spark, d):
+    """Outside the sandbox nothing is rolled back."""
+    return _release(spark, d, "dev").verdicts.where("comparison = 'rollback'").select("table_name", "verdict")
+
+
+def q_release_findings(spark, d):
+    return _release(spark, d, "sandbox").findings.where("object_kind <> 'lineitem'")
+
+
 def q_table_diff_null_shift(spark, d):
     return td.diff_keyed(fixture(spark, d, "shift_expected"), fixture(spark, d, "shift_actual"), ORDER_KEY)
 
@@ -137,6 +162,9 @@ QUERIES = {
     "table_diff_multiset": q_table_diff_multiset,
     "table_diff_counts": q_table_diff_counts,
     "rollback_check": q_rollback_check,
+    "release_verdicts": q_release_verdicts,
+    "release_verdicts_dev": q_release_verdicts_dev,
+    "release_findings": q_release_findings,
     "table_diff_null_shift": q_table_diff_null_shift,
     "table_diff_null_keys": q_table_diff_null_keys,
     "table_diff_column_set": q_table_diff_column_set,
@@ -172,6 +200,7 @@ UNION ALL SELECT '{check_id}', '{kind}', CAST(e.o_orderkey AS VARCHAR), f.field,
  WHERE f.ev IS DISTINCT FROM f.av"""
 
 
+LI_ALL = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 KEYED = cte("orders_actual") + _keyed_sql("orders", "orders_actual", ORDER_COLS)
 
 
@@ -223,6 +252,22 @@ UNION ALL SELECT 'missing_rows', (SELECT count(*) FROM f WHERE status = 'MISSING
 UNION ALL SELECT 'unexpected_rows', (SELECT count(*) FROM f WHERE status = 'UNEXPECTED')
 UNION ALL SELECT 'changed_rows', (SELECT count(DISTINCT object_key) FROM f WHERE status = 'CHANGED')
 UNION ALL SELECT 'changed_cells', (SELECT count(*) FROM f WHERE status = 'CHANGED')""",
+    "release_verdicts": cte("orders_actual", "orders_after", "lineitem_forward") + f""", f AS ({_keyed_sql("orders", "orders_actual", ORDER_COLS)}),
+u AS (SELECT *, 1 AS e, 0 AS a FROM lineitem UNION ALL SELECT *, 0, 1 FROM lineitem_forward), l AS (SELECT sum(e) AS e, sum(a) AS a FROM (SELECT * FROM u) GROUP BY {{lines}} HAVING sum(e) <> sum(a)),
+n AS (SELECT (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM part) AS p, (SELECT count(*) FROM lineitem) AS li, (SELECT count(*) FROM supplier) AS s)
+SELECT 'forward' AS comparison, 'orders' AS table_name, o AS rows_expected, (SELECT count(*) FROM orders_actual) AS rows_actual,
+ (SELECT count(DISTINCT object_key) FROM f WHERE status = 'MISSING') AS missing, (SELECT count(DISTINCT object_key) FROM f WHERE status = 'UNEXPECTED') AS unexpected,
+ (SELECT count(DISTINCT object_key) FROM f WHERE status = 'CHANGED') AS changed, 0 AS columns, 'FAIL' AS verdict FROM n
+UNION ALL SELECT 'rollback', 'orders', o, (SELECT count(*) FROM orders_after), o - (SELECT count(*) FROM orders_after), 0, 0, 0, CASE WHEN o = (SELECT count(*) FROM orders_after) THEN 'PASS' ELSE 'FAIL' END FROM n
+UNION ALL SELECT 'forward', 'customer', c, c, 0, 0, 0, 0, 'PASS' FROM n UNION ALL SELECT 'rollback', 'customer', c, c, 0, 0, 0, 0, 'PASS' FROM n
+UNION ALL SELECT 'forward', 'part', p, p, 0, 0, 0, 0, 'PASS' FROM n UNION ALL SELECT 'rollback', 'part', 0, 0, 0, 0, 0, 0, 'SKIP' FROM n
+UNION ALL SELECT 'forward', 'lineitem', li, (SELECT count(*) FROM lineitem_forward), (SELECT count(*) FROM l WHERE e > a), (SELECT count(*) FROM l WHERE e < a), 0, 0, 'FAIL' FROM n
+UNION ALL SELECT 'rollback', 'lineitem', li, li, 0, 0, 0, 0, 'PASS' FROM n
+UNION ALL SELECT 'forward', 'supplier', s, s, 0, 0, 0, 1, 'FAIL' FROM n UNION ALL SELECT 'rollback', 'supplier', s, s, 0, 0, 0, 0, 'PASS' FROM n""".replace("{lines}", LI_ALL),
+    "release_verdicts_dev": "SELECT * FROM (VALUES ('orders', 'SKIP'), ('customer', 'SKIP'), ('part', 'SKIP'), ('lineitem', 'SKIP'), ('supplier', 'SKIP')) AS t(table_name, verdict)",
+    "release_findings": cte("orders_actual", "orders_after") + f"""SELECT 'forward' AS comparison, * FROM ({_keyed_sql("orders", "orders_actual", ORDER_COLS, kind="orders")})
+UNION ALL SELECT 'rollback', * FROM ({_keyed_sql("orders", "orders_after", ORDER_COLS, kind="orders")})
+UNION ALL SELECT 'forward', 'C11', 'supplier', 's_acctbal', '<column>', 'MISSING', {NULLS}, {NULLS}""",
     "rollback_check": cte("orders_actual", "orders_after")
         + _keyed_sql("orders", "orders_after", ORDER_COLS, "C17.rollback", "orders")
         + "\nUNION ALL " + _keyed_sql("orders", "orders_actual", ORDER_COLS, "C17.forward", "orders"),

@@ -233,6 +233,11 @@ FIXTURE_SQL["orders_after"] = """
 SELECT * FROM {orders} WHERE o_orderkey % 5003 <> 0
 """
 
+# Some lines gone, some there twice.
+FIXTURE_SQL["lineitem_forward"] = """
+SELECT * FROM {lineitem} WHERE NOT (l_orderkey % 50 = 0 AND l_linenumber = 1) UNION ALL SELECT * FROM {lineitem} WHERE l_orderkey % 77 = 0
+"""
+
 # Two nullable columns of one type; the dev side shifts a value into its
 # neighbour's null.
 FIXTURE_SQL["shift_expected"] = """
