@@ -11,8 +11,10 @@ from relcheck.operators import activity as act
 from relcheck.operators import approvals as ap
 from relcheck.operators import catalog as cat
 from relcheck.operators import ddl
+from relcheck.operators import message_schema as ms
 from relcheck.operators import messages as msg
 from relcheck.sources import files
+from relcheck.sources import records as rec
 from relcheck.sources.fixtures import cte, fixture
 from relcheck.sources.tables import table
 
@@ -45,6 +47,57 @@ def q_csv_to_messages(spark, d):
     return msg.to_messages(msg.typed_fields(back, SPEC), SPEC)
 
 
+# The fields of each source system (place, path, type, required, default).
+SYSTEM_RULES = [
+    ("myRetirementApp", 1, "customer_id", "string", True, None), ("myRetirementApp", 2, "event_type", "string", False, "UNKNOWN"),
+    ("myRetirementApp", 3, "event_date", "date", False, None), ("myRetirementApp", 4, "tags", "array<string>", False, None),
+    ("SourceSystemB", 1, "customer_id", "long", True, None), ("SourceSystemB", 2, "event_date", "date", True, None),
+    ("SourceSystemC", 1, "event_type", "string", True, None), ("SourceSystemC", 2, "tags", "array<string>", False, None)]
+
+
+def _rules(spark):
+    return spark.createDataFrame(SYSTEM_RULES, ms.SCHEMA)
+
+
+def _by_schema(spark, d):
+    return ms.csv_messages(fixture(spark, d, "messages_csv"), _rules(spark), ["customer_id", "event_type", "event_date", "tags"], SPEC.topics)
+
+
+def q_messages_by_schema(spark, d):
+    return _by_schema(spark, d).withColumn("reasons", F.array_join("reasons", "; "))
+
+
+def q_json_by_schema(spark, d):
+    src = fixture(spark, d, "json_messages")
+    both = [ms.json_messages(src, _rules(spark), "payload", strict).withColumn("mode", F.lit("STRICT" if strict else "RAW")) for strict in (True, False)]
+    return both[0].unionByName(both[1]).withColumn("reasons", F.array_join("reasons", "; "))
+
+
+def q_run_reasons(spark, d):
+    return ms.run_summary(_by_schema(spark, d))
+
+
+def q_csv_records(spark, d):
+    """Row numbers of CSV files whose fields hold line breaks and quotes."""
+    path = files.new_scratch(spark, "csv-records")
+    src = fixture(spark, d, "notes_csv").repartition("file_name").sortWithinPartitions("file_name", "row_no")
+    src.write.partitionBy("file_name").option("header", True).option("escape", '"').csv(path)
+    back = rec.read_csv_records(spark, path, ["row_no_written", "note", "tags"], pattern="*.csv")
+    return back.select(F.regexp_extract("file_path", "file_name=([^/]+)/", 1).alias("file_name"), "row_no", F.col("row_no_written").alias("written"),
+                       F.sha2("note", 256).alias("note_hash"), "tags")
+
+
+def q_json_records(spark, d):
+    """Row numbers of JSON files whose documents are written over many lines."""
+    path = files.new_scratch(spark, "json-records")
+    src = fixture(spark, d, "notes_csv").repartition("file_name").sortWithinPartitions("file_name", "row_no")
+    text = F.concat(F.lit('{\n  "row": '), F.col("row_no").cast("string"), F.lit(',\n  "list": [\n    "]}{", "a \\" [",\n    {}\n  ]\n}'))
+    src.select("file_name", text.alias("value")).write.partitionBy("file_name").text(path)
+    back = rec.read_json_records(spark, path, pattern="*.txt")
+    return back.select(F.regexp_extract("file_path", "file_name=([^/]+)/", 1).alias("file_name"), "row_no",
+                       F.get_json_object("payload", "$.row").alias("written"), F.sha2("payload", 256).alias("payload_hash"))
+
+
 def q_fill_missing(spark, d):
     return _typed_out(_typed(spark, d))
 
@@ -168,6 +221,11 @@ def q_export_limited(spark, d):
 
 QUERIES = {
     "csv_to_messages": q_csv_to_messages,
+    "messages_by_schema": q_messages_by_schema,
+    "json_by_schema": q_json_by_schema,
+    "message_run_reasons": q_run_reasons,
+    "csv_records": q_csv_records,
+    "json_records": q_json_records,
     "message_fill_missing": q_fill_missing,
     "message_fill_missing_tabs": q_fill_missing_tabs,
     "message_array_field": q_array_field,
@@ -206,10 +264,46 @@ t AS (SELECT *, concat_ws('; ', CASE WHEN topic IS NULL THEN 'unknown source sys
 
 MSG_KEY = "coalesce(CASE WHEN NOT {b} THEN customer_id END, sha256(concat_ws('|', source_system, file_name, CAST(row_no AS VARCHAR))))"
 
+SCHEMAS = cte("messages_csv") + f""", w AS (SELECT *, {BLANK.format(c='customer_id')} AS no_cust, {BLANK.format(c='event_type')} AS no_type, {BLANK.format(c='event_date')} AS no_date,
+  {BLANK.format(c='tags')} AS no_tags, try_strptime(event_date, '%Y-%m-%d') IS NULL AS bad_date, NOT json_valid(tags) AS bad_tags FROM messages_csv),
+checked AS (SELECT file_name, row_no, source_system, CASE source_system WHEN 'myRetirementApp' THEN 'topic-a' WHEN 'SourceSystemB' THEN 'topic-b' WHEN 'SourceSystemC' THEN 'topic-c' END AS topic,
+ CASE source_system
+  WHEN 'myRetirementApp' THEN '{{"customer_id":"' || customer_id || '","event_type":"' || CASE WHEN no_type THEN 'UNKNOWN' ELSE event_type END || '","event_date":' || CASE WHEN no_date THEN 'null' ELSE '"' || event_date || '"' END
+    || ',"tags":' || CASE WHEN no_tags THEN 'null' ELSE tags END || '}}'
+  WHEN 'SourceSystemB' THEN '{{"customer_id":' || customer_id || ',"event_date":"' || event_date || '"}}'
+  WHEN 'SourceSystemC' THEN '{{"event_type":"' || event_type || '","tags":' || CASE WHEN no_tags THEN 'null' ELSE tags END || '}}' END AS value,
+ list_filter(CASE source_system
+  WHEN 'myRetirementApp' THEN [CASE WHEN no_cust THEN 'customer_id is required' END, CASE WHEN NOT no_date AND bad_date THEN 'event_date is not a valid date' END, CASE WHEN NOT no_tags AND bad_tags THEN 'tags is not a valid array<string>' END]
+  WHEN 'SourceSystemB' THEN [CASE WHEN no_cust THEN 'customer_id is required' END, CASE WHEN no_date THEN 'event_date is required' WHEN bad_date THEN 'event_date is not a valid date' END]
+  WHEN 'SourceSystemC' THEN [CASE WHEN no_type THEN 'event_type is required' END, CASE WHEN NOT no_tags AND bad_tags THEN 'tags is not a valid array<string>' END]
+  ELSE ['unknown source system'] END, lambda x: x IS NOT NULL) AS reasons FROM w)
+"""
+
 ORACLE = {
+    "messages_by_schema": SCHEMAS + "SELECT file_name, row_no, source_system, topic, CASE WHEN len(reasons) = 0 THEN value END AS value, array_to_string(reasons, '; ') AS reasons FROM checked",
+    "message_run_reasons": SCHEMAS + """, each AS (SELECT source_system, file_name, reason, count(*) AS n FROM (SELECT source_system, file_name, unnest(reasons) AS reason FROM checked) GROUP BY ALL)
+SELECT c.source_system, c.file_name, count(*) AS n_total, count(*) FILTER (len(reasons) = 0) AS n_ok, count(*) FILTER (len(reasons) > 0) AS n_failed,
+ coalesce((SELECT string_agg(reason || ': ' || n, '; ' ORDER BY reason) FROM each e WHERE e.source_system = c.source_system AND e.file_name = c.file_name), '') AS failure_reasons
+FROM checked c GROUP BY c.source_system, c.file_name""",
+    "json_by_schema": cte("json_messages") + """, told(source_system, kind, reasons) AS (VALUES
+ ('myRetirementApp', 0, ''), ('myRetirementApp', 1, 'customer_id is not a valid string'), ('myRetirementApp', 2, 'customer_id is required; more is not in the schema; more.y is not in the schema'),
+ ('myRetirementApp', 3, 'payload is not a JSON object'), ('myRetirementApp', 4, 'event_date is not a valid date'),
+ ('SourceSystemB', 0, 'customer_id is not a valid long; event_date is required; tags is not in the schema'), ('SourceSystemB', 1, ''),
+ ('SourceSystemB', 2, 'customer_id is required; event_date is required; event_type is not in the schema; more is not in the schema; more.y is not in the schema'), ('SourceSystemB', 3, 'payload is not a JSON object'),
+ ('SourceSystemB', 4, 'customer_id is not a valid long; event_date is not a valid date; event_type is not in the schema'),
+ ('SourceSystemC', 0, 'event_type is required; customer_id is not in the schema'), ('SourceSystemC', 1, 'event_type is required; customer_id is not in the schema; event_date is not in the schema'),
+ ('SourceSystemC', 2, 'more is not in the schema; more.y is not in the schema'), ('SourceSystemC', 3, 'payload is not a JSON object'),
+ ('SourceSystemC', 4, 'event_type is required; customer_id is not in the schema; event_date is not in the schema'))
+SELECT file_name, row_no, m.source_system, payload, coalesce(t.reasons, 'unknown source system') AS reasons, 'STRICT' AS mode
+FROM json_messages m LEFT JOIN told t ON m.source_system = t.source_system AND row_no % 5 = t.kind
+UNION ALL SELECT file_name, row_no, source_system, payload, '', 'RAW' FROM json_messages""",
     "csv_to_messages": TYPED + f"""SELECT file_name, row_no, {MSG_KEY.format(b='cust_blank')} AS key,
  CAST(json_object('customer_id', customer_id, 'event_type', event_type, 'event_date', event_date, 'tags', tags) AS VARCHAR) AS value, topic
 FROM t WHERE reason = ''""",
+    "csv_records": cte("notes_csv") + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY row_no) AS row_no, CAST(row_no AS VARCHAR) AS written,
+ sha256(note) AS note_hash, CASE WHEN tags <> '' THEN tags END AS tags FROM notes_csv""",
+    "json_records": cte("notes_csv") + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY row_no) AS row_no, CAST(row_no AS VARCHAR) AS written,
+ sha256('{' || chr(10) || '  "row": ' || row_no || ',' || chr(10) || '  "list": [' || chr(10) || '    "]}{", "a \\" [",' || chr(10) || '    {}' || chr(10) || '  ]' || chr(10) || '}') AS payload_hash FROM notes_csv""",
     "message_fill_missing": TYPED + """SELECT file_name, row_no, source_system, topic, customer_id, event_type,
  CAST(event_date AS VARCHAR) AS event_date, array_to_string(tags, ',') AS tags, reason, reason = '' AS is_valid FROM t""",
     "message_fill_missing_tabs": TYPED + """SELECT file_name, row_no, CASE WHEN row_no % 3 = 2 THEN customer_id END AS customer_id,

@@ -4,6 +4,8 @@ with explicit schemas (no inference pass over the data)."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +17,18 @@ from relcheck.session import scratch_path
 
 def new_scratch(spark: SparkSession, kind: str) -> str:
     """A fresh folder under the session's checkpoint folder (shared storage
-    on a cluster); never a machine-local temp dir."""
-    return scratch_path(spark, f"{kind}-{uuid.uuid4().hex}")
+    on a cluster); never a machine-local temp dir. Removed when the application
+    ends."""
+    path = scratch_path(spark, f"{kind}-{uuid.uuid4().hex}")
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone by now
+        sc = spark.sparkContext
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
 
 # ------------------------------------------------------------ flat XML
@@ -63,11 +75,6 @@ def read_csv_strings(spark: SparkSession, path: str, columns: list[str]) -> Data
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def read_json_raw(spark: SparkSession, path: str) -> DataFrame:
-    """JSON message files read as raw text (payload untouched)."""
-    return spark.read.text(path, wholetext=True).withColumn("file_name", F.input_file_name())
-
-
 # ------------------------------------------------------------ exports
 def export_limited(df: DataFrame, columns: list[str], order_by: list[str], row_limit: int | None) -> DataFrame:
     """Explicit column list, optional row limit. A key order makes the

@@ -303,6 +303,16 @@ SELECT concat('file', cast(c_nationkey % 4 AS string), '.csv') AS file_name, cas
  CASE WHEN c_custkey % 19 = 0 THEN '["a",' WHEN c_custkey % 2 = 0 THEN '["a","b"]' ELSE '' END AS tags FROM {customer}
 """
 
+# JSON payloads of five kinds, whatever the system wants.
+FIXTURE_SQL["json_messages"] = """
+SELECT file_name, row_no, source_system, CASE row_no % 5 WHEN 0 THEN '{{"customer_id":"c","tags":["a"]}}' WHEN 1 THEN '{{"customer_id":5,"event_date":"2026-01-01"}}'
+ WHEN 2 THEN '{{"event_type":"x","more":{{"y":1}}}}' WHEN 3 THEN '{{broken' ELSE '{{"customer_id":"c","event_type":null,"event_date":"soon"}}' END AS payload FROM {messages_csv}
+"""
+# Messages with a note of several lines, some with quotes and commas in it.
+FIXTURE_SQL["notes_csv"] = """
+SELECT file_name, row_no, concat('first, line', chr(10), CASE WHEN row_no % 3 = 0 THEN '"quoted"' ELSE '' END, chr(10), CASE WHEN row_no % 5 = 0 THEN concat('say "', chr(10), '"') ELSE 'end' END) AS note, tags FROM {messages_csv}
+"""
+
 FIXTURE_SQL["prs"] = """
 SELECT o_orderkey AS pr_id, concat('u', cast(o_custkey % 200 AS string)) AS author, o_orderdate AS created_at FROM {orders}
 """
