@@ -13,7 +13,7 @@ from relcheck.operators import catalog as cat
 from relcheck.operators import ddl
 from relcheck.operators import message_schema as ms
 from relcheck.operators import messages as msg
-from relcheck.sources import files
+from relcheck.sources import datasets, files
 from relcheck.sources import records as rec
 from relcheck.sources.fixtures import cte, fixture
 from relcheck.sources.tables import table
@@ -77,6 +77,22 @@ def q_run_reasons(spark, d):
     return ms.run_summary(_by_schema(spark, d))
 
 
+def q_flatxml_dataset(spark, d):
+    """Three tables in one dataset, read back without a column list; in one, most
+    rows lack most columns."""
+    path = files.new_scratch(spark, "xml-dataset")
+    sparse = table(spark, d, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 7 == 6, F.col("s_name")).alias("s_name"),
+                                                F.when(F.col("s_suppkey") % 2 == 0, F.col("s_nationkey")).alias("s_nationkey"))
+    datasets.write_dataset({"app.region": table(spark, d, "region"), "app.nation": table(spark, d, "nation"), "app.supplier": sparse}, path)
+    out = None
+    for name, rows in sorted(datasets.read_dataset(spark, path).items()):
+        cols = sorted(rows.columns)
+        text = F.concat_ws(",", *[F.concat(F.lit(c + "="), F.col(c)) for c in cols])
+        one = rows.select(F.lit(name).alias("table_name"), F.lit(",".join(cols)).alias("columns"), text.alias("cells"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_csv_records(spark, d):
     """Row numbers of CSV files whose fields hold line breaks and quotes."""
     path = files.new_scratch(spark, "csv-records")
@@ -224,6 +240,7 @@ QUERIES = {
     "messages_by_schema": q_messages_by_schema,
     "json_by_schema": q_json_by_schema,
     "message_run_reasons": q_run_reasons,
+    "flatxml_dataset": q_flatxml_dataset,
     "csv_records": q_csv_records,
     "json_records": q_json_records,
     "message_fill_missing": q_fill_missing,
@@ -300,6 +317,9 @@ UNION ALL SELECT file_name, row_no, source_system, payload, '', 'RAW' FROM json_
     "csv_to_messages": TYPED + f"""SELECT file_name, row_no, {MSG_KEY.format(b='cust_blank')} AS key,
  CAST(json_object('customer_id', customer_id, 'event_type', event_type, 'event_date', event_date, 'tags', tags) AS VARCHAR) AS value, topic
 FROM t WHERE reason = ''""",
+    "flatxml_dataset": """SELECT 'app.region' AS table_name, 'r_name,r_regionkey' AS columns, concat_ws(',', 'r_name=' || r_name, 'r_regionkey=' || r_regionkey) AS cells FROM region
+UNION ALL SELECT 'app.nation', 'n_name,n_nationkey,n_regionkey', concat_ws(',', 'n_name=' || n_name, 'n_nationkey=' || n_nationkey, 'n_regionkey=' || n_regionkey) FROM nation
+UNION ALL SELECT 'app.supplier', 's_name,s_nationkey,s_suppkey', concat_ws(',', CASE WHEN s_suppkey % 7 = 6 THEN 's_name=' || s_name END, CASE WHEN s_suppkey % 2 = 0 THEN 's_nationkey=' || s_nationkey END, 's_suppkey=' || s_suppkey) FROM supplier""",
     "csv_records": cte("notes_csv") + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY row_no) AS row_no, CAST(row_no AS VARCHAR) AS written,
  sha256(note) AS note_hash, CASE WHEN tags <> '' THEN tags END AS tags FROM notes_csv""",
     "json_records": cte("notes_csv") + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY row_no) AS row_no, CAST(row_no AS VARCHAR) AS written,

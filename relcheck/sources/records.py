@@ -23,10 +23,10 @@ FILE, SPLIT = "file_path", "split"
 JSON_STRING = r'"(?:[^"\\]|\\.)*"'
 
 
-def read_lines(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, pattern: str | None = None, end: str = "\n") -> DataFrame:
     """(file_path, split, place, line), written once so that places stay. Only
-    a line feed ends a line."""
-    reader = spark.read.option("lineSep", "\n")
+    ``end`` ends a line."""
+    reader = spark.read.option("lineSep", end)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     lines = reader.text(path).select(F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(SPLIT),
@@ -51,7 +51,7 @@ def running(lines: DataFrame, value: Column, out: str) -> DataFrame:
     return j.join(sums, on).select(*lines.columns, (F.col("_inside") + F.col("_before")).alias(out))
 
 
-def records(lines: DataFrame, value: Column, begins: Callable[[Column], Column]) -> DataFrame:
+def records(lines: DataFrame, value: Column, begins: Callable[[Column], Column], end: str = "\n") -> DataFrame:
     """(file_path, record_no, record): lines gathered into records, numbered from
     0 in file order. ``begins``: whether a record begins at a line, by the sum of
     ``value`` before it. Blank lines between records are none."""
@@ -61,7 +61,7 @@ def records(lines: DataFrame, value: Column, begins: Callable[[Column], Column])
     told = running(state.where(~blank).select(*lines.columns, starts.cast("long").alias("_starts")), F.col("_starts"), "_n")
     numbered = told.withColumn("record_no", F.col("_n") + F.col("_starts") - 1)
     gathered = numbered.groupBy(FILE, "record_no").agg(F.array_sort(F.collect_list(F.struct(SPLIT, "place", "line"))).alias("lines"))
-    text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
+    text = F.array_join(F.transform("lines", lambda x: x["line"]), end)
     return gathered.where("record_no >= 0").select(FILE, "record_no", F.regexp_replace(text, "\r$", "").alias("record"))
 
 
