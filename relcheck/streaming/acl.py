@@ -8,8 +8,8 @@
   keyed by ``batch_id`` so a replayed batch overwrites itself (E17);
 * the view-only list re-read from a path inside every micro-batch, the
   end-code list as a stream of changes that meets the events (E18);
-* per-batch counters written to a metrics table, one partition per batch
-  (E19).
+* per-batch counters written to a metrics table, one partition per batch, or
+  reported by the queries themselves (E19; see ``relcheck.streaming.counters``).
 
 State growth: groups close only on an end code, so never-ending sessions keep
 one small state row a key, and closed ones a tombstone, as the spec asks.
@@ -53,32 +53,42 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str =
 
 
 # ---------------------------------------------------------------- E15
+def valid_events(stream: DataFrame, cfg: ev.AclConfig, observe_name: str | None = None) -> DataFrame:
+    """View-only events dropped, strings trimmed, invalid events dropped. With
+    ``observe_name`` the counters of these stages are reported through
+    ``observe()`` in the query's progress (E19; no extra job), however the lists
+    are given."""
+    if not observe_name:
+        return ev.split_valid(ev.trim_strings(ev.filter_view_only(stream, cfg.view_only)))[0]
+    flagged = ev.flag_in(stream, "event_type_cd", cfg.view_only, "_view_only")
+    judged = ev.trim_strings(flagged).withColumn("_bad", F.size(ev.validation_reasons()) > 0)
+    view, bad = F.col("_view_only"), F.col("_bad")
+    counted = judged.observe(observe_name, F.count(F.lit(1)).alias("received"), F.count_if(view).alias("filtered_view_only"),
+                             F.count_if(~view & bad).alias("validation_failures"), F.count_if(~view & bad).alias("dead_lettered"),
+                             F.count_if(~view & ~bad).alias("transformed"))
+    return counted.where(~view & ~bad).drop("_view_only", "_bad")
+
+
 def stateless(stream: DataFrame, cfg: ev.AclConfig, observe_name: str | None = None) -> DataFrame:
-    """E15; with ``observe_name`` the per-batch counters of E19 (received,
-    view-only) are also reported through ``observe()`` in the query's
-    progress (no extra job)."""
-    if observe_name:
-        view = F.coalesce(F.col("event_type_cd").isin(list(cfg.view_only)), F.lit(False)) \
-            if not isinstance(cfg.view_only, DataFrame) else F.lit(False)
-        stream = stream.observe(observe_name, F.count(F.lit(1)).alias("received"),
-                                F.count_if(view).alias("filtered_view_only"))
-    kept = ev.filter_view_only(stream, cfg.view_only)
-    valid, _ = ev.split_valid(ev.trim_strings(kept))
-    return ev.flatten(ev.to_interaction_v1(valid, cfg.enum_map, cfg.default_event_type))
+    """Valid events as interactions."""
+    return ev.flatten(ev.to_interaction_v1(valid_events(stream, cfg, observe_name), cfg.enum_map, cfg.default_event_type))
 
 
 # ---------------------------------------------------------------- E16
 def sessions_stream(stream: DataFrame, cfg: ev.AclConfig, changes: DataFrame | None = None, idle: str | None = None,
-                    late: str = "0 seconds", start_from: DataFrame | None = None) -> DataFrame:
+                    late: str = "0 seconds", start_from: DataFrame | None = None, observe_name: str | None = None) -> DataFrame:
     """Closed sessions, one row per (customer, session), as a stream.
     Stateless validation first (same functions as batch); whether an event ends
     a session is a column before the state step: by the configured list (literal,
     or a join with a table of any size), or by a stream of list ``changes``
-    (E18). ``idle``, ``late``, ``start_from``: see ``sessions.sessions``."""
-    kept = ev.filter_view_only(stream, cfg.view_only)
-    valid, _ = ev.split_valid(ev.trim_strings(kept))
+    (E18). ``idle``, ``late``, ``start_from``: see ``sessions.sessions``. With
+    ``observe_name`` all six counters are reported, the published ones under
+    ``<name>_published``."""
+    valid = valid_events(stream, cfg, observe_name)
     flagged = ev.flag_in(valid, "event_type_cd", cfg.end_codes, "is_end") if changes is None else ss.flag_by_changes(valid, changes)
     out = ss.sessions(flagged, idle, late, start_from)
+    if observe_name:
+        out = out.observe(f"{observe_name}_published", F.count_if(F.col("closed_by") == ss.BY_END).alias("published"))
     return out.select("customer_id", "session_id", "closed_by", "n_events",
                       F.timestamp_micros("interaction_start_us").alias("interaction_start"),
                       "event_id", "application_software", F.timestamp_micros("event_ts_us").alias("event_ts"),

@@ -2,7 +2,9 @@
 micro-batches and across a restart from the checkpoint."""
 
 import datetime as dt
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from relcheck.operators import events as ev
@@ -10,6 +12,7 @@ from relcheck.plans.acl import CFG
 from relcheck.sources.files import new_scratch
 from relcheck.sources.fixtures import fixture
 from relcheck.streaming import acl as st
+from relcheck.streaming.counters import CounterListener, counter_table
 from tests.conftest import SF
 
 
@@ -157,3 +160,40 @@ def test_observed_counters(spark):
             got["filtered_view_only"] += m["filtered_view_only"]
     assert got["received"] == src.count()
     assert got["filtered_view_only"] == src.where("event_type_cd = 'view'").count()
+
+
+@pytest.mark.parametrize("sink", ["foreach", "files"])
+def test_six_counters_by_a_listener(spark, sink):
+    """Lists given as tables; a batch that is replayed counts once, whether the
+    sink runs it again or knows that it has it."""
+    import glob
+    import os
+    src = fixture(spark, SF, "acl_source")
+    path, out, ck, kept = (new_scratch(spark, n) for n in ("src", "out", "ckpt", "counters"))
+    cfg = ev.AclConfig(view_only=spark.sql("SELECT 'view' AS c"), end_codes=spark.sql("SELECT 'purchase' AS c"))
+    st.stage_source_files(src, path, "event_id", n_files=3)
+    want = {r.metric: r.value for r in ev.metrics(src, CFG).collect()}
+
+    def run():
+        listener = CounterListener(spark, kept)
+        spark.streams.addListener(listener)
+        try:
+            closed = st.sessions_stream(st.read_events(spark, path, 2), cfg, observe_name="acl")
+            if sink == "files":
+                st.run_available_now(closed, out, ck)
+            else:
+                st.run_foreach_batch(closed, lambda batch, _: batch.write.format("noop").mode("overwrite").save(), ck)
+            time.sleep(5)  # progress events come a little later
+        finally:
+            spark.streams.removeListener(listener)
+        return listener
+
+    first = run()
+    assert first.totals() == want and len({b for _, b, _ in first.seen}) == 2
+    last = max(glob.glob(f"{ck}/commits/[0-9]*"), key=lambda f: int(os.path.basename(f)))
+    for f in (last, os.path.join(os.path.dirname(last), f".{os.path.basename(last)}.crc")):  # as if the run had ended before the commit
+        os.remove(f)
+    again = run()
+    assert again.seen if sink == "foreach" else not again.seen
+    assert set(again.seen) < set(first.seen)
+    assert {r.metric: r.value for r in counter_table(spark, kept).collect()} == want
