@@ -29,7 +29,7 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has
-    an edge to another. Ids are longs; null ends and loops are ignored."""
+    an edge to another. Ids are longs or binary; null ends and loops are ignored."""
     now = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct()
     before, step = None, 0
     while True:

@@ -9,12 +9,16 @@ Groups of any size, without all pairs:
 1. equal sets are one class, named by the smallest doc_id; only classes go on;
 2. in a band's bucket every class is tested against the bucket's smallest one,
    which links the mass of a group of near copies;
-3. classes whose bucket still holds more than one component are tested by an
+3. in a bucket that still holds several components every class outside the
+   largest is tested against some other member of it, HUBS times over, while
+   that links anything;
+4. classes whose bucket holds more than one component after that are tested by an
    exact prefix filter: two sets of similarity t share one of their rarest
    shingles, and the places of that shingle bound how much they can share. Only
    pairs of different components that pass the bound are made and verified.
-No bucket is capped: step 3 covers every pair of a bucket that step 2 left.
-A pair of similarity 0.75 meets in some band but for 2 in a million.
+No bucket is capped: step 4 covers every pair of a bucket that is left. A link that
+step 4 finds need not share a band: it only adds links that hold. A pair of
+similarity 0.75 meets in some band but for 2 in a million.
 
 Defined results: a text without words has no set and is linked with nothing;
 null text counts as such; rows that repeat a doc_id are judged each by its own
@@ -36,6 +40,8 @@ from relcheck.llm.shared import WordHashes, arrow_pass, staged, whole
 #: The table of candidate ids (three longs a row) is broadcast up to this many
 #: rows, 24 MB, so that texts need not move to be picked; beyond, they are joined.
 FEW_NODES = 1_000_000
+#: Rounds of step 3 at most.
+HUBS = 3
 #: A link: PERCENT of the union is shared, at least.
 PERCENT, WORDS = 75, 5
 
@@ -121,6 +127,16 @@ def prefix_pairs(items: DataFrame, percent: int) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
+def hub_pairs(members: DataFrame, k: int) -> DataFrame:
+    """(a, b): in every bucket of several components, each member outside the
+    largest with one member of the largest, another in each round ``k``. As many
+    pairs as members at most. ``members``: (band, node, comp)."""
+    of = members.groupBy("band", "comp").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", F.lit(k))).alias("hub"))
+    mass = of.groupBy("band").agg(F.max_by(F.struct("comp", "hub"), F.struct("n", "comp")).alias("mass"), F.count("*").alias("comps")).where("comps > 1")
+    mass = staged(mass.select("band", F.col("mass.comp").alias("mass"), F.col("mass.hub").alias("a")), f"mass{k}")
+    return members.join(mass, "band").where("comp != mass").select("a", F.col("node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT, words: int = WORDS, own: str | None = None) -> DataFrame:
     """(id, twin, n_shingles, component, kept): one row a row of ``docs``.
     ``own``: one more column to carry, for keys that many equal rows share."""
@@ -139,15 +155,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     nodes = staged(times.join(met.select("node", "twin").distinct(), ["node", "twin"], "left_semi"), "nodes")
     sets = staged(whole_sets(docs, nodes, text, key, words), "sets")
     first = staged(confirmed(spokes, sets, percent), "spokes")
-    grouped = staged(components(first), "first")
+    links, grouped = first, staged(components(first), "first")
     comp = F.coalesce("component", "node").alias("comp")
+    for k in range(HUBS):
+        members = met.join(grouped, "node", "left").select("band", "node", comp)
+        found = staged(confirmed(hub_pairs(members, k), sets, percent), f"hubs{k}")
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        grouped = staged(components(links), f"grouped{k}")
     members = met.join(grouped, "node", "left").select("band", "node", comp)
     open_bands = members.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("band")
     rest = staged(members.join(open_bands, "band", "left_semi").select("node", "comp").distinct(), "rest")
     items = sets.join(rest, "node").select("node", "twin", "comp", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
     second = confirmed(staged(prefix_pairs(items, percent), "pairs"), sets, percent)
-    # the links of both steps make the components; then every document by its class
-    links = first.unionByName(second)
+    # the links of all steps make the components; then every document by its class
+    links = links.unionByName(second)
     groups = staged(components(links), "groups").withColumnRenamed("node", "of_node")
     by_class = classes.join(groups, F.col("node") == F.col("of_node"), "left").select(F.col("set_key").alias("of_key"), F.coalesce("component", "node").alias("component"))
     out = signed.join(by_class, F.col("set_key") == F.col("of_key"), "left").select(
@@ -172,17 +195,19 @@ def first_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", perc
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The documents that stay, own columns: one row of each component of
-    texts, that of the smallest id, then text hash, then row hash. A node is an
-    id with its text's hash, so equal ids alone neither link nor drop texts, and
+    texts, that of the smallest id, then text hash, then row hash. A node is 128
+    bits of an id with its text, so equal ids alone neither link nor drop texts, and
     null ids (the last to stay) are compared like others. A text without words
     is linked with nothing; rows equal in id and text are one document."""
     id_, twin = F.col(f"`{key}`"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
-    nodes = docs.select(F.xxhash64(F.lit(1), id_.cast("string"), id_.isNull(), twin).alias("node"), id_.alias("own"), F.col(f"`{text}`").alias("text"))
+    named_by = F.concat_ws(":", F.coalesce(F.length(id_.cast("string")).cast("string"), F.lit("null")), id_.cast("string"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
+    nodes = docs.select(F.unhex(F.md5(named_by.cast("binary"))).alias("node"), id_.alias("own"), F.col(f"`{text}`").alias("text"))
     verdict = staged(near_duplicates(nodes, "text", "node", percent, words, own="own"), "verdict")
     rank = F.struct(F.col("own").isNull().alias("last"), "own", "twin")
     named = verdict.groupBy("component", "own", "twin").agg(F.count("*").alias("n"))  # a row a node
     named = staged(named.select("component", "n", rank.alias("rank")), "named")
-    best = named.groupBy("component").agg(F.min("rank").alias("best"))
+    # staged, so that both sides of the join are exchanges, which a hot component can split
+    best = staged(named.groupBy("component").agg(F.min("rank").alias("best")), "best")
     judged = staged(named.join(best, "component").select(F.col("rank.own").alias("_id"), F.col("rank.twin").alias("_twin"), "n", (F.col("rank") == F.col("best")).alias("stays")), "judged")
     same = id_.eqNullSafe(F.col("_id")) & (twin == F.col("_twin"))
     left = docs.join(judged.where("not stays or n > 1").select("_id", "_twin"), same, "left_anti")
