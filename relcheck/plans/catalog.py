@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from relcheck.functions.text import definition_hash, glob_match, normalize_text
 from relcheck.operators import catalog as cat
 from relcheck.operators import drift as dr
+from relcheck.operators import ignore_rules as ir
 from relcheck.operators import findings as fnd
 from relcheck.operators import tablediff as td
 from relcheck.sources.fixtures import cte, fixture
@@ -268,6 +269,11 @@ def q_drift_functions(spark, d):
                                 ["schema_name", "name", "args"], "definition_hash", "function", "C7")
 
 
+def q_ignore_rule_table(spark, d):
+    tables = fx(spark, d, "cat_columns").select("table_schema", "table_name").distinct()
+    return ir.without_ignored(tables, fx(spark, d, "ignore_globs"))
+
+
 def q_drift_functions_no_args(spark, d):
     def h(df):
         return df.select("function_schema", "function_name", "args", definition_hash("body").alias("definition_hash"))
@@ -401,6 +407,7 @@ QUERIES = {
     "drift_fk": q_drift_fk,
     "drift_views": q_drift_views,
     "drift_functions": q_drift_functions,
+    "ignore_rule_table": q_ignore_rule_table,
     "drift_functions_no_args": q_drift_functions_no_args,
     "drift_roles": q_drift_roles,
     "drift_sequences": q_drift_sequences,
@@ -628,6 +635,8 @@ va AS (SELECT view_schema, view_name, {NORM.format(c='definition')} AS definitio
     "drift_functions": cte("cat_functions", "cat_functions_dev") + f""", fe AS (SELECT schema_name, name, args, sha256({NORM.format(c='definition')}) AS definition_hash FROM cat_functions),
 fa AS (SELECT schema_name, name, args, sha256({NORM.format(c='definition')}) AS definition_hash FROM cat_functions_dev)
 """ + _defs_sql("fe", "fa", ["schema_name", "name", "args"], "definition_hash", "function", "C7"),
+    "ignore_rule_table": cte("cat_columns", "ignore_globs") + """, n AS (SELECT DISTINCT table_schema, table_name, table_schema || '.' || table_name AS name FROM cat_columns)
+SELECT table_schema, table_name FROM n WHERE NOT EXISTS (SELECT 1 FROM ignore_globs r WHERE n.name GLOB r.pattern)""",
     "drift_functions_no_args": """SELECT 'db' || (p_partkey % 5) || '.f' || p_partkey || '.' || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE 'integer' END AS object_key,
  CASE WHEN p_partkey % 10 = 6 THEN 'MISSING' ELSE 'CHANGED' END AS status FROM part
  WHERE p_partkey % 10 = 6 OR (p_partkey % 4 = 0 AND p_type <> p_brand)""",

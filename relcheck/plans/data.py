@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from relcheck.operators import constraints as con
 from relcheck.operators import dedup
+from relcheck.operators import profile as prof
 from relcheck.operators import release as rel
 from relcheck.operators import tablediff as td
 from relcheck.sources.fixtures import cte, fixture
@@ -95,6 +96,17 @@ def q_check_length_precision(spark, d):
     return con.check_length_precision(fixture(spark, d, "orders_actual"), "orders_actual", rules)
 
 
+def q_profile_merged(spark, d):
+    """Orders profiled by year, the years merged; estimates told by whether they
+    are near the exact counts."""
+    orders = table(spark, d, "orders")
+    kept = prof.day_profiles(orders, "orders", F.year("o_orderdate"))
+    exact = con.observed_profile(orders, "orders").select(F.col("column_name").alias("_c"), F.col("n_distinct").alias("_exact"))
+    near = F.abs(F.col("n_distinct") - F.col("_exact")) <= F.greatest(F.lit(1.0), F.col("_exact") * 2.5 / 2 ** (prof.LG_K / 2))
+    return prof.merged_profile(kept).join(exact, F.col("column_name") == F.col("_c")).select(
+        "column_name", "n_rows", "n_nulls", "max_length", "min_number", "min_text", "max_number", "max_text", near.alias("near"))
+
+
 def q_check_decimal_edges(spark, d):
     rules = [{"column": "top", "num_precision": 19, "num_scale": 2}, {"column": "tiny", "num_precision": 19, "num_scale": 2},
              {"column": "over", "num_precision": 19, "num_scale": 2}, {"column": "l_orderkey", "num_precision": 3, "num_scale": 0}]
@@ -171,6 +183,7 @@ QUERIES = {
     "table_diff_repeated": q_table_diff_repeated,
     "check_not_null": q_check_not_null,
     "check_length_precision": q_check_length_precision,
+    "profile_merged": q_profile_merged,
     "check_decimal_edges": q_check_decimal_edges,
     "table_diff_retyped": q_table_diff_retyped,
     "check_pk": q_check_pk,
@@ -285,6 +298,11 @@ FROM (SELECT 'o_orderpriority' AS c, 'char_max=8' AS field, count(*) FILTER (WHE
  UNION ALL SELECT 'o_orderstatus', 'char_max=1', count(*) FILTER (WHERE length(o_orderstatus) > 1) FROM orders_actual
  UNION ALL SELECT 'o_totalprice', 'num_precision=7,num_scale=2', count(*) FILTER (WHERE abs(o_totalprice) >= 100000.0) FROM orders_actual
  UNION ALL SELECT 'o_totalprice', 'num_scale=2', count(*) FILTER (WHERE abs(o_totalprice * 100.0 - round(o_totalprice * 100.0)) > 1e-6) FROM orders_actual) x""",
+    "profile_merged": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, {'max(length(' + c + '))' if kind == 's' else 'NULL::BIGINT'} AS max_length, "
+        + ", ".join(f"{f'{f}({c})::DOUBLE' if kind == 'n' else 'NULL::DOUBLE'} AS {f}_number, {f'{f}({c})::VARCHAR' if kind != 'n' else 'NULL::VARCHAR'} AS {f}_text" for f in ("min", "max"))
+        + ", TRUE AS near FROM orders"
+        for c, kind in (("o_orderkey", "n"), ("o_custkey", "n"), ("o_orderstatus", "s"), ("o_totalprice", "n"), ("o_orderdate", "d"), ("o_orderpriority", "s"))),
     "check_decimal_edges": """SELECT 'D2' AS check_id, 'column' AS object_kind, 'edge_numbers.' || c AS object_key, field,
  CASE WHEN n > 0 THEN 'VIOLATION' ELSE 'PASS' END AS status, '0' AS expected, CAST(n AS VARCHAR) AS actual
 FROM (VALUES ('top', 'num_precision=19,num_scale=2', 0), ('top', 'num_scale=2', 0), ('tiny', 'num_precision=19,num_scale=2', 0),

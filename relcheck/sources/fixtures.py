@@ -422,6 +422,12 @@ FIXTURE_SQL["messages_tabs"] = """
 SELECT file_name, row_no, source_system, CASE row_no % 3 WHEN 0 THEN chr(9) WHEN 1 THEN concat(' ', chr(10), ' ') ELSE customer_id END AS customer_id, event_type, event_date, tags FROM {messages_csv}
 """
 
+# Ignore rules: whole names, beginnings, ends, single letters, pieces.
+FIXTURE_SQL["ignore_globs"] = """
+SELECT CASE c_custkey % 5 WHEN 0 THEN concat('db', cast(c_custkey % 20 AS string), '.t', cast(c_custkey AS string)) WHEN 1 THEN concat('db2.t', cast(c_custkey AS string), '*')
+ WHEN 2 THEN concat('*.t', cast(c_custkey AS string), '?') WHEN 3 THEN concat('db?.*', cast(c_custkey % 100 + 100 AS string)) ELSE concat('*3.t', cast(c_custkey AS string), '*1') END AS pattern FROM {customer}
+"""
+
 # Explicit target list for table discovery: some qualified, some bare.
 FIXTURE_SQL["cat_targets"] = """
 SELECT CASE WHEN o_orderkey % 100 = 0 THEN concat('db', cast(o_orderkey % 20 AS string), '.t', cast(o_orderkey AS string))
