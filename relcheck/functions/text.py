@@ -1,11 +1,12 @@
-"""String helpers used by the operators."""
+"""String and list helpers used by the operators."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the whitespace class used for normalising definitions. It is
 # the ASCII class (space, tab, newline, carriage return, form feed,
@@ -101,3 +102,12 @@ def lenient(c, kind: str) -> Column:
     if kind == "boolean":
         return F.when(_c(c), F.lit(True))
     return F.nullif(_c(c), F.lit(0))
+
+
+def as_list(df: DataFrame, name: str) -> Column:
+    """A column of lists as it is, of scalars as lists of one; null is the
+    empty list."""
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(c, F.array().cast(kind))
+    return F.when(c.isNull(), F.array().cast(T.ArrayType(kind))).otherwise(F.array(c))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from relcheck.functions.text import session_key
 from relcheck.functions.time import ts_text
 from relcheck.operators import events as ev
+from relcheck.operators.messages import sequence_within
 from relcheck.sources.fixtures import cte, fixture
 
 CFG = ev.AclConfig()
@@ -83,10 +84,11 @@ def q_metrics(spark, sf_dir):
 
 
 def q_partition_order(spark, sf_dir):
+    """The order in which a customer's interactions are published, as data: the
+    place of each offset among its customer's."""
     *_, valid, _ = _stages(spark, sf_dir)
-    published = ev.order_for_publish(
-        ev.to_interaction_v1(valid, CFG.enum_map), ["customer_id"], "event_id")
-    return ev.order_inversions(published, ["customer_id"], "event_id")
+    published = ev.to_interaction_v1(valid, CFG.enum_map).select("customer_id", "event_id")
+    return sequence_within(published, ["customer_id"], "event_id", out="position")
 
 
 def q_session_key(spark, sf_dir):
@@ -172,8 +174,7 @@ UNION ALL SELECT 'validation_failures', (SELECT count(*) FROM checked WHERE reas
 UNION ALL SELECT 'dead_lettered', (SELECT count(*) FROM checked WHERE reason <> '')
 UNION ALL SELECT 'transformed', (SELECT count(*) FROM valid)
 UNION ALL SELECT 'published', (SELECT count(*) FROM ends)""",
-    "acl_partition_order": ACL_CTE + """SELECT customer_id, count(*) AS n_events, CAST(0 AS BIGINT) AS inversions,
- CAST(1 AS BIGINT) AS n_partitions FROM valid GROUP BY customer_id""",
+    "acl_partition_order": ACL_CTE + """SELECT customer_id, event_id, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY event_id) AS INTEGER) AS position FROM valid""",
     "session_key": ACL_CTE + """SELECT customer_id, session_id, count(*) AS n_events, concat(customer_id, session_id) AS session_key
  FROM valid GROUP BY customer_id, session_id""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from relcheck.functions.text import definition_hash, glob_match, normalize_text
+from relcheck.functions.text import as_list, definition_hash, glob_match, normalize_text
 from relcheck.operators import catalog as cat
 from relcheck.operators import drift as dr
 from relcheck.operators import ignore_rules as ir
@@ -33,7 +33,8 @@ def _join_list(c, sep=","):
 
 # ------------------------------------------------------------- assembly
 def q_discover(spark, d):
-    return cat.discover_tables(fx(spark, d, "cat_columns"), exclude_schemas=["db0"], name_like="t1%")
+    found = cat.discover_tables(fx(spark, d, "cat_columns"), exclude_schemas=["db0"], name_like="t1%")
+    return cat.listed(found, "table_schema", "table_name")
 
 
 def q_explicit_targets(spark, d):
@@ -269,6 +270,13 @@ def q_drift_functions(spark, d):
                                 ["schema_name", "name", "args"], "definition_hash", "function", "C7")
 
 
+def q_as_list(spark, d):
+    """Scalars, nulls and lists of names, all as lists."""
+    src = fx(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("one"),
+                                        F.when(F.col("o_orderkey") % 2 == 0, F.array("o_orderstatus", "o_orderpriority")).alias("many"))
+    return src.select("o_orderkey", *[F.array_join(as_list(src, c), "|").alias(c) for c in ("one", "many")], *[F.size(as_list(src, c)).alias(f"n_{c}") for c in ("one", "many")])
+
+
 def q_ignore_rule_table(spark, d):
     tables = fx(spark, d, "cat_columns").select("table_schema", "table_name").distinct()
     return ir.without_ignored(tables, fx(spark, d, "ignore_globs"))
@@ -408,6 +416,7 @@ QUERIES = {
     "drift_views": q_drift_views,
     "drift_functions": q_drift_functions,
     "ignore_rule_table": q_ignore_rule_table,
+    "as_name_list": q_as_list,
     "drift_functions_no_args": q_drift_functions_no_args,
     "drift_roles": q_drift_roles,
     "drift_sequences": q_drift_sequences,
@@ -635,6 +644,8 @@ va AS (SELECT view_schema, view_name, {NORM.format(c='definition')} AS definitio
     "drift_functions": cte("cat_functions", "cat_functions_dev") + f""", fe AS (SELECT schema_name, name, args, sha256({NORM.format(c='definition')}) AS definition_hash FROM cat_functions),
 fa AS (SELECT schema_name, name, args, sha256({NORM.format(c='definition')}) AS definition_hash FROM cat_functions_dev)
 """ + _defs_sql("fe", "fa", ["schema_name", "name", "args"], "definition_hash", "function", "C7"),
+    "as_name_list": """SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus ELSE '' END AS one, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus || '|' || o_orderpriority ELSE '' END AS many,
+ CASE WHEN o_orderkey % 3 <> 0 THEN 1 ELSE 0 END AS n_one, CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 0 END AS n_many FROM orders""",
     "ignore_rule_table": cte("cat_columns", "ignore_globs") + """, n AS (SELECT DISTINCT table_schema, table_name, table_schema || '.' || table_name AS name FROM cat_columns)
 SELECT table_schema, table_name FROM n WHERE NOT EXISTS (SELECT 1 FROM ignore_globs r WHERE n.name GLOB r.pattern)""",
     "drift_functions_no_args": """SELECT 'db' || (p_partkey % 5) || '.f' || p_partkey || '.' || CASE WHEN p_partkey % 2 = 0 THEN '' ELSE 'integer' END AS object_key,
