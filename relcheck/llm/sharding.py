@@ -50,10 +50,11 @@ def histogram(rows: DataFrame, bits: int, inside: list[int] | None) -> list:
                                                 F.min("k").alias("low"), F.max("k").alias("high")).orderBy("cell").collect()
 
 
-def splitters(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int]], int]:
-    """For each of the inner boundaries i: (key, rows below it), where the key
-    is the least one with at least i/shards of all bytes below it. Rows whose
-    key is below the first belong to shard 0, and so on. Also the row count."""
+def splitters(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int, int]], int]:
+    """For each of the inner boundaries i: (key, rank, rows below it), the least
+    with at least i/shards of all bytes below it; below are smaller keys, and of
+    the key itself the rows of a smaller rank. Rows below the first boundary
+    belong to shard 0, and so on. Also the row count."""
     first = histogram(rows, STEP, None)
     total = sum(c.bytes for c in first)
     want = [-(-total * i // shards) for i in range(1, shards)]
@@ -72,9 +73,10 @@ def splitters(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int]], int]
                     break
                 below, n = below + c.bytes, n + c.n
             if nxt is None:  # only in an empty table
-                found[i] = (1 << BITS, n)
-            elif nxt.low == nxt.high or bits >= BITS:  # one key left: the boundary lies behind it
-                found[i] = (nxt.high + 1, n + nxt.n)
+                found[i] = (1 << BITS, 0, n)
+            elif nxt.low == nxt.high or bits >= BITS:  # one key left: as many of its rows as are needed, all of one size
+                rank = max(1, min(nxt.n, -(-(want[i] - below) * nxt.n // nxt.bytes)))
+                found[i] = (nxt.high, rank, n + rank)
             else:
                 at[i], parent[i] = (below, n), nxt.cell
                 inside.add(nxt.cell)
@@ -88,13 +90,27 @@ def splitters(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int]], int]
     return [found[i] for i in range(len(want))], sum(c.n for c in first)
 
 
-def pick(bounds: list[int], key: Column, values: list[int], low: int = 0) -> Column:
-    """values[number of bounds that are <= key], as a balanced tree."""
+def pick(bounds: list[tuple[int, int]], key: Column, rank: Column, values: list[int], low: int = 0) -> Column:
+    """values[number of bounds that are <= (key, rank)], as a balanced tree."""
     if not bounds:
         return F.lit(values[low])
     mid = len(bounds) // 2
-    return F.when(key < F.lit(bounds[mid]).cast("long"), pick(bounds[:mid], key, values, low)) \
-            .otherwise(pick(bounds[mid + 1:], key, values, low + mid + 1))
+    at, first = F.lit(bounds[mid][0]).cast("long"), F.lit(bounds[mid][1]).cast("long")
+    return F.when((key < at) | ((key == at) & (rank < first)), pick(bounds[:mid], key, rank, values, low)) \
+            .otherwise(pick(bounds[mid + 1:], key, rank, values, low + mid + 1))
+
+
+def numbered(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """The rows whose key is in ``again``, with ``r``: 0, 1, ... among the rows of
+    one key. They are written, so that their place stays; of each key and input
+    split one window numbers what one task has read at most."""
+    many = rows.join(again, "k", "left_semi").select(*rows.columns, F.spark_partition_id().alias("split"), F.monotonically_increasing_id().alias("place"))
+    many = staged(many, "equal")
+    counts = many.groupBy("k", "split").agg(F.count("*").alias("n"))
+    before = counts.select(F.col("k").alias("of_k"), F.col("split").alias("of_split"), (F.sum("n").over(Window.partitionBy("k").orderBy("split")) - F.col("n")).alias("before"))
+    own = many.withColumn("own", F.row_number().over(Window.partitionBy("k", "split").orderBy("place")))
+    told = own.join(staged(before, "before"), (F.col("k") == F.col("of_k")) & (F.col("split") == F.col("of_split")))
+    return told.select(*rows.columns, (F.col("before") + F.col("own") - 1).alias("r"))
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 24, text: str = "text", key: str = "doc_id",
@@ -106,13 +122,18 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, text: str = "text", key: s
                        sort_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("k"))
     keys = staged(rows.select("k", "size"), "keys")
     cuts, total = splitters(keys, shards)
+    again = staged(keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "again")
+    equal = numbered(rows, again)
     bits = min(BITS, (total // CELL_ROWS).bit_length())
-    shard = pick([k for k, _ in cuts], F.col("k"), list(range(shards))).cast("int")
-    cell = F.shiftright("k", BITS - bits)
+    shard = pick([c[:2] for c in cuts], F.col("k"), F.col("r"), list(range(shards))).cast("int")
+
+    def placed(of: DataFrame, names: list[str]) -> DataFrame:
+        both = of.join(again, "k", "left_anti").select(*names, F.lit(0).cast("long").alias("r")).unionByName(equal.select(*names, "r"))
+        return both.select("*", shard.alias("shard"), F.shiftright("k", BITS - bits).alias("cell"), F.floor(F.col("r") / CELL_ROWS).alias("chunk"))
+
     # rows before each cell of a shard: one row a cell, so small and never hot
-    before = (keys.groupBy(shard.alias("of_shard"), cell.alias("of_cell")).agg(F.count("*").alias("n"))
-              .withColumn("before", F.sum("n").over(Window.partitionBy("of_shard").orderBy("of_cell")) - F.col("n")))
-    placed = rows.withColumn("shard", shard).withColumn("cell", cell)
-    placed = placed.withColumn("rank", F.row_number().over(Window.partitionBy("shard", "cell").orderBy("k")))
-    return (placed.join(before, (F.col("shard") == F.col("of_shard")) & (F.col("cell") == F.col("of_cell")))
+    before = (placed(keys, ["k"]).groupBy(F.col("shard").alias("of_shard"), F.col("cell").alias("of_cell"), F.col("chunk").alias("of_chunk")).agg(F.count("*").alias("n"))
+              .withColumn("before", F.sum("n").over(Window.partitionBy("of_shard").orderBy("of_cell", "of_chunk")) - F.col("n")))
+    ranked = placed(rows, rows.columns).withColumn("rank", F.row_number().over(Window.partitionBy("shard", "cell", "chunk").orderBy("k", "r")))
+    return (ranked.join(before, (F.col("shard") == F.col("of_shard")) & (F.col("cell") == F.col("of_cell")) & (F.col("chunk") == F.col("of_chunk")))
             .select("row", "size", "k", "shard", (F.col("before") + F.col("rank") - 1).alias("slot")))

@@ -32,16 +32,36 @@ def test_splitters_are_exact(spark):
     r = random.Random(2)
     keys = [r.randrange(1 << 60) for _ in range(300)] + [7] * 40 + [8] * 3 + [(1 << 60) - 1]
     data = [(k, r.randrange(1, 50)) for k in keys]
-    cuts, n = splitters(spark.createDataFrame(data, "k long, size long"), 10)
+    cuts, n = splitters(spark.createDataFrame([(k, 10) for k, _ in data[-50:]] + [(k, 7 + k % 5) for k, _ in data[:-50]], "k long, size long"), 10)
+    data = [(k, 10) for k, _ in data[-50:]] + [(k, 7 + k % 5) for k, _ in data[:-50]]
     total = sum(s for _, s in data)
-    for i, (bound, below) in enumerate(cuts, 1):
+    seen, ordered = defaultdict(int), []
+    for k, s in sorted(data):
+        ordered.append((k, seen[k], s))
+        seen[k] += 1
+    for i, (key, rank, below) in enumerate(cuts, 1):
         want = -(-total * i // 10)
-        assert sum(s for k, s in data if k < bound) >= want
-        assert sum(s for k, s in data if k < bound - 1) < want or not any(k == bound - 1 for k, _ in data)
-        assert below == sum(k < bound for k, _ in data)
+        first = [x for x in ordered if x[:2] < (key, rank)]
+        assert len(first) == below and sum(s for _, _, s in first) >= want > sum(s for _, _, s in first[:-1])
     assert n == len(data)
 
 
+def test_equal_rows_are_shared_out(spark, monkeypatch):
+    """Half of all rows are one row, without an id; a few more repeat."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", 16)
+    rows = [(None, "the same text")] * 600 + [(7, "another one")] * 40 + [(i, prose(i, 2)) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = shard_by_bytes(docs, 24).collect()
+    assert len(out) == len(rows)
+    sums, slots = defaultdict(int), defaultdict(list)
+    for x in out:
+        sums[x.shard] += x.size
+        slots[x.shard].append(x.slot)
+    assert set(sums) == set(range(24)) and max(sums.values()) - min(sums.values()) <= 2 * max(x.size for x in out)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({x.shard for x in out if x.row.doc_id is None}) > 8
+
+
 def test_sharding_edges(spark, monkeypatch):
     monkeypatch.setattr(sharding, "CELL_ROWS", 2)
     docs = edge_docs(spark)
