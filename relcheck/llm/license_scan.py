@@ -152,10 +152,16 @@ def normalised(text: str = "text") -> Column:
 
 
 def each_spdx(plain: Column) -> Column:
-    """SPDX_MARK set again before what follows an 'or' or 'and' on its line, so
-    that every licence of an expression counts."""
-    joined = f" (?:or|and) (?<={SPDX_MARK} [^\n\x01]{{1,200}})"
-    return F.when(F.contains(plain, F.lit(SPDX_MARK)), F.regexp_replace(plain, joined, f"$0{SPDX_MARK} ")).otherwise(plain)
+    """SPDX_MARK set again before what follows an 'or' or 'and' on its line,
+    however long, so that every licence of an expression counts: the text is cut
+    at the marks, and of each part the first line is rewritten."""
+    parts = F.split(plain, SPDX_MARK)
+
+    def again(part: Column, i: Column) -> Column:
+        line = F.regexp_extract(part, "^[^\n\x01]*", 0)
+        return F.when(i == 0, part).otherwise(F.concat(F.regexp_replace(line, " (?:or|and) ", f"$0{SPDX_MARK} "), F.substring(part, F.length(line) + 1, F.length(part))))
+
+    return F.when(F.contains(plain, F.lit(SPDX_MARK)), F.array_join(F.transform(parts, again), SPDX_MARK)).otherwise(plain)
 
 
 def any_known(known: dict[str, str]) -> str:

@@ -1,6 +1,6 @@
 import re
 
-from relcheck.llm.license_scan import RULES, SENTENCES, license_scan
+from relcheck.llm.license_scan import RULES, SENTENCES, SPDX, license_scan
 from tests.llm.helpers import docs_of, edge_docs, edge_rows, no_docs
 
 MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files. "
@@ -100,6 +100,16 @@ def test_sentences_end_at_marks_and_blank_lines(spark):
     assert out[5].sentence_ids == "2:mit_released" and [r.n_sentences for r in out] == [2, 2, 2, 2, 2, 5, 3, 2]
 
 
+def test_spdx_expressions_of_any_length(spark):
+    names = [x for x in SPDX if x not in ("MIT-0",)] * 4
+    texts = ["SPDX-License-Identifier: " + " OR ".join(names), "a MIT OR x\n# SPDX-License-Identifier: ISC AND Zlib\nGPL-2.0 or MPL-1.1 or EPL-2.0",
+             "SPDX-License-Identifier: MIT OR ISC\nSPDX-License-Identifier: Zlib AND (BSL-1.0 OR WTFPL)"]
+    out = license_scan(docs_of(spark, texts)).orderBy("row.doc_id").collect()
+    assert set(names) <= set(out[0].licenses)
+    assert {x for x in out[1].licenses if x in SPDX} >= {"ISC", "Zlib"} and not {"MPL-1.1", "EPL-2.0"} & set(out[1].licenses)
+    assert out[2].licenses == ["BSL-1.0", "ISC", "MIT", "WTFPL", "Zlib"]
+
+
 def test_short_forms(spark):
     cases = {"Licensed under the MIT License": ["MIT"], "MIT License\n\nCopyright": ["MIT"], "// SPDX-License-Identifier: MIT": ["MIT"],
              "SPDX-License-Identifier: MIT-0": ["MIT-0"], "# SPDX-License-Identifier: GPL-2.0-or-later\nx": ["GPL-2.0"], "SPDX-License-Identifier: BSD-3-Clause-Clear": ["BSD-3-Clause-Clear"],
