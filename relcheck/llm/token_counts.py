@@ -1,12 +1,18 @@
 """Operator 2: tokens of every whole text, counted where the text lies.
 
 Method: two-tier lookup in the map task. Tier one is a compact table of the
-frequent pre-tokens' lengths (in tokens), broadcast once; tier two encodes a
-pre-token that is not in it and keeps the length in the worker's own bounded
-cache. No pre-token is ever shuffled, and no job runs before the scan: BPE
-vocabularies hold the whole words that were frequent enough to earn an id, so
-tier one is read off the vocabulary, whose size is the proven bound of the
-broadcast. A caller's own list of frequent pre-tokens may be given instead.
+lengths (in tokens) of the corpus's frequent pre-tokens, broadcast once; tier two
+encodes a pre-token that is not in it and keeps the length in the worker's own
+bounded cache. No pre-token of a text is ever shuffled. What is frequent is
+counted over the whole corpus before: each task keeps a summary of HELD words (a
+word more often than one in HELD of a task's words is surely in it), and of the
+summed summaries the FREQUENT most frequent words come to the driver, which cuts
+them into pre-tokens and measures those. So the broadcast is bounded by FREQUENT,
+and the table only ever saves time: counts do not depend on it.
+
+A text with characters on whose class two libraries may differ is cut at single
+spaces between plain characters; the pieces that hold such characters are encoded
+by the tokenizer itself (through the cache), the others as ever.
 
 Defined results: null text counts as empty (0 bytes, 0 tokens); repeated rows
 are counted each; an empty table gives an empty result; the caller's columns
@@ -15,41 +21,72 @@ are never looked at but for the id and the text, so none can clash.
 
 from __future__ import annotations
 
+import heapq
 import json
-from collections.abc import Callable, Iterable
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from relcheck.llm.shared import arrow_pass, whole
+from relcheck.llm.shared import arrow_pass, by_slices, whole
 
 #: The byte-level pre-token pattern that the vocabulary's
 #: pre-tokenizer states (its use_regex).
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters on whose class two regular-expression libraries may differ
-#: (controls, separators, marks beside the common ranges): texts that hold any
-#: are encoded by the tokenizer itself.
-UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7E¡-ſ‐-‧€]")
+#: (controls, separators, marks beside the common ranges).
+USUAL = r"\x21-\x7E¡-ſ‐-‧€"
+UNUSUAL = regex.compile(rf"[^\t\n\r\x20{USUAL}]")
+#: A single space between two plain characters always begins a pre-token.
+SAFE = regex.compile(rf"(?<=[{USUAL}])(?= [{USUAL}])")
 #: Entries of the worker's cache, and the longest pre-token it keeps.
 CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
-#: Tier one takes so many entries at most.
-FREQUENT_MAX = 65_536
-
-
-def frequent_table(tokenizer_json: str, words: Iterable[str] | None = None) -> tuple[str, bytes]:
-    """(pre-tokens joined by NUL, one length a byte). ``words``: the frequent
-    pre-tokens (the first FREQUENT_MAX count); by default the vocabulary's
-    entries that are whole pre-tokens."""
+#: Words of a task's summary, and of the table that is broadcast.
+HELD, FREQUENT = 50_000, 65_536
+
+
+def trimmed(counts: Counter, held: int) -> Counter:
+    """The summary of Misra and Gries: the most frequent ``held`` words, all
+    less the count of the first that is left out."""
+    if len(counts) <= held:
+        return counts
+    top = heapq.nlargest(held + 1, counts.items(), key=lambda x: x[1])
+    less = top[-1][1]
+    return Counter({w: n - less for w, n in top if n > less})
+
+
+def frequent_words(docs: DataFrame, text: str = "text", held: int = HELD, most: int = FREQUENT) -> list[str]:
+    """The corpus's most frequent words (between white space), most frequent
+    first. A task sends a summary, not its words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for _, texts in by_slices(batch):
+                for t in texts:
+                    counts.update(t.split())
+                if len(counts) > 4 * held:
+                    counts = trimmed(counts, held)
+        top = [(w, n) for w, n in trimmed(counts, held).items() if n > 1 and len(w) <= CACHE_CHARS]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
+
+    summed = whole(docs, text).select("body").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = summed.orderBy(F.desc("n"), "word").limit(most).collect()
+    return [bytes(r.word).decode("utf-8", "replace") for r in rows]
+
+
+def frequent_table(tokenizer_json: str, words: Iterable[str], most: int = FREQUENT) -> tuple[str, bytes]:
+    """(pre-tokens joined by NUL, one length a byte) of the words as they stand
+    behind a space; the first ``most`` pre-tokens."""
     tok = Tokenizer.from_str(tokenizer_json)
-    if words is None:
-        one = regex.compile(PRE_TOKEN)
-        vocab = [tok.decode([i]) for i in range(tok.get_vocab_size(with_added_tokens=False))]
-        words = (w for w in vocab if w and "�" not in w and "\0" not in w and one.fullmatch(w))
-    words = list(dict.fromkeys(words))[:FREQUENT_MAX]
-    sizes = [len(e.ids) for e in tok.encode_batch(words, add_special_tokens=False)]
-    both = [(w, n) for w, n in zip(words, sizes, strict=True) if n < 256]
+    cut = regex.compile(PRE_TOKEN).findall
+    found = dict.fromkeys(p for w in words if not UNUSUAL.search(w) for p in cut(" " + w))
+    found = list(found)[:most]
+    sizes = [len(e.ids) for e in tok.encode_batch(found, add_special_tokens=False)]
+    both = [(w, n) for w, n in zip(found, sizes, strict=True) if n < 256]
     return "\0".join(w for w, _ in both), bytes(n for _, n in both)
 
 
@@ -87,9 +124,11 @@ def counter(tokenizer_json: str, frequent: tuple[str, bytes]) -> Callable[[str],
     length, unusual = lengths.__getitem__, UNUSUAL.search
 
     def count(text: str) -> int:
-        if unusual(text) or any(s in text for s in special):
+        if any(s in text for s in special):
             return len(tok.encode(text, add_special_tokens=False).ids)
-        return sum(map(length, cut(text)))
+        if not unusual(text):
+            return sum(map(length, cut(text)))
+        return sum(length(piece) if unusual(piece) else sum(map(length, cut(piece))) for piece in SAFE.split(text))
 
     return count
 
@@ -97,9 +136,11 @@ def counter(tokenizer_json: str, frequent: tuple[str, bytes]) -> Callable[[str],
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, text: str = "text",
                  frequent: Iterable[str] | None = None, carry: list[str] | None = None) -> DataFrame:
     """``docs`` (as the struct ``row``) with n_bytes, n_tokens and over_limit.
-    The vocabulary file is read once, on the driver, and sent with tier one."""
+    The vocabulary file is read once, on the driver, and sent with tier one.
+    ``frequent``: words for it, most frequent first; by default those of ``docs``."""
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer_json = f.read()
+    frequent = frequent_words(docs, text) if frequent is None else frequent
     shared = docs.sparkSession.sparkContext.broadcast((tokenizer_json, frequent_table(tokenizer_json, frequent)))
 
     def work():
