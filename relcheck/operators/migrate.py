@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 def dedup_reference(ref: DataFrame, code_col: str = "event_type_cd",
                     desc_col: str = "event_type_description") -> DataFrame:
     """One description per code (the reference table may repeat rows); the
@@ -52,7 +53,16 @@ def dto_projection(events: DataFrame, id_col: str = "event_id",
 
 def sink_upsert(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
     """sink rows: description stored as delivered (no lookup, no code
-    column); a re-delivered event (same id) is not inserted twice, also
-    when the batch itself repeats it."""
-    new = incoming.dropDuplicates(key).join(existing.select(*key), key, "left_anti")
-    return existing.unionByName(new.select(*existing.columns))
+    column); a re-delivered event (same id) is not inserted twice, also when the
+    batch itself repeats it: of a repeated id the least row by its columns stays,
+    whatever the order of delivery. A row with a null id has none to be told by;
+    it is the same event when the whole row is."""
+    cols = existing.columns
+    rows = incoming.select(*cols)
+    named = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in key])
+    one = rows.where(named).groupBy(*[F.col(c).alias(f"_k_{c}") for c in key]).agg(F.min(F.struct(*cols)).alias("r")).select("r.*")
+    new = one.join(existing.select(*key), key, "left_anti")
+    nameless = rows.where(~named).distinct()
+    known = existing.where(~named).select(*[F.col(c).alias(f"_e_{c}") for c in cols])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in cols])
+    return existing.unionByName(new.select(*cols)).unionByName(nameless.join(known, same, "left_anti"))
