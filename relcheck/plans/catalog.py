@@ -9,6 +9,7 @@ from relcheck.functions.text import as_list, definition_hash, glob_match, normal
 from relcheck.operators import catalog as cat
 from relcheck.operators import drift as dr
 from relcheck.operators import ignore_rules as ir
+from relcheck.operators import listings as ls
 from relcheck.operators import findings as fnd
 from relcheck.operators import tablediff as td
 from relcheck.sources.fixtures import cte, fixture
@@ -277,6 +278,31 @@ def q_as_list(spark, d):
     return src.select("o_orderkey", *[F.array_join(as_list(src, c), "|").alias(c) for c in ("one", "many")], *[F.size(as_list(src, c)).alias(f"n_{c}") for c in ("one", "many")])
 
 
+_LISTED = {
+    "column_privilege": ("cat_column_grants", ls.COLUMN_PRIVILEGES, 5), "index": ("cat_index_rows", ls.INDEXES, 3),
+    "sequence": ("cat_sequences", ls.SEQUENCES, 2), "trigger": ("cat_trigger_rows", ls.TRIGGERS, 5)}
+
+
+def q_listing_details(spark, d):
+    """Schemas, user types, privileges of columns and tables, indexes, sequences
+    and triggers, each with its own columns."""
+    spaces = fx(spark, d, "cat_spaces")
+    parts = [ls.as_rows("schema", ls.schemas(spaces, fx(spark, d, "cat_owner_roles")), ["schema_name"]),
+             ls.as_rows("type", ls.user_types(fx(spark, d, "cat_types"), spaces), ["schema_name", "type_name"]),
+             ls.as_rows("table_privilege", ls.plain(fx(spark, d, "cat_column_grants"), ls.TABLE_PRIVILEGES).distinct(), ls.TABLE_PRIVILEGES[:4])]
+    parts += [ls.as_rows(kind, ls.plain(fx(spark, d, name), cols), cols[:n]) for kind, (name, cols, n) in _LISTED.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_function_details(spark, d):
+    args = [fx(spark, d, n) for n in ("cat_procs", "cat_spaces", "cat_languages")]
+    both = [ls.functions(*args, keep_unknown_language=k).withColumn("unknown_kept", F.lit(k)) for k in (False, True)]
+    return both[0].unionByName(both[1])
+
+
 def q_ignore_rule_table(spark, d):
     tables = fx(spark, d, "cat_columns").select("table_schema", "table_name").distinct()
     return ir.without_ignored(tables, fx(spark, d, "ignore_globs"))
@@ -415,6 +441,8 @@ QUERIES = {
     "drift_fk": q_drift_fk,
     "drift_views": q_drift_views,
     "drift_functions": q_drift_functions,
+    "catalog_listing_details": q_listing_details,
+    "catalog_function_details": q_function_details,
     "ignore_rule_table": q_ignore_rule_table,
     "as_name_list": q_as_list,
     "drift_functions_no_args": q_drift_functions_no_args,
@@ -542,7 +570,26 @@ FP = """SELECT table_schema, table_name, sha256(string_agg(CAST(to_json({{'colum
 GLOB = "((table_schema || '.' || table_name) GLOB 'db1.*' OR (table_schema || '.' || table_name) GLOB 'db?.t1*')"
 STRICT = _columns_sql(COL_ATTRS, False, "equal", "C2")
 
+def _listed_sql(kind, src, cols, n):
+    key = "concat_ws('.', " + ", ".join(cols[:n]) + ")"
+    cells = ", ".join(f"('{c}', CAST({c} AS VARCHAR))" for c in cols[n:])
+    return f"SELECT '{kind}' AS kind, {key} AS object_key, f.field, f.value FROM {src}, LATERAL (VALUES {cells}) AS f(field, value)"
+
+
+_USERS = "NOT IN ('information_schema', 'pg_catalog')"
 ORACLE = {
+    "catalog_listing_details": cte("cat_spaces", "cat_owner_roles", "cat_types", "cat_column_grants", "cat_index_rows", "cat_sequences", "cat_trigger_rows") + f""",
+s AS (SELECT nspname AS schema_name, rolname AS schema_owner FROM cat_spaces n LEFT JOIN cat_owner_roles r ON n.nspowner = r.oid WHERE nspname {_USERS}),
+t AS (SELECT nspname AS schema_name, typname AS type_name, CASE typtype WHEN 'b' THEN 'base' WHEN 'c' THEN 'composite' WHEN 'd' THEN 'domain' WHEN 'e' THEN 'enum' WHEN 'r' THEN 'range' END AS type_category,
+ nspname || '.' || typname AS formatted_type, typdefault AS default_value FROM cat_types JOIN cat_spaces ON typnamespace = oid WHERE nspname {_USERS} AND typtype IN ('b', 'c', 'd', 'e', 'r')),
+p AS (SELECT DISTINCT table_schema, table_name, privilege_type, grantee, grantor, is_grantable FROM cat_column_grants WHERE table_schema {_USERS}) """ + " UNION ALL ".join(
+        [_listed_sql("schema", "s", ["schema_name", "schema_owner"], 1), _listed_sql("type", "t", ["schema_name", "type_name", "type_category", "formatted_type", "default_value"], 2),
+         _listed_sql("table_privilege", "p", ls.TABLE_PRIVILEGES, 4)]
+        + [_listed_sql(kind, f"(SELECT * FROM {name} WHERE {cols[0]} {_USERS})", cols, n) for kind, (name, cols, n) in _LISTED.items()]),
+    "catalog_function_details": cte("cat_procs", "cat_spaces", "cat_languages") + f""", f AS (
+ SELECT nspname AS schema_name, proname AS name, coalesce(args, '') AS args, returns, lanname AS language, sha256({NORM.format(c='source')}) AS definition_hash
+ FROM cat_procs JOIN cat_spaces n ON pronamespace = n.oid LEFT JOIN cat_languages l ON prolang = l.oid WHERE nspname {_USERS})
+SELECT *, FALSE AS unknown_kept FROM f WHERE language IS NOT NULL UNION ALL SELECT *, TRUE FROM f""",
     "catalog_discover_tables": cte("cat_columns") + """SELECT DISTINCT table_schema, table_name FROM cat_columns
  WHERE table_schema NOT IN ('information_schema', 'pg_catalog', 'db0') AND table_name LIKE 't1%'""",
     "catalog_explicit_targets": cte("cat_columns", "cat_targets") + """, t AS (SELECT DISTINCT

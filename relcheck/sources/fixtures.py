@@ -142,6 +142,35 @@ SELECT concat('db', cast(user_id % 20 AS string)) AS table_schema, concat('t', c
  CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'purchase' THEN 'UPDATE' WHEN 'error' THEN 'DELETE' ELSE 'TRUNCATE' END AS event_manipulation FROM {events}
 """
 
+# Catalog tables behind the listings: a system schema, types of every kind and of
+# no schema, functions of no known language.
+FIXTURE_SQL["cat_spaces"] = """
+SELECT oid, nspname, 1 + oid % 9 AS nspowner FROM {cat_namespaces} UNION ALL SELECT 900, 'pg_catalog', 1
+"""
+FIXTURE_SQL["cat_owner_roles"] = "SELECT DISTINCT 1 + n_nationkey % 7 AS oid, concat('role', cast(n_nationkey % 7 AS string)) AS rolname FROM {nation}"
+FIXTURE_SQL["cat_types"] = """
+SELECT concat('ty', cast(p_partkey AS string)) AS typname, CASE WHEN p_partkey % 13 = 0 THEN 900 ELSE p_partkey % 22 END AS typnamespace,
+ substr('bcdeprx', cast(p_partkey % 7 + 1 AS int), 1) AS typtype, CASE WHEN p_size > 25 THEN cast(p_size AS string) END AS typdefault FROM {part}
+"""
+FIXTURE_SQL["cat_procs"] = """
+SELECT concat('f', cast(p_partkey AS string)) AS proname, CASE WHEN p_partkey % 17 = 0 THEN 900 ELSE p_partkey % 20 END AS pronamespace, p_partkey % 4 AS prolang,
+ CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE 'integer, text' END AS args, CASE WHEN p_partkey % 2 = 0 THEN 'void' ELSE 'boolean' END AS returns, concat('  begin ', p_name, '  end ') AS source FROM {part}
+"""
+FIXTURE_SQL["cat_languages"] = "SELECT * FROM (VALUES (0, 'sql'), (1, 'plpgsql'), (2, 'c')) AS t(oid, lanname)"
+FIXTURE_SQL["cat_column_grants"] = """
+SELECT CASE WHEN l_orderkey % 31 = 0 THEN 'information_schema' ELSE concat('db', cast(l_orderkey % 20 AS string)) END AS table_schema, concat('t', cast(l_orderkey AS string)) AS table_name,
+ concat('c', cast(l_linenumber AS string)) AS column_name, CASE WHEN l_linestatus = 'O' THEN 'SELECT' ELSE 'UPDATE' END AS privilege_type, concat('role', cast(l_suppkey % 5 AS string)) AS grantee,
+ CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE 'postgres' END AS grantor, CASE WHEN l_partkey % 2 = 0 THEN 'YES' ELSE 'NO' END AS is_grantable FROM {lineitem}
+"""
+FIXTURE_SQL["cat_index_rows"] = """
+SELECT table_schema AS schemaname, table_name AS tablename, constraint_name AS indexname, concat('CREATE UNIQUE INDEX ', constraint_name, ' ON ', table_schema, '.', table_name) AS indexdef
+FROM {cat_constraints} WHERE constraint_type <> 'FOREIGN KEY'
+"""
+FIXTURE_SQL["cat_trigger_rows"] = """
+SELECT table_schema AS trigger_schema, trigger_name, event_manipulation, table_schema AS event_object_schema, table_name AS event_object_table, 'ROW' AS action_orientation, action_timing,
+ CASE WHEN trigger_name = 'trg1' THEN 'new.id > 0' END AS action_condition, concat('EXECUTE FUNCTION ', trigger_name, '()') AS action_statement FROM {cat_triggers}
+"""
+
 FIXTURE_SQL["cat_triggers_dev"] = """
 SELECT * FROM {cat_triggers} WHERE trigger_name <> 'trg3'
 """
