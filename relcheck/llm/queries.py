@@ -170,7 +170,9 @@ CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, oc
 
 SHARDED = """
 keyed AS MATERIALIZED (SELECT *, {key} AS k, (coalesce(strlen(text), 0) + 8)::BIGINT AS size FROM {docs}),
-run AS (SELECT *, (sum(size) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS before, (SELECT sum(size) FROM keyed)::BIGINT AS total FROM keyed),
+grouped AS (SELECT *, count(*) OVER (PARTITION BY k) AS n, sum(size) OVER (PARTITION BY k) AS group_size, (SELECT sum(size) FROM keyed)::BIGINT AS total,
+               sum(size) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) - size AS by_row, coalesce(sum(size) OVER (ORDER BY k RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) AS by_key FROM keyed),
+run AS (SELECT * EXCLUDE (n), (CASE WHEN n > 1 AND (n > 4096 OR group_size * 24 * 256 > total) THEN by_row ELSE by_key END)::BIGINT AS before FROM grouped),
 placed AS (SELECT *, (SELECT count(*) FROM range(1, 24) t(i) WHERE (total * i + 23) // 24 <= before)::INT AS shard FROM run),
 sharded AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY k) - 1)::BIGINT AS slot FROM placed)"""
 

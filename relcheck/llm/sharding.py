@@ -27,6 +27,8 @@ from relcheck.llm.shared import row_of, staged
 BITS, STEP = 60, 12
 #: Rows of a numbering cell, about.
 CELL_ROWS = 4096
+#: Equal rows of less than this part of a shard's bytes stay in one shard.
+FINE = 256
 
 
 def sort_key(*parts: Column) -> Column:
@@ -50,11 +52,17 @@ def histogram(rows: DataFrame, bits: int, inside: list[int] | None) -> list:
                                                 F.min("k").alias("low"), F.max("k").alias("high")).orderBy("cell").collect()
 
 
-def splitters(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int, int]], int]:
+def many_equal(n, size, total: int, shards: int):
+    """Whether n rows of one key, ``size`` bytes in all, are told apart; of
+    numbers or columns."""
+    return (n > 1) & ((n > CELL_ROWS) | (size * (shards * FINE) > total))
+
+
+def splitters(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int, int]], int, int]:
     """For each of the inner boundaries i: (key, rank, rows below it), the least
     with at least i/shards of all bytes below it; below are smaller keys, and of
     the key itself the rows of a smaller rank. Rows below the first boundary
-    belong to shard 0, and so on. Also the row count."""
+    belong to shard 0, and so on. Also the row count and all bytes."""
     first = histogram(rows, STEP, None)
     total = sum(c.bytes for c in first)
     want = [-(-total * i // shards) for i in range(1, shards)]
@@ -74,7 +82,9 @@ def splitters(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int, int]],
                 below, n = below + c.bytes, n + c.n
             if nxt is None:  # only in an empty table
                 found[i] = (1 << BITS, 0, n)
-            elif nxt.low == nxt.high or bits >= BITS:  # one key left: as many of its rows as are needed, all of one size
+            elif (nxt.low == nxt.high or bits >= BITS) and not many_equal(nxt.n, nxt.bytes, total, shards):
+                found[i] = (nxt.high + 1, 0, n + nxt.n)  # one key left: the boundary lies behind it
+            elif nxt.low == nxt.high or bits >= BITS:  # as many of its rows as are needed, all of one size
                 rank = max(1, min(nxt.n, -(-(want[i] - below) * nxt.n // nxt.bytes)))
                 found[i] = (nxt.high, rank, n + rank)
             else:
@@ -87,7 +97,7 @@ def splitters(rows: DataFrame, shards: int) -> tuple[list[tuple[int, int, int]],
             cells = {p: [] for p in inside}
             for c in histogram(rows, bits, sorted(inside)):
                 cells[c.cell >> STEP].append(c)
-    return [found[i] for i in range(len(want))], sum(c.n for c in first)
+    return [found[i] for i in range(len(want))], sum(c.n for c in first), total
 
 
 def pick(bounds: list[tuple[int, int]], key: Column, rank: Column, values: list[int], low: int = 0) -> Column:
@@ -121,8 +131,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, text: str = "text", key: s
     rows = docs.select(row_of(docs, carry), size_of(text).alias("size"),
                        sort_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("k"))
     keys = staged(rows.select("k", "size"), "keys")
-    cuts, total = splitters(keys, shards)
-    again = staged(keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "again")
+    cuts, total, size = splitters(keys, shards)
+    groups = keys.groupBy("k").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    again = staged(groups.where(many_equal(F.col("n"), F.col("bytes"), size, shards)).select("k"), "again")
     equal = numbered(rows, again)
     bits = min(BITS, (total // CELL_ROWS).bit_length())
     shard = pick([c[:2] for c in cuts], F.col("k"), F.col("r"), list(range(shards))).cast("int")

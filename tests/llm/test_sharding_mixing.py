@@ -32,7 +32,7 @@ def test_splitters_are_exact(spark):
     r = random.Random(2)
     keys = [r.randrange(1 << 60) for _ in range(300)] + [7] * 40 + [8] * 3 + [(1 << 60) - 1]
     data = [(k, r.randrange(1, 50)) for k in keys]
-    cuts, n = splitters(spark.createDataFrame([(k, 10) for k, _ in data[-50:]] + [(k, 7 + k % 5) for k, _ in data[:-50]], "k long, size long"), 10)
+    cuts, n, size = splitters(spark.createDataFrame([(k, 10) for k, _ in data[-50:]] + [(k, 7 + k % 5) for k, _ in data[:-50]], "k long, size long"), 10)
     data = [(k, 10) for k, _ in data[-50:]] + [(k, 7 + k % 5) for k, _ in data[:-50]]
     total = sum(s for _, s in data)
     seen, ordered = defaultdict(int), []
@@ -43,7 +43,7 @@ def test_splitters_are_exact(spark):
         want = -(-total * i // 10)
         first = [x for x in ordered if x[:2] < (key, rank)]
         assert len(first) == below and sum(s for _, _, s in first) >= want > sum(s for _, _, s in first[:-1])
-    assert n == len(data)
+    assert (n, size) == (len(data), total)
 
 
 def test_equal_rows_are_shared_out(spark, monkeypatch):
@@ -62,6 +62,17 @@ def test_equal_rows_are_shared_out(spark, monkeypatch):
     assert len({x.shard for x in out if x.row.doc_id is None}) > 8
 
 
+def test_a_few_equal_rows_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "FINE", 1)
+    rows = [(i // 3, prose(i // 3, 12)) for i in range(1800)]
+    out = shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()
+    slots, homes = defaultdict(list), defaultdict(set)
+    for x in out:
+        slots[x.shard].append(x.slot)
+        homes[x.row.doc_id].add(x.shard)
+    assert len(out) == 1800 and all(len(h) == 1 for h in homes.values()) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_sharding_edges(spark, monkeypatch):
     monkeypatch.setattr(sharding, "CELL_ROWS", 2)
     docs = edge_docs(spark)
