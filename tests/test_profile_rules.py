@@ -65,3 +65,16 @@ def test_rules_without_letters_and_no_rules(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "yy"), (None, "z")], "table_schema string, table_name string")
     kept = lambda *p: sorted(r.table_name for r in ig.without_ignored(df, spark.createDataFrame([(x,) for x in p], "pattern string")).collect())
     assert kept() == ["x", "yy", "z"] and kept("*") == [] and kept("???") == ["yy", "z"] and kept("z") == ["x", "yy"] and kept("?.*[y]", "none") == ["x", "z"]
+
+
+def test_rules_that_begin_alike_meet_few_names(spark):
+    """Thousands of rules whose pieces share their first letters: a name meets
+    those whose whole piece it holds."""
+    ks = range(10_000, 12_000)
+    rules = [f"*.t{k}?" for k in ks] + [f"*3.t{k}*1" for k in ks] + [f"??.t{k}*" for k in ks] + [f"db?.*{k}" for k in ks]
+    names = [f"db{k % 7}.t{k}{k % 3}" for k in ks] + [f"db1.x{k}" for k in ks]
+    df = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(p,) for p in rules], "pattern string")
+    assert ig.candidates(*df).count() < 10 * len(names)
+    want = {(n, p) for k in ks for p in (f"*.t{k}?", f"*3.t{k}*1", f"??.t{k}*", f"db?.*{k}") for n in (f"db{k % 7}.t{k}{k % 3}", f"db1.x{k}") if fnmatch.fnmatchcase(n, p)}
+    got = {tuple(r) for r in ig.matches(*df).collect()}
+    assert want <= got and all(fnmatch.fnmatchcase(*x) for x in got)
