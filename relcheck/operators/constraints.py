@@ -4,6 +4,8 @@ All return findings (``relcheck.operators.findings``)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,15 +125,31 @@ def check_fk(child: DataFrame, parent: DataFrame, child_cols: list[str], parent_
         F.col("n_rows").cast("string").alias("actual"))
 
 
+def _column_profile(df: DataFrame, table: str, field: T.StructField) -> DataFrame:
+    """One column's profile from its values and how often each comes."""
+    c, v = F.col(field.name), F.col("_v")
+    real = isinstance(field.dataType, (T.FloatType, T.DoubleType))  # 0.0 and -0.0 are one value of two texts
+    g = df.groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *([F.min(c).alias("_lo"), F.max(c).alias("_hi")] if real else []))
+    none = F.lit(0).cast("long")
+    return g.agg(
+        F.lit(table).alias("table_name"), F.lit(field.name).alias("column_name"), F.coalesce(F.sum("_n"), none).alias("n_rows"),
+        F.coalesce(F.sum(F.when(v.isNull(), F.col("_n"))), none).alias("n_nulls"), F.count(v).alias("n_distinct"),
+        (F.max(F.length(v)) if isinstance(field.dataType, T.StringType) else F.lit(None).cast("int")).alias("max_length"),
+        F.min("_lo" if real else "_v").cast("string").alias("min_value"), F.max("_hi" if real else "_v").cast("string").alias("max_value"))
+
+
 def observed_profile(df: DataFrame, table: str, approx_distinct: bool = False) -> DataFrame:
-    """Per column: rows, nulls, distinct, max text length, min, max, in
-    one aggregation, then unpivoted to one row per column."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    """Per column: rows, nulls, distinct, max text length, min, max, a row a
+    column. Exact counts take one aggregation a column, over that column alone: a
+    task holds values of one column, not of all of them. Approximate ones take one
+    aggregation in all."""
     fields = df.schema.fields
+    if not approx_distinct and fields:
+        return reduce(DataFrame.unionByName, [_column_profile(df, table, f) for f in fields])
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
         c = F.col(f.name)
-        distinct = F.approx_count_distinct(c) if approx_distinct else F.count_distinct(c)
-        aggs += [F.count_if(c.isNull()).alias(f"_null{i}"), distinct.alias(f"_dist{i}"),
+        aggs += [F.count_if(c.isNull()).alias(f"_null{i}"), F.approx_count_distinct(c).alias(f"_dist{i}"),
                  (F.max(F.length(c)) if isinstance(f.dataType, T.StringType)
                   else F.lit(None).cast("int")).alias(f"_len{i}"),
                  F.min(c).cast("string").alias(f"_min{i}"), F.max(c).cast("string").alias(f"_max{i}")]

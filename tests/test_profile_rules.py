@@ -41,6 +41,15 @@ def test_a_new_day_replaces_only_itself(spark):
     assert pr.merged_profile(pr.day_profiles(df.limit(0), "t", F.col("d"))).count() == 0
 
 
+def test_exact_profile_holds_one_column_at_a_time(spark):
+    df = spark.createDataFrame([(1, "a", -0.0, None), (1, None, 2.5, None), (3, "ccc", float("nan"), None), (3, "ccc", 2.5, None)], "k long, s string, r double, none int")
+    got = observed_profile(df, "t")
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [("t", "k", 4, 0, 2, None, "1", "3"), ("t", "none", 4, 4, 0, None, None, None),
+                                                 ("t", "r", 4, 0, 3, None, "-0.0", "NaN"), ("t", "s", 4, 1, 2, 3, "a", "ccc")]
+    assert {tuple(r)[2:] for r in observed_profile(df.limit(0), "t").collect()} == {(0, 0, 0, None, None, None)}
+
+
 def globs(seed, n):
     r = random.Random(seed)
     word = lambda: "".join(r.choice("abct_1") for _ in range(r.randrange(1, 6)))
