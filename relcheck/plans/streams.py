@@ -16,7 +16,7 @@ from relcheck.streaming import acl as st
 
 def _staged(spark, d):
     path = new_scratch(spark, "acl-source")
-    st.stage_source_files(fixture(spark, d, "acl_source"), path, "event_id")
+    st.stage_source_files(fixture(spark, d, "acl_source"), path, "event_id", n_files=None)
     return path
 
 
@@ -85,11 +85,14 @@ def q_stream_end_codes(spark, d):
     events = fixture(spark, d, "acl_source")
     middle = events.agg(F.max("event_id")).first()[0] // 2
     versions = [[(0, "purchase", True)], [(middle, "purchase", False), (middle, "click", True)]]
+    files = []
     for rows, part in zip(versions, (F.col("event_id") < middle, F.col("event_id") >= middle), strict=True):
         spark.createDataFrame(rows, st.CHANGES_SCHEMA).coalesce(1).write.mode("append").parquet(lst)
-        st.stage_source_files(events.where(part), src, "event_id", n_files=1)
+        st.stage_source_files(events.where(part), src, "event_id", n_files=None)
+        files.append(len(spark.read.schema(ev.SOURCE_SCHEMA).parquet(src).inputFiles()))
     out, ck = new_scratch(spark, "end-codes-out"), new_scratch(spark, "end-codes-ckpt")
-    closed = st.sessions_stream(st.read_events(spark, src, 1), CFG, changes=st.read_changes(spark, lst, 1))
+    # the first micro-batch is the first delivery's files, whatever their number
+    closed = st.sessions_stream(st.read_events(spark, src, files[0]), CFG, changes=st.read_changes(spark, lst, 1))
     st.run_available_now(closed, out, ck)
     return st.session_interactions(spark.read.parquet(out), CFG)
 

@@ -27,10 +27,12 @@ CHANGES_SCHEMA = "from_event_id long, event_type_cd string, active boolean"
 
 
 # ---------------------------------------------------------------- sources
-def stage_source_files(df: DataFrame, path: str, order_col: str, n_files: int = 4) -> None:
+def stage_source_files(df: DataFrame, path: str, order_col: str, n_files: int | None = 4) -> None:
     """Land a frame as files of offset ranges, in one write (used by tests and
-    the registered stream queries; a second call is a later delivery)."""
-    df.repartitionByRange(n_files, order_col).write.mode("append").parquet(path)
+    the registered stream queries; a second call is a later delivery). Without
+    ``n_files`` their number grows with the rows."""
+    ranged = df.repartitionByRange(order_col) if n_files is None else df.repartitionByRange(n_files, order_col)
+    ranged.write.mode("append").parquet(path)
 
 
 def read_events(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from relcheck.plans.acl import CFG
 from relcheck.sources.files import new_scratch
 from relcheck.sources.fixtures import fixture
 from relcheck.streaming import acl as st
+from relcheck.streaming import sessions as ss
 from relcheck.streaming.counters import CounterListener, counter_table
 from tests.conftest import SF
 
@@ -44,6 +45,7 @@ NARROW = ("event_id long, application_software string, event_ts timestamp_ntz, c
           "event_type_cd string, event_response_txt string, session_id string")
 HOUR = dt.timedelta(hours=1)
 DAY = dt.datetime(2024, 1, 1)
+DAY_US, HOUR_US = int(DAY.replace(tzinfo=dt.UTC).timestamp()) * 1_000_000, 3_600_000_000
 
 
 def _events(spark, rows):
@@ -87,6 +89,37 @@ def test_start_from_a_table_of_open_sessions(spark):
     assert got == [("a", "end", 1.0, 5), ("c", "end", 9.0, 6)]
 
 
+@pytest.mark.parametrize("idle", [None, "3 hours"])
+def test_sessions_that_share_a_slot_stay_apart(spark, idle):
+    """One slot for all keys, as one key a slot: ends, tombstones, timers that
+    fall together and a start table."""
+    batches = [[(1, 0, "a", "click"), (2, 0, "b", "click"), (3, 1, "c", "purchase")], [(4, 2, "b", "click"), (5, 2, "c", "purchase")],
+               [(6, 12, "d", "click")], [(7, 12, "a", "purchase"), (8, 12, "b", "purchase"), (9, 12, "d", "purchase"), (10, 12, "e", "purchase"), (11, 12, "z", "purchase")]]
+    table = st.open_state(_events(spark, [(-2, -1, "e", "click"), (-1, -1, "z", "click")]), CFG.end_codes)
+    got = []
+    for slots in (1, ss.SLOTS):
+        path, out, ck = (new_scratch(spark, n) for n in ("src", "out", "ckpt"))
+        for rows in batches:
+            st.stage_source_files(_events(spark, rows), path, "event_id", n_files=1)
+        valid = st.valid_events(st.read_events(spark, path, 1), CFG)
+        st.run_available_now(ss.sessions(ev.flag_in(valid, "event_type_cd", CFG.end_codes, "is_end"), idle, "1 hour", table, slots), out, ck)
+        got.append(sorted((r.customer_id, r.closed_by, (r.interaction_start_us - DAY_US) // HOUR_US, r.n_events, r.event_id or 0) for r in spark.read.parquet(out).collect()))
+    assert got[0] == got[1]
+    if idle:
+        assert got[0] == [("a", "idle", 0, 1, 0), ("b", "idle", 0, 2, 0), ("c", "end", 1, 1, 3), ("d", "end", 12, 2, 9), ("e", "idle", -1, 1, 0), ("z", "idle", -1, 1, 0)]
+    else:
+        assert got[0] == [("a", "end", 0, 2, 7), ("b", "end", 0, 3, 8), ("c", "end", 1, 1, 3), ("d", "end", 12, 2, 9), ("e", "end", -1, 2, 10), ("z", "end", -1, 2, 11)]
+
+
+def test_files_of_a_delivery_grow_with_its_rows(spark):
+    """No single file or task takes all events of a delivery."""
+    path = new_scratch(spark, "src")
+    st.stage_source_files(spark.range(2_000_000).selectExpr("id AS event_id", "uuid() AS text").repartition(8), path, "event_id", n_files=None)
+    files = spark.read.parquet(path).select("event_id", F.input_file_name().alias("f")).groupBy("f").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).collect()
+    spans = sorted((r.lo, r.hi) for r in files)
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
 def test_end_codes_change_in_a_running_stream(spark):
     """By offset: a change holds for events at or after its offset, whatever
     batch they come in, and for those processed after it arrived."""
