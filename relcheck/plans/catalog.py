@@ -12,7 +12,7 @@ from relcheck.operators import ignore_rules as ir
 from relcheck.operators import listings as ls
 from relcheck.operators import findings as fnd
 from relcheck.operators import tablediff as td
-from relcheck.sources.fixtures import cte, fixture
+from relcheck.sources.fixtures import cte, fixture, written
 
 T = ["table_schema", "table_name"]
 COL_ATTRS = {"ordinal_position": "number", "data_type": "string", "is_nullable": "string",
@@ -24,8 +24,8 @@ IGNORE_COLUMNS = {"t100": ["c1", "c2"]}
 IGNORE_ATTRS = ["num_precision"]
 
 
-def fx(spark, d, name):
-    return fixture(spark, d, name)
+def fx(spark, d, name, have=None):
+    return fixture(spark, d, name, have)
 
 
 def _join_list(c, sep=","):
@@ -67,24 +67,24 @@ def q_privileges(spark, d):
     return cat.privileges(fx(spark, d, "cat_grants"))
 
 
-def _usage_parts(spark, d, dev: bool = False):
-    return [fx(spark, d, n + ("_dev" if dev else "")) for n in ("cat_constraints", "cat_key_columns", "cat_ref_columns")]
+def _usage_parts(spark, d, dev: bool = False, have=None):
+    return [fx(spark, d, n + ("_dev" if dev else ""), have) for n in ("cat_constraints", "cat_key_columns", "cat_ref_columns")]
 
 
-def _usage(spark, d, dev: bool = False):
-    return cat.key_usage(*_usage_parts(spark, d, dev))
+def _usage(spark, d, dev: bool = False, have=None):
+    return cat.key_usage(*_usage_parts(spark, d, dev, have))
 
 
-def _objects(spark, d, dev: bool):
+def _objects(spark, d, dev: bool, have=None):
     s = "_dev" if dev else ""
-    cols = fx(spark, d, "cat_columns" + s)
-    ku = _usage(spark, d, dev)
+    cols = fx(spark, d, "cat_columns" + s, have)
+    ku = _usage(spark, d, dev, have)
     parts = [
         cols.select(F.lit("table").alias("kind"), F.col("table_schema").alias("object_schema"),
                     F.col("table_name").alias("object_name")),
-        fx(spark, d, "cat_views" + s).select(F.lit("view"), "view_schema", "view_name"),
-        fx(spark, d, "cat_functions" + s).select(F.lit("function"), "schema_name", "name"),
-        fx(spark, d, "cat_sequences" + s).select(F.lit("sequence"), "sequence_schema", "sequence_name"),
+        fx(spark, d, "cat_views" + s, have).select(F.lit("view"), "view_schema", "view_name"),
+        fx(spark, d, "cat_functions" + s, have).select(F.lit("function"), "schema_name", "name"),
+        fx(spark, d, "cat_sequences" + s, have).select(F.lit("sequence"), "sequence_schema", "sequence_name"),
         # constraints, and the indexes behind PK/UNIQUE, from one pass
         ku.select(F.explode(F.array(
             F.struct(F.lit("constraint").alias("k"), F.col("table_schema").alias("s"),
@@ -93,7 +93,7 @@ def _objects(spark, d, dev: bool):
                 F.lit("index").alias("k"), F.col("table_schema").alias("s"),
                 F.col("constraint_name").alias("n"))))).alias("x"))
           .where(F.col("x").isNotNull()).select("x.k", "x.s", "x.n"),
-        fx(spark, d, "cat_triggers" + s).select(F.lit("trigger"), "table_schema",
+        fx(spark, d, "cat_triggers" + s, have).select(F.lit("trigger"), "table_schema",
                                                 F.concat_ws(".", "table_name", "trigger_name")),
     ]
     out = parts[0]
@@ -224,7 +224,8 @@ def q_glob_match(spark, d):
 
 
 def q_existence(spark, d):
-    e, a = _objects(spark, d, False), _objects(spark, d, True)
+    have = written(spark, d, "cat_columns")
+    e, a = _objects(spark, d, False, have), _objects(spark, d, True, have)
     k = ["kind", "object_schema", "object_name"]
     missing = e.join(a, k, "left_anti")
     return missing.select(F.lit("C10").alias("check_id"), F.col("kind").alias("object_kind"),

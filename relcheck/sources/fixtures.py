@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from relcheck.sources.files import new_scratch
 from relcheck.sources.tables import TABLES, table
 
 FIXTURE_SQL: dict[str, str] = {}
@@ -488,15 +489,27 @@ def _deps(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"(?<!\{)\{([a-z_0-9]+)\}(?!\})", sql)))
 
 
-def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build a derived input as a Spark DataFrame (lazy; nothing runs)."""
+def fixture(spark: SparkSession, sf_dir: str, name: str, have: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Build a derived input as a Spark DataFrame (lazy; nothing runs). Inputs in
+    ``have`` are taken from there."""
+    if have and name in have:
+        return have[name]
     if name in TABLES:
         return table(spark, sf_dir, name)
     sql = FIXTURE_SQL[name]
-    args = {d: fixture(spark, sf_dir, d) for d in _deps(sql)}
+    args = {d: fixture(spark, sf_dir, d, have) for d in _deps(sql)}
     return spark.sql(sql, **args) if args else spark.sql(sql.replace("{{", "{").replace("}}", "}"))
 
 
+def written(spark: SparkSession, sf_dir: str, name: str) -> dict[str, DataFrame]:
+    """One derived input, derived once and written, as ``have`` for others that
+    read it: a query that reads it in several places would derive it in each."""
+    path = new_scratch(spark, name)
+    made = fixture(spark, sf_dir, name)
+    made.write.parquet(path)
+    return {name: spark.read.schema(made.schema).parquet(path)}
+
+
 def cte(*names: str) -> str:
     """``WITH`` clause that defines the given derived inputs (and what they
     read) for DuckDB, where the driver tables are views of the same name."""

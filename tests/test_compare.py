@@ -2,6 +2,8 @@ from relcheck.operators import constraints as con
 from relcheck.operators import dedup
 from relcheck.operators import drift as dr
 from relcheck.operators import tablediff as td
+from relcheck.sources.fixtures import fixture, written
+from tests.conftest import SF
 
 SCHEMA = "k long, a string, b double"
 
@@ -98,3 +100,27 @@ def test_skip_extra_tables_and_empty_expected(spark):
     roles = spark.createDataFrame([("r1",)], "rolname string")
     f = dr.drift_set(empty, roles, ["rolname"], "role", "C8", "subset", skip_when_empty=True).collect()
     assert [(x.status, x.object_key) for x in f] == [("SKIP", "*")]
+
+
+def test_drift_columns_reads_both_sides_once(spark):
+    """One shuffle by table and no join; tables of one side, also of a null name,
+    give one finding whatever they hold."""
+    e = spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), ("b", 1, "x"), ("b", 2, "x"), (None, 1, "x"), (None, None, "x")], "t string, c int, v string")
+    a = spark.createDataFrame([("a", 1, "y"), ("z", 1, "x"), ("z", None, "x")], "t string, c int, v string")
+    got = dr.drift_columns(e, a, {"v": "string"}, table_key=("t",), column="c", report_extra_tables=True)
+    assert sorted((r.object_kind, r.object_key, r.field or "", r.status, r.expected, r.actual) for r in got.collect()) == [
+        ("column", "a.1", "v", "CHANGED", "x", "y"), ("column", "a.2", "", "MISSING", None, None),
+        ("table", "", "", "MISSING", None, None), ("table", "b", "", "MISSING", None, None), ("table", "z", "", "UNEXPECTED", None, None)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_written_input_is_derived_once(spark):
+    """What reads a written input reads its rows, and derives nothing of it again."""
+    have = written(spark, SF, "cat_columns")
+    for name in ("cat_key_usage", "cat_views_dev"):
+        one, own = fixture(spark, SF, name, have), fixture(spark, SF, name)
+        assert one.exceptAll(own).count() == own.exceptAll(one).count() == 0
+        assert "Window" in own._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in one._jdf.queryExecution().optimizedPlan().toString()
