@@ -12,7 +12,7 @@
   reported by the queries themselves (E19; see ``relcheck.streaming.counters``).
 
 State growth: groups close only on an end code, so never-ending sessions keep
-one small state row a key, and closed ones a tombstone, as the spec asks.
+one small entry a key, and closed ones a tombstone, as the spec asks.
 """
 
 from __future__ import annotations
